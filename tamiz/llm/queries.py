@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import toxicity
+from tamiz.llm import jaccard, lines, packing, toxicity
 from tamiz.llm.shared import held_out, table
 
 
@@ -19,6 +19,48 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, params, out="score").select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= params.threshold).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity}
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, its text without later occurrences of repeated three-line windows, n_lines, n_removed."""
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
-ORACLE_SQL: dict[str, str] = {}
+
+OP2_SQL = """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+  FROM documents WHERE text IS NOT NULL
+), w AS (
+  SELECT doc_id, pos, line || chr(10) || lead(line) OVER d || chr(10) || lead(line, 2) OVER d AS g
+  FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+), later AS (
+  SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY g ORDER BY doc_id, pos) AS r FROM w WHERE g IS NOT NULL) WHERE r > 1
+), cut AS (
+  SELECT DISTINCT doc_id, pos + k AS pos FROM later, (SELECT unnest(range(3)) AS k)
+), kept AS (
+  SELECT l.doc_id, coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE c.pos IS NULL), '') AS text, count(*) AS n_lines, count(c.pos) AS n_removed
+  FROM l LEFT JOIN cut c ON l.doc_id = c.doc_id AND l.pos = c.pos GROUP BY l.doc_id
+)
+SELECT d.doc_id, k.text, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_line_dedup": op2_line_dedup,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": OP2_SQL,
+}
