@@ -22,6 +22,8 @@ from tamiz.llm.shared import materialise, row_count_at_most
 
 #: Benchmarks of at most so many distinct windows (about 40 bytes each) are broadcast; larger ones are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
+#: With at most so many fingerprints, texts without any of them are put aside before the join (a constant array in the plan).
+SIEVE_MARKS = 10_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -38,21 +40,26 @@ def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(_WORD)), F.lit(0)).cast("long")
 
 
-def fingerprints(df: DataFrame, text: str, length: int, k: int) -> DataFrame:
+def fingerprints(df: DataFrame, text: str, length: int, k: int, marks: list[int] | None = None) -> DataFrame:
     """``df`` without its text, one row per window: ``pos``, ``fp`` (the least gram hash) and ``key`` (a hash of
-    all its words). Each array is a column of its own, so that none is computed anew inside another."""
+    all its words). Each array is a column of its own, so that none is computed anew inside another.
+    With ``marks`` (all fingerprints sought), texts without any gram among them are put aside early."""
     keep = [c for c in df.columns if c != text]
-    out = df.select(*keep, words(F.col(text)).alias("__w")).filter(F.size("__w") >= length)
+    out = df.select(*keep, words(F.col(text)).alias("__w"))
     out = out.select(*keep, F.transform("__w", lambda x: F.xxhash64(x)).alias("__h"))
     h = F.col("__h")
     gram = F.transform(h, lambda x, i: F.xxhash64(x, *(F.get(h, i + j) for j in range(1, k))))
     out = out.select(*keep, gram.alias("__g"))
+    if marks is not None:
+        known = F.split(F.lit(",".join(map(str, marks))), ",").cast("array<bigint>")  # folded to a constant
+        # Not a filter: pushed below the arrays, it would compute them anew inside each other.
+        out = out.select(*keep, F.when(F.arrays_overlap("__g", known), F.col("__g")).alias("__g"))
     g, size = F.col("__g"), F.size("__g")
     least = F.transform(g, lambda x, i: F.least(x, *(F.get(g, i + j) for j in range(1, length - k + 1))))
     # Grams that overlap or meet, and together hold all words of the window.
     steps = [*range(k, length - k, k), length - k]
     whole = F.transform(g, lambda x, i: F.xxhash64(x, *(F.get(g, i + j) for j in steps)))
-    valid = size - (length - 1)
+    valid = F.greatest(size - (length - 1), F.lit(0))
     out = out.select(*keep, F.slice(least, F.lit(1), valid).alias("fp"), F.slice(whole, F.lit(1), valid).alias("key"))
     return out.select(*keep, F.posexplode(F.arrays_zip("fp", "key")).alias("pos", "__z")).select(*keep, "pos", "__z.fp", "__z.key")
 
@@ -61,11 +68,12 @@ def whole_grams(df: DataFrame, text: str, length: int, exact: bool) -> DataFrame
     """Windows of ``length`` words as their own fingerprints; ``exact``: only of texts of just so many words."""
     keep = [c for c in df.columns if c != text]
     size = F.size("__w")
-    out = df.select(*keep, words(F.col(text)).alias("__w")).filter(size == length if exact else size >= length)
+    out = df.select(*keep, words(F.col(text)).alias("__w"))
+    out = out.select(*keep, F.when(size == length if exact else size >= length, F.col("__w")).alias("__w"))
     out = out.select(*keep, F.transform("__w", lambda x: F.xxhash64(x)).alias("__h"))
     h = F.col("__h")
     two = F.transform(h, lambda x, i: F.struct(F.xxhash64(x, *(F.get(h, i + j) for j in range(1, length))).alias("fp"), F.xxhash64(F.lit(length), *(F.get(h, i + j) for j in reversed(range(length)))).alias("key")))
-    out = out.select(*keep, F.posexplode(F.slice(two, F.lit(1), F.size(h) - (length - 1))).alias("pos", "__z"))
+    out = out.select(*keep, F.posexplode(F.slice(two, F.lit(1), F.greatest(F.size(h) - (length - 1), F.lit(0)))).alias("pos", "__z"))
     return out.select(*keep, "pos", "__z.fp", "__z.key")
 
 
@@ -74,10 +82,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, length: int = 10, k: int = 5) ->
     short = [r.n for r in benchmark.select(F.size(words(F.col("text"))).alias("n")).filter(f"n between 1 and {length - 1}").distinct().collect()]  # fewer than ``length`` numbers
     found = None
     for n in [length, *sorted(short)]:
-        ours = fingerprints(docs, "text", length, k) if n == length else whole_grams(docs, "text", n, False)
         theirs = fingerprints(benchmark, "text", length, k) if n == length else whole_grams(benchmark, "text", n, True)
         theirs = materialise(theirs.groupBy("fp", "key").agg(F.collect_set("item").alias("items")), "windows")
         marks = theirs.select("fp").distinct()
+        few = [r.fp for r in marks.collect()] if row_count_at_most(marks, SIEVE_MARKS) else []
+        ours = fingerprints(docs, "text", length, k, few or None) if n == length else whole_grams(docs, "text", n, False)
         if row_count_at_most(theirs, BROADCAST_WINDOWS):
             theirs, marks = F.broadcast(theirs), F.broadcast(marks)
         met = ours.join(marks, "fp", "left_semi")

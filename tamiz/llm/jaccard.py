@@ -12,6 +12,8 @@ The join uses relations between sets twice, and never makes all pairs of a group
   block is skipped where the overlap can no longer suffice. Pairs inside a cluster are skipped. For the
   others, the answers of a set are derived from those of the centre that both were compared with:
   |A and B| <= |A and C| + |B| - |B and C|; only pairs whose derived bound suffices are compared.
+* Before whole sets are moved, a pair must pass a bitmap of parities: two sets' bitmaps differ in no more
+  bits than the sets differ in members, so a pair whose bitmaps differ in more than it may is put aside.
 
 Hot shingles are dealt over several tasks by a salt (to find shared ones) and by pairs of blocks of bounded
 length (to read long lists), so no task takes a whole list that grows with the data.
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tamiz.llm.components import connected
 from tamiz.llm.kernel import BLANK, LOWER, raw, runs_of, tokens
-from tamiz.llm.shared import materialise, row_count_at_most, slices
+from tamiz.llm.shared import discard, materialise, row_count_at_most, slices
 
 #: The sketch has 2**BITS counters, sent in CHUNKS pieces.
 BITS, CHUNKS = 20, 256
@@ -41,6 +43,8 @@ BITS, CHUNKS = 20, 256
 BROADCAST_KEYS = 2_000_000
 #: Length of a block of a list; two blocks meet in one task.
 BLOCK = 1024
+#: Bits of a parity bitmap.
+PARITY = 2048
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -176,11 +180,40 @@ def _set_rows(k: int):
     return run
 
 
+def _parities(k: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                rows, sizes = [], []
+                for u in shingle_sets(part.column(1), k):
+                    odd = np.bincount((u >> np.uint64(20)).astype(np.int64) & (PARITY - 1), minlength=PARITY).astype(np.uint8) & 1
+                    rows.append(np.packbits(odd, bitorder="little").view(np.int64))
+                    sizes.append(len(u))
+                offsets = np.arange(0, len(rows) * PARITY // 64 + 1, PARITY // 64, dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))], ["doc", "n", "bits"])
+
+    return run
+
+
+def _pick(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of (doc, text) whose doc is in ``ids`` (a written table of distinct keys)."""
+    keys = F.broadcast(ids) if row_count_at_most(ids, BROADCAST_KEYS) else ids
+    return texts.join(keys, "doc", "left_semi").select("doc", "text")
+
+
+def may_link(pairs: DataFrame, bits: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (x, nx, y, ny) whose parity bitmaps allow a link. ``bits``: (doc, n, bits)."""
+    x = bits.select(F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
+    y = bits.select(F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("bits").alias("by"))
+    met = pairs.join(x, ["x", "nx"]).join(y, ["y", "ny"])
+    apart = F.aggregate(F.zip_with("bx", "by", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+    return met.filter(apart <= F.col("nx") + F.col("ny") - 2 * _required(F.col("nx"), F.col("ny"), threshold)).select("x", "nx", "y", "ny")
+
+
 def overlaps(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """``pairs`` (x, nx, y, ny) with their exact overlap ``o``. ``texts``: (doc, text)."""
     ids = materialise(pairs.select(F.col("x").alias("doc")).union(pairs.select("y")).distinct(), "ids")
-    keys = F.broadcast(ids) if row_count_at_most(ids, BROADCAST_KEYS) else ids
-    sets = materialise(texts.join(keys, "doc", "left_semi").select("doc", "text").mapInArrow(_set_rows(k), "doc long, grams array<long>"), "sets")
+    sets = materialise(_pick(texts, ids).mapInArrow(_set_rows(k), "doc long, grams array<long>"), "sets")
     x = sets.select(F.col("doc").alias("x"), F.col("grams").alias("gx"))
     y = sets.select(F.col("doc").alias("y"), F.col("grams").alias("gy"))
     met = pairs.join(x, "x").filter(F.size("gx") == F.col("nx")).join(y, "y").filter(F.size("gy") == F.col("ny"))
@@ -288,20 +321,29 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     index = materialise(index.join(nodes, ["doc", "n"]).select("token", "node", "n", "pos").distinct(), "lists")
 
     linked = materialise(classes.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")), "links")
-    known, labels = None, None
+    known, labels, bits = None, None, None
     for pick in (F.min, F.max):
         lists = _with_labels(index, labels)
         me = F.struct("node", "n", "pos", "label")
         centres = lists.groupBy("token").agg(pick(me).alias("c"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token", "c")
         centres = materialise(centres, "centres")
-        pairs = lists.join(centres, "token").filter(F.col("label") != F.col("c.label"))
+        # Lists of one cluster are done; only the others go on.
+        before, met = index, materialise(lists.join(centres, "token"), "lists")
+        index = met.select("token", "node", "n", "pos")
+        discard(centres, *([before] if labels is None else []))
+        if bits is None:
+            ids = materialise(index.select(F.col("node").alias("doc")).distinct(), "ids")
+            bits = materialise(_pick(texts, ids).mapInArrow(_parities(k), "doc long, n int, bits array<long>").dropDuplicates(["doc", "n"]), "bits")
+        pairs = met.filter(F.col("label") != F.col("c.label"))
         nx, ny, need = F.col("c.n"), F.col("n"), _required(F.col("c.n"), F.col("n"), threshold)
         pairs = pairs.filter((nx - F.col("c.pos") >= need) & (ny - F.col("pos") >= need) & (100 * F.least(nx, ny) >= threshold * F.greatest(nx, ny)))
         pairs = materialise(pairs.select(F.col("c.node").alias("x"), nx.alias("nx"), F.col("node").alias("y"), ny.alias("ny")).distinct(), "pairs")
+        pairs = materialise(may_link(pairs, bits, threshold), "pairs")
         compared = materialise(overlaps(pairs, texts, k), "compared")
         known = compared if known is None else known.union(compared)
         linked = linked.union(_links(compared, threshold))
         labels = connected(linked)
+        discard(pairs)
 
     # Lists that still hold several clusters.
     lists = _with_labels(index, labels)
@@ -317,6 +359,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     pairs = lists.repartition(parts, "token", "bi", "bj").sortWithinPartitions(*order).mapInArrow(_blocks(threshold), "x long, nx int, y long, ny int").distinct()
     tried = known.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     pairs = materialise(pairs.join(tried, ["x", "y"], "left_anti").select("x", "nx", "y", "ny"), "pairs")
+    pairs = materialise(may_link(pairs, bits, threshold), "pairs")
     compared = materialise(overlaps(pairs, texts, k), "compared")
     labels = connected(linked.union(_links(compared, threshold)))
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import jaccard, lines, packing, toxicity
+from tamiz.llm import decontaminate, jaccard, lines, packing, toxicity
 from tamiz.llm.shared import held_out, table
 
 
@@ -44,6 +44,34 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    return decontaminate.report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item, array_to_string(w[p + 1 : p + least(10, len(w))], ' ') AS g, least(10, len(w)) AS n
+  FROM (SELECT item, w, unnest(range(greatest(len(w) - 9, 1))) AS p FROM b WHERE len(w) > 0)
+),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, p, n, array_to_string(w[p + 1 : p + n], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS p FROM d, sizes WHERE len(w) >= n)
+),
+hit AS (SELECT dw.doc_id, dw.p, dw.n, bw.item FROM dw JOIN bw ON dw.g = bw.g AND dw.n = bw.n),
+pos AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hit) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos ON d.doc_id = pos.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
+"""
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -57,10 +85,12 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
+    "op5_decontamination": op5_decontamination,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
+    "op5_decontamination": OP5_SQL,
 }
