@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import decontaminate, jaccard, lines, packing, toxicity
+from tamiz.llm import decontaminate, gif, jaccard, language, lines, packing, pseudo_likelihood, quality, toxicity, urls
 from tamiz.llm.shared import held_out, table
 
 
@@ -44,6 +44,75 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, held_out, lang_pred, score."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, ~held_out("doc_id"))
+    return language.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op4_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its text stored as a GIF and read back, and digests of both."""
+    return gif.stored(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, n_words, log_likelihood, mean_log_likelihood."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudo_likelihood.score(docs, pseudo_likelihood.fit(docs))
+
+
+def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, held_out, text_score, meta_score, score, predicted (1: good)."""
+    out = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "text_score", "meta_score", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def _md5_number(text):
+    return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("int")
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: its URL's verdict as of its fetch time. The tables hold no list and no times, so a dated list is derived
+    from the pages' hosts (blocked, later allowed; one path blocked), and times from the page ids."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", F.expr("timestamp_seconds(1704067200 + pmod(page_id, 365) * 86400)"))
+    hosts = pages.select(urls.host(F.col("url")).alias("h")).filter("h is not null").distinct()
+    day = lambda text, most: _md5_number(text) % most
+    start = day(F.col("h"), 180)
+    rules = F.array(
+        F.struct(F.col("h").alias("pattern"), F.lit("block").alias("action"), start.alias("d")),
+        F.struct(F.col("h").alias("pattern"), F.lit("allow").alias("action"), (start + 1 + day(F.concat("h", F.lit("+")), 150)).alias("d")),
+        F.struct(F.concat("h", F.lit("/fr")).alias("pattern"), F.lit("block").alias("action"), day(F.concat("h", F.lit("/fr")), 365).alias("d")),
+    )
+    entries = hosts.select(F.explode(rules).alias("r")).select("r.pattern", "r.action", F.expr("timestamp_seconds(1704067200 + r.d * 86400)").alias("effective"))
+    out = urls.evaluate(captures, entries)
+    return out.select("page_id", "host", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched"), "action", "pattern", F.date_format("valid_from", "yyyy-MM-dd").alias("valid_from"))
+
+
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, url, nullif(lower(regexp_extract(url, '^(?i:https?)://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host, page_id % 365 AS t FROM pages
+), h AS (SELECT DISTINCT host AS h FROM p WHERE host IS NOT NULL),
+e AS (
+  SELECT h AS pattern, 'block' AS action, ('0x' || substr(md5(h), 1, 6))::INT % 180 AS d FROM h
+  UNION ALL SELECT h, 'allow', ('0x' || substr(md5(h), 1, 6))::INT % 180 + 1 + ('0x' || substr(md5(h || '+'), 1, 6))::INT % 150 FROM h
+  UNION ALL SELECT h || '/fr', 'block', ('0x' || substr(md5(h || '/fr'), 1, 6))::INT % 365 FROM h
+), m AS (SELECT pattern, d, max(action) AS action FROM e GROUP BY pattern, d),
+i AS (SELECT pattern, action, d AS f, lead(d) OVER (PARTITION BY pattern ORDER BY d) AS e FROM m),
+k AS (
+  SELECT page_id, t, unnest([array_to_string(l[j:], '.') FOR j IN range(1, len(l) + 1)]) AS hp, s
+  FROM (SELECT page_id, t, string_split(host, '.') AS l, regexp_extract(url, '^[^:]+://[^/?#]+/([^/?#]+)', 1) AS s FROM p WHERE host IS NOT NULL)
+), a AS (SELECT page_id, t, hp AS pattern FROM k UNION ALL SELECT page_id, t, hp || '/' || s FROM k WHERE s <> ''),
+b AS (
+  SELECT a.page_id, i.action, i.pattern, i.f, row_number() OVER (PARTITION BY a.page_id ORDER BY length(i.pattern) DESC, i.pattern DESC) AS r
+  FROM a JOIN i ON a.pattern = i.pattern AND i.f <= a.t AND (i.e IS NULL OR a.t < i.e)
+)
+SELECT p.page_id, p.host, strftime(DATE '2024-01-01' + p.t::INT, '%Y-%m-%d') AS fetched, coalesce(b.action, 'none') AS action, b.pattern, strftime(DATE '2024-01-01' + b.f::INT, '%Y-%m-%d') AS valid_from
+FROM p LEFT JOIN b ON p.page_id = b.page_id AND b.r = 1
+"""
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     return decontaminate.report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
@@ -85,12 +154,18 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
+    "op3_language": op3_language,
+    "op4_gif": op4_gif,
     "op5_decontamination": op5_decontamination,
+    "op6_pseudo_likelihood": op6_pseudo_likelihood,
+    "op7_cotraining": op7_cotraining,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_url_filter": op9_url_filter,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
     "op5_decontamination": OP5_SQL,
+    "op9_url_filter": OP9_SQL,
 }
