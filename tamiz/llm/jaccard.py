@@ -14,6 +14,7 @@ The join uses relations between sets twice, and never makes all pairs of a group
   |A and B| <= |A and C| + |B| - |B and C|; only pairs whose derived bound suffices are compared.
 * Before whole sets are moved, a pair must pass a bitmap of parities: two sets' bitmaps differ in no more
   bits than the sets differ in members, so a pair whose bitmaps differ in more than it may is put aside.
+  Lists carry a folded bitmap, by which such pairs are never made.
 
 Hot shingles are dealt over several tasks by a salt (to find shared ones) and by pairs of blocks of bounded
 length (to read long lists), so no task takes a whole list that grows with the data.
@@ -45,6 +46,8 @@ BROADCAST_KEYS = 2_000_000
 BLOCK = 1024
 #: Bits of a parity bitmap.
 PARITY = 2048
+#: Bits of the smaller bitmap that goes along with the lists: the larger one's, folded.
+SMALL = 512
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -184,13 +187,15 @@ def _parities(k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                rows, sizes = [], []
+                rows, small, sizes = [], [], []
                 for u in shingle_sets(part.column(1), k):
                     odd = np.bincount((u >> np.uint64(20)).astype(np.int64) & (PARITY - 1), minlength=PARITY).astype(np.uint8) & 1
-                    rows.append(np.packbits(odd, bitorder="little").view(np.int64))
+                    whole = np.packbits(odd, bitorder="little").view(np.int64)
+                    rows.append(whole)
+                    small.append(np.bitwise_xor.reduce(whole.reshape(-1, SMALL // 64), axis=0))
                     sizes.append(len(u))
-                offsets = np.arange(0, len(rows) * PARITY // 64 + 1, PARITY // 64, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))], ["doc", "n", "bits"])
+                lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * (size // 64)), pa.array(np.concatenate(x))) for x, size in ((rows, PARITY), (small, SMALL))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int32()), *lists], ["doc", "n", "bits", "small"])
 
     return run
 
@@ -226,9 +231,9 @@ def _required(nx, ny, threshold: int):
 
 
 def _blocks(threshold: int):
-    """Reads runs of rows (token, bi, bj, side, n, pos, node, label, o) sorted by these; yields pairs to compare."""
+    """Reads runs of rows (token, bi, bj, n, pos, node, label, o, side, small) sorted by the first five; yields pairs to compare."""
 
-    def pairs_of(n, pos, node, label, o, side, both):
+    def pairs_of(n, pos, node, label, o, side, small, both):
         """Lists are sorted by size, then position. ``both``: two different blocks meet."""
         xs, ys = [], []
         size = n.astype(np.int64)
@@ -256,6 +261,8 @@ def _blocks(threshold: int):
                     bound = np.minimum(o[i] + nj - o[s:e], o[s:e] + ni - o[i])
                     ok &= ~known | (bound >= need)
                 at = s + np.flatnonzero(ok)
+                if len(at):
+                    at = at[np.bitwise_count(small[at] ^ small[i]).sum(1) <= ni + nj - 2 * need]
                 if len(at):
                     xs.append(np.full(len(at), i))
                     ys.append(at)
@@ -268,13 +275,15 @@ def _blocks(threshold: int):
         held: pa.Table | None = None
 
         def done(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            c = {name: t.column(name).to_numpy() for name in t.column_names}
+            t = t.combine_chunks()
+            c = {name: t.column(name).to_numpy() for name in t.column_names if name != "small"}
+            c["small"] = pc.list_flatten(t.column("small")).to_numpy().view(np.uint64).reshape(len(t), -1)
             new = (c["token"][1:] != c["token"][:-1]) | (c["bi"][1:] != c["bi"][:-1]) | (c["bj"][1:] != c["bj"][:-1])
             cuts = np.concatenate([[0], np.flatnonzero(new) + 1, [len(t)]]).tolist()
             found = []
             for s, e in zip(cuts, cuts[1:], strict=False):
                 if e - s > 1:
-                    got = pairs_of(*(c[x][s:e] for x in ("n", "pos", "node", "label", "o", "side")), c["bi"][s] != c["bj"][s])
+                    got = pairs_of(*(c[x][s:e] for x in ("n", "pos", "node", "label", "o", "side", "small")), c["bi"][s] != c["bj"][s])
                     if got:
                         found.append(got)
             if found:
@@ -333,7 +342,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
         discard(centres, *([before] if labels is None else []))
         if bits is None:
             ids = materialise(index.select(F.col("node").alias("doc")).distinct(), "ids")
-            bits = materialise(_pick(texts, ids).mapInArrow(_parities(k), "doc long, n int, bits array<long>").dropDuplicates(["doc", "n"]), "bits")
+            bits = materialise(_pick(texts, ids).mapInArrow(_parities(k), "doc long, n int, bits array<long>, small array<long>").dropDuplicates(["doc", "n"]), "bits")
         pairs = met.filter(F.col("label") != F.col("c.label"))
         nx, ny, need = F.col("c.n"), F.col("n"), _required(F.col("c.n"), F.col("n"), threshold)
         pairs = pairs.filter((nx - F.col("c.pos") >= need) & (ny - F.col("pos") >= need) & (100 * F.least(nx, ny) >= threshold * F.greatest(nx, ny)))
@@ -352,9 +361,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     left = materialise(left, "left")
     answers = known.select(F.col("x").alias("centre"), F.col("y").alias("node"), "o").groupBy("centre", "node").agg(F.min("o").alias("o"))
     lists = lists.join(left, "token").join(answers, ["centre", "node"], "left").select("token", "node", "n", "pos", "label", F.when(F.col("node") == F.col("centre"), F.col("n")).otherwise(F.coalesce("o", F.lit(-1))).cast("int").alias("o"), F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    lists = lists.join(bits.select(F.col("doc").alias("node"), "n", "small"), ["node", "n"])
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     lists = lists.withColumn("side", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    lists = lists.select("token", F.least("side", "other").alias("bi"), F.greatest("side", "other").alias("bj"), "n", "pos", "node", "label", "o", "side")
+    lists = lists.select("token", F.least("side", "other").alias("bi"), F.greatest("side", "other").alias("bj"), "n", "pos", "node", "label", "o", "side", "small")
     order = ["token", "bi", "bj", "n", "pos"]
     pairs = lists.repartition(parts, "token", "bi", "bj").sortWithinPartitions(*order).mapInArrow(_blocks(threshold), "x long, nx int, y long, ny int").distinct()
     tried = known.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))

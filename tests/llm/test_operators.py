@@ -1,0 +1,335 @@
+"""Operators against brute force, exact round trips and held-out accuracy, and on awkward rows."""
+
+import hashlib
+import random
+import re
+from collections import defaultdict
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tamiz.llm import decontaminate, gif, jaccard, language, lines, packing, pseudo_likelihood, quality, queries, toxicity, urls
+from tamiz.llm.components import connected
+from tamiz.llm.shared import is_held_out
+
+SMALL = "/root/testdata/sf0.001"
+FOLD = {i: i + 32 for i in range(65, 91)}
+AWKWARD = [(1, None), (2, ""), (3, " \n\t"), (4, "Ñandú"), (5, "a\n\nb\n\nc"), (6, "x" * 70_000), (7, "uno dos tres cuatro cinco seis"), (7, "uno dos tres cuatro cinco seis"), (None, "uno dos tres cuatro cinco seis"), (8, "ź 🎉 İ ß 1d10t m o r o n <|endoftext|>")]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return spark.createDataFrame([(*r, "t", "toxicity", None) for r in AWKWARD], "doc_id long, text string, restored string, toxicity string, n_removed long")
+
+
+@pytest.fixture(scope="module")
+def nothing(awkward):
+    return awkward.limit(0)
+
+
+def words(pattern, text):
+    return re.findall(pattern, (text or "").translate(FOLD))
+
+
+def made_texts(n, seed):
+    """Texts that share passages and are copies and near copies of each other."""
+    r = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(60)]
+    out = []
+    for _ in range(n):
+        if out and r.random() < 0.5:
+            w = r.choice(out).split()
+            for _ in range(r.randint(0, 3)):
+                if w:
+                    w[r.randrange(len(w))] = r.choice(vocabulary)
+        else:
+            w = [r.choice(vocabulary) for _ in range(r.choice([0, 2, 4, 5, 6, 12, 40, 80]))]
+        out.append(" ".join(w))
+    return out
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_jaccard_equals_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    texts = made_texts(150, block)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = []
+    for t in texts:
+        w = words(r"[^\x20\x09-\x0D]+", t)
+        sets.append(set(zip(*(w[k:] for k in range(5)), strict=False)) if len(w) >= 5 else ({tuple(w)} if w else set()))
+    label = list(range(len(texts)))
+    changed = True
+    while changed:
+        changed = False
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                o = len(a & b)
+                if o and 100 * o >= 80 * (len(a) + len(b) - o) and label[i] != label[j]:
+                    label[i] = label[j] = min(label[i], label[j])
+                    changed = True
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect()}
+    assert got == {i: (len(s), label[i]) for i, s in enumerate(sets)}
+
+
+def test_components(spark):
+    r = random.Random(5)
+    pairs = [(r.randrange(80), r.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(100, 140)]
+    label = {x: x for p in pairs for x in p}
+    for _ in range(200):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    got = {r.node: r.label for r in connected(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    linked = {x for a, b in pairs if a != b for x in (a, b)}
+    assert got == {x: label[x] for x in linked}
+
+
+def test_lines_equal_brute_force(spark):
+    r = random.Random(2)
+    texts = ["\n".join(r.choice("abcd") for _ in range(r.randint(0, 9))) for _ in range(60)]
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        ls, cut = t.split("\n"), set()
+        for p in range(len(ls) - 2):
+            g = tuple(ls[p : p + 3])
+            if g in seen:
+                cut |= {p, p + 1, p + 2}
+            seen.add(g)
+        want[i] = ("\n".join(x for p, x in enumerate(ls) if p not in cut), len(ls), len(cut))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in lines.dedup_lines(df).collect()} == want
+
+
+def test_decontamination_equals_brute_force(spark):
+    r = random.Random(4)
+    names = [f"W{i}é" for i in range(25)]
+    items = [" ".join(r.choice(names) for _ in range(n)) for n in (0, 1, 3, 9, 10, 11, 25)]
+    texts = [" ".join(r.choice(names) for _ in range(r.choice([0, 1, 5, 30]))) + " - " + r.choice(["", *items[3:]]) + ", " + r.choice(names) for _ in range(60)]
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    windows = defaultdict(set)
+    for i, t in enumerate(items):
+        w = words(pattern, t)
+        for p in range(max(1, len(w) - 9)) if w else ():
+            windows[tuple(w[p : p + 10])].add(str(i))
+    want = {}
+    for i, t in enumerate(texts):
+        w, hit, found = words(pattern, t), set(), set()
+        for n in {len(g) for g in windows}:
+            for p in range(len(w) - n + 1):
+                if got := windows.get(tuple(w[p : p + n])):
+                    found |= got
+                    hit.update(range(p, p + n))
+        want[i] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    assert {r.doc_id: tuple(r)[1:] for r in decontaminate.report(docs, bench).collect()} == want
+    assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == {i for i, w in want.items() if not w[4]}
+
+
+def test_packing_places_every_piece(spark, awkward):
+    rows = packing.pack(awkward, capacity=64).collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r.sequence_id].append((r.offset, r.length))
+    for pieces in by.values():
+        pieces.sort()
+        assert [o for o, _ in pieces] == list(np.cumsum([0] + [n for _, n in pieces])[:-1]) and sum(n for _, n in pieces) <= 64
+    assert len(by) == -(-sum(r.length for r in rows) // 64)
+
+
+def test_bin_completion_is_never_worse_than_best_fit_and_often_optimal():
+    r = random.Random(8)
+    for _ in range(60):
+        counts = defaultdict(int)
+        for _ in range(r.randint(0, 40)):
+            counts[r.randint(1, 50)] += r.randint(1, 4)
+        plan = packing.complete(counts, 50, nodes=2000)
+        used = defaultdict(int)
+        for pattern, n in plan:
+            assert sum(x * k for x, k in pattern) <= 50
+            for x, k in pattern:
+                used[x] += n * k
+        assert used == counts
+        bins = sum(n for _, n in plan)
+        assert -(-sum(x * n for x, n in counts.items()) // 50) <= bins <= sum(n for _, n in packing.best_fit(counts, 50))
+    assert sum(n for _, n in packing.complete({6: 2, 5: 2, 4: 2, 3: 4}, 14)) == 3
+
+
+def test_token_ids_equal_the_tokenizers_library():
+    tokenizers = pytest.importorskip("tokenizers")
+    import public_tokenizers
+
+    t = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    texts = [x or "" for _, x in AWKWARD if len(x or "") < 1000] + ["it's  we'll\n\n\t x   　y 12345 $$$ \r\n", "日本語 العربية ​ é"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing.token_ids(texts)] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def lzw(samples, bits):
+    """A plain LZW encoder, for the decoder's general path."""
+    clear, width, table, out = 1 << bits, bits + 1, {bytes([i]): i for i in range(1 << bits)}, []
+    emit = lambda code: out.append((code, width))
+    emit(clear)
+    nxt, w = clear + 2, b""
+    for s in samples:
+        x = w + bytes([s])
+        if x in table:
+            w = x
+            continue
+        emit(table[w])
+        if nxt < 4096:
+            table[x] = nxt
+            if nxt == 1 << width and width < 12:
+                width += 1
+            nxt += 1
+        w = bytes([s])
+    if w:
+        emit(table[w])
+    emit(clear + 1)
+    pool = have = 0
+    data = bytearray()
+    for code, size in out:
+        pool |= code << have
+        have += size
+        while have >= 8:
+            data.append(pool & 255)
+            pool >>= 8
+            have -= 8
+    return bytes(data) + bytes([pool & 255])
+
+
+def test_gif_round_trips():
+    r = random.Random(9)
+    for n in (64, 640, 64 * 4096 + 64):
+        payload = bytes(r.randrange(256) for _ in range(n))
+        assert b"".join(f["palette"][f["index"], 0].tobytes() for f in gif.images(gif.encode(payload))) == payload
+    for bits, n in ((2, 50), (8, 300), (8, 20_000)):
+        samples = bytes(r.randrange(min(1 << bits, 6)) for _ in range(n))
+        assert gif.lzw_decode(lzw(samples, bits), bits, n).tobytes() == samples
+
+
+def image(left, top, w, h, samples, disposal=0, clear=None, interlaced=False):
+    data = lzw(samples, 2)
+    return b"\x21\xf9\x04" + bytes([disposal << 2 | (clear is not None), 5, 0, clear or 0, 0]) + b"\x2c" + b"".join(x.to_bytes(2, "little") for x in (left, top, w, h)) + bytes([0x40 if interlaced else 0, 2, len(data)]) + data + b"\0"
+
+
+def test_gif_disposal_transparency_and_interlace(spark):
+    head = b"GIF89a" + (2).to_bytes(2, "little") + (2).to_bytes(2, "little") + b"\xf1\0\0" + bytes([0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
+    data = head + image(0, 0, 2, 2, [1] * 4) + image(0, 0, 1, 1, [2], disposal=2) + image(1, 1, 1, 1, [3], disposal=3) + image(0, 0, 2, 2, [0, 1, 0, 0], clear=0) + b"\x3b"
+    shown = [f.pixels for f in gif.decode(data)]
+    assert [f.start_ms for f in gif.decode(data)] == [0, 50, 100, 150]
+    assert shown[1][0, 0].tolist() == [0, 255, 0, 255] and shown[2][0, 0].tolist() == [0, 0, 0, 0]
+    assert shown[2][1, 1].tolist() == [0, 0, 255, 255] and shown[3][1, 1].tolist() == [255, 0, 0, 255]
+    tall = head[:6] + (1).to_bytes(2, "little") + (8).to_bytes(2, "little") + head[10:] + image(0, 0, 1, 8, [0, 1, 2, 2, 3, 3, 3, 3], interlaced=True) + b"\x3b"
+    assert next(gif.images(tall))["index"][:, 0].tolist() == [0, 3, 2, 3, 1, 3, 2, 3]
+    df = spark.createDataFrame([(1, data), (2, b"no"), (3, None)], "id long, g binary")
+    rows = gif.frames(df, "id", "g").collect()
+    assert sum(r.id == 1 for r in rows) == 4 and {r.id for r in rows if r.error} == {2, 3}
+    assert sum(rows[0].histogram) == 4
+
+
+def test_gif_columns(spark, awkward):
+    for r, (_, t) in zip(gif.stored(awkward).collect(), AWKWARD, strict=True):
+        raw = (t or "").encode()
+        payload = raw + b"\0" * (-len(raw) % 64 if raw else 64)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), crc32(payload[-64:]))
+
+
+def test_restoration():
+    counts = np.zeros((toxicity.SIZE,) * 3)
+    for w in ["moron", "idiot", "stupid", "the", "clown", "trash"] * 50:
+        s = [0, 0, *(ord(c) - 95 for c in w), 0]
+        for a, b, c in zip(s, s[1:], s[2:], strict=False):
+            counts[a, b, c] += 1
+    r = toxicity.Restorer(toxicity.char_model(counts))
+    for x, want in {"m0r0n": "moron", "1d10t": "idiot", "$tup1d": "stupid", "stuuuupid": "stupid", "m o r o n": "moron", "i.d.i.o.t": "idiot", "cl*own": "clown", "the clown": "the clown", "tr@$h": "trash"}.items():
+        assert r.text(x) == want
+    assert r.text("a\tb  c\n") == "a\tb  c\n"
+
+
+def score_of(rows, truth):
+    held = [r for r in rows if r.held_out and r.doc_id in truth]
+    return held, [truth[r.doc_id] for r in held]
+
+
+def test_toxicity_on_held_out_rows(spark):
+    sf = SMALL.replace("0.001", "0.01")
+    rows = queries.op1_toxicity(spark, sf).collect()
+    assert all(0 <= r.score <= 1 and r.held_out == is_held_out(r.doc_id) and r.predicted == (r.score >= 0.3) for r in rows)
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").collect()}
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if docs[r.doc_id].lang == "en"}
+    held, y = score_of(rows, truth)
+    assert np.mean([r.predicted == t for r, t in zip(held, y, strict=True)]) > 0.97
+
+
+def test_language_on_held_out_rows(spark):
+    sf = SMALL.replace("0.001", "0.01")
+    rows = queries.op3_language(spark, sf).collect()
+    held, y = score_of(rows, {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect() if r.lang})
+    assert np.mean([r.lang_pred == t for r, t in zip(held, y, strict=True)]) > 0.97
+
+
+def test_many_languages_need_more_words_of_mask(spark):
+    rows = [(i, " ".join(chr(0x4E00 + 50 * i + k % 7) * 3 for k in range(30)), f"l{i:03}") for i in range(70)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(df, F.lit(True), params=language.Params(n=3))
+    assert model.masks.shape[1] == 2
+    assert all(r.lang == r.lang_pred for r in language.identify(df, model).collect())
+
+
+def test_pseudo_likelihood_prefers_the_corpus(spark):
+    texts = ["uno dos tres cuatro cinco " * 30] * 40
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = pseudo_likelihood.fit(df, params=pseudo_likelihood.Params(batch=64))
+    probe = spark.createDataFrame([(1, "uno dos tres cuatro cinco " * 4), (2, "cinco uno uno tres dos " * 4), (3, None)], "doc_id long, text string")
+    a, b, c = pseudo_likelihood.score(probe, model).orderBy("doc_id").collect()
+    assert a.log_likelihood > b.log_likelihood and (c.n_words, c.log_likelihood, c.mean_log_likelihood) == (0, 0.0, None)
+
+
+def test_cotraining_on_held_out_rows(spark):
+    sf = SMALL.replace("0.001", "0.01")
+    held, y = score_of(queries.op7_cotraining(spark, sf).collect(), {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()})
+    assert np.mean([r.predicted == t for r, t in zip(held, y, strict=True)]) > 0.9
+
+
+def test_url_filter_as_of(spark):
+    entries = spark.createDataFrame([("a.com", "block", 1), ("a.com", "allow", 5), ("x.a.com/p", "block", 3), ("b.com", "block", None)], "pattern string, action string, effective int")
+    cases = [("http://A.com/", 0, "none"), ("http://a.com:80/q", 1, "block"), ("https://u@y.a.com", 4, "block"), ("http://a.com", 5, "allow"), ("http://x.a.com/p/1", 6, "block"), ("http://x.a.com/q", 6, "allow"), ("http://ba.com", 2, "none"), ("http://b.com", 9, "none"), (None, 3, "none"), ("mailto:x", 3, "none"), ("http://a.com", None, "none")]
+    df = spark.createDataFrame([(*c, "old") for c in cases], "url string, fetched_at int, want string, host string")
+    assert all(r.action == r.want for r in urls.evaluate(df, entries).collect())
+    assert urls.evaluate(df, entries.limit(0)).filter("action <> 'none'").count() == 0
+
+
+def test_awkward_and_empty_tables(spark, awkward, nothing):
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, None)], "doc_id long, toxic int")
+    bench = spark.createDataFrame([(1, "cuatro cinco seis"), (2, None), (3, "")], "item_id long, text string")
+    for df in (awkward, nothing):
+        n = df.count()
+        model = toxicity.fit(df, labels)
+        assert toxicity.score(df, model).count() == toxicity.deobfuscate(df, model).count() == n
+        assert lines.dedup_lines(df).count() == jaccard.near_duplicates(df).count() == decontaminate.report(df, bench).count() == n
+        assert decontaminate.report(df, bench.limit(0)).filter("contaminated").count() == 0
+        assert decontaminate.clean(df, bench).count() == n - (3 if n else 0)
+        assert gif.stored(df).count() == n and packing.pack(df).select("doc_id").distinct().count() == (9 if n else 0)
+        assert pseudo_likelihood.score(df, pseudo_likelihood.fit(df)).count() == n
+        found = language.identify(df, language.fit(df.withColumn("lang", F.lit("xx")), F.lit(True))).collect()
+        assert len(found) == n and all(r.lang_pred == "und" for r in found if not any(c.isalpha() for c in r.text or ""))
+    none = quality.score(nothing.selectExpr("doc_id", "text", "'a' source", "'b' lang", "1L n_chars"), spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "doc_id long, quality int"))
+    assert none.count() == 0
+    out = {r.doc_id: r for r in jaccard.near_duplicates(awkward).collect()}
+    assert out[1].n_shingles == out[3].n_shingles == 0 and out[1].component_id == 1
+
+
+def test_the_pipeline_on_the_smallest_tables(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, SMALL)
+        assert kept.columns == docs.columns, name
+        kept = spark.createDataFrame(kept.collect(), docs.schema)
+    n = kept.count()
+    assert 0.5 * docs.count() < n < docs.count()
+    packed = corpus_pipeline.STAGES[-1][1](spark, kept, SMALL)
+    assert packed.select("doc_id").distinct().count() == n
