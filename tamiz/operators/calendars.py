@@ -45,10 +45,11 @@ def violations(organs: DataFrame, days: DataFrame) -> DataFrame:
     rules = {
         "day_unreadable": F.col("day").isNull(),
         "day_on_weekend": is_weekend(F.col("day")),
-        "status_unknown": ~F.col("status").isin("inhabil", "suspension", "vacaciones", "parcial"),
+        "status_unknown": ~F.coalesce(F.col("status").isin("inhabil", "vacaciones"), F.lit(False)),
         "reason_missing": F.coalesce(F.trim("reason"), F.lit("")) == "",
-        "agreement_without_publication": (F.col("publicacion") == "publicado") & (F.coalesce(F.trim("acuerdo"), F.lit("")) == ""),
-        "agreement_while_pending": (F.col("publicacion") == "pendiente") & (F.coalesce(F.trim("acuerdo"), F.lit("")) != ""),
+        "source_url_absolute": ~F.coalesce(F.col("source_url"), F.lit("")).rlike("^https?://"),
+        "publication_unknown": ~F.coalesce(F.col("publicacion").isin("dof", "web_oficial", "pendiente"), F.lit(False)),
+        "agreement_missing": (F.coalesce(F.trim("acuerdo"), F.lit("")) == "") & (F.coalesce(F.col("publicacion"), F.lit("")) != "pendiente"),
         "duty_detail_without_duty": (F.coalesce(F.trim("guardia_detalle"), F.lit("")) != "") & ~F.coalesce(F.col("guardia"), F.lit(False)),
     }
     found = F.array_compact(F.array(*(F.when(rule, F.lit(code)) for code, rule in rules.items())))

@@ -45,9 +45,12 @@ def classify(df: DataFrame, dictionary: Dictionary = DOMAIN, markup: bool = Fals
     if dictionary.procedural:
         lists = {"adm": V.ADMINISTRATIVE_LAW, "act": V.APPOINTMENT_ACTIONS, "pos": V.FEDERAL_POSITIONS, "exp": V.EXPLICIT_APPOINTMENTS, "cex": V.CONTENTIOUS_EXPLICIT, "cpr": V.CONTENTIOUS_PROCESS, "crt": V.ADMINISTRATIVE_COURTS, "fis": V.FISCAL_CONTENTIOUS}
         extra = [matches(p, f, terms).alias(f"__{k}") for k, terms in lists.items()]
-        extra.append(near(f, V.APPOINTMENT_ACTIONS, V.FEDERAL_POSITIONS).alias("__near"))
-    out = out.select(*keep, *hits, high, *extra)
+    out = out.select(*keep, "__f", *hits, high, *extra)
     size = lambda name: F.size(F.col(f"__{name}"))
+    if dictionary.procedural:
+        # The costly test of distance only where both kinds of terms occur at all.
+        close = F.when((size("act") > 0) & (size("pos") > 0), near(f, V.APPOINTMENT_ACTIONS, V.FEDERAL_POSITIONS)).otherwise(F.lit(False))
+        out = out.withColumn("__near", close)
     names = list(dictionary.categories)
     cats = [F.when(F.size(f"__c{i}") > 0, F.lit(n)) for i, n in enumerate(names)]
     found = [F.col(f"__c{i}") for i in range(len(names))]
@@ -60,7 +63,10 @@ def classify(df: DataFrame, dictionary: Dictionary = DOMAIN, markup: bool = Fals
         found += [_when(administrative, F.concat("__adm", "__act", "__pos", "__exp")), _when(contentious, F.concat("__cex", "__cpr", "__crt")), F.col("__fis")]
     out = out.select(*keep, F.array_distinct(F.array_compact(F.array(*cats))).alias("categories"), F.array_distinct(F.concat(*found)).alias("matched_terms"), F.size("__high").alias("__high"))
     bonus = F.col("source").isin(*dictionary.bonus_sources).cast("int") if dictionary.bonus_sources else F.lit(0)
-    return out.select(*keep, "categories", "matched_terms", (F.least(F.size("matched_terms"), F.lit(4)) + F.col("__high") + F.coalesce(bonus, F.lit(0))).cast("int").alias("relevance_score"))
+    score = (F.least(F.size("matched_terms"), F.lit(4)) + F.col("__high") + F.coalesce(bonus, F.lit(0))).cast("int")
+    # Generated, so that a later filter is not pushed below the matching, where it would fold the text anew for every term.
+    result = F.explode(F.array(F.struct("categories", "matched_terms", score.alias("relevance_score"))))
+    return out.select(*keep, result.alias("__r")).select(*keep, "__r.*")
 
 
 def relevant(minimum: int = 2, always: tuple[str, ...] = V.ALWAYS_RELEVANT_AUTHORITIES, weak: str = "Iniciativa") -> Column:

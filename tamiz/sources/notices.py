@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.dates import feed_date, parse_date
 from tamiz.functions.text import clean, fold, short_hash
-from tamiz.plans import vocabulary as V
 
 COLUMNS = ("source", "source_id", "url", "official_title", "description", "published_at", "authority", "document_type", "case_parties", "case_status", "ordinal")
 _PLACE = 1 << 20
@@ -188,17 +187,7 @@ def absolute(href: Column, base: str) -> Column:
     return F.when(href.rlike("(?i)^https?:"), href).when(href.startswith("//"), F.concat(F.lit(base.split("//")[0]), href)).when(href.startswith("/"), F.concat(F.lit(base), href)).otherwise(F.concat(F.lit(base + "/"), href))
 
 
-def portals(payloads: DataFrame, excluded: tuple[str, ...] = ()) -> DataFrame:
-    """Portal names of a site map, in order, once each."""
-    names = F.transform(F.regexp_extract_all("payload", F.lit(r"<loc>\s*https?://[^/]+/([^/<\s]+)/?[^<]*</loc>"), F.lit(1)), F.lower)
-    rows = _rows(payloads, names).groupBy(F.col("block").alias("portal")).agg(F.min("ordinal").alias("ordinal"))
-    return rows.filter(~F.col("portal").isin(*excluded)) if excluded else rows
-
-
 def snapshot(payloads: DataFrame) -> DataFrame:
     """(key, status) of a JSON object."""
     return payloads.select(F.explode(F.from_json("payload", "map<string,string>")).alias("key", "status"))
 
-
-def default_origins() -> tuple[str, ...]:
-    return tuple(V.ORIGINS)

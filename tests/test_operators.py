@@ -140,8 +140,8 @@ def test_calendar(spark):
     days = spark.createDataFrame([("o1", dt.date(2026, 7, 7), "inhabil", "r")], "organ string, day date, status string, reason string")
     out = calendars.resolve(organs, days, F.lit(dt.date(2026, 7, 6)), F.lit(dt.date(2026, 7, 12)))
     assert {r.organ: r.working_days for r in calendars.working_days(out).collect()} == {"o1": 4, "o2": 5}
-    full = spark.createDataFrame([("o1", dt.date(2026, 7, 11), "inhabil", "", None, "pendiente", "x", None, "d")], "organ string, day date, status string, reason string, source_url string, publicacion string, acuerdo string, guardia boolean, guardia_detalle string")
-    assert {r.code for r in calendars.violations(organs, full).collect()} == {"organ_without_days", "day_on_weekend", "reason_missing", "agreement_while_pending", "duty_detail_without_duty"}
+    full = spark.createDataFrame([("o1", dt.date(2026, 7, 11), "inhabil", "", None, "dof", "", None, "d")], "organ string, day date, status string, reason string, source_url string, publicacion string, acuerdo string, guardia boolean, guardia_detalle string")
+    assert {r.code for r in calendars.violations(organs, full).collect()} == {"organ_without_days", "day_on_weekend", "reason_missing", "source_url_absolute", "agreement_missing", "duty_detail_without_duty"}
 
 
 def test_editorial_is_all_or_nothing(spark):

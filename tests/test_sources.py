@@ -3,7 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tamiz.sources import artifacts, notices
+from tamiz.sources import artifacts, notices, pages
 from tamiz.streaming import status
 
 
@@ -46,8 +46,35 @@ def test_html_sources(spark):
     html = "<li><a href='x.pdf'>sin fecha</a></li><strong>7 de julio de 2026</strong><ul><li><a href='a.pdf'>Acuerdo &amp; uno</a></li></ul>"
     rows = notices.court_listing(load(spark, html)).collect()
     assert [(r.official_title, r.published_at) for r in rows] == [("Acuerdo & uno", dt.date(2026, 7, 7))]
-    sitemap = "<loc>https://www.gob.mx/shcp</loc><loc>https://www.gob.mx/sat/</loc><loc>https://www.gob.mx/shcp</loc>"
-    assert [r.portal for r in notices.portals(load(spark, sitemap), ("sat",)).collect()] == ["shcp"]
+    sitemap = "".join(f"<loc>https://www.gob.mx/sitemap-{x}.xml</loc>" for x in ("shcp", "aprendemx", "shcp"))
+    assert [r.portal for r in pages.portals(load(spark, sitemap)).collect()] == ["shcp"]
+    assert pages.archive_requests(pages.portals(load(spark, sitemap))).count() == 2
+
+
+def test_parliament(spark):
+    html = """<title>Gaceta, martes 7 de julio de 2026</title><div id="Indice"><a class="Seccion">Iniciativas</a><ul><li><a href="gp.html#Iniciativa5">Que reforma la ley del impuesto sobre la renta</a></li><li><a href="#x">Corto</a></li></ul></div>
+    <div id="Anexos"><p><a href="/PDF/66/2026/jul/20260707-II.pdf">Anexo II</a> Dictamen &amp; minuta</p><p><a href="/PDF/20261399-I.pdf">Anexo I</a> malo</p></div>"""
+    r = pages.parliament_index(load(spark, html)).collect()
+    assert [(x.url, x.document_type) for x in r] == [("https://gaceta.diputados.gob.mx/Gaceta/66/2026/jul/20260707.html#Iniciativa5", "Iniciativas")]
+    a = pages.parliament_annexes(load(spark, html)).collect()
+    assert [(x.description, x.published_at) for x in a] == [("Dictamen & minuta", dt.date(2026, 7, 7))]
+
+
+def test_pages(spark):
+    listing = "<ul><li>07/07/2026 <a href='/a'>Aviso sobre cupos de importacion</a></li><li>07.07.2026 <a href='/a'>Aviso sobre cupos de importacion otra vez</a></li><li><a href='/b'>Sin ninguna fecha en el contexto</a></li></ul>"
+    assert [r.official_title for r in pages.dated_links(load(spark, listing)).collect()] == ["Aviso sobre cupos de importacion"]
+    office = "<article><time datetime='2026-07-07'>x</time><a href='/n/1'><h3>Nueva patente</h3></a><p>Texto</p></article>"
+    assert [(r.url, r.description) for r in pages.patent_office(load(spark, office)).collect()] == [("https://www.impi.gob.mx/n/1", "Texto")]
+
+
+def test_portal_archive(spark):
+    one = "<article><time date=\\'2026-07-07\\'></time><h2>Reforma al arancel</h2><a href=\\'/shcp/1\\'>x<\\/a></article>"
+    two = one.replace("Reforma al arancel", "Visita a la escuela").replace("/1", "/2")
+    df = spark.createDataFrame([(0, "shcp", "prensa", f'$("#a").append("{one}"); append("{two}")')], "ordinal long, portal string, kind string, payload string")
+    items = pages.portal_archive(df)
+    assert items.count() == 2
+    kept = pages.portal_notices(items).collect()
+    assert [(r.official_title, r.authority, r.document_type) for r in kept] == [("Reforma al arancel", "Secretaría de Hacienda y Crédito Público", "Comunicado")]
 
 
 def test_artifacts(spark, tmp_path):
