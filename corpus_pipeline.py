@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.llm import decontaminate, jaccard, lines, packing, toxicity
-from tamiz.llm.shared import materialise, row_count_at_most, table
+from tamiz.llm.shared import bounded, materialise, row_count_at_most, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -22,12 +22,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of repeated three-line windows are cut; a document of nothing else goes, as its whole text stands elsewhere."""
+    bounded(spark)
     out = lines.dedup_lines(docs.select(COLUMNS)).filter("n_removed = 0 or n_removed < n_lines")
     return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates, the document with the smallest id stays."""
+    bounded(spark)
     near = jaccard.near_duplicates(docs.select("doc_id", "text"))
     others = materialise(near.filter("doc_id <> component_id").select("doc_id").distinct(), "others")
     if row_count_at_most(others, jaccard.BROADCAST_KEYS):
@@ -42,6 +44,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rest, cut into pieces and packed into sequences."""
+    bounded(spark)
     return packing.pack(docs.select("doc_id", "text"))
 
 

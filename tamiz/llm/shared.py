@@ -14,7 +14,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows that Spark hands to Python at once: texts of several kilobytes make batches of a few megabytes, on both sides.
+ROWS_PER_BATCH = 1000
+
+
+def bounded(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of the session, whose default suits narrow rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder, read in a session with bounded batches."""
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -65,7 +76,7 @@ def is_held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2
 
 
-def slices(batch: pa.RecordBatch, column: int, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, max_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch with at most ``max_bytes`` of text each (a longer text is a
     part of its own), so that the kernels' memory does not grow with the number of rows."""
     n = batch.num_rows
