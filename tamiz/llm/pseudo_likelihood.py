@@ -1,13 +1,15 @@
 """Masked pseudo-likelihood scores from a bidirectional window network, trained in numpy.
 
-Each word is predicted from the two words on either side, itself masked. Words are known by 16 bits of a hash.
-The most frequent of these have a class each, the others share classes; the network predicts the class, and
-a word's share of its class, counted over all documents, gives the word. A document's score is the sum of
-log P(word | both sides) over all its words.
+Each word is predicted from the two words on either side, itself masked. All words of all documents are counted in
+a table (by 64-bit hash); each that occurs ``min_count`` times or more has an embedding and a place in the output,
+however many these are. The output has two levels: a softmax over classes, and below it a binary tree of each class
+whose nodes see the hidden layer, so that P(word | both sides) sums to one over all words. The most frequent words
+have a class each; the next are dealt by frequency to classes that double in size. Words below ``min_count`` are one
+class, in equal shares. A document's score is the sum of log P(word | both sides) over all its words.
 
 Training is data-parallel over every word of every document: each task descends from the same start
-(biases from the corpus counts) over its own rows, and the tasks' weights are averaged by their words. What the
-tasks send (counts and weights) grows with the input.
+(biases from the corpus counts) over its own rows. The tasks' dense weights are averaged by their words, and those of
+a word or a node by how often each task met it. The table of words, and with it the model, grows with the input.
 
 Edge cases: null and empty texts have no words, a sum of 0 and a null mean; equal texts have equal scores; a
 corpus without words leaves the start weights; an empty table gives an empty result. Columns
@@ -25,26 +27,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.llm.kernel import BLANK, LOWER, raw, tokens
-from tamiz.llm.shared import slices
+from tamiz.llm.shared import materialise, slices
 
-WORD_BITS = 16
+#: Rows of a table of weights that travel together.
+BLOCK = 4096
+#: A task hands on its counts whenever it holds so many words.
+HELD_WORDS = 1 << 20
 
 
 @dataclass(frozen=True)
 class Params:
     frequent: int = 95
-    shared: int = 32
+    min_count: int = 2
     width: int = 12
     hidden: int = 24
     window: int = 2
     batch: int = 2048
     rate: float = 0.08
     seed: int = 7
-
-    @property
-    def classes(self) -> int:
-        """The frequent words' classes, the shared ones, and one for places outside a text (the last)."""
-        return self.frequent + self.shared + 1
+    #: Hidden units that the nodes of the trees see.
+    seen: int = 8
 
 
 def _add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,100 +66,235 @@ def _gathered(rows: DataFrame) -> dict[int, np.ndarray]:
     return {i: np.frombuffer(x, np.float64) for i, x in once.repartition(4, "id").mapInArrow(_add, "id int, values binary").collect()}
 
 
-def _chunks(vector: np.ndarray, size: int = 4096) -> pa.RecordBatch:
-    parts = [vector[i : i + size].astype(np.float64).tobytes() for i in range(0, len(vector), size)]
-    return pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], ["id", "values"])
+def _add_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of rows of float32 by block and place: (table, block, places, values)."""
+    total: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+    for batch in batches:
+        for t, b, at, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            at = np.frombuffer(at, np.int32)
+            part = np.frombuffer(x, np.float32).reshape(len(at), -1)
+            if (t, b) not in total:
+                total[t, b] = np.zeros((BLOCK if t else 1, part.shape[1])), np.zeros(BLOCK if t else 1, bool)
+            total[t, b][0][at] += part
+            total[t, b][1][at] = True
+    for (t, b), (values, met) in total.items():
+        at = np.flatnonzero(met)
+        yield _sent(t, b, at, values[at])
+
+
+def _sent(table: int, block: int, at: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    cols = [pa.array([table], pa.int32()), pa.array([block], pa.int32()), pa.array([at.astype(np.int32).tobytes()]), pa.array([values.astype(np.float32).tobytes()])]
+    return pa.RecordBatch.from_arrays(cols, ["table", "block", "at", "values"])
+
+
+_SENT = "table int, block int, at binary, values binary"
+
+
+def _gathered_rows(rows: DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The sums of each block, which has a row of each task at most: (table, rows, values), block by block."""
+    for t, b, at, x in rows.repartition("table", "block").mapInArrow(_add_rows, _SENT).toLocalIterator():
+        at = np.frombuffer(at, np.int32).astype(np.int64)
+        yield t, b * BLOCK + at, np.frombuffer(x, np.float32).reshape(len(at), -1)
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     hashes, _, before = tokens(*raw(texts), BLANK, LOWER)
-    return (hashes >> np.uint64(64 - WORD_BITS)).astype(np.int64), before
+    return hashes.view(np.int64), before
+
+
+def _summed(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    word, at = np.unique(np.concatenate(words), return_inverse=True)
+    return word, np.bincount(at, np.concatenate(counts), len(word)).astype(np.int64)
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << WORD_BITS, np.int64)
+    words: list[np.ndarray] = []
+    counts: list[np.ndarray] = []
+    held, kept = 0, 0
+
     for batch in batches:
         for part in slices(batch, 0):
-            total += np.bincount(_words(part.column(0))[0], minlength=1 << WORD_BITS)
-    if total.any():
-        yield _chunks(total)
+            word, n = np.unique(_words(part.column(0))[0], return_counts=True)
+            words.append(word)
+            counts.append(n)
+            held += len(word)
+            if held > 2 * kept + HELD_WORDS:
+                words, counts = ([x] for x in _summed(words, counts))
+                held = kept = len(words[0])
+                if kept > HELD_WORDS:
+                    yield from _counted(words[0], counts[0])
+                    words, counts, held, kept = [], [], 0, 0
+    if words:
+        yield from _counted(*_summed(words, counts))
+
+
+def _counted(words: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(words), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(words[i : i + (1 << 16)]), pa.array(counts[i : i + (1 << 16)])], ["word", "n"])
 
 
 @dataclass
 class Vocabulary:
-    """A class for each word, and the log share of each word in its class."""
-
-    of: np.ndarray
-    log_share: np.ndarray
+    """Words by falling count. Word i has the i-th embedding; words below the least count share the one after, and
+    places outside a text have the last. Classes: one for each of the ``frequent`` words, those of ``starts`` and
+    ``depths``, and the last for words below the least count."""
+
+    hashes: np.ndarray  # sorted
+    ids: np.ndarray
+    frequent: int
+    starts: np.ndarray  # first word of each shared class, and the end of the last
+    depths: np.ndarray
+    bias: np.ndarray  # of each node: the log odds of its right side in the corpus
     class_counts: np.ndarray
+    log_rare: float
+
+    def __len__(self) -> int:
+        return len(self.hashes)
 
     @classmethod
-    def counted(cls, counts: np.ndarray, params: Params) -> Vocabulary:
-        order = np.argsort(-counts, kind="stable")
-        of = params.frequent + np.arange(1 << WORD_BITS) % params.shared
-        of[order[: params.frequent]] = np.arange(params.frequent)
-        smooth = counts + 0.5
-        sums = np.bincount(of, smooth, params.classes)
-        return cls(of, np.log(smooth / sums[of]), sums)
+    def counted(cls, words: np.ndarray, counts: np.ndarray, rare: int, rare_count: int, params: Params) -> Vocabulary:
+        """From the counted words, and the number and total count of the words below the least count."""
+        order = np.lexsort((words, -counts))
+        words, counts = words[order], counts[order]
+        starts, depths, bias = [params.frequent], [], []
+        class_counts = [np.zeros(params.frequent)]
+        class_counts[0][: len(counts)] = counts[: params.frequent]
+        while (at := starts[-1]) < len(words):
+            depth = max(1, at // 2).bit_length() - 1 or 1
+            leaves = np.zeros(1 << depth)
+            leaves[: len(words) - at] = counts[at : at + (1 << depth)]
+            odds, level = [], leaves
+            while len(level) > 1:
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    odds.append(np.nan_to_num(np.log(level[1::2] / level[::2]), nan=0.0).clip(-30, 30))
+                level = level[::2] + level[1::2]
+            bias += [np.zeros(1), *odds[::-1]]
+            class_counts.append(level)
+            depths.append(depth)
+            starts.append(at + (1 << depth))
+        class_counts.append(np.array([float(rare_count)]))
+        by_hash = np.argsort(words)
+        return cls(words[by_hash], by_hash.astype(np.int32), params.frequent, np.array(starts), np.array(depths, np.int64), np.concatenate([*bias, np.zeros(1)]).astype(np.float32), np.concatenate(class_counts), -float(np.log(rare + 1)))
+
+    def of(self, word: np.ndarray) -> np.ndarray:
+        """The words' numbers; that of all words below the least count is the number of the others."""
+        if not len(self):
+            return np.zeros(len(word), np.int64)
+        word, at = np.unique(word, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.hashes, word), len(self) - 1)
+        return np.where(self.hashes[place] == word, self.ids[place], len(self)).astype(np.int64)[at]
+
+    def classes(self, ids: np.ndarray) -> np.ndarray:
+        shared = self.frequent + np.searchsorted(self.starts, ids, side="right") - 1
+        return np.where(ids >= len(self), self.frequent + len(self.depths), np.where(ids < self.frequent, ids, shared))
+
+    def paths(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For words of shared classes: which they are, where each one's path starts, and the path's nodes and turns."""
+        which = np.flatnonzero((ids >= self.frequent) & (ids < len(self)))
+        k = np.searchsorted(self.starts, ids[which], side="right") - 1
+        depth = self.depths[k]
+        begin = np.cumsum(depth) - depth
+        leaf = np.repeat(ids[which] - self.starts[k] + (1 << depth), depth)
+        up = np.repeat(depth + begin, depth) - np.arange(len(leaf))
+        return which, begin, np.repeat(self.starts[k] - self.frequent, depth) + (leaf >> up), (leaf >> (up - 1)) & 1
+
+
+class Rows:
+    """Numbers the different rows among many without sorting them."""
+
+    def __init__(self, n: int):
+        self.last = np.zeros(n, np.int32)
+
+    def distinct(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The different values, and for each of ``at`` the place of its value among them."""
+        here = np.arange(len(at), dtype=np.int32)
+        self.last[at] = here
+        last = self.last[at]
+        first = last == here
+        return at[first], (np.cumsum(first) - 1)[last]
 
 
 class Network:
-    """Embeddings of the window's classes, a tanh layer, and a softmax over classes."""
+    """Embeddings of the window's words, a tanh layer, a softmax over classes, and the nodes of the classes' trees."""
 
-    def __init__(self, params: Params, class_counts: np.ndarray):
+    def __init__(self, params: Params, vocabulary: Vocabulary):
         p, rng = params, np.random.default_rng(params.seed)
-        c = p.classes
-        self.p = p
+        c = len(vocabulary.class_counts)
+        self.p, self.vocabulary = p, vocabulary
         self.w = [
-            (rng.standard_normal((c, p.width)) * 0.3).astype(np.float32),
             (rng.standard_normal((2 * p.window * p.width, p.hidden)) * 0.2).astype(np.float32),
             np.zeros(p.hidden, np.float32),
             (rng.standard_normal((p.hidden, c)) * 0.1).astype(np.float32),
-            np.log((class_counts + 1) / (class_counts + 1).sum()).astype(np.float32),
+            np.log((vocabulary.class_counts + 1) / (vocabulary.class_counts + 1).sum()).astype(np.float32),
         ]
-
-    def contexts(self, classes: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """The classes around each word [n, 2 * window]; places outside its text have the last class."""
-        n, w = len(classes), self.p.window
+        self.embedding = rng.standard_normal((len(vocabulary) + 2, p.width), np.float32)
+        self.embedding *= 0.3
+        self.nodes = np.zeros((len(vocabulary.bias), p.seen + 1), np.float32)
+        self.nodes[:, -1] = vocabulary.bias
+
+    def contexts(self, words: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """The words around each word [n, 2 * window]; places outside its text have the last embedding."""
+        n, w = len(words), self.p.window
         counts = np.diff(before)
         at = np.arange(n)
         low, high = np.repeat(before[:-1], counts), np.repeat(before[1:], counts)
-        out = np.full((n, 2 * w), self.p.classes - 1, np.int64)
+        out = np.full((n, 2 * w), len(self.vocabulary) + 1, np.int64)
         for j, d in enumerate([*range(-w, 0), *range(1, w + 1)]):
             ok = (at + d >= low) & (at + d < high)
-            out[ok, j] = classes[at[ok] + d]
+            out[ok, j] = words[at[ok] + d]
         return out
 
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        e, a, b, o, c = self.w
-        x = e[context].reshape(len(context), -1)
+        a, b, o, c = self.w
+        x = self.embedding.take(context, 0).reshape(len(context), -1)
         h = np.tanh(x @ a + b)
         z = h @ o + c
         z -= z.max(1, keepdims=True)
         return x, h, z
 
+    def turns(self, h: np.ndarray, which: np.ndarray, begin: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Along the paths: what each node sees, its weights, and its log odds of the right side."""
+        seen = np.concatenate([h[which, : self.p.seen], np.ones((len(which), 1), np.float32)], axis=1)
+        seen = np.repeat(seen, np.diff(begin, append=len(node)), axis=0)
+        own = self.nodes.take(node, 0)
+        return seen, own, np.einsum("ij,ij->i", seen, own)
+
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """log P(word | both sides) of each target."""
         out = np.empty(len(target))
         for s in range(0, len(target), 8192):
-            _, _, z = self.forward(context[s : s + 8192])
-            out[s : s + 8192] = z[np.arange(len(z)), target[s : s + 8192]] - np.log(np.exp(z).sum(1))
+            y = target[s : s + 8192]
+            _, h, z = self.forward(context[s : s + 8192])
+            part = z[np.arange(len(z)), self.vocabulary.classes(y)] - np.log(np.exp(z).sum(1))
+            part[y >= len(self.vocabulary)] += self.vocabulary.log_rare
+            which, begin, node, right = self.vocabulary.paths(y)
+            if len(which):
+                odds = self.turns(h, which, begin, node)[2]
+                part[which] -= np.add.reduceat(np.log1p(np.exp(np.minimum(np.where(right, -odds, odds), 80))), begin)
+            out[s : s + 8192] = part
         return out
 
-    def train(self, context: np.ndarray, target: np.ndarray, memory: list[np.ndarray]) -> None:
+    def train(self, context: np.ndarray, target: np.ndarray, memory: Memory) -> None:
         """One pass of Adagrad over the rows in order."""
-        e, a, _, o, _ = self.w
+        a, _, o, _ = self.w
         for s in range(0, len(target), self.p.batch):
             ctx, y = context[s : s + self.p.batch], target[s : s + self.p.batch]
             x, h, z = self.forward(ctx)
             np.exp(z, out=z)
             z /= z.sum(1, keepdims=True)
-            z[np.arange(len(y)), y] -= 1
+            z[np.arange(len(y)), self.vocabulary.classes(y)] -= 1
             z /= len(y)
-            dh = (z @ o.T) * (1 - h * h)
-            dx = (dh @ a.T).reshape(-1, e.shape[1])
-            flat = ctx.ravel()
-            de = np.stack([np.bincount(flat, dx[:, k], len(e)) for k in range(e.shape[1])], axis=1).astype(np.float32)
-            for w, m, g in zip(self.w, memory, (de, x.T @ dh, dh.sum(0), h.T @ z, z.sum(0)), strict=True):
+            dh = z @ o.T
+            which, begin, node, right = self.vocabulary.paths(y)
+            if len(which):
+                seen, own, odds = self.turns(h, which, begin, node)
+                miss = ((1 / (1 + np.exp(-odds)) - right) / len(y)).astype(np.float32)
+                dh[which, : self.p.seen] += np.add.reduceat(own[:, :-1] * miss[:, None], begin)
+                memory.nodes.descend(self.nodes, node, seen * miss[:, None], self.p.rate)
+            dh *= 1 - h * h
+            dx = (dh @ a.T).reshape(-1, self.p.width)
+            memory.embedding.descend(self.embedding, ctx.ravel(), dx, self.p.rate)
+            for w, m, g in zip(self.w, memory.dense, (x.T @ dh, dh.sum(0), h.T @ z, z.sum(0)), strict=True):
                 m += g * g
                 w -= self.p.rate * g / (np.sqrt(m) + 1e-4)
 
@@ -171,53 +308,99 @@ class Network:
             at += w.size
 
 
+class Sparse:
+    """Adagrad over those rows of a table that a batch meets."""
+
+    def __init__(self, table: np.ndarray):
+        self.squares = np.zeros_like(table)
+        self.met = np.zeros(len(table), np.int64)
+        self.rows = Rows(len(table))
+
+    def descend(self, table: np.ndarray, at: np.ndarray, part: np.ndarray, rate: float) -> None:
+        rows, place = self.rows.distinct(at)
+        g = np.empty((len(rows), part.shape[1]), np.float32)
+        for k, column in enumerate(np.ascontiguousarray(part.T)):
+            g[:, k] = np.bincount(place, column, len(rows))
+        m = self.squares[rows] + g * g
+        self.squares[rows] = m
+        table[rows] -= rate * g / (np.sqrt(m) + 1e-4)
+        self.met[rows] += np.bincount(place, minlength=len(rows))
+
+    def sent(self, number: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The met rows, times how often, and how often."""
+        for b in range(0, len(table), BLOCK):
+            n = self.met[b : b + BLOCK]
+            if len(at := np.flatnonzero(n)):
+                yield _sent(number, b // BLOCK, at, np.column_stack([table[b + at] * n[at, None], n[at]]))
+
+
+class Memory:
+    def __init__(self, network: Network):
+        self.dense = [np.zeros_like(w) for w in network.w]
+        self.embedding, self.nodes = Sparse(network.embedding), Sparse(network.nodes)
+
+
 @dataclass
 class Model:
     vocabulary: Vocabulary
     network: Network
 
-    def rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The number of each word, the words before each text, and the words around each word."""
         word, before = _words(texts)
-        classes = self.vocabulary.of[word]
-        return word, before, classes, self.network.contexts(classes, before)
+        ids = self.vocabulary.of(word)
+        return ids, before, self.network.contexts(ids, before)
 
     def sums(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Per text, the sum of log P(word | both sides) and the number of words."""
-        word, before, classes, context = self.rows(texts)
-        total = np.concatenate([[0.0], np.cumsum(self.network.log_probabilities(context, classes) + self.vocabulary.log_share[word])])
+        ids, before, context = self.rows(texts)
+        total = np.concatenate([[0.0], np.cumsum(self.network.log_probabilities(context, ids))])
         return total[before[1:]] - total[before[:-1]], np.diff(before)
 
 
+def vocabulary(texts: DataFrame, params: Params = Params()) -> Vocabulary:
+    """Counts all words of the column; those of ``min_count`` come to the driver (16 bytes each)."""
+    counted = materialise(texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    rare, rare_count = counted.filter(F.col("n") < params.min_count).agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    common = counted.filter(F.col("n") >= params.min_count).toArrow()
+    return Vocabulary.counted(common.column("word").to_numpy(), common.column("n").to_numpy(), rare, rare_count, params)
+
+
 def fit(docs: DataFrame, text: str = "text", params: Params = Params()) -> Model:
     """Counts and trains over all rows."""
     texts = docs.select(text)
-    counted = _gathered(texts.mapInArrow(_count, "id int, values binary"))
-    counts = np.concatenate([counted[i] for i in sorted(counted)]) if counted else np.zeros(1 << WORD_BITS)
-    vocabulary = Vocabulary.counted(counts, params)
-    start = Model(vocabulary, Network(params, vocabulary.class_counts))
+    words = vocabulary(texts, params)
+    shared = docs.sparkSession.sparkContext.broadcast(words)
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, n = Model(vocabulary, Network(params, vocabulary.class_counts)), 0
-        memory = [np.zeros_like(w) for w in model.network.w]
+        model, n = None, 0
         for batch in batches:
             for part in slices(batch, 0, 1 << 19):
-                _, _, classes, context = model.rows(part.column(0))
-                model.network.train(context, classes, memory)
-                n += len(classes)
+                if model is None:
+                    model = Model(shared.value, Network(params, shared.value))
+                    memory = Memory(model.network)
+                ids, _, context = model.rows(part.column(0))
+                model.network.train(context, ids, memory)
+                n += len(ids)
         if n:
-            yield _chunks(np.append(model.network.flat().astype(np.float64) * n, float(n)))
-
-    summed = _gathered(texts.mapInArrow(train, "id int, values binary"))
-    if summed:
-        flat = np.concatenate([summed[i] for i in sorted(summed)])
-        start.network.load(flat[:-1] / flat[-1])
+            yield _sent(0, 0, np.zeros(1), np.append(model.network.flat().astype(np.float64) * n, float(n)))
+            yield from memory.embedding.sent(1, model.network.embedding)
+            yield from memory.nodes.sent(2, model.network.nodes)
+
+    start = Model(words, Network(params, words))
+    for table, rows, values in _gathered_rows(texts.mapInArrow(train, _SENT)):
+        mean = values[:, :-1] / values[:, -1:]
+        if table:
+            (start.network.embedding if table == 1 else start.network.nodes)[rows] = mean
+        else:
+            start.network.load(mean[0])
     return start
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the key, n_words, log_likelihood and mean_log_likelihood."""
     kind = docs.schema[key].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # about 100 bytes a word of the vocabulary
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -288,6 +288,28 @@ def test_pseudo_likelihood_prefers_the_corpus(spark):
     assert a.log_likelihood > b.log_likelihood and (c.n_words, c.log_likelihood, c.mean_log_likelihood) == (0, 0.0, None)
 
 
+def test_pseudo_likelihood_knows_every_counted_word(spark):
+    # 600 words, each always with the next of its pair: shared classes or counters cannot tell the pairs apart.
+    r = random.Random(3)
+    pairs = [(f"a{i}", f"b{i}") for i in range(300)]
+    texts = [" ".join(x for _ in range(40) for x in r.choice(pairs)) for _ in range(400)] + ["once"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    model = pseudo_likelihood.fit(df, params=pseudo_likelihood.Params(batch=64))
+    v = model.vocabulary
+    assert len(v) == 600 and sorted(v.ids.tolist()) == list(range(600)) and v.class_counts[-1] == 1
+    context = np.array([[3, 250, 601, 600]])
+    p = np.exp(model.network.log_probabilities(np.repeat(context, 601, 0), np.arange(601)))
+    assert abs(p[:600].sum() + p[600] * 2 - 1) < 1e-4  # "once", and a place for words never seen
+    right = [f"{a} {b} {c} {d}" for (a, b), (c, d) in zip(pairs[:200], pairs[100:], strict=False)]
+    wrong = [f"{a} {d} {c} {b}" for (a, b), (c, d) in zip(pairs[:200], pairs[100:], strict=False)]
+    probe = spark.createDataFrame(list(enumerate(right + wrong)), "doc_id long, text string")
+    got = [x.log_likelihood for x in pseudo_likelihood.score(probe, model).orderBy("doc_id").collect()]
+    assert np.mean(np.array(got[:200]) > np.array(got[200:])) > 0.9
+    # The model grows with the words counted.
+    half = pseudo_likelihood.vocabulary(df.filter("doc_id < 2").select("text"))
+    assert len(half) < 100 < len(v)
+
+
 def test_cotraining_on_held_out_rows(spark):
     sf = SMALL.replace("0.001", "0.01")
     held, y = score_of(queries.op7_cotraining(spark, sf).collect(), {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()})
