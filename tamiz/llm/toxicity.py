@@ -49,12 +49,13 @@ LEET = {
 READ, SECOND, DROP, KEEP, CUT, CLOSE = 0.5, 0.7, 6.0, 8.0, 0.3, 0.2
 
 _SIGN = "".join(re.escape(c) for c in LEET)
-#: A token that may be disguised.
-_ODD = re.compile(rf"[^\W\d_][{_SIGN}]+[^\W\d_]|^[{_SIGN}]+[^\W\d_]{{2}}|[^\W\d_]{{2}}[{_SIGN}]$|([^\W\d_])\1\1", re.I)
+#: White space and the punctuation that is never a sign end a token; a bracket inside one is a sign.
+_IN = r"[^\s.,;:?\"'()\[\]]"
+_TOKEN = re.compile(rf"{_IN}+(?:\(+{_IN}+)*")
+#: What makes a token one that may be disguised, alone or within a text.
+_ODD = re.compile(rf"[^\W\d_][{_SIGN}]+[^\W\d_]|(?<!{_IN})[{_SIGN}]+[^\W\d_]{{2}}|[^\W\d_]{{2}}[{_SIGN}](?!{_IN})|([^\W\d_])\1\1", re.I)
 #: Four single letters or more, set apart by a blank or a sign.
 _SPACED = re.compile(rf"(?<![^\W_])[^\W_](?:[ .\-_*·][^\W\d_{_SIGN}]|[ .\-_*·][{_SIGN}\d]){{3,}}(?![^\W_])")
-#: White space and the punctuation that is never a sign end a token.
-_TOKEN = re.compile(r"[^\s.,;:?\"'()\[\]]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -197,6 +198,10 @@ def _suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     hit[1:] |= letter[:-1] & sign[1:]
     hit[:-1] |= sign[:-1] & letter[1:]
     hit[2:] |= letter[2:] & (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2])
+    # three letters of several bytes in a row, whose cases the bytes do not show
+    lead = np.flatnonzero(data >= 0xC2)
+    next_to = lead[1:] == lead[:-1] + _WIDTH[data[lead[:-1]]]
+    hit[lead[2:][next_to[1:] & next_to[:-1]]] = True
     gap = _GAP_BYTE[data]
     # letter (or its last byte), gap, letter (one or two bytes), gap, letter: three of a spaced word
     one = np.zeros(n, bool)
@@ -211,6 +216,8 @@ def _suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return seen[offsets[1:]] > seen[offsets[:-1]]
 
 
+_WIDTH = np.ones(256, np.int64)
+_WIDTH[0xC2:0xE0], _WIDTH[0xE0:0xF0], _WIDTH[0xF0:] = 2, 3, 4
 _SIGN_BYTE = np.zeros(256, bool)
 _SIGN_BYTE[[ord(c) for c in LEET if ord(c) < 128]] = True
 _SIGN_BYTE[[0xE2, 0xC2]] = True

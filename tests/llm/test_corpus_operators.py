@@ -249,6 +249,27 @@ def test_restoration():
     assert r.text("a\tb  c\n") == "a\tb  c\n"
 
 
+def taught(*known):
+    counts = np.zeros((toxicity.SIZE,) * 3)
+    for w in known:
+        s = [0, 0, *(toxicity.Restorer._symbol(c) for c in w), 0]
+        for a, b, c in zip(s, s[1:], s[2:], strict=False):
+            counts[a, b, c] += 50
+    return toxicity.Restorer(toxicity.char_model(counts))
+
+
+def flagged(text):
+    data = text.encode()
+    return bool(toxicity._suspicious(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0])
+
+
+def test_disguised_words_inside_a_text():
+    r = taught("you", "are", "such", "idiot", "really", "scum", "the", "stupid", "thing", "niño", "trash", "duck", "he", "is", "to", "us")
+    for x, want in {"you are such 1diot really": "you are such idiot really", "he is $cum to us": "he is scum to us", "the 5tupid thing": "the stupid thing", "the tras# thing": "the trash thing", "niñññño": "niño", "NIÑñÑO": "niño", "a du(k here": "a duck here"}.items():
+        assert flagged(x) and r.text(x).lower() == want
+    assert r.text("(the thing) is") == "(the thing) is"
+
+
 def score_of(rows, truth):
     held = [r for r in rows if r.held_out and r.doc_id in truth]
     return held, [truth[r.doc_id] for r in held]
