@@ -45,8 +45,8 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "*": "", "#": "h",
 }
-#: Channel costs in nats: a sign read as a letter, a less likely letter, a dropped sign, kept as it is, a repetition cut short, and a gap closed.
-READ, SECOND, DROP, KEEP, CUT, CLOSE = 0.5, 0.7, 6.0, 8.0, 0.3, 0.2
+#: Channel costs in nats: a sign read as a letter, a less likely letter, a dropped sign, kept as it is, a repetition cut short, a gap closed, and a gap kept as the edge of a word.
+READ, SECOND, DROP, KEEP, CUT, CLOSE, SPLIT = 0.5, 0.7, 6.0, 8.0, 0.3, 0.2, 4.0
 
 _SIGN = "".join(re.escape(c) for c in LEET)
 #: White space and the punctuation that is never a sign end a token; a bracket inside one is a sign.
@@ -54,8 +54,12 @@ _IN = r"[^\s.,;:?\"'()\[\]]"
 _TOKEN = re.compile(rf"{_IN}+(?:\(+{_IN}+)*")
 #: What makes a token one that may be disguised, alone or within a text.
 _ODD = re.compile(rf"[^\W\d_][{_SIGN}]+[^\W\d_]|(?<!{_IN})[{_SIGN}]+[^\W\d_]{{2}}|[^\W\d_]{{2}}[{_SIGN}](?!{_IN})|([^\W\d_])\1\1", re.I)
-#: Four single letters or more, set apart by a blank or a sign.
-_SPACED = re.compile(rf"(?<![^\W_])[^\W_](?:[ .\-_*·][^\W\d_{_SIGN}]|[ .\-_*·][{_SIGN}\d]){{3,}}(?![^\W_])")
+#: What sets letters apart: white space, or one sign.
+_GAPS, _BLANKS = " .-_*·", " \t\n\r\f\v\xa0"
+_GAP = rf"(?:[{_BLANKS}]+|[.\-_*·])"
+_ONE = rf"(?:[^\W\d_]|[{_SIGN}\d])"
+#: Four single letters or more, set apart, or three that are set apart alike.
+_SPACED = re.compile(rf"(?<![^\W_])[^\W_](?:(?:{_GAP}{_ONE}){{3,}}|({_GAP}){_ONE}\1{_ONE})(?![^\W_])")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -129,13 +133,13 @@ class Restorer:
         i, n = 0, len(token)
         while i < n:
             c, j = token[i].lower()[:1], i + 1
-            while j < n and token[j].lower()[:1] == c:
+            while j < n and (token[j].lower()[:1] == c or gaps and c in _BLANKS and token[j] in _BLANKS):
                 j += 1
             run = j - i
             if c.isalpha():
                 out.append([(c * run, 0.0)] if run < 3 else [(c, CUT), (c * 2, CUT * 2)])
-            elif gaps and c in " .-_*·":
-                out.append([("", CLOSE)])
+            elif gaps and (c in _GAPS or c in _BLANKS):
+                out.append([("", CLOSE), (token[i:j], SPLIT)])
             elif c in LEET:
                 letters = LEET[c]
                 ways = [(x * min(run, 2), READ + SECOND * k) for k, x in enumerate(letters)]
@@ -157,7 +161,8 @@ class Restorer:
             for (a, b), (cost, done) in states.items():
                 for string, extra in ways:
                     c, x, y = cost + extra, a, b
-                    for ch in string:
+                    # a gap that is kept is one edge, however long
+                    for ch in string[:1] if gaps and (string[:1] in _GAPS or string[:1] in _BLANKS) else string:
                         z = self._symbol(ch)
                         c -= self.logp[x][y][z]
                         x, y = y, z
@@ -179,7 +184,7 @@ class Restorer:
     def text(self, text: str) -> str:
         """``text`` with its disguised tokens restored."""
         if _SPACED.search(text):
-            text = _SPACED.sub(lambda m: self.decode(m[0], True), text)
+            text = _SPACED.sub(lambda m: self.decode(m[0], True) if _WORD.search(m[0]) else m[0], text)
         if not _ODD.search(text):
             return text
         return _TOKEN.sub(lambda m: self.decode(m[0]) if _ODD.search(m[0]) else m[0], text)
@@ -203,15 +208,14 @@ def _suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     next_to = lead[1:] == lead[:-1] + _WIDTH[data[lead[:-1]]]
     hit[lead[2:][next_to[1:] & next_to[:-1]]] = True
     gap = _GAP_BYTE[data]
-    # letter (or its last byte), gap, letter (one or two bytes), gap, letter: three of a spaced word
-    one = np.zeros(n, bool)
-    one[1:-1] = gap[:-2] & gap[2:] & ~gap[1:-1]
-    two = np.zeros(n, bool)
-    if n > 3:
-        two[1:-2] = gap[:-3] & gap[3:] & (data[1:-2] >= 0xC2) & (data[1:-2] < 0xE0)
-    single = one | two
-    hit[2:] |= single[2:] & single[:-2]
-    hit[3:] |= single[3:] & single[:-3]
+    wide = (data[:-1] == 0xC2) & ((data[1:] == 0xB7) | (data[1:] == 0xA0))
+    gap[:-1] |= wide
+    gap[1:] |= wide
+    # three single letters in a row between gaps
+    change = np.flatnonzero(np.diff(gap, prepend=True, append=True))
+    begin, end = change[::2], change[1::2]
+    single = end - begin == _WIDTH[data[np.minimum(begin, n - 1)]]
+    hit[begin[2:][single[2:] & single[1:-1] & single[:-2]]] = True
     seen = np.concatenate([[0], np.cumsum(hit)])
     return seen[offsets[1:]] > seen[offsets[:-1]]
 
@@ -223,7 +227,6 @@ _SIGN_BYTE[[ord(c) for c in LEET if ord(c) < 128]] = True
 _SIGN_BYTE[[0xE2, 0xC2]] = True
 _GAP_BYTE = np.zeros(256, bool)
 _GAP_BYTE[[ord(c) for c in " .-_*\n\t\r\x0b\x0c"]] = True
-_GAP_BYTE[[0xB7]] = True
 
 
 def restored(batch: pa.RecordBatch, column: int, restorer: Restorer) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

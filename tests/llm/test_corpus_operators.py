@@ -270,6 +270,14 @@ def test_disguised_words_inside_a_text():
     assert r.text("(the thing) is") == "(the thing) is"
 
 
+def test_spaced_words_keep_their_edges():
+    r = taught("a", "a", "moron", "scum", "you", "are", "now", "the", "thing", "idiot", "жлоб")
+    for x, want in {"you are a m o r o n now": "you are a moron now", "m o r o n s c u m": "moron scum", "m  o  r\to\nn": "moron", "the b i d thing": "the bid thing", "ж л о б": "жлоб", "s·c·u·m": "scum", "1 2 3 4 5": "1 2 3 4 5"}.items():
+        assert r.text(x) == want
+        assert flagged(x)
+    assert not flagged("you are the thing")
+
+
 def score_of(rows, truth):
     held = [r for r in rows if r.held_out and r.doc_id in truth]
     return held, [truth[r.doc_id] for r in held]
