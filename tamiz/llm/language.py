@@ -58,8 +58,7 @@ def grams(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
     joined = "".join(f" {x} " for x in texts)
     c = _letters()[np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)]
     ends = np.cumsum(lengths)
-    if len(c) < n:
-        return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
+    c = np.concatenate([c, np.zeros(n, np.uint32)])
     m = len(c) - n + 1
     h = np.zeros(m, np.uint64)
     gap = np.zeros(m, np.int8)
@@ -70,6 +69,13 @@ def grams(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
             gap += part == 0
     # Edges may stand only at the ends.
     ok = np.flatnonzero((gap == 0) & (c[1 : m + 1] != 0))
+    # A word of one letter is shorter than an n-gram of more than its two edges and itself.
+    alone = np.flatnonzero((c[:-2] == 0) & (c[1:-1] != 0) & (c[2:] == 0)) if n > 3 else ok[:0]
+    if len(alone):
+        code = np.concatenate([h[ok], c[1:-1][alone] * np.uint64(0xC2B2AE3D27D4EB4F)])
+        ok = np.concatenate([ok, alone])
+        order = np.argsort(ok, kind="stable")
+        return (mix(code[order]) >> np.uint64(64 - GRAM_BITS)).astype(np.uint32), np.searchsorted(ok[order], np.concatenate([[0], ends]))
     return (mix(h[ok]) >> np.uint64(64 - GRAM_BITS)).astype(np.uint32), np.searchsorted(ok, np.concatenate([[0], ends]))
 
 
@@ -128,7 +134,8 @@ class Model:
         counts = np.maximum(0, (counts - n[:, None] * f) / (1 - f))
         best = counts.argmax(1)
         score = np.where(n > 0, np.minimum(1, counts[np.arange(len(texts)), best] / np.maximum(n, 1)), 0.0)
-        return [self.languages[b] if k else "und" for b, k in zip(best.tolist(), n.tolist(), strict=True)], score
+        letters = (k or any(map(str.isalpha, x or "")) for k, x in zip(n.tolist(), texts, strict=True))
+        return [self.languages[b] if known else "und" for b, known in zip(best.tolist(), letters, strict=True)], score
 
 
 def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", params: Params = Params()) -> Model:

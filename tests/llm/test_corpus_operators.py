@@ -300,6 +300,17 @@ def test_language_on_held_out_rows(spark):
     assert np.mean([r.lang_pred == t for r, t in zip(held, y, strict=True)]) > 0.97
 
 
+def test_letters_that_stand_alone_have_a_language(spark):
+    df = spark.createDataFrame([(1, "y o a e hola", "es"), (2, "i a x w hello", "en"), (3, "日 本 語", "ja")], "doc_id long, text string, lang string")
+    model = language.fit(df, F.lit(True))
+    texts = ["Y.", "W", "i x", "本", "¡o! a", "", None, "1 2 .", "Ж"]
+    langs, scores = model.predict(texts)
+    assert langs[:4] == ["es", "en", "en", "ja"] and langs[4] == "es" and langs[5:8] == ["und"] * 3 and langs[8] != "und"
+    assert all(scores[:5] > 0.4) and not any(scores[5:8])
+    code, before = language.grams(["I am a b", None, "A"], 4)
+    assert np.diff(before).tolist() == [4, 0, 1] and code[2] == code[4]
+
+
 def test_many_languages_need_more_words_of_mask(spark):
     rows = [(i, " ".join(chr(0x4E00 + 50 * i + k % 7) * 3 for k in range(30)), f"l{i:03}") for i in range(70)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
