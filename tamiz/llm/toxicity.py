@@ -4,22 +4,28 @@
 2. Tokens that may be disguised (digits or signs inside a word, a letter three times or more, single
    letters set apart) become lattices of characters. Viterbi finds the likeliest restored string
    under channel costs and the character model. A token whose lattice has one path is itself.
-3. Words and word beginnings (stems of inflected words) of restored labelled texts make a lexicon:
-   each entry carries its smoothed share of toxic texts. Support is counted by different preceding
-   words, so that copies of one text do not make its words evidence.
-4. A text's score is one minus the product of (1 - share) over its entries, the longest of each word.
+3. Words and word beginnings (stems of inflected words) of restored labelled texts make a lexicon: each entry that
+   occurs more often in toxic texts than chance allows carries the log of how many times more often, whatever the language.
+   Places in different contexts are counted, so copies and repetitions do not make words evidence.
+4. A logistic score learned from the same labelled texts reads how much a text holds of the lexicon: the sum of its
+   entries' weights (of each word the longest entry), that sum by its words, and the largest weight.
 
-Edge cases: null and empty texts have no entries and get the base score; a null ``toxic`` is no
+The labelled sample is bounded by parameters; its rows are found by a semi-join and written once.
+
+Edge cases: null and empty texts have no entries and get the learned base score; a null ``toxic`` is no
 label; repeated rows are scored alike, one result each; an empty table gives an empty result; without
-any positive label the lexicon is empty. Columns besides the named ones are never read.
+labels of both classes the lexicon is empty and every score is the smoothed share of toxic labels. Columns besides the named
+ones are never read.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamiz.llm.shared import slices
+from tamiz.llm.shared import held_out, materialise, slices
 
 #: Symbols of the character model: 0 the edge of a word, 1 any other letter, a-z, then U+00DF-U+00FF.
 EDGE, OTHER = 0, 1
@@ -66,24 +72,25 @@ _WORD = re.compile(r"[^\W\d_]+")
 @dataclass(frozen=True)
 class Params:
     """Bounds and thresholds; ``positives`` and ``negatives`` bound the labelled sample of the fit.
-    An entry needs ``min_contexts`` preceding words, and ``context_share`` for each positive text."""
+    An entry needs ``min_contexts`` preceding words, and ``context_share`` for each positive text, to be a candidate."""
 
     positives: int = 4000
     negatives: int = 8000
     min_contexts: int = 3
-    context_share: float = 0.01
-    min_share: float = 0.85
+    context_share: float = 0.002
+    min_weight: float = 1.5
+    ridge: float = 0.01
     threshold: float = 0.3
     stem_lengths: tuple[int, ...] = (4, 5, 6)
 
 
 @dataclass
 class Model:
-    """The character model's log-probabilities [SIZE, SIZE, SIZE], the lexicon and the base score."""
+    """The character model's log-probabilities [SIZE, SIZE, SIZE], the lexicon's weights, and those of the logistic score."""
 
     logp: np.ndarray
     lexicon: dict[str, float] = field(default_factory=dict)
-    base: float = 0.02
+    weights: np.ndarray = field(default_factory=lambda: np.array([-4.0, 0, 0, 0]))
 
 
 def _trigram_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,97 +271,138 @@ def entries(words: list[str], lengths: tuple[int, ...]) -> Iterator[tuple[int, s
                 yield i, w[:k] + "-"
 
 
+def _sample(docs: DataFrame, labels: DataFrame, params: Params, key: str, text: str, label: str) -> tuple[DataFrame, float, float]:
+    """(y, text) of a bounded sample by the order of a hash of the key, of equal texts one, and the numbers of labels of both classes."""
+    known = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.max(label).alias("__y"))
+    order = [F.xxhash64("__key"), F.col("__key")]
+    picked = known.filter("__y = 1").orderBy(*order).limit(params.positives).unionByName(known.filter("__y = 0").orderBy(*order).limit(params.negatives))
+    numbers = {r["__y"]: r.n for r in known.filter("__y in (0, 1)").groupBy("__y").agg(F.count("*").alias("n")).collect()}
+    met = docs.select(F.col(key).alias("__k"), F.col(text).alias("text")).join(F.broadcast(picked), F.col("__k") == F.col("__key"))  # bounded by the parameters
+    met = met.groupBy(F.xxhash64("text").alias("h"), F.length("text").alias("n")).agg(F.max("__y").alias("y"), F.min("text").alias("text"))
+    return materialise(met.select("y", "text"), "labelled"), numbers.get(1, 0), numbers.get(0, 0)
+
+
 def fit(docs: DataFrame, labels: DataFrame, params: Params = Params(), key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """Counts the character model over all ``docs``, and learns the lexicon from ``labels`` (key, label),
-    of which a bounded sample is taken by the order of a hash of the key."""
+    """Counts the character model over all ``docs``, and learns the lexicon and the score from ``labels`` (key, label)."""
     counts = np.zeros(SIZE**3)
     for code, n in char_counts(docs, text).collect():  # at most SIZE**3 rows
         counts[code] = n
     logp = char_model(counts.reshape(SIZE, SIZE, SIZE))
-    picked = labels.filter(F.col(label).isNotNull()).groupBy(key).agg(F.max(label).alias("y"))
-    order = [F.xxhash64(key), F.col(key)]
-    picked = picked.filter("y = 1").orderBy(*order).limit(params.positives).unionByName(picked.filter("y = 0").orderBy(*order).limit(params.negatives))
-    ids = {k: y for k, y in picked.collect()}  # at most positives + negatives rows
-    positives = sum(y == 1 for y in ids.values())
-    base = positives / max(1, len(ids))
-    if not 0 < base < 1:
-        return Model(logp)
-    contexts = max(params.min_contexts, params.context_share * positives)
-    share = _Sample(logp, ids, params)
-    # The sample's keys are bounded by the parameters, so each task can hold them all.
-    rows = docs.select(key, text)
-    candidates = rows.mapInArrow(share.contexts, "entry string, context long").groupBy("entry").agg(F.count_distinct("context").alias("n")).filter(F.col("n") >= contexts)
-    share.names = {e: i for i, e in enumerate(sorted(r.entry for r in candidates.collect()))}  # bounded by the sample
-    counted = rows.mapInArrow(share.classes, "entry int, y int, n long").groupBy("entry").agg(F.sum(F.when(F.col("y") == 1, F.col("n"))).alias("pos"), F.sum(F.when(F.col("y") == 0, F.col("n"))).alias("neg"))
-    named = list(share.names)
-    lexicon = {}
-    for e, pos, neg in counted.collect():
-        pos, neg = pos or 0, neg or 0
-        p = (pos + 0.05) / (pos + 2 * neg + 0.3)
-        # More texts than chance would give any of so many candidates.
-        evidence = pos * np.log(p / base) + neg * np.log((1 - p) / (1 - base))
-        if p >= params.min_share and evidence > np.log(len(named)) + 2:
-            lexicon[named[e]] = min(p, 0.999)
-    return Model(logp, lexicon)
-
-
-class _Sample:
-    """The two passes over the labelled sample."""
-
-    def __init__(self, logp: np.ndarray, ids: dict, params: Params):
-        self.logp, self.ids, self.params, self.names = logp, ids, params, {}
-
-    def _texts(self, batches: Iterable[pa.RecordBatch], wanted: tuple[int, ...]) -> Iterator[tuple[int, list[str]]]:
-        restorer = Restorer(self.logp)
+    rows, positives, negatives = _sample(docs, labels, params, key, text, label)
+    base = (positives + 0.02) / (positives + negatives + 1)
+    plain = Model(logp, {}, np.array([np.log(base / (1 - base)), 0, 0, 0]))
+    if not positives or not negatives:
+        return plain
+    rows = materialise(deobfuscate(rows, plain, out="restored").select("y", "restored"), "restored")
+    count = _Counts(params)
+    contexts = max(params.min_contexts, params.context_share * min(positives, params.positives))
+    candidates = rows.filter("y = 1").select("restored").mapInArrow(count.contexts, "entry string, context long").groupBy("entry").agg(F.count_distinct("context").alias("n")).filter(F.col("n") >= contexts)
+    count.names = {r.entry: i for i, r in enumerate(candidates.collect())}  # bounded by the sample
+    counted = rows.mapInArrow(count.places, "entry int, y int, n long").groupBy("entry").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("pos"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("neg")).collect()
+    size = {r.entry: (r.pos, r.neg) for r in counted}
+    toxic, clean = size.pop(-1, (0, 0))
+    named, lexicon = list(count.names), {}
+    if not toxic or not clean:
+        return plain
+    chance = toxic / (toxic + clean)
+    for e, (pos, neg) in size.items():
+        share = min(max(pos / (pos + neg), 1e-9), 1 - 1e-9)
+        # More places in toxic texts than chance would give any of so many candidates.
+        evidence = pos * np.log(share / chance) + neg * np.log((1 - share) / (1 - chance))
+        weight = np.log((pos + 0.5) / toxic) - np.log((neg + 0.5) / clean)
+        if weight >= params.min_weight and evidence > np.log(len(named)) + 3:
+            lexicon[named[e]] = float(weight)
+    read = reader(lexicon, params.stem_lengths)
+
+    def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = pa.array([self.ids.get(k) in wanted for k in batch.column(0).to_pylist()], pa.bool_())
-            batch = batch.filter(keep)
-            if batch.num_rows:
-                for part, texts in restored(batch, 1, restorer):
-                    for k, x in zip(part.column(0).to_pylist(), texts, strict=True):
-                        yield self.ids[k], _WORD.findall(x.lower())
+            x = np.array([read(t) for t in batch.column(1).to_pylist()]).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, x.T)], ["y", "a", "b", "c"])
+
+    seen = rows.mapInArrow(features, "y int, a double, b double, c double").toPandas()  # bounded by the sample
+    y, x = seen.y.to_numpy(float), np.column_stack([np.ones(len(seen)), seen[["a", "b", "c"]].to_numpy()])
+    # The sample's classes in the proportion of all labels.
+    weight = np.where(y == 1, positives / max(1, (y == 1).sum()), negatives / max(1, (y == 0).sum()))
+    return Model(logp, lexicon, logistic(x, y, weight / weight.mean(), params.ridge))
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
+    """Ridge logistic regression by Newton's steps; the first column, the intercept, is not drawn to zero."""
+    w = np.zeros(x.shape[1])
+    pull = np.full(x.shape[1], ridge)
+    pull[0] = 1e-6
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        v = np.maximum(weight * p * (1 - p), 1e-9)
+        step = np.linalg.solve((x * v[:, None]).T @ x + np.diag(pull), x.T @ (weight * (p - y)) + pull * w)
+        step *= min(1.0, 3 / max(1e-9, np.abs(step).max()))
+        w -= step
+    return w
+
+
+class _Counts:
+    """The two passes over the restored sample."""
+
+    def __init__(self, params: Params):
+        self.params, self.names = params, {}
+
+    def _places(self, text: str | None) -> tuple[set[tuple[str, int]], int]:
+        """The different (entry, context) of a text, and the number of its different (word, context)."""
+        words = _WORD.findall((text or "").lower())
+        before = [crc32(" ".join(words[max(0, i - 2) : i]).encode()) for i in range(len(words))]
+        return {(e, before[i]) for i, e in entries(words, self.params.stem_lengths)}, len(set(zip(words, before, strict=True)))
 
     def contexts(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from zlib import crc32
-
         seen: set[tuple[str, int]] = set()
-        for _, words in self._texts(batches, (1,)):
-            for i, e in entries(words, self.params.stem_lengths):
-                seen.add((e, crc32(" ".join(words[max(0, i - 2) : i]).encode())))
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                seen |= self._places(x)[0]
         if seen:
             names, contexts = zip(*seen, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(contexts, pa.int64())], ["entry", "context"])
 
-    def classes(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def places(self, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Places of each candidate by class; those of all words under -1."""
         total: Counter[tuple[int, int]] = Counter()
-        for y, words in self._texts(batches, (0, 1)):
-            total.update((i, y) for e in {e for _, e in entries(list(dict.fromkeys(words)), self.params.stem_lengths)} if (i := self.names.get(e)) is not None)
+        for batch in batches:
+            for y, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found, size = self._places(x)
+                total.update((i, y) for e, _ in found if (i := self.names.get(e)) is not None)
+                total[-1, y] += size
         if total:
             cols = list(zip(*total, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(list(total.values()), pa.int64())], ["entry", "y", "n"])
 
 
+def reader(lexicon: dict[str, float], lengths: tuple[int, ...]):
+    """A function from a restored text to what it holds of the lexicon: the log of the sum of its words' weights, the log
+    of that sum for a thousand words, and the largest weight."""
+    longest = sorted(lengths, reverse=True)
+    ahead = {e.rstrip("-")[:3] for e in lexicon}
+
+    def read(text: str | None) -> tuple[float, float, float]:
+        words = _WORD.findall((text or "").lower())
+        total = most = 0.0
+        for w in words:
+            if w[:3] in ahead:
+                value = lexicon.get(w)
+                if value is None:
+                    value = next((lexicon[w[:k] + "-"] for k in longest if len(w) > k and w[:k] + "-" in lexicon), 0.0)
+                total += value
+                most = max(most, value)
+        return math.log1p(total), math.log1p(1000 * total / max(1, len(words))), most
+
+    return read
+
+
 def scorer(model: Model, lengths: tuple[int, ...]):
     """A function from a restored text to its score."""
-    whole = {e: p for e, p in model.lexicon.items() if not e.endswith("-")}
-    stems = {e[:-1]: p for e, p in model.lexicon.items() if e.endswith("-")}
-    longest = sorted(lengths, reverse=True)
-    ahead = tuple(sorted({w[:4] for w in [*whole, *stems] if len(w) >= 4}))
-    short = {w for w in whole if len(w) < 4}
-    start = re.compile(r"(?<![^\W\d_])(?:" + "|".join(map(re.escape, ahead)) + r")[^\W\d_]*") if ahead else None
-
-    def score(text: str) -> float:
-        rest, text = 1 - model.base, text.lower()
-        if start is not None:
-            for w in set(start.findall(text)):
-                p = whole.get(w, 0.0)
-                for k in longest:
-                    p = max(p, stems.get(w[:k], 0.0) if len(w) > k else 0.0)
-                rest *= 1 - p
-        if short:
-            for w in short.intersection(_WORD.findall(text)):
-                rest *= 1 - whole[w]
-        return 1 - rest
+    read = reader(model.lexicon, lengths)
+    w = model.weights.tolist()
+
+    def score(text: str | None) -> float:
+        z = w[0] + sum(a * b for a, b in zip(w[1:], read(text), strict=True))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
     return score
 
@@ -375,6 +423,4 @@ def score(docs: DataFrame, model: Model, params: Params = Params(), text: str =
 
 def session_model(spark: SparkSession, docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Model:
     """A model from the labels of rows that are not held out."""
-    from tamiz.llm.shared import held_out
-
     return fit(docs, labels.filter(~held_out("doc_id")).select("doc_id", "toxic"), params)
