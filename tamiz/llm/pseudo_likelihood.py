@@ -1,19 +1,24 @@
 """Masked pseudo-likelihood scores from a bidirectional window network, trained in numpy.
 
 Each word is predicted from the two words on either side, itself masked. All words of all documents are counted in
-a table (by 64-bit hash); each that occurs ``min_count`` times or more has an embedding and a place in the output,
-however many these are. The output has two levels: a softmax over classes, and below it a binary tree of each class
-whose nodes see the hidden layer, so that P(word | both sides) sums to one over all words. The most frequent words
-have a class each; the next are dealt by frequency to classes that double in size. Words below ``min_count`` are one
-class, in equal shares. A document's score is the sum of log P(word | both sides) over all its words.
-
-Training is data-parallel over every word of every document: each task descends from the same start
-(biases from the corpus counts) over its own rows. The tasks' dense weights are averaged by their words, and those of
-a word or a node by how often each task met it. The table of words, and with it the model, grows with the input.
-
-Edge cases: null and empty texts have no words, a sum of 0 and a null mean; equal texts have equal scores; a
-corpus without words leaves the start weights; an empty table gives an empty result. Columns
-besides the named ones are never read.
+a table (by 64-bit hash), which grows with the corpus and never leaves the shared folder as a whole. The network turns both
+sides into a vector h, and P(word | both sides) = share(word) * exp(h . output(word)) / Z, where share is the word's part of the
+corpus and Z makes the probabilities sum to one over all counted words. Embeddings and outputs are rows of
+two tables whose slots words reach by their hash; the number of slots grows with the words counted, up to 2**``most_bits``.
+Z is a sum over slots: exact for the ``frequent`` ones, and estimated for the others from slots drawn by their share (in
+training) or at fixed steps of their cumulated share (in scoring, so that equal texts have equal scores); the word's own slot is always
+summed, so no probability is above one. A document's score is the sum of log P(word | both sides) over all its words.
+
+Training is data-parallel over every word of every document: the rows are dealt to ``rounds`` rounds by a hash of their
+text; in each, every task descends from the same start over its own rows, and the tasks' dense weights are averaged by
+their words, those of a slot by how often each task met it. So weights, not counts, depend a little on the partitioning.
+
+The shares of the ``known_words`` most frequent words travel with the network. All other words of a document go to the table of
+counts by a join; none of them can be hot, as each is less than one part in ``known_words`` of the corpus.
+
+Edge cases: null and empty texts have no words, a sum of 0 and a null mean; equal texts have equal scores; a word
+that was not counted has the share of one that occurs once; a corpus without words leaves the start weights; rows that share a key
+are each scored; an empty table gives an empty result. Columns besides the named ones are never read.
 """
 
 from __future__ import annotations
@@ -37,69 +42,26 @@ HELD_WORDS = 1 << 20
 
 @dataclass(frozen=True)
 class Params:
-    frequent: int = 95
-    min_count: int = 2
+    #: Slots: one for every ``words_per_slot`` different words, 2**8 at least and 2**most_bits at most.
+    most_bits: int = 16
+    words_per_slot: int = 4
     width: int = 12
     hidden: int = 24
     window: int = 2
+    #: Slots that Z always sums; others drawn for a batch; others summed when scoring.
+    frequent: int = 64
+    drawn: int = 64
+    fixed: int = 192
     batch: int = 2048
-    rate: float = 0.08
+    rounds: int = 2
+    rate: float = 0.1
     seed: int = 7
-    #: Hidden units that the nodes of the trees see.
-    seen: int = 8
-
-
-def _add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of float64 vectors by id, streamed: (id, values)."""
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            part = np.frombuffer(x, np.float64)
-            total[i] = total[i] + part if i in total else part
-    if total:
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["id", "values"])
-
-
-def _gathered(rows: DataFrame) -> dict[int, np.ndarray]:
-    """The sum for each id: first in several tasks, then in one for each id. A few vectors of fixed size come to the driver."""
-    once = rows.repartition(8, "id", F.spark_partition_id() % 8).mapInArrow(_add, "id int, values binary")
-    return {i: np.frombuffer(x, np.float64) for i, x in once.repartition(4, "id").mapInArrow(_add, "id int, values binary").collect()}
-
-
-def _add_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of rows of float32 by block and place: (table, block, places, values)."""
-    total: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-    for batch in batches:
-        for t, b, at, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            at = np.frombuffer(at, np.int32)
-            part = np.frombuffer(x, np.float32).reshape(len(at), -1)
-            if (t, b) not in total:
-                total[t, b] = np.zeros((BLOCK if t else 1, part.shape[1])), np.zeros(BLOCK if t else 1, bool)
-            total[t, b][0][at] += part
-            total[t, b][1][at] = True
-    for (t, b), (values, met) in total.items():
-        at = np.flatnonzero(met)
-        yield _sent(t, b, at, values[at])
-
-
-def _sent(table: int, block: int, at: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-    cols = [pa.array([table], pa.int32()), pa.array([block], pa.int32()), pa.array([at.astype(np.int32).tobytes()]), pa.array([values.astype(np.float32).tobytes()])]
-    return pa.RecordBatch.from_arrays(cols, ["table", "block", "at", "values"])
-
-
-_SENT = "table int, block int, at binary, values binary"
-
-
-def _gathered_rows(rows: DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """The sums of each block, which has a row of each task at most: (table, rows, values), block by block."""
-    for t, b, at, x in rows.repartition("table", "block").mapInArrow(_add_rows, _SENT).toLocalIterator():
-        at = np.frombuffer(at, np.int32).astype(np.int64)
-        yield t, b * BLOCK + at, np.frombuffer(x, np.float32).reshape(len(at), -1)
+    known_words: int = 1 << 18
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     hashes, _, before = tokens(*raw(texts), BLANK, LOWER)
-    return hashes.view(np.int64), before
+    return hashes, before
 
 
 def _summed(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +73,6 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: list[np.ndarray] = []
     counts: list[np.ndarray] = []
     held, kept = 0, 0
-
     for batch in batches:
         for part in slices(batch, 0):
             word, n = np.unique(_words(part.column(0))[0], return_counts=True)
@@ -130,73 +91,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _counted(words: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     for i in range(0, len(words), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(words[i : i + (1 << 16)]), pa.array(counts[i : i + (1 << 16)])], ["word", "n"])
-
-
-@dataclass
-class Vocabulary:
-    """Words by falling count. Word i has the i-th embedding; words below the least count share the one after, and
-    places outside a text have the last. Classes: one for each of the ``frequent`` words, those of ``starts`` and
-    ``depths``, and the last for words below the least count."""
-
-    hashes: np.ndarray  # sorted
-    ids: np.ndarray
-    frequent: int
-    starts: np.ndarray  # first word of each shared class, and the end of the last
-    depths: np.ndarray
-    bias: np.ndarray  # of each node: the log odds of its right side in the corpus
-    class_counts: np.ndarray
-    log_rare: float
-
-    def __len__(self) -> int:
-        return len(self.hashes)
-
-    @classmethod
-    def counted(cls, words: np.ndarray, counts: np.ndarray, rare: int, rare_count: int, params: Params) -> Vocabulary:
-        """From the counted words, and the number and total count of the words below the least count."""
-        order = np.lexsort((words, -counts))
-        words, counts = words[order], counts[order]
-        starts, depths, bias = [params.frequent], [], []
-        class_counts = [np.zeros(params.frequent)]
-        class_counts[0][: len(counts)] = counts[: params.frequent]
-        while (at := starts[-1]) < len(words):
-            depth = max(1, at // 2).bit_length() - 1 or 1
-            leaves = np.zeros(1 << depth)
-            leaves[: len(words) - at] = counts[at : at + (1 << depth)]
-            odds, level = [], leaves
-            while len(level) > 1:
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    odds.append(np.nan_to_num(np.log(level[1::2] / level[::2]), nan=0.0).clip(-30, 30))
-                level = level[::2] + level[1::2]
-            bias += [np.zeros(1), *odds[::-1]]
-            class_counts.append(level)
-            depths.append(depth)
-            starts.append(at + (1 << depth))
-        class_counts.append(np.array([float(rare_count)]))
-        by_hash = np.argsort(words)
-        return cls(words[by_hash], by_hash.astype(np.int32), params.frequent, np.array(starts), np.array(depths, np.int64), np.concatenate([*bias, np.zeros(1)]).astype(np.float32), np.concatenate(class_counts), -float(np.log(rare + 1)))
-
-    def of(self, word: np.ndarray) -> np.ndarray:
-        """The words' numbers; that of all words below the least count is the number of the others."""
-        if not len(self):
-            return np.zeros(len(word), np.int64)
-        word, at = np.unique(word, return_inverse=True)
-        place = np.minimum(np.searchsorted(self.hashes, word), len(self) - 1)
-        return np.where(self.hashes[place] == word, self.ids[place], len(self)).astype(np.int64)[at]
-
-    def classes(self, ids: np.ndarray) -> np.ndarray:
-        shared = self.frequent + np.searchsorted(self.starts, ids, side="right") - 1
-        return np.where(ids >= len(self), self.frequent + len(self.depths), np.where(ids < self.frequent, ids, shared))
-
-    def paths(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For words of shared classes: which they are, where each one's path starts, and the path's nodes and turns."""
-        which = np.flatnonzero((ids >= self.frequent) & (ids < len(self)))
-        k = np.searchsorted(self.starts, ids[which], side="right") - 1
-        depth = self.depths[k]
-        begin = np.cumsum(depth) - depth
-        leaf = np.repeat(ids[which] - self.starts[k] + (1 << depth), depth)
-        up = np.repeat(depth + begin, depth) - np.arange(len(leaf))
-        return which, begin, np.repeat(self.starts[k] - self.frequent, depth) + (leaf >> up), (leaf >> (up - 1)) & 1
+        yield pa.RecordBatch.from_arrays([pa.array(words[i : i + (1 << 16)].view(np.int64)), pa.array(counts[i : i + (1 << 16)])], ["word", "n"])
 
 
 class Rows:
@@ -214,199 +109,250 @@ class Rows:
         return at[first], (np.cumsum(first) - 1)[last]
 
 
+class Sparse:
+    """Adagrad over those rows of a table that a batch meets."""
+
+    def __init__(self, table: np.ndarray):
+        self.squares = np.zeros_like(table)
+        self.met = np.zeros(len(table), np.int64)
+        self.rows = Rows(len(table))
+
+    def descend(self, table: np.ndarray, at: np.ndarray, part: np.ndarray, rate: float) -> None:
+        rows, place = self.rows.distinct(at)
+        g = np.empty((len(rows), part.shape[1]), np.float32)
+        for k, column in enumerate(np.ascontiguousarray(part.T)):
+            g[:, k] = np.bincount(place, column, len(rows))
+        m = self.squares[rows] + g * g
+        self.squares[rows] = m
+        table[rows] -= rate * g / (np.sqrt(m) + 1)  # the one damps what was met seldom
+        self.met[rows] += np.bincount(place, minlength=len(rows))
+
+    def sent(self, number: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The met rows, times how often, and how often."""
+        for b in range(0, len(table), BLOCK):
+            n = self.met[b : b + BLOCK]
+            if len(at := np.flatnonzero(n)):
+                yield _sent(number, b // BLOCK, at, np.column_stack([table[b + at] * n[at, None], n[at]]))
+
+
 class Network:
-    """Embeddings of the window's words, a tanh layer, a softmax over classes, and the nodes of the classes' trees."""
+    """``share``: each slot's part of the corpus. ``known`` (sorted hashes) and ``log_counts``: the most frequent words."""
 
-    def __init__(self, params: Params, vocabulary: Vocabulary):
+    def __init__(self, params: Params, share: np.ndarray, known: np.ndarray, log_counts: np.ndarray):
         p, rng = params, np.random.default_rng(params.seed)
-        c = len(vocabulary.class_counts)
-        self.p, self.vocabulary = p, vocabulary
-        self.w = [
-            (rng.standard_normal((2 * p.window * p.width, p.hidden)) * 0.2).astype(np.float32),
-            np.zeros(p.hidden, np.float32),
-            (rng.standard_normal((p.hidden, c)) * 0.1).astype(np.float32),
-            np.log((vocabulary.class_counts + 1) / (vocabulary.class_counts + 1).sum()).astype(np.float32),
-        ]
-        self.embedding = rng.standard_normal((len(vocabulary) + 2, p.width), np.float32)
-        self.embedding *= 0.3
-        self.nodes = np.zeros((len(vocabulary.bias), p.seen + 1), np.float32)
-        self.nodes[:, -1] = vocabulary.bias
-
-    def contexts(self, words: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """The words around each word [n, 2 * window]; places outside its text have the last embedding."""
-        n, w = len(words), self.p.window
+        self.p, self.share, self.known, self.log_counts = p, share, known, log_counts
+        self.bits = len(share).bit_length() - 1
+        order = np.argsort(-share, kind="stable")
+        self.top, rest = order[: p.frequent], np.sort(order[p.frequent :])
+        self.rest = rest[share[rest] > 0]
+        self.cumulated = np.cumsum(share[self.rest])
+        self.own = np.zeros(len(share), np.float32)
+        self.own[self.rest] = share[self.rest]
+        self.embedding = rng.standard_normal((len(share) + 1, p.width), np.float32) * np.float32(0.3)
+        self.output = np.zeros((len(share), p.hidden), np.float32)
+        self.dense = [(rng.standard_normal((2 * p.window * p.width, p.hidden)) * 0.2).astype(np.float32), np.zeros(p.hidden, np.float32)]
+
+    def slots(self, words: np.ndarray) -> np.ndarray:
+        return (words >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def contexts(self, slots: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """The slots around each word [n, 2 * window]; places outside its text have the last embedding."""
+        n, w = len(slots), self.p.window
         counts = np.diff(before)
         at = np.arange(n)
         low, high = np.repeat(before[:-1], counts), np.repeat(before[1:], counts)
-        out = np.full((n, 2 * w), len(self.vocabulary) + 1, np.int64)
+        out = np.full((n, 2 * w), len(self.share), np.int64)
         for j, d in enumerate([*range(-w, 0), *range(1, w + 1)]):
             ok = (at + d >= low) & (at + d < high)
-            out[ok, j] = words[at[ok] + d]
+            out[ok, j] = slots[at[ok] + d]
         return out
 
-    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        a, b, o, c = self.w
+    def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = self.embedding.take(context, 0).reshape(len(context), -1)
-        h = np.tanh(x @ a + b)
-        z = h @ o + c
-        z -= z.max(1, keepdims=True)
-        return x, h, z
-
-    def turns(self, h: np.ndarray, which: np.ndarray, begin: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Along the paths: what each node sees, its weights, and its log odds of the right side."""
-        seen = np.concatenate([h[which, : self.p.seen], np.ones((len(which), 1), np.float32)], axis=1)
-        seen = np.repeat(seen, np.diff(begin, append=len(node)), axis=0)
-        own = self.nodes.take(node, 0)
-        return seen, own, np.einsum("ij,ij->i", seen, own)
-
-    def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """log P(word | both sides) of each target."""
+        return x, np.tanh(x @ self.dense[0] + self.dense[1])
+
+    def sample(self, quantiles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The slots that Z sums, their weights, and the weight of each slot as a target, which Z sums too: its share, or
+        zero where it is summed anyway. The frequent slots are summed, and of the others those at these parts of their
+        cumulated share; where the others are no more than the parts, all of them, so that Z is exact."""
+        own = self.own
+        if len(self.rest) <= len(quantiles):
+            at, weight, own = self.rest, self.share[self.rest], np.zeros_like(own)
+        else:
+            at = self.rest[np.minimum(np.searchsorted(self.cumulated, quantiles * self.cumulated[-1], side="right"), len(self.rest) - 1)]
+            weight = np.full(len(at), self.cumulated[-1] / len(quantiles))
+        return np.concatenate([self.top, at]), np.concatenate([self.share[self.top], weight]).astype(np.float32), own
+
+    def log_ratios(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """log P(word | both sides) - log share(word) of each target."""
         out = np.empty(len(target))
+        noise, weight, mine = self.sample((np.arange(self.p.fixed) + 0.5) / self.p.fixed)
+        ways = np.ascontiguousarray(self.output[noise].T)
         for s in range(0, len(target), 8192):
             y = target[s : s + 8192]
-            _, h, z = self.forward(context[s : s + 8192])
-            part = z[np.arange(len(z)), self.vocabulary.classes(y)] - np.log(np.exp(z).sum(1))
-            part[y >= len(self.vocabulary)] += self.vocabulary.log_rare
-            which, begin, node, right = self.vocabulary.paths(y)
-            if len(which):
-                odds = self.turns(h, which, begin, node)[2]
-                part[which] -= np.add.reduceat(np.log1p(np.exp(np.minimum(np.where(right, -odds, odds), 80))), begin)
-            out[s : s + 8192] = part
+            _, h = self.forward(context[s : s + 8192])
+            z = h @ ways
+            own = np.einsum("ij,ij->i", h, self.output.take(y, 0))
+            out[s : s + 8192] = own - np.log(np.maximum(np.exp(z, out=z) @ weight + np.exp(own) * mine[y], 1e-30))
         return out
 
-    def train(self, context: np.ndarray, target: np.ndarray, memory: Memory) -> None:
+    def train(self, context: np.ndarray, target: np.ndarray, memory: Memory, rng: np.random.Generator) -> None:
         """One pass of Adagrad over the rows in order."""
-        a, _, o, _ = self.w
         for s in range(0, len(target), self.p.batch):
             ctx, y = context[s : s + self.p.batch], target[s : s + self.p.batch]
-            x, h, z = self.forward(ctx)
+            noise, weight, mine = self.sample(rng.random(self.p.drawn))
+            x, h = self.forward(ctx)
+            ways, own = self.output[noise], self.output.take(y, 0)
+            z = h @ ways.T
             np.exp(z, out=z)
-            z /= z.sum(1, keepdims=True)
-            z[np.arange(len(y)), self.vocabulary.classes(y)] -= 1
-            z /= len(y)
-            dh = z @ o.T
-            which, begin, node, right = self.vocabulary.paths(y)
-            if len(which):
-                seen, own, odds = self.turns(h, which, begin, node)
-                miss = ((1 / (1 + np.exp(-odds)) - right) / len(y)).astype(np.float32)
-                dh[which, : self.p.seen] += np.add.reduceat(own[:, :-1] * miss[:, None], begin)
-                memory.nodes.descend(self.nodes, node, seen * miss[:, None], self.p.rate)
+            z *= weight
+            e = np.exp(np.einsum("ij,ij->i", h, own)) * mine[y]
+            total = np.maximum(z.sum(1) + e, 1e-30)
+            z /= total[:, None]
+            miss = (e / total - 1)[:, None]
+            dh = z @ ways + own * miss
+            memory.output.descend(self.output, np.concatenate([noise, y]), np.concatenate([z.T @ h, h * miss]), self.p.rate)
             dh *= 1 - h * h
-            dx = (dh @ a.T).reshape(-1, self.p.width)
+            dx = (dh @ self.dense[0].T).reshape(-1, self.p.width)
             memory.embedding.descend(self.embedding, ctx.ravel(), dx, self.p.rate)
-            for w, m, g in zip(self.w, memory.dense, (x.T @ dh, dh.sum(0), h.T @ z, z.sum(0)), strict=True):
+            for w, m, g in zip(self.dense, memory.dense, (x.T @ dh / len(y), dh.mean(0)), strict=True):
                 m += g * g
                 w -= self.p.rate * g / (np.sqrt(m) + 1e-4)
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([w.ravel() for w in self.w])
+    def sums(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
+        """Per text: the sum of the log ratios and of the known words' log counts, its known words that occur once, the words
+        before it (n + 1 values), and the other words with the numbers of those before it (n + 1 values)."""
+        words, before = _words(texts)
+        slots = self.slots(words)
+        place = np.minimum(np.searchsorted(self.known, words), max(0, len(self.known) - 1))
+        known = self.known[place] == words if len(self.known) else np.zeros(len(words), bool)
+        part = self.log_ratios(self.contexts(slots, before), slots)
+        part[known] += self.log_counts[place[known]]
+        single = np.zeros(len(words), bool)
+        single[known] = self.log_counts[place[known]] == 0
+        total, once, other = (np.concatenate([[0], np.cumsum(x)])[before] for x in (part, single, ~known))
+        return np.diff(total), np.diff(once), before, words[~known], other
 
-    def load(self, flat: np.ndarray) -> None:
-        at = 0
-        for i, w in enumerate(self.w):
-            self.w[i] = flat[at : at + w.size].reshape(w.shape).astype(np.float32)
-            at += w.size
 
+class Memory:
+    def __init__(self, network: Network):
+        self.dense = [np.zeros_like(w) for w in network.dense]
+        self.embedding, self.output = Sparse(network.embedding), Sparse(network.output)
 
-class Sparse:
-    """Adagrad over those rows of a table that a batch meets."""
 
-    def __init__(self, table: np.ndarray):
-        self.squares = np.zeros_like(table)
-        self.met = np.zeros(len(table), np.int64)
-        self.rows = Rows(len(table))
-
-    def descend(self, table: np.ndarray, at: np.ndarray, part: np.ndarray, rate: float) -> None:
-        rows, place = self.rows.distinct(at)
-        g = np.empty((len(rows), part.shape[1]), np.float32)
-        for k, column in enumerate(np.ascontiguousarray(part.T)):
-            g[:, k] = np.bincount(place, column, len(rows))
-        m = self.squares[rows] + g * g
-        self.squares[rows] = m
-        table[rows] -= rate * g / (np.sqrt(m) + 1e-4)
-        self.met[rows] += np.bincount(place, minlength=len(rows))
+_SENT = "table int, block int, at binary, values binary"
 
-    def sent(self, number: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """The met rows, times how often, and how often."""
-        for b in range(0, len(table), BLOCK):
-            n = self.met[b : b + BLOCK]
-            if len(at := np.flatnonzero(n)):
-                yield _sent(number, b // BLOCK, at, np.column_stack([table[b + at] * n[at, None], n[at]]))
 
+def _sent(table: int, block: int, at: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    cols = [pa.array([table], pa.int32()), pa.array([block], pa.int32()), pa.array([at.astype(np.int32).tobytes()]), pa.array([values.astype(np.float32).tobytes()])]
+    return pa.RecordBatch.from_arrays(cols, ["table", "block", "at", "values"])
 
-class Memory:
-    def __init__(self, network: Network):
-        self.dense = [np.zeros_like(w) for w in network.w]
-        self.embedding, self.nodes = Sparse(network.embedding), Sparse(network.nodes)
 
+def _add_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of rows of float32 by block and place: (table, block, places, values)."""
+    total: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+    for batch in batches:
+        for t, b, at, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            at = np.frombuffer(at, np.int32)
+            part = np.frombuffer(x, np.float32).reshape(len(at), -1)
+            if (t, b) not in total:
+                total[t, b] = np.zeros((BLOCK if t else 1, part.shape[1])), np.zeros(BLOCK if t else 1, bool)
+            total[t, b][0][at] += part
+            total[t, b][1][at] = True
+    for (t, b), (values, met) in total.items():
+        at = np.flatnonzero(met)
+        yield _sent(t, b, at, values[at])
 
-@dataclass
-class Model:
-    vocabulary: Vocabulary
-    network: Network
 
-    def rows(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The number of each word, the words before each text, and the words around each word."""
-        word, before = _words(texts)
-        ids = self.vocabulary.of(word)
-        return ids, before, self.network.contexts(ids, before)
+def _averaged(network: Network, rows: DataFrame) -> None:
+    """The tasks' weights, averaged, into ``network``. What comes to the driver is no more than the two tables of slots."""
+    for t, b, at, x in rows.repartition("table", "block").mapInArrow(_add_rows, _SENT).collect():
+        at = np.frombuffer(at, np.int32).astype(np.int64)
+        values = np.frombuffer(x, np.float32).reshape(len(at), -1)
+        mean = values[:, :-1] / values[:, -1:]
+        if t:
+            (network.embedding if t == 1 else network.output)[b * BLOCK + at] = mean
+        else:
+            n = network.dense[0].size
+            network.dense = [mean[0, :n].reshape(network.dense[0].shape).copy(), mean[0, n:].copy()]
 
-    def sums(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Per text, the sum of log P(word | both sides) and the number of words."""
-        ids, before, context = self.rows(texts)
-        total = np.concatenate([[0.0], np.cumsum(self.network.log_probabilities(context, ids))])
-        return total[before[1:]] - total[before[:-1]], np.diff(before)
 
+@dataclass
+class Model:
+    """The network, the table of all words' counts (word, n), its total, and the most that a word not known counts."""
 
-def vocabulary(texts: DataFrame, params: Params = Params()) -> Vocabulary:
-    """Counts all words of the column; those of ``min_count`` come to the driver (16 bytes each)."""
-    counted = materialise(texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    rare, rare_count = counted.filter(F.col("n") < params.min_count).agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    common = counted.filter(F.col("n") >= params.min_count).toArrow()
-    return Vocabulary.counted(common.column("word").to_numpy(), common.column("n").to_numpy(), rare, rare_count, params)
+    network: Network
+    counts: DataFrame
+    total: int
+    least: int
 
 
 def fit(docs: DataFrame, text: str = "text", params: Params = Params()) -> Model:
     """Counts and trains over all rows."""
-    texts = docs.select(text)
-    words = vocabulary(texts, params)
-    shared = docs.sparkSession.sparkContext.broadcast(words)
-
-    def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, n = None, 0
-        for batch in batches:
-            for part in slices(batch, 0, 1 << 19):
-                if model is None:
-                    model = Model(shared.value, Network(params, shared.value))
-                    memory = Memory(model.network)
-                ids, _, context = model.rows(part.column(0))
-                model.network.train(context, ids, memory)
-                n += len(ids)
-        if n:
-            yield _sent(0, 0, np.zeros(1), np.append(model.network.flat().astype(np.float64) * n, float(n)))
-            yield from memory.embedding.sent(1, model.network.embedding)
-            yield from memory.nodes.sent(2, model.network.nodes)
-
-    start = Model(words, Network(params, words))
-    for table, rows, values in _gathered_rows(texts.mapInArrow(train, _SENT)):
-        mean = values[:, :-1] / values[:, -1:]
-        if table:
-            (start.network.embedding if table == 1 else start.network.nodes)[rows] = mean
-        else:
-            start.network.load(mean[0])
-    return start
+    texts = docs.select(F.col(text).alias("text"))
+    counts = materialise(texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    different, total = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    bits = min(params.most_bits, max(8, (different // params.words_per_slot).bit_length()))
+    share = np.zeros(1 << bits)
+    for slot, n in counts.groupBy(F.shiftrightunsigned("word", 64 - bits).alias("slot")).agg(F.sum("n").alias("n")).collect():  # at most 2**bits rows
+        share[slot] = n / total
+    known = counts.orderBy(F.desc("n"), "word").limit(params.known_words).toArrow()  # 16 bytes each
+    hashes, n = known.column("word").to_numpy().view(np.uint64), known.column("n").to_numpy()
+    order = np.argsort(hashes)
+    network = Network(params, share, hashes[order], np.log(n[order]).astype(np.float32))
+    sc = docs.sparkSession.sparkContext
+    for r in range(params.rounds):
+        shared = sc.broadcast(network)  # at most 2**most_bits slots and known_words words
+
+        def train(batches: Iterable[pa.RecordBatch], shared=shared, r=r) -> Iterator[pa.RecordBatch]:
+            net, n, rng = None, 0, np.random.default_rng(params.seed + r)
+            for batch in batches:
+                for part in slices(batch, 0, 1 << 19):
+                    if net is None:
+                        net = _own(shared.value)
+                        memory = Memory(net)
+                    words, before = _words(part.column(0))
+                    slots = net.slots(words)
+                    net.train(net.contexts(slots, before), slots, memory, rng)
+                    n += len(slots)
+            if n:
+                yield _sent(0, 0, np.zeros(1), np.append(np.concatenate([w.ravel() for w in net.dense]).astype(np.float64) * n, float(n)))
+                yield from memory.embedding.sent(1, net.embedding)
+                yield from memory.output.sent(2, net.output)
+
+        rows = texts.filter(F.pmod(F.xxhash64("text"), F.lit(params.rounds)) == r) if params.rounds > 1 else texts
+        _averaged(network, rows.mapInArrow(train, _SENT))
+        shared.unpersist()
+    return Model(network, counts, total, int(n.min()) if len(n) else 0)
+
+
+def _own(network: Network) -> Network:
+    """A copy whose weights may change: the broadcast one is shared by a worker's tasks."""
+    from copy import copy
+
+    out = copy(network)
+    out.embedding, out.output, out.dense = network.embedding.copy(), network.output.copy(), [w.copy() for w in network.dense]
+    return out
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: the key, n_words, log_likelihood and mean_log_likelihood."""
+    """Per row: the key, n_words, n_once (its words, with repeats, that the corpus has but once), log_likelihood and mean_log_likelihood."""
     kind = docs.schema[key].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # about 100 bytes a word of the vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast(model.network)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1, 1 << 19):
-                total, n = shared.value.sums(part.column(1))
-                mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(total), mean], [key, "n_words", "log_likelihood", "mean_log_likelihood"])
-
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_words long, log_likelihood double, mean_log_likelihood double")
+                total, once, before, other, at = shared.value.sums(part.column(1))
+                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(other.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(before)), pa.array(total), pa.array(once), lists], ["key", "n_words", "part", "single", "others"])
+
+    scored = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n_words long, part double, single long, others array<long>")
+    # Written with its row numbers, which are then fixed.
+    scored = materialise(scored.withColumn("row", F.monotonically_increasing_id()), "scored")
+    others = scored.select("row", F.explode("others").alias("word")).join(model.counts.filter(F.col("n") <= model.least), "word", "left")
+    n = F.coalesce("n", F.lit(1))
+    sums = others.groupBy("row").agg(F.sum(F.log(n)).alias("rest"), F.count_if(n == 1).alias("once"))
+    total = F.col("part") + F.coalesce("rest", F.lit(0.0)) - F.col("n_words") * F.lit(float(np.log(max(1, model.total))))
+    out = scored.drop("others").join(sums, "row", "left").select("key", "n_words", (F.col("single") + F.coalesce("once", F.lit(0))).alias("n_once"), total.alias("log_likelihood"))
+    return out.select(F.col("key").alias(key), "n_words", "n_once", "log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")).alias("mean_log_likelihood"))

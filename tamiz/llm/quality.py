@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.llm.kernel import BLANK, LOWER, line_hashes, raw, tokens
-from tamiz.llm.shared import held_out, materialise, slices
+from tamiz.llm.shared import held_out, materialise, slices, vector_sums
 
 
 @dataclass(frozen=True)
@@ -138,10 +138,7 @@ def _solve(moments: np.ndarray, ridge: float) -> np.ndarray | None:
 
 def _sum(rows: DataFrame) -> np.ndarray | None:
     """The sum of the tasks' vectors; each has a fixed size."""
-    from tamiz.llm.pseudo_likelihood import _gathered
-
-    got = _gathered(rows)
-    return got.get(0)
+    return vector_sums(rows).get(0)
 
 
 def _row(vector: np.ndarray) -> pa.RecordBatch:

@@ -8,6 +8,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -95,3 +96,21 @@ def slices(batch: pa.RecordBatch, column: int, max_bytes: int = 1 << 19) -> Iter
 def row_count_at_most(df: DataFrame, bound: int) -> bool:
     """Whether ``df`` has at most ``bound`` rows: the check before a broadcast."""
     return df.limit(bound + 1).count() <= bound
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of float64 vectors by id, streamed: (id, values)."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            part = np.frombuffer(x, np.float64)
+            total[i] = total[i] + part if i in total else part
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["id", "values"])
+
+
+def vector_sums(rows: DataFrame) -> dict[int, np.ndarray]:
+    """The sum of the vectors (id int, values binary of float64) of each id: first in several tasks, then in one for each id.
+    A few vectors of fixed size come to the driver."""
+    once = rows.repartition(8, "id", F.spark_partition_id() % 8).mapInArrow(_add, "id int, values binary")
+    return {i: np.frombuffer(x, np.float64) for i, x in once.repartition(4, "id").mapInArrow(_add, "id int, values binary").collect()}
