@@ -1,11 +1,14 @@
-"""Text functions on columns. All are built-in expressions but ``decode_markup`` and full folding, which are
-Arrow-batched and fed only the rows that need them."""
+"""Text functions on columns. All are built-in expressions but ``decode_markup``, which is Arrow-batched and
+fed only the rows that need it."""
 
 from __future__ import annotations
 
 import html
+import json
+import sys
 import unicodedata
-from functools import reduce
+from collections.abc import Callable
+from functools import cache, reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -15,8 +18,30 @@ from pyspark.sql import types as T
 
 from tamiz.plans import vocabulary as V
 
-_ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿ"
-_PLAIN = "aaaaaaeeeeiiiiooooouuuuncyy"
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it: Spark would write the expression out at each place."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+@cache
+def _folds() -> tuple[str, str, str, str]:
+    """From the rule of NFKD without combining marks: characters that become one other, what they become, the others that
+    change as a JSON object, and those as a character class."""
+    one: dict[str, str] = {}
+    many: dict[str, str] = {}
+    for i in range(128, sys.maxunicode + 1):
+        if 0xD800 <= i < 0xE000 or 0xAC00 <= i < 0xD7A4:  # no characters; syllables that a rule of their own takes apart
+            continue
+        c = chr(i)
+        out = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if out != c:
+            (one if len(out) == 1 else many)[c] = out
+    places = sorted(map(ord, many))
+    starts = [x for k, x in enumerate(places) if not k or places[k - 1] != x - 1]
+    ends = [x for k, x in enumerate(places) if k + 1 == len(places) or places[k + 1] != x + 1]
+    ranges = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in zip(starts, ends, strict=True))
+    return "".join(one), "".join(one.values()), json.dumps(many), f"[{ranges}]"
 
 
 class _Text(HTMLParser):
@@ -52,11 +77,6 @@ def decode_markup(values: pd.Series) -> pd.Series:
     return values.map(markup_text, na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def _fold_any(values: pd.Series) -> pd.Series:
-    return values.map(lambda x: "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)), na_action="ignore")
-
-
 def squeeze(text: Column) -> Column:
     """White space runs (Unicode) as one blank, none at the ends; null is empty."""
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))
@@ -70,13 +90,18 @@ def clean(text: Column, markup: bool = True) -> Column:
     return squeeze(F.when(marked, decode_markup(F.when(marked, text))).otherwise(text))
 
 
-def fold(text: Column, markup: bool = False, full: bool = False) -> Column:
-    """Lower case without diacritics. ``full``: also compatibility forms (ligatures, ordinals), by NFKD."""
-    plain = F.translate(F.lower(clean(text, markup)), _ACCENTED, _PLAIN)
-    if not full:
-        return plain
-    odd = plain.rlike(r"[^\x00-\x7Fß]")
-    return F.when(odd, _fold_any(F.when(odd, plain))).otherwise(plain)
+def fold(text: Column, markup: bool = False) -> Column:
+    """Lower case without diacritics, in compatibility form (NFKD without combining marks; Korean syllables stay whole)."""
+    before, after, many, odd = _folds()
+
+    def rest(x: Column) -> Column:
+        table = F.from_json(F.lit(many), "map<string,string>")  # folded to a constant
+        return F.when(x.rlike(odd), F.array_join(F.transform(F.split(x, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")).otherwise(x)
+
+    def plain(x: Column) -> Column:
+        return F.when(F.octet_length(x) == F.length(x), x).otherwise(bound(F.translate(x, before, after), rest))
+
+    return bound(F.lower(clean(text, markup)), plain)
 
 
 def words(text: Column, markup: bool = False) -> Column:
@@ -92,7 +117,7 @@ def concise_title(text: Column, most: int = 12, default: str = "Actualización r
     """The first words, without punctuation at either end, the first character in upper case."""
     title = F.array_join(F.slice(words(text), 1, most), " ")
     title = F.regexp_replace(F.regexp_replace(title, r"^[ .,:;\-]+", ""), r"[ .,:;\-]+$", "")
-    return F.when(title == "", F.lit(default)).otherwise(F.concat(F.upper(F.substring(title, 1, 1)), F.substr(title, F.lit(2))))
+    return bound(title, lambda t: F.when(t == "", F.lit(default)).otherwise(F.concat(F.upper(F.substring(t, 1, 1)), F.substr(t, F.lit(2)))))
 
 
 def bounded_summary(text: Column, least: int = 40, most: int = 80, fillers: tuple[str, ...] = V.FILLERS) -> Column:
@@ -144,6 +169,5 @@ def base_act_type(document_type: Column) -> Column:
 def title_base(official_title: Column, description: Column) -> Column:
     """The description if it has five words, else the title; without a leading legislative formula."""
     base = F.when(F.size(words(description)) >= 5, description).otherwise(official_title)
-    formula = r"(?iU)^(proyecto de decreto|iniciativa con proyecto(?: de decreto)?|punto de acuerdo)\s+(?:por el que|que)?\s*"
-    generic = fold(base).rlike("^(proyecto de decreto|iniciativa con proyecto|punto de acuerdo)")
-    return F.when(generic, F.regexp_replace(base, formula, "")).otherwise(base)
+    generic = fold(base).rlike(V.FORMULA_BEGINNING)
+    return F.when(generic, F.regexp_replace(base, V.FORMULA, "")).otherwise(base)

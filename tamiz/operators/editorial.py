@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamiz.functions.text import section, words
-from tamiz.operators import summarize, validate
+from tamiz.operators import summarize, taxonomy, validate
 from tamiz.plans import vocabulary as V
 
 FIELDS = ("title", "summary", "card_body", "case_facts", "importance")
@@ -21,19 +22,23 @@ class Rejected(ValueError):
 
 
 def edit_violations(edits: DataFrame, items: DataFrame) -> DataFrame:
-    """Rules of single edits, repeated ids, and ids that no item has."""
+    """Rules of single edits, repeated ids, ids that no item has, and columns that are no field. A null optional field is not edited."""
     n = F.size(words(F.col("summary")))
     rules: dict[str, Column] = {
         "title_missing": F.coalesce(F.trim("title"), F.lit("")) == "",
-        "title_words": F.size(words(F.col("title"))) > 20,
         "office_title": F.col("title").rlike(V.OFFICE_TITLE),
+        "summary_missing": F.coalesce(F.trim("summary"), F.lit("")) == "",
         "summary_words": (n < 40) | (n > 80),
+        "card_body_missing": F.coalesce(F.trim("card_body"), F.lit("")) == "",
         "act_number": section(F.col("card_body"), V.CARD_SECTIONS[0]).rlike(V.ACT_NUMBER),
         "importance_range": (F.col("importance") < 1) | (F.col("importance") > 5),
+        "facts_blank": F.trim("case_facts") == "",
         "facts_with_heading": F.coalesce(F.col("case_facts"), F.lit("")).rlike(r"(?m)^#{1,6}\s"),
     } | {f"section_{i}": ~F.contains(F.coalesce(F.col("card_body"), F.lit("")), F.lit(h)) for i, h in enumerate(V.CARD_SECTIONS)}
     found = validate.check(edits, F.col("id"), rules)
     say = lambda d, code: d.select(F.col("id").alias("path"), F.lit(code).alias("code"), F.lit("error").alias("severity"))
+    for name in sorted({*edits.columns} - {"id", *FIELDS}):
+        found = found.unionByName(say(edits.filter(F.col(name).isNotNull()), f"field_unknown_{name}"))
     return found.unionByName(say(edits.groupBy("id").count().filter("count > 1"), "edit_repeated")).unionByName(say(edits.join(items.select("id"), "id", "left_anti"), "id_unknown"))
 
 
@@ -47,14 +52,28 @@ def patch(items: DataFrame, edits: DataFrame, fields: tuple[str, ...], mark: str
     return met.select(*(put[c].alias(c) if c in put else F.col(c) for c in items.columns))
 
 
+def patch_payloads(history: DataFrame, edits: DataFrame, schema: T.StructType) -> DataFrame:
+    """``history`` (id, payload, ...) with the non-null columns of ``edits`` (unique by id) written into its JSON objects of ``schema``."""
+    fields = [c for c in edits.columns if c != "id"]
+    new = edits.select("id", F.struct(*fields).alias("__new"))
+    met = history.join(new, "id", "left").withColumn("__old", F.from_json("payload", schema))
+    put = [F.coalesce(F.col(f"__new.{c}"), F.col(f"__old.{c}")).alias(c) if c in fields else F.col(f"__old.{c}") for c in schema.names]
+    payload = F.when(F.col("__new").isNotNull(), F.to_json(F.struct(*put))).otherwise(F.col("payload")).alias("payload")
+    return met.select(*(payload if c == "payload" else c for c in history.columns))
+
+
 def apply(items: DataFrame, edits: DataFrame) -> DataFrame:
     """The patched items, with their detail pages built anew; raises ``Rejected`` if any edit, or the result, is invalid."""
     found = edit_violations(edits, items)
     if validate.has_errors(found):
         raise Rejected(found)
-    out = patch(items, edits, FIELDS, "ai_generated")
+    trimmed = edits.select("id", *(F.trim(f).alias(f) if f != "importance" else F.col(f) for f in FIELDS))
+    out = patch(items, trimmed, FIELDS, "ai_generated")
+    if "organ_short" not in items.columns:
+        body = F.coalesce(F.nullif("issuing_body", F.lit("")), "authority")
+        out = out.withColumn("organ_short", taxonomy.short_name(taxonomy.organ(body, F.col("official_title")), body, F.col("source")))
     page = F.when(F.col("ai_generated"), summarize.detail_markdown()).otherwise(F.col("detail_markdown"))
-    out = out.withColumn("detail_markdown", page)
+    out = out.withColumn("detail_markdown", page).select(items.columns)
     found = validate.items(out)
     if validate.has_errors(found):
         raise Rejected(found)

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from tamiz.functions.text import base_act_type, bounded_summary, clean, concise_title, section, strip_end, title_base
 from tamiz.plans import vocabulary as V
 
-_SUBSTANCE_NOTE = "Resumen extractivo pendiente de revisión editorial; consulta la fuente oficial para el alcance completo."
-_SUMMARY_NOTE = "Consulta la fuente íntegra para confirmar su alcance, fechas de vigencia, obligaciones, requisitos, excepciones, autoridades responsables, procedimientos y efectos jurídicos aplicables."
-
 
 def _text(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
@@ -29,11 +26,11 @@ def summarize(df: DataFrame) -> DataFrame:
     """``df`` (enriched) with title, summary, card_body and ai_generated (false)."""
     base = strip_end(F.coalesce(F.nullif(_text("description"), F.lit("")), _text("official_title")), " .;:")
     lead = F.when(base == "", F.lit("")).otherwise(F.concat(base, F.lit(". ")))
-    authority = F.coalesce(F.nullif(F.trim(_text("authority")), F.lit("")), F.lit("autoridad federal"))
-    topics = F.when(F.size("categories") > 0, F.array_join("categories", ", ")).otherwise(F.lit("materias reguladas por el radar"))
-    summary = F.concat(lead, F.lit("Publicación oficial de "), authority, F.lit(", relacionada con "), topics, F.lit(f". {_SUMMARY_NOTE}"))
+    authority = F.coalesce(F.nullif(F.trim(_text("authority")), F.lit("")), F.lit(V.NO_AUTHORITY))
+    topics = F.when(F.size("categories") > 0, F.array_join("categories", ", ")).otherwise(F.lit(V.NO_TOPICS))
+    summary = F.concat(lead, F.lit("Publicación oficial de "), authority, F.lit(", relacionada con "), topics, F.lit(f". {V.SUMMARY_NOTE}"))
     what = F.concat(base_act_type(F.col("document_type")), F.lit(" de "), F.col("organ_short"), F.lit("."))
-    substance = F.concat(lead, F.lit("Materias: "), topics, F.lit(f". {_SUBSTANCE_NOTE}"))
+    substance = F.concat(lead, F.lit("Materias: "), topics, F.lit(f". {V.SUBSTANCE_NOTE}"))
     return df.select(
         "*",
         concise_title(title_base(_text("official_title"), _text("description"))).alias("title"),
@@ -46,11 +43,11 @@ def summarize(df: DataFrame) -> DataFrame:
 def detail_markdown() -> Column:
     """The detail page of a publication (organ_short, issuing_body, ... as ``enrich`` and ``summarize`` name them)."""
     first, second, last = V.DETAIL_SECTIONS
-    kind = F.coalesce(F.nullif(clean(_text("document_type"), False), F.lit("")), F.lit("Documento oficial"))
+    kind = F.coalesce(F.nullif(clean(_text("document_type"), False), F.lit("")), F.lit(V.NO_TYPE))
     what = F.coalesce(F.nullif(section(F.col("card_body"), first), F.lit("")), F.concat(kind, F.lit(" de "), F.col("organ_short"), F.lit(".")))
-    substance = F.coalesce(F.nullif(section(F.col("card_body"), second), F.lit("")), F.nullif(clean(_text("summary"), False), F.lit("")), F.lit("Sin sustancia editorial disponible."))
-    topics = F.when(F.size("categories") > 0, F.array_join("categories", ", ")).otherwise(F.lit("Sin materia clasificada"))
-    body = F.coalesce(F.nullif(clean(_text("issuing_body"), False), F.lit("")), F.lit("Autoridad no identificada"))
+    substance = F.coalesce(F.nullif(section(F.col("card_body"), second), F.lit("")), F.nullif(clean(_text("summary"), False), F.lit("")), F.lit(V.NO_SUBSTANCE))
+    topics = F.when(F.size("categories") > 0, F.array_join("categories", ", ")).otherwise(F.lit(V.NO_CATEGORY))
+    body = F.coalesce(F.nullif(clean(_text("issuing_body"), False), F.lit("")), F.lit(V.NO_BODY))
     status = clean(_text("case_status"), False)
     labels = F.create_map(*(F.lit(x) for pair in V.STATUS_LABELS.items() for x in pair))
     facts, parties = F.trim(_text("case_facts")), clean(_text("case_parties"), False)

@@ -22,6 +22,11 @@ def organ(authority: Column, title: Column, catalog=V.ORGANS) -> Column:
     return F.coalesce(first_match(pad(fold(authority)), rows, aliases), first_match(pad(fold(title)), rows, aliases))
 
 
+def short_name(found: Column, authority: Column, source: Column) -> Column:
+    """The short name of a body that ``organ`` found, else the authority's first word, else the source."""
+    return F.coalesce(found["c2"], F.get(words(authority), 0), F.nullif(F.trim(source), F.lit("")), F.lit("la autoridad"))
+
+
 def importance(score: Column) -> Column:
     return F.when(score >= 8, 5).when(score >= 6, 4).when(score >= 4, 3).when(score >= 2, 2).otherwise(1)
 
@@ -58,7 +63,7 @@ def enrich(df: DataFrame) -> DataFrame:
     jurisdiction = F.col("__g")[0]
     branch = F.when(F.col("__o").isNotNull(), F.col("__o.c1")).when(named == "", F.lit("Sin clasificar")).otherwise(F.when(jurisdiction == "internacional", F.lit("Organismo internacional")).otherwise(F.lit("Ejecutivo federal")))
     body = F.coalesce(F.col("__o.c0"), F.when(named == "", F.lit("Autoridad no identificada")).otherwise(named))
-    short = F.coalesce(F.col("__o.c2"), F.get(words(authority), 0), F.when(F.trim(source) != "", F.trim(source)), F.lit("la autoridad"))
+    short = short_name(F.col("__o"), authority, source)
     text = fold(F.concat_ws(" ", F.coalesce("document_type", F.lit("")), title))
     tags = F.array(*(F.when(F.contains(text, F.lit(needle)), F.lit(tag)) for needle, tag in V.DOCUMENT_TYPE_TAGS))
     day = F.col("published_at")

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tamiz.functions.text import bound
+
 
 def pad(text: Column) -> Column:
     """Folded text with every sign apart and a blank at both ends: whole words are then substrings."""
@@ -27,10 +29,13 @@ def _whole(term: str) -> bool:
 
 
 def matches(padded: Column, folded: Column, terms: Sequence[str]) -> Column:
-    """The terms that occur, in the list's order. ``padded``: ``pad`` of ``folded``; best computed once, as a column."""
+    """The terms that occur, in the list's order. ``padded``: ``pad`` of ``folded``. Both are computed once, not for each term."""
     rows = F.array(*(F.struct(F.lit(t).alias("t"), F.lit(_padded(t) if _whole(t) else t).alias("p"), F.lit(_whole(t)).alias("w")) for t in terms))
-    hits = F.filter(rows, lambda r: F.when(r["w"], F.contains(padded, r["p"])).otherwise(F.contains(folded, r["p"])))
-    return F.transform(hits, lambda r: r["t"])
+
+    def found(x: Column) -> Column:
+        return F.transform(F.filter(rows, lambda r: F.when(r["w"], F.contains(x["padded"], r["p"])).otherwise(F.contains(x["folded"], r["p"]))), lambda r: r["t"])
+
+    return bound(F.struct(padded.alias("padded"), folded.alias("folded")), found)
 
 
 def any_substring(folded: Column, terms: Sequence[str]) -> Column:
@@ -40,7 +45,7 @@ def any_substring(folded: Column, terms: Sequence[str]) -> Column:
 def first_match(padded: Column, rows: Sequence[tuple[str, ...]], aliases: Sequence[Sequence[str]]) -> Column:
     """The first row (as a struct c0, c1, ...) of which an alias occurs as whole words; null if none does."""
     catalog = F.array(*(F.struct(F.array(*(F.lit(_padded(a)) for a in names)).alias("names"), *(F.lit(v).alias(f"c{i}") for i, v in enumerate(row))) for row, names in zip(rows, aliases, strict=True)))
-    return F.get(F.filter(catalog, lambda r: F.exists(r["names"], lambda a: F.contains(padded, a))), 0)
+    return bound(padded, lambda p: F.get(F.filter(catalog, lambda r: F.exists(r["names"], lambda a: F.contains(p, a))), 0))
 
 
 def near(folded: Column, left: Sequence[str], right: Sequence[str], distance: int = 160) -> Column:
@@ -53,5 +58,6 @@ def near(folded: Column, left: Sequence[str], right: Sequence[str], distance: in
 
     a, b = either(left), either(right)
     gap = rf"[^.!?;]{{0,{distance}}}"
-    # Every start is tried by a look-ahead, so overlaps of alternatives hide no pair.
-    return folded.rlike(rf"(?U)(?:{a})(?:{gap}?)(?:{b})") | folded.rlike(rf"(?U)(?:{b})(?:{gap}?)(?:{a})") | folded.rlike(rf"(?U)(?=(?:{a}))[^.!?;]{{0,60}}?(?<=(?:{b}))") | folded.rlike(rf"(?U)(?=(?:{b}))[^.!?;]{{0,60}}?(?<=(?:{a}))")
+    # Every start is tried by a look-ahead, so overlaps of alternatives hide no pair; terms that overlap end within the longest one's length.
+    longest = max(map(len, (*left, *right)))
+    return folded.rlike(rf"(?U)(?:{a})(?:{gap}?)(?:{b})") | folded.rlike(rf"(?U)(?:{b})(?:{gap}?)(?:{a})") | folded.rlike(rf"(?U)(?=(?:{a}))[^.!?;]{{0,{longest}}}?(?<=(?:{b}))") | folded.rlike(rf"(?U)(?=(?:{b}))[^.!?;]{{0,{longest}}}?(?<=(?:{a}))")

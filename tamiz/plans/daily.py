@@ -71,4 +71,4 @@ def detail(items: DataFrame, made: DataFrame, identifier: str) -> DataFrame:
 def sections(markdown: Column) -> Column:
     """The second-level sections of a page: an array of (heading, text)."""
     parts = F.slice(F.split(markdown, r"(?m)^## "), 2, 1 << 30)
-    return F.transform(parts, lambda p: F.struct(F.trim(F.substring_index(p, "\n", 1)).alias("heading"), F.trim(F.regexp_replace(p, r"^[^\n]*\n?", "")).alias("text")))
+    return F.transform(parts, lambda p: F.struct(F.trim(F.substring_index(p, "\n", 1)).alias("heading"), F.regexp_replace(p, r"^[^\n]*\n?\s*|\s+\z", "").alias("text")))

@@ -84,14 +84,17 @@ def edition_top7(spark, sf_dir):
 @_query("SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value, min(event_id) AS first_event FROM events GROUP BY user_id")
 def dedup_latest_by_id(spark, sf_dir):
     """Per user, the last event's values."""
-    return _table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("event_type"), F.max_by("value", F.struct("ts", "event_id")).alias("value"), F.min("event_id").alias("first_event"))
+    events = _table(spark, sf_dir, "events").select("user_id", "event_type", "value", F.struct("ts", "event_id").alias("place"), "event_id")
+    last = dedup.last_by_key(events.select("user_id", "event_type", "value", "place"), "user_id", "place")
+    first = dedup.first_by_key(events.select("user_id", F.col("event_id").alias("first_event")), "user_id", "first_event")
+    return last.select("user_id", "event_type", "value").join(first, "user_id")
 
 
-@_query(f"SELECT doc_id, first AS position FROM (SELECT doc_id, row_number() OVER (PARTITION BY source, k ORDER BY length(text) DESC, doc_id) AS r, min(doc_id) OVER (PARTITION BY source, k) AS first FROM (SELECT *, left({_FOLD.format('text')}, 40) AS k FROM documents)) WHERE r = 1")
+@_query(f"SELECT doc_id, first AS position FROM (SELECT doc_id, row_number() OVER (PARTITION BY source, k ORDER BY length(text) DESC, doc_id) AS r, min(doc_id) OVER (PARTITION BY source, k) AS first FROM (SELECT *, {_FOLD.format('text')} AS k FROM documents)) WHERE r = 1")
 def dedup_longest_text(spark, sf_dir):
-    """Per source and folded beginning, the longest text; it takes the place of the group's first."""
+    """Per source and folded text, the longest text (signs and spaces differ); it takes the place of the group's first."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text", F.col("doc_id").alias("ordinal"))
-    out = dedup.keep_longest(docs, [F.col("source"), F.substring(text.fold(F.col("text")), 1, 40)], "text", "ordinal")
+    out = dedup.keep_longest(docs, [F.col("source"), text.fold(F.col("text"))], "text", "ordinal")
     return out.select("doc_id", F.col("ordinal").alias("position"))
 
 
@@ -242,13 +245,13 @@ def upsert_history(spark, sf_dir):
     return out.select("id", day("first_seen_run").alias("first_seen"), day("last_seen_run").alias("last_seen"), "payload")
 
 
-_EXCEPTIONS = "SELECT DISTINCT n_name AS organ, DATE '2026-01-01' + CAST(o_orderkey % 365 AS INT) AS day FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey % 97 = 0"
+_EXCEPTIONS = "SELECT DISTINCT n_name AS organ, DATE '2026-01-01' + CAST(o_orderkey % 365 AS INT) AS day FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'"
 _DAYS = f"SELECT n.n_name AS organ, d.day, CASE WHEN x.day IS NOT NULL THEN 'inhabil' WHEN isodow(d.day) >= 6 THEN 'fin_semana' ELSE 'habil' END AS status FROM nation n CROSS JOIN (SELECT CAST(unnest(generate_series(DATE '2026-01-01', DATE '2026-12-31', INTERVAL 1 DAY)) AS DATE) AS day) d LEFT JOIN ({_EXCEPTIONS}) x ON x.organ = n.n_name AND x.day = d.day"
 
 
 def _calendar(spark, sf_dir):
     orders, customers, nations = (_table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
-    hit = orders.filter("o_orderkey % 97 = 0").join(customers, F.col("o_custkey") == F.col("c_custkey")).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    hit = orders.filter("o_orderpriority = '1-URGENT' and o_orderstatus = 'P'").join(customers, F.col("o_custkey") == F.col("c_custkey")).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     exceptions = hit.select(F.col("n_name").alias("organ"), F.expr("date_add(DATE'2026-01-01', cast(o_orderkey % 365 as int))").alias("day"), F.lit("inhabil").alias("status"), F.lit("orden").alias("reason")).distinct()
     return calendars.resolve(nations.select(F.col("n_name").alias("organ")), exceptions, F.expr("DATE'2026-01-01'"), F.expr("DATE'2026-12-31'"))
 
@@ -278,19 +281,6 @@ def fill_forward(spark, sf_dir):
     return dedup.fill_forward(turns, "conv_id", "turn", F.when(F.col("role") == "user", F.md5("text")), "carried").select("conv_id", "turn", "carried")
 
 
-@_query()
-def proximity(spark, sf_dir):
-    """Documents in which two sets of terms stand within 40 characters in one sentence."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", text.fold(F.col("text")).alias("f"))
-    return docs.select("doc_id", terms.near(F.col("f"), ("the", "las"), ("with", "que"), 40).alias("near"))
-
-
-@_query()
-def page_title(spark, sf_dir):
-    """The title element of each page as plain text."""
-    return _table(spark, sf_dir, "pages").select("page_id", text.clean(F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1)).alias("title"))
-
-
 @_query("SELECT page_id, p, lk AS href FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) AS lk, unnest(range(len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)))) AS p FROM pages)")
 def page_links(spark, sf_dir):
     """All links of each page in order."""

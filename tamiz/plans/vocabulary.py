@@ -202,3 +202,24 @@ DETAIL_SECTIONS = ("## Qué se publicó", "## Sustancia", "## Fuente oficial")
 
 ACT_NUMBER = r"(?i)(?:oficio|acuerdo|circular|resoluci[oó]n|expediente|no\.|núm)\s*[:.]?\s*[A-Z0-9][A-Z0-9/.-]*\d|\b\d{3,}[-/][A-Z0-9/.-]*\d"
 OFFICE_TITLE = r"(?i)^(oficio|acuerdo|circular|resoluci[oó]n|expediente)\s+[A-Z0-9/.-]*\d"
+#: Legislative formulas that titles do not begin with: how they are told, and what is cut.
+FORMULA_BEGINNING = "^(proyecto de decreto|iniciativa con proyecto|punto de acuerdo)"
+FORMULA = r"(?iU)^(proyecto de decreto|iniciativa con proyecto(?: de decreto)?|punto de acuerdo)\s+(?:por el que|que)?\s*"
+
+#: Sentences of extractive summaries.
+SUBSTANCE_NOTE = "Resumen extractivo pendiente de revisión editorial; consulta la fuente oficial para el alcance completo."
+SUMMARY_NOTE = "Consulta la fuente íntegra para confirmar su alcance, fechas de vigencia, obligaciones, requisitos, excepciones, autoridades responsables, procedimientos y efectos jurídicos aplicables."
+NO_AUTHORITY = "autoridad federal"
+NO_TOPICS = "materias reguladas por el radar"
+NO_SUBSTANCE = "Sin sustancia editorial disponible."
+NO_CATEGORY = "Sin materia clasificada"
+NO_BODY = "Autoridad no identificada"
+NO_TYPE = "Documento oficial"
+
+#: Words that may not end a document type.
+TYPE_CONNECTORS = ("de", "del", "por", "el", "la", "los", "que", "con", "mediante", "se", "cual")
+
+#: Labels of arbitration cases.
+CASE_STATUS = {"Pending": "Pendiente", "Concluded": "Concluido"}
+NO_PARTY = "Parte no identificada"
+NO_STATUS = "Estatus no informado"

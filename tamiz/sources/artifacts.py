@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,33 +13,77 @@ def read_json(spark: SparkSession, path: str, schema: str | None = None) -> Data
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and a maker of its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def _present(spark: SparkSession, path: str) -> str | None:
+    """The table's path, or that of its predecessor where a swap was broken off between its two renames."""
+    fs, make = _files(spark, path)
+    return next((p for p in (path, f"{path}.before") if fs.exists(make(p))), None)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table that ``replace_table`` wrote, or None where there is none."""
+    found = _present(spark, path)
+    return spark.read.parquet(found) if found else None
+
+
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """(key, status), or None where there is no readable snapshot (a first run)."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    """(key, status), or None where there is no readable snapshot: a first run, or a broken file, which counts as one."""
+    found = _present(spark, path)
+    if found is None:
+        return None
+    try:
+        df = spark.read.schema("key string, status string").parquet(found)
+        df.count()  # a snapshot has a row for each case
+        return df
+    except (PySparkException, Py4JJavaError):
         return None
-    return spark.read.schema("key string, status string").parquet(path)
 
 
-def write_document(df: DataFrame, path: str) -> None:
-    """One row as one JSON file, put in place by a rename: readers see the old or the new file, never a part."""
-    spark = df.sparkSession
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+def _stage(df: DataFrame, path: str) -> None:
     staged = f"{path}.staged"
     df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(staged)
-    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    part = next(s.getPath() for s in fs.listStatus(fs_path(staged)) if s.getPath().getName().startswith("part-"))
-    fs.delete(fs_path(path), False)
-    fs.rename(part, fs_path(path))
-    fs.delete(fs_path(staged), True)
+
+
+def _publish(spark: SparkSession, path: str) -> None:
+    """Renames the staged file over the old one, in one step where the file system has such a step."""
+    jvm = spark._jvm
+    fs, make = _files(spark, path)
+    part = next(s.getPath() for s in fs.listStatus(make(f"{path}.staged")) if s.getPath().getName().startswith("part-"))
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(kind, 1)
+    over[0] = kind.OVERWRITE
+    target = fs.makeQualified(make(path))
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(part), target, over)
+    fs.delete(make(f"{path}.staged"), True)
+
+
+def write_document(df: DataFrame, path: str) -> None:
+    """One row as one JSON file, renamed over the old one: readers see the old or the new file, never a part or none."""
+    _stage(df, path)
+    _publish(df.sparkSession, path)
+
+
+def write_site(publications: DataFrame, edition: DataFrame, publications_path: str, edition_path: str) -> None:
+    """Both documents: written beside the old ones first, then put in place, the edition before the publications."""
+    _stage(publications, publications_path)
+    _stage(edition, edition_path)
+    _publish(publications.sparkSession, edition_path)
+    _publish(publications.sparkSession, publications_path)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Writes beside the table, then swaps: the old one may be read while the new one is made from it."""
-    spark = df.sparkSession
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    staged = f"{path}.staged"
-    df.write.mode("overwrite").parquet(staged)
-    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(fs_path(path), True)
-    fs.rename(fs_path(staged), fs_path(path))
+    """Writes beside the table, then swaps by two renames. The old table may be read while the new one is made from it, and stays
+    until the new one is in place; ``read_table`` finds it if the swap is broken off between them."""
+    fs, make = _files(df.sparkSession, path)
+    staged, before = make(f"{path}.staged"), make(f"{path}.before")
+    df.write.mode("overwrite").parquet(f"{path}.staged")
+    if fs.exists(make(path)):
+        fs.delete(before, True)
+        fs.rename(make(path), before)
+    fs.rename(staged, make(path))
+    fs.delete(before, True)

@@ -7,11 +7,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamiz.functions.dates import feed_date, parse_date
-from tamiz.functions.text import clean, fold, short_hash
+from tamiz.functions.text import bound, clean, fold, short_hash
+from tamiz.operators.dedup import last_by_key
+from tamiz.operators.snapshot import changes
+from tamiz.plans import vocabulary as V
 
 COLUMNS = ("source", "source_id", "url", "official_title", "description", "published_at", "authority", "document_type", "case_parties", "case_status", "ordinal")
 _PLACE = 1 << 20
@@ -27,14 +30,15 @@ class Feed:
     skip: str | None = None
 
 
+# Names, authorities, document types and skipped titles of the sources.
 FEEDS = {
-    "un": Feed("ONU Noticias", "Organización de las Naciones Unidas", "Comunicado"),
-    "ustr": Feed("USTR", "United States Trade Representative", "Comunicado"),
+    "un": Feed("ONU Noticias", "Organización de las Naciones Unidas", "Noticia"),
+    "ustr": Feed("USTR", "Oficina del Representante Comercial de Estados Unidos (USTR)", "Comunicado"),
     "icc": Feed("CPI", "Corte Penal Internacional", "Comunicado"),
     "icj": Feed("CIJ", "Corte Internacional de Justicia", "Comunicado", r"^\d{8}-"),
-    "trade": Feed("Trade.gov", "International Trade Administration", "Comunicado"),
-    "wto": Feed("OMC", "Organización Mundial del Comercio", "Comunicado"),
-    "anam": Feed("ANAM", "Agencia Nacional de Aduanas de México", "Comunicado", r"(?i)^(noticias|comunicados|boletines|avisos)$"),
+    "trade": Feed("Trade.gov", "International Trade Administration (Trade.gov)", "Comunicado"),
+    "wto": Feed("OMC", "Organización Mundial del Comercio", "Noticia"),
+    "anam": Feed("ANAM", "Agencia Nacional de Aduanas de México", "Comunicado", r"(?i)^(comunicados de prensa|boletines|inicio$|directorio|aviso de privacidad)"),
 }
 
 
@@ -49,17 +53,19 @@ def _finish(df: DataFrame, since: Column | None) -> DataFrame:
     return out.filter(F.col("published_at") >= since) if since is not None else out.filter("published_at is not null")
 
 
-def _element(block: Column, name: str) -> Column:
-    """The first non-empty content of an element, as marked up in the block; null if there is none."""
-    found = F.regexp_extract_all(block, F.lit(rf"(?s)<{name}(?:\s[^>]*)?>(.*?)</{name}>"), F.lit(1))
+def _element(block: Column, name: str, filled: bool = False) -> Column:
+    """The content of the first element of a name, as marked up in the block, or (``filled``) of the first that has any;
+    null if there is none. An element that closes itself is empty."""
+    found = F.regexp_extract_all(block, F.lit(rf"(?s)<{name}(?:\s[^>]*)?/>|<{name}(?:\s[^>]*?)?>(.*?)</{name}>"), F.lit(1))
     inner = F.transform(found, lambda x: F.trim(F.regexp_replace(x, r"(?s)^\s*<!\[CDATA\[(.*?)\]\]>\s*$", "$1")))
-    return F.get(F.filter(inner, lambda x: x != ""), 0)
+    return F.get(F.filter(inner, lambda x: x != "") if filled else inner, 0)
 
 
 def _well_formed(block: Column) -> Column:
-    """No stray ampersand outside CDATA, and no open tag of the parsed elements: such a block is dropped."""
-    bare = F.regexp_replace(block, r"(?s)<!\[CDATA\[.*?\]\]>", "")
-    return ~bare.rlike(r"&(?!(?:#\d+|#x[0-9A-Fa-f]+|amp|lt|gt|quot|apos);)")
+    """Outside CDATA and comments, no stray ampersand, and as many tags that end an element as tags that begin one."""
+    bare = F.regexp_replace(block, r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->", "")
+    begun, ended = F.regexp_count(bare, F.lit(r"(?s)<[A-Za-z_](?:[^<>]*[^<>/])?>")), F.regexp_count(bare, F.lit(r"</[A-Za-z_][^<>]*>"))
+    return ~bare.rlike(r"&(?!(?:#\d+|#x[0-9A-Fa-f]+|amp|lt|gt|quot|apos);)") & (begun == ended)
 
 
 def _items() -> Column:
@@ -70,7 +76,7 @@ def _items() -> Column:
 def feed(payloads: DataFrame, config: Feed, since: Column | None = None) -> DataFrame:
     """An RSS feed. The date is taken in the feed's own offset."""
     rows = _rows(payloads, _items()).filter(_well_formed(F.col("block")))
-    rows = rows.select("ordinal", *(_element(F.col("block"), n).alias(n) for n in ("title", "link", "guid", "description", "pubDate")))
+    rows = rows.select("ordinal", *(_element(F.col("block"), n, n == "link").alias(n) for n in ("title", "link", "guid", "description", "pubDate")))
     title, url = clean(F.col("title")), clean(F.col("link"))
     out = rows.select(
         "ordinal", F.lit(config.source).alias("source"), url.alias("url"), title.alias("official_title"),
@@ -82,30 +88,37 @@ def feed(payloads: DataFrame, config: Feed, since: Column | None = None) -> Data
     return _finish(out, since)
 
 
-#: Words that may not end a document type.
-_CONNECTORS = ("de", "del", "la", "el", "los", "las", "por", "que", "y", "a", "en")
+def capitals(text: Column) -> Column:
+    """Each run of letters with a capital first and small letters after."""
+    chars = F.split(F.lower(text), "")
+    return bound(chars, lambda cs: F.array_join(F.transform(cs, lambda c, i: F.when((i > 0) & F.coalesce(F.get(cs, i - 1).rlike(r"\p{L}"), F.lit(False)), c).otherwise(F.initcap(c))), ""))
 
 
-def document_type(title: Column) -> Column:
+def document_type(text: Column) -> Column:
     """The first three words, cut at the first that holds a digit, without connectors at the end, capitalised."""
-    first = F.slice(F.array_remove(F.split(clean(title, False), " "), ""), 1, 3)
-    digit = F.array_position(F.transform(first, lambda x: x.rlike(r"\p{Nd}")), True)
-    kept = F.when(digit > 0, F.slice(first, F.lit(1), (digit - 1).cast("int"))).otherwise(first)
-    text = F.regexp_replace(F.array_join(kept, " "), rf"(?iU)(\s+({'|'.join(_CONNECTORS)}))+$|^({'|'.join(_CONNECTORS)})$", "")
-    return F.initcap(text)
+    first = F.slice(F.array_remove(F.split(clean(text), " "), ""), 1, 3)
+    connector = rf"[.,;:]*(?:{'|'.join(V.TYPE_CONNECTORS)})[.,;:]*"
 
+    def kept(w: Column) -> Column:
+        digit = F.array_position(F.transform(w, lambda x: x.rlike(r"\p{Nd}")), True)
+        return F.when(digit > 0, F.slice(w, F.lit(1), (digit - 1).cast("int"))).otherwise(w)
 
-def gazette(payloads: DataFrame, since: Column | None = None, authority: str = "Diario Oficial de la Federación") -> DataFrame:
-    """The official gazette's feed: dates from ``valueDate``, else from the link's ``fecha``; ids from its ``codigo``."""
+    return capitals(F.regexp_replace(F.array_join(bound(first, kept), " "), rf"(?iu)(?:(?:^|\s+){connector})+$", ""))
+
+
+def gazette(payloads: DataFrame, since: Column | None = None) -> DataFrame:
+    """The official gazette's feed. An item's title is the authority, its description the text that is title, description and,
+    by its first words, document type. Dates come from ``valueDate``, else from the link's ``fecha``; ids from its ``codigo``."""
     rows = _rows(payloads, _items()).filter(_well_formed(F.col("block")))
     rows = rows.select("ordinal", *(_element(F.col("block"), n).alias(n) for n in ("title", "link", "valueDate", "description")))
-    title, url = clean(F.col("title")), clean(F.col("link"))
+    text, url = clean(F.col("description")), clean(F.col("link"))
+    given = F.nullif(F.col("valueDate"), F.lit(""))
+    day = F.when(given.isNull(), parse_date(F.try_url_decode(F.try_parse_url(url, F.lit("QUERY"), F.lit("fecha"))))).otherwise(parse_date(given))
     out = rows.select(
-        "ordinal", F.lit("DOF").alias("source"), url.alias("url"), title.alias("official_title"), title.alias("description"),
-        F.coalesce(parse_date(F.col("valueDate")), parse_date(F.try_url_decode(F.try_parse_url(url, F.lit("QUERY"), F.lit("fecha"))))).alias("published_at"),
-        F.coalesce(F.nullif(clean(F.col("description")), F.lit("")), F.lit(authority)).alias("authority"), document_type(title).alias("document_type"),
-        F.coalesce(F.nullif(F.try_parse_url(url, F.lit("QUERY"), F.lit("codigo")), F.lit("")), short_hash(url)).alias("source_id"),
-    ).filter(F.col("official_title") != "")
+        "ordinal", F.lit("DOF").alias("source"), url.alias("url"), text.alias("official_title"), text.alias("description"), day.alias("published_at"),
+        clean(F.col("title")).alias("authority"), document_type(F.col("description")).alias("document_type"),
+        F.coalesce(F.nullif(F.try_url_decode(F.try_parse_url(url, F.lit("QUERY"), F.lit("codigo"))), F.lit("")), short_hash(url)).alias("source_id"),
+    )
     return _finish(out, since)
 
 
@@ -113,10 +126,12 @@ def senate(payloads: DataFrame, since: Column | None = None) -> DataFrame:
     """The Senate's JSON by year: initiatives only. The payload's own spelling of the title field is kept."""
     entry = "fecha_documento string, titulo_docuemnto string, tema_documento string, link_documento string, organo string, tipo_documento string, nota string"
     rows = _rows(payloads, F.from_json("payload", f"struct<data:array<struct<{', '.join(x.replace(' ', ':') for x in entry.split(', '))}>>>")["data"])
-    title, url, day = clean(F.col("block.titulo_docuemnto")), clean(F.col("block.link_documento")), F.col("block.fecha_documento")
-    out = rows.filter(F.contains(fold(F.col("block.tipo_documento")), F.lit("iniciativa"))).select(
+    title, url, day = clean(F.col("block.titulo_docuemnto")), F.coalesce(F.col("block.link_documento"), F.lit("")), F.col("block.fecha_documento")
+    kind = clean(F.col("block.tipo_documento"))
+    organ = F.when(F.col("block.organo").isNull(), F.lit("Senado de la República")).otherwise(clean(F.col("block.organo")))
+    out = rows.filter(F.contains(F.lower(kind), F.lit("iniciativa"))).select(
         "ordinal", F.lit("Senado").alias("source"), url.alias("url"), title.alias("official_title"), F.coalesce(F.nullif(clean(F.col("block.tema_documento")), F.lit("")), title).alias("description"),
-        parse_date(day).alias("published_at"), F.lit("Senado de la República").alias("authority"), F.lit("Iniciativa").alias("document_type"), short_hash(F.concat_ws("|", url, title, parse_date(day).cast("string"))).alias("source_id"),
+        parse_date(day).alias("published_at"), organ.alias("authority"), kind.alias("document_type"), short_hash(F.concat_ws("|", url, title, parse_date(day).cast("string"))).alias("source_id"),
     )
     return _finish(out, since)
 
@@ -134,46 +149,84 @@ def world_bank(payloads: DataFrame, since: Column | None = None) -> DataFrame:
     return _finish(out, since)
 
 
-def wordpress(payloads: DataFrame, since: Column | None = None, origin: str = "https://www.platiica.economia.gob.mx") -> DataFrame:
-    """A WordPress REST listing: dates from ``modified``, addresses on the public origin from the link's path, else the slug."""
+def wordpress(payloads: DataFrame, since: Column | None = None, origin: str = "https://platiica.economia.gob.mx") -> DataFrame:
+    """A WordPress REST listing: dates from ``modified``, addresses on the public origin from the link's path, else the slug. The
+    excerpt is the description, empty or not."""
     rows = _rows(payloads, F.from_json("payload", "array<struct<id:bigint,modified:string,slug:string,link:string,title:struct<rendered:string>,excerpt:struct<rendered:string>>>"))
-    path = F.try_parse_url(F.col("block.link"), F.lit("PATH"))
+    path = F.regexp_replace(F.coalesce(F.try_parse_url(F.col("block.link"), F.lit("PATH")), F.lit("")), "^/+|/+$", "")
+    slug = F.regexp_replace(F.coalesce(F.col("block.slug"), F.lit("")), "^/+|/+$", "")
     title = clean(F.col("block.title.rendered"))
     out = rows.select(
-        "ordinal", F.lit("PLATIICA").alias("source"), F.col("block.id").cast("string").alias("source_id"), F.concat(F.lit(origin), F.coalesce(F.nullif(path, F.lit("")), F.concat(F.lit("/"), F.col("block.slug"), F.lit("/")))).alias("url"), title.alias("official_title"),
-        F.coalesce(F.nullif(clean(F.col("block.excerpt.rendered")), F.lit("")), title).alias("description"), F.try_to_date(F.substring("block.modified", 1, 10), "yyyy-MM-dd").alias("published_at"), F.lit("Secretaría de Economía").alias("authority"), F.lit("Publicación").alias("document_type"),
-    ).filter(F.col("official_title") != "")
+        "ordinal", F.lit("PLATIICA").alias("source"), F.col("block.id").cast("string").alias("source_id"), F.concat(F.lit(origin + "/"), F.coalesce(F.nullif(path, F.lit("")), slug), F.lit("/")).alias("url"), title.alias("official_title"),
+        clean(F.col("block.excerpt.rendered")).alias("description"), F.try_to_date(F.substring("block.modified", 1, 10), "yyyy-MM-dd").alias("published_at"), F.lit("Secretaría de Economía").alias("authority"), F.lit("Normalización").alias("document_type"),
+    )
     return _finish(out, since)
 
 
 def arbitration_cases(payloads: DataFrame, needle: str = "mexic") -> DataFrame:
-    """(key, status, parties, subject, ordinal): cases of which a party's folded name holds ``needle``."""
+    """Cases of which a party's folded name holds ``needle``, of repeated numbers the last: key, status, claimant, respondent, subject, sector, ordinal."""
     rows = _rows(payloads, F.from_json("payload", "struct<data:struct<GetAllCasesResult:array<struct<caseno:string,claimant:string,respondent:string,status:string,subject:string,econsector:string>>>>")["data"]["GetAllCasesResult"])
     c = F.col("block")
-    return rows.filter(F.contains(fold(c["claimant"]), F.lit(needle)) | F.contains(fold(c["respondent"]), F.lit(needle))).select(clean(c["caseno"]).alias("key"), clean(c["status"]).alias("status"), F.concat(clean(c["claimant"]), F.lit(" v. "), clean(c["respondent"])).alias("parties"), clean(c["subject"]).alias("subject"), "ordinal")
+    rows = rows.filter(F.contains(fold(c["claimant"]), F.lit(needle)) | F.contains(fold(c["respondent"]), F.lit(needle)))
+    names = {"caseno": "key", "status": "status", "claimant": "claimant", "respondent": "respondent", "subject": "subject", "econsector": "sector"}
+    return last_by_key(rows.select(*(clean(c[a]).alias(b) for a, b in names.items()), "ordinal").filter("key <> ''"), "key", "ordinal")
+
+
+def arbitration(cases: DataFrame, previous: DataFrame | None, today: Column) -> DataFrame:
+    """Notices of cases that are new or have another status than in the snapshot ``previous`` (key, status); without one,
+    of pending cases only. The day is the day they were seen, as the source has none."""
+    rows = changes(cases, previous, F.col("status") == "Pending")
+    party = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(V.NO_PARTY))
+    parties = F.concat(party("claimant"), F.lit(" v. "), party("respondent"))
+    labels = F.create_map(*(F.lit(x) for pair in V.CASE_STATUS.items() for x in pair))
+    label = F.coalesce(labels[F.col("status")], F.nullif("status", F.lit("")), F.lit(V.NO_STATUS))
+    extra = [F.when(F.col(c) != "", F.concat(F.lit(f" {name}: "), F.col(c), F.lit("."))).otherwise("") for c, name in (("subject", "Materia"), ("sector", "Sector económico"))]
+    out = rows.select(
+        "ordinal", F.lit("CIADI").alias("source"), short_hash(F.col("key")).alias("source_id"), F.concat(F.lit("https://icsid.worldbank.org/cases/case-database/case-detail?CaseNo="), "key").alias("url"),
+        F.concat(parties, F.lit(" (Caso CIADI No. "), "key", F.lit(")")).alias("official_title"), F.concat(F.lit("Estatus del procedimiento: "), label, F.lit("."), *extra).alias("description"), today.alias("published_at"),
+        F.lit("Centro Internacional de Arreglo de Diferencias Relativas a Inversiones").alias("authority"), F.lit("Caso de arbitraje de inversión").alias("document_type"), parties.alias("case_parties"), F.col("status").alias("case_status"),
+    )
+    return _finish(out, None)
 
 
 def panel_cases(payloads: DataFrame) -> DataFrame:
-    """(key, status, cells, ordinal) of a table with eight cells a row, whose first is a case number."""
+    """Panels of tables with eight cells a row, whose first is a case number, of repeated numbers the last: key, status,
+    cells, page (the payload's ordinal) and ordinal."""
     rows = _rows(payloads, F.regexp_extract_all("payload", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1)))
     rows = rows.withColumn("raw", F.regexp_extract_all("block", F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1))).filter(F.size("raw") >= 8)
-    rows = rows.select("ordinal", *(clean(F.get("raw", i)).alias(f"c{i}") for i in range(8)))
-    return rows.filter(F.col("c0").rlike(r"^[A-Z]{2,4}-")).select(F.col("c0").alias("key"), F.col("c7").alias("status"), F.array(*(f"c{i}" for i in range(8))).alias("cells"), "ordinal")
-
+    rows = rows.select("ordinal", F.col("__o").alias("page"), *(clean(F.get("raw", i)).alias(f"c{i}") for i in range(8)))
+    rows = rows.filter(F.col("c0").rlike(r"^[A-Z]{2,4}-")).select(F.col("c0").alias("key"), F.col("c7").alias("status"), F.array(*(f"c{i}" for i in range(8))).alias("cells"), "page", "ordinal")
+    return last_by_key(rows, "key", "ordinal")
+
+
+def panels(cases: DataFrame, previous: DataFrame | None, today: Column, urls: tuple[str, ...]) -> DataFrame:
+    """Notices of panels that are new or have another status than in the snapshot ``previous``; without one, of all. ``urls``: of
+    the pages, by the payloads' ordinals."""
+    cell = lambda i: F.get("cells", i)
+    out = changes(cases, previous).select(
+        "ordinal", F.lit("Secretariado T-MEC").alias("source"), short_hash(F.col("key")).alias("source_id"), F.get(F.array(*map(F.lit, urls)), F.col("page").cast("int")).alias("url"),
+        F.concat(cell(1), F.lit(" (Panel "), "key", F.lit(")")).alias("official_title"),
+        F.concat(F.lit("Panel del T-MEC "), "key", F.lit(". Mecanismo: "), cell(3), F.lit(". Parte importadora: "), cell(4), F.lit(". Otra parte involucrada: "), cell(5), F.lit(". Solicitud de panel: "), cell(6), F.lit(". Estatus: "), "status", F.lit(".")).alias("description"),
+        today.alias("published_at"), F.lit("Secretariado del T-MEC").alias("authority"), F.lit("Panel de solución de controversias").alias("document_type"), F.concat(cell(4), F.lit(" / "), cell(5)).alias("case_parties"), F.col("status").alias("case_status"),
+    )
+    return _finish(out, None)
 
-def court_listing(payloads: DataFrame, since: Column | None = None) -> DataFrame:
-    """Date headers and the PDF links below them, as one list by offset: each link takes the last date before it."""
-    from pyspark.sql import Window
 
-    events = F.regexp_extract_all("payload", F.lit(r"(?is)<strong[^>]*>.*?</strong>|<li[^>]*>.*?</li>"), F.lit(0))
-    rows = _rows(payloads, events)
-    header = F.when(F.col("block").rlike("(?i)^<strong"), parse_date(clean(F.col("block"))))
+def court_listing(payloads: DataFrame, since: Column | None = None, base: str = "https://www.tfja.gob.mx") -> DataFrame:
+    """Date headers and the PDF links below them, as one list by offset: each link takes the last header before it, of which
+    an impossible date hides the links below it. The link's text is the number, what follows it in the item the description."""
+    events = F.regexp_extract_all("payload", F.lit(r"(?is)<strong>\s*\p{L}+\s+\d{1,2}\s+de\s+\p{L}+\s+de\s+\d{4}\s*</strong>|<li>\s*<a\s+href=\"[^\"]+\.pdf\"[^>]*>[^<]+</a>.*?</li>"), F.lit(0))
+    rows = _rows(payloads, events).withColumn("head", F.col("block").rlike("(?i)^<strong"))
+    # A header whose month is no month leaves the date before it; one whose day is none hides the items below.
+    named = F.col("head") & F.lower("block").rlike(rf"\sde\s+(?:{'|'.join(V.MONTHS)})\s+de\s")
+    day = F.when(named, F.struct(parse_date(clean(F.col("block"))).alias("day")))
     w = Window.partitionBy("__o").orderBy("__p").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("published_at", F.last(header, ignorenulls=True).over(w))
-    url = F.regexp_extract("block", r"(?i)<a[^>]*href=[\"']([^\"']+\.pdf)[\"']", 1)
-    title = clean(F.col("block"))
-    out = rows.filter(F.col("block").rlike("(?i)^<li")).select("ordinal", F.lit("TFJA").alias("source"), url.alias("url"), title.alias("official_title"), title.alias("description"), "published_at", F.lit("Tribunal Federal de Justicia Administrativa").alias("authority"), F.lit("Acuerdo").alias("document_type"), short_hash(url).alias("source_id"))
-    return _finish(out.filter("url <> '' and official_title <> ''"), since)
+    rows = rows.withColumn("published_at", F.last(day, ignorenulls=True).over(w)["day"]).filter("not head")
+    part = lambda i: F.regexp_extract("block", r"(?is)^<li>\s*<a\s+href=\"([^\"]+\.pdf)\"[^>]*>([^<]+)</a>\s*(?:<br\s*/?>)?\s*(.*?)</li>$", i)
+    url, number = absolute(part(1), base), clean(part(2))
+    text = F.coalesce(F.nullif(clean(part(3)), F.lit("")), number)
+    out = rows.select("ordinal", F.lit("TFJA").alias("source"), url.alias("url"), F.concat(F.lit("Acuerdo "), number, F.lit(" del TFJA. "), text).alias("official_title"), text.alias("description"), "published_at", F.lit("Tribunal Federal de Justicia Administrativa").alias("authority"), F.lit("Acuerdo").alias("document_type"), short_hash(url).alias("source_id"))
+    return _finish(out, since)
 
 
 def anchors(payloads: DataFrame) -> DataFrame:
@@ -183,8 +236,9 @@ def anchors(payloads: DataFrame) -> DataFrame:
 
 
 def absolute(href: Column, base: str) -> Column:
-    """A reference as an address on ``base`` (scheme and host)."""
-    return F.when(href.rlike("(?i)^https?:"), href).when(href.startswith("//"), F.concat(F.lit(base.split("//")[0]), href)).when(href.startswith("/"), F.concat(F.lit(base), href)).otherwise(F.concat(F.lit(base + "/"), href))
+    """A reference as an address on ``base`` (scheme and host); one with a scheme of its own stays."""
+    plain = F.regexp_replace(href, r"^(?:\.{1,2}/)+", "")
+    return F.when(href.rlike("(?i)^[a-z][a-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(F.lit(base.split("//")[0]), href)).when(href.rlike("^[/#?]") | (href == ""), F.concat(F.lit(base), href)).otherwise(F.concat(F.lit(base + "/"), plain))
 
 
 def snapshot(payloads: DataFrame) -> DataFrame:

@@ -20,9 +20,9 @@ def test_clean_and_words(spark):
 
 
 def test_fold(spark):
-    rows = ["Ñandú ÉÈ Straße", "ﬁn ª…"]
+    rows = ["Ñandú ÉÈ Straße", "ﬁn ª…", "Łódź ā š ő", "caf\u0065\u0301", "№ ½ Ⅳ", "ΆΣ ё й", "日本 ﾊﾞ", "İ", ""]
     want = ["".join(c for c in unicodedata.normalize("NFKD", x.lower()) if not unicodedata.combining(c)) for x in rows]
-    assert values(spark, rows, lambda c: text.fold(c, full=True)) == want
+    assert values(spark, rows, lambda c: text.fold(c)) == want
 
 
 def test_bounded_summary_lengths(spark):

@@ -153,6 +153,8 @@ def test_editorial_is_all_or_nothing(spark):
     good = spark.createDataFrame([("dof:1", "Nuevo título", first.summary, first.card_body, "Hechos", 5)], schema)
     row = editorial.apply(items, good).first()
     assert row.title == "Nuevo título" and row.ai_generated and row.detail_markdown.startswith("# Nuevo título") and "Hechos" in row.detail_markdown
+    blank = good.withColumn("case_facts", F.lit(" ")).withColumn("color", F.lit("x"))
+    assert {r.code for r in editorial.edit_violations(blank, items).collect()} == {"facts_blank", "field_unknown_color"}
     bad = spark.createDataFrame([("dof:1", "Oficio 12", "corto", first.card_body, None, 7), ("nada", "t", first.summary, first.card_body, None, 1)], schema)
     with pytest.raises(editorial.Rejected) as e:
         editorial.apply(items, bad)
@@ -160,6 +162,6 @@ def test_editorial_is_all_or_nothing(spark):
 
 
 def test_proximity(spark):
-    cases = {"designa a un comisionado": True, "designa. un comisionado": False, "comisionado que designa": True, "designa " + "x" * 200 + " comisionado": False, "designado comisionados": False}
-    df = spark.createDataFrame([(k,) for k in cases], "x string").select("x", terms.near(fold(F.col("x")), ("designa", "designado"), ("comisionado",)).alias("n"))
+    cases = {"designa a un " + "x" * 45 + " comisionado": False, "designa a un comisionado": True, "designa. un comisionado": False, "comisionado que designa": True, "designa " + "x" * 200 + " comisionado": False, "designado comisionados": False}
+    df = spark.createDataFrame([(k,) for k in cases], "x string").select("x", terms.near(fold(F.col("x")), ("designa", "designado"), ("comisionado",), 40).alias("n"))
     assert {r.x: r.n for r in df.collect()} == cases

@@ -24,9 +24,30 @@ def test_feed(spark):
 
 
 def test_gazette(spark):
-    xml = "<rss><item><title>ACUERDO General 12/2026 por el que</title><link>https://d/n.php?codigo=55&amp;fecha=07/07/2026</link><description>SHCP</description><valueDate>06/07/2026</valueDate></item></rss>"
-    r = notices.gazette(load(spark, xml)).first()
-    assert (r.source_id, r.published_at, r.document_type) == ("55", dt.date(2026, 7, 6), "Acuerdo General")
+    item = "<item><title>SECRETARIA DE HACIENDA</title><link>https://d/n.php?codigo=55&amp;fecha=07/07/2026</link><description>{0}</description>{1}</item>"
+    xml = "<rss>" + item.format("ACUERDO General 12/2026 por el que", "<valueDate>06/07/2026</valueDate>") + item.format("Acuerdo Mediante el cual", "") + "</rss>"
+    a, b = notices.gazette(load(spark, xml)).collect()
+    assert (a.source_id, a.published_at, a.document_type, a.authority) == ("55", dt.date(2026, 7, 6), "Acuerdo General", "SECRETARIA DE HACIENDA")
+    assert a.official_title == a.description == "ACUERDO General 12/2026 por el que"
+    assert (b.published_at, b.document_type) == (dt.date(2026, 7, 7), "Acuerdo")
+
+
+def test_document_types(spark):
+    cases = {"FISCALIA GENERAL DE LA REPUBLICA.- Convocatoria": "Fiscalia General", "Proy-nom 001 x": "Proy-Nom", "Instituto Mexicano, de.": "Instituto Mexicano,", "de la que": "", "o'higgins bis": "O'Higgins Bis", "": ""}
+    df = spark.createDataFrame([(x,) for x in cases], "x string").select("x", notices.document_type(F.col("x")).alias("y"))
+    assert {r.x: r.y for r in df.collect()} == cases
+
+
+def test_addresses(spark):
+    cases = {"#x": "https://a.mx#x", "../b/c": "https://a.mx/b/c", "/d": "https://a.mx/d", "//e.mx/f": "https://e.mx/f", "mailto:g": "mailto:g", "HTTP://h": "HTTP://h", "?i=1": "https://a.mx?i=1", "j": "https://a.mx/j"}
+    df = spark.createDataFrame([(x,) for x in cases], "x string").select("x", notices.absolute(F.col("x"), "https://a.mx").alias("y"))
+    assert {r.x: r.y for r in df.collect()} == cases
+
+
+def test_script_strings(spark):
+    cases = {r'''append("a\u00f3\n<\/b> \"q\" \\n")''': 'aó\n</b> "q" \\n', r"""append('d\'e \u00f3 "x" \\t')""": """d'e ó "x" \\t""", r'''append("roto \x41")''': "roto x41", "append('')": ""}
+    df = spark.createDataFrame([(x,) for x in cases], "x string").select("x", pages.script_string(F.col("x")).alias("y"))
+    assert {r.x: r.y for r in df.collect()} == cases
 
 
 def test_json_sources(spark):
@@ -43,9 +64,9 @@ def test_json_sources(spark):
 def test_html_sources(spark):
     row = "".join(f"<td>{x}</td>" for x in ["USA-MEX-1", *"bcdefg", "Active"])
     assert notices.panel_cases(load(spark, f"<table><tr><th>h</th></tr><tr>{row}</tr></table>")).first().status == "Active"
-    html = "<li><a href='x.pdf'>sin fecha</a></li><strong>7 de julio de 2026</strong><ul><li><a href='a.pdf'>Acuerdo &amp; uno</a></li></ul>"
+    html = '<li><a href="x.pdf">sin fecha</a></li><strong>Martes 7 de julio de 2026</strong><ul><li><a href="a.pdf">SS/1</a><br/>Guardia &amp; uno</li></ul><strong>Lunes 31 de junio de 2026</strong><li><a href="b.pdf">SS/2</a></li><strong>Lunes 8 de enro de 2026</strong><li><a href="c.pdf">SS/3</a></li>'
     rows = notices.court_listing(load(spark, html)).collect()
-    assert [(r.official_title, r.published_at) for r in rows] == [("Acuerdo & uno", dt.date(2026, 7, 7))]
+    assert [(r.official_title, r.published_at, r.url) for r in rows] == [("Acuerdo SS/1 del TFJA. Guardia & uno", dt.date(2026, 7, 7), "https://www.tfja.gob.mx/a.pdf")]
     sitemap = "".join(f"<loc>https://www.gob.mx/sitemap-{x}.xml</loc>" for x in ("shcp", "aprendemx", "shcp"))
     assert [r.portal for r in pages.portals(load(spark, sitemap)).collect()] == ["shcp"]
     assert pages.archive_requests(pages.portals(load(spark, sitemap))).count() == 2
@@ -83,10 +104,19 @@ def test_artifacts(spark, tmp_path):
     assert json.loads(open(path).read()) == {"a": "ñ"}
     assert artifacts.read_json(spark, path).first().a == "ñ"
     assert artifacts.read_snapshot(spark, str(tmp_path / "none")) is None
+    artifacts.write_document(spark.range(1).select(F.lit("o").alias("a")), path)
+    assert json.loads(open(path).read()) == {"a": "o"}
+    artifacts.write_site(spark.range(1).select(F.lit(1).alias("p")), spark.range(1).select(F.lit(2).alias("e")), str(tmp_path / "p.json"), path)
+    assert json.loads(open(path).read()) == {"e": 2} and json.loads(open(tmp_path / "p.json").read()) == {"p": 1}
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"PAR1 no")
+    assert artifacts.read_snapshot(spark, str(tmp_path / "broken")) is None
     table = str(tmp_path / "t")
     artifacts.replace_table(spark.createDataFrame([("k", "s")], "key string, status string"), table)
     artifacts.replace_table(artifacts.read_snapshot(spark, table).withColumn("status", F.lit("t")), table)
     assert artifacts.read_snapshot(spark, table).first().status == "t"
+    (tmp_path / "t").rename(tmp_path / "t.before")  # a swap that broke off
+    assert artifacts.read_snapshot(spark, table).first().status == "t"
 
 
 def test_stream_of_statuses(spark, tmp_path):
