@@ -6,9 +6,9 @@ their covered positions are merged and the covered lines removed. So every line
 stands in an earlier place.
 
 Edge cases: null texts stay null, with no lines; a text of fewer than three lines has no window and
-stays; empty lines are lines; an empty text is one empty line; rows that share a key are
-each cut by the positions found for that key, and a first occurrence stays in each of them; a null key
-takes part in nothing; an empty table gives an empty result. All other columns stay as they are.
+stays; empty lines are lines; an empty text is one empty line; rows that share a key are texts of their own, ordered by a hash
+of the text, and rows equal in both are one text, which keeps its first occurrences in each of them; keys may be of any type that has an
+order; a null key takes part in nothing; an empty table gives an empty result. All other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -21,49 +21,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.llm.kernel import line_hashes, mix, raw, runs_of
-from tamiz.llm.shared import materialise, row_count_at_most, slices
+from tamiz.llm.shared import materialise, slices
 
-#: Cut lists of at most so many rows are broadcast to the texts; more are joined by a shuffle.
-BROADCAST_ROWS = 300_000
+#: Cut lists of at most so many rows and positions (4 bytes each) are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_ROWS, BROADCAST_POSITIONS = 300_000, 4_000_000
 
 
 def _windows(width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1):
-                hashes, _, _, before = line_hashes(*raw(part.column(1)))
+            for part in slices(batch, 2):
+                hashes, _, _, before = line_hashes(*raw(part.column(2)))
                 counts = np.diff(before)
                 pos = np.arange(len(hashes)) - np.repeat(before[:-1], counts)
                 start = pos + width <= np.repeat(counts, counts)
                 grams, _ = runs_of(hashes, before, width)
                 other = mix(grams ^ np.roll(hashes, -1) * np.uint64(0xC2B2AE3D27D4EB4F))
                 key = pa.array(np.repeat(np.arange(len(counts)), counts)[start])
-                yield pa.RecordBatch.from_arrays([pa.array(grams[start].view(np.int64)), pa.array(other[start].view(np.int64)), part.column(0).take(key), pa.array(pos[start].astype(np.int32))], ["h1", "h2", "doc", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(grams[start].view(np.int64)), pa.array(other[start].view(np.int64)), part.column(0).take(key), part.column(1).take(key), pa.array(pos[start].astype(np.int32))], ["h1", "h2", "doc", "row", "pos"])
 
     return run
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
-    """(doc, cut): the merged positions (from 0) of the lines to remove, for texts that have any."""
-    texts = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long"), text)
-    windows = materialise(texts.mapInArrow(_windows(width), "h1 long, h2 long, doc long, pos int"), "windows")
-    place = F.struct("doc", "pos")
+    """(doc, row, cut): the merged positions (from 0) of the lines to remove, for texts that have any. ``row`` is a hash of the text."""
+    kind = docs.schema[key].dataType.simpleString()
+    texts = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
+    windows = materialise(texts.mapInArrow(_windows(width), f"h1 long, h2 long, doc {kind}, row long, pos int"), "windows")
+    place = F.struct("doc", "row", "pos")
     first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").select("h1", "h2", "first")
     # Written before the join, so that both its sides are plain exchanges, of which Spark splits hot ones.
     first = materialise(first, "first")
-    later = windows.join(first, ["h1", "h2"]).filter(place != F.col("first")).select("doc", "pos").distinct()
+    later = windows.join(first, ["h1", "h2"]).filter(place != F.col("first")).select("doc", "row", "pos").distinct()
     covered = F.sequence(F.col("pos"), F.col("pos") + (width - 1))
-    return later.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(covered)))).alias("cut"))
+    return later.groupBy("doc", "row").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(covered)))).alias("cut"))
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
     """``docs`` with the later occurrences cut from ``text``, and (replacing columns of these names)
     ``n_lines``, the number of lines before, and ``n_removed``."""
-    cuts = materialise(repeated_lines(docs, key, text, width), "cuts").select(F.col("doc").alias("__doc"), F.col("cut").alias("__cut"))
-    if row_count_at_most(cuts, BROADCAST_ROWS):
+    cuts = materialise(repeated_lines(docs, key, text, width), "cuts").select(F.col("doc").alias("__doc"), F.col("row").alias("__row"), F.col("cut").alias("__cut"))
+    rows, positions = cuts.agg(F.count("*"), F.coalesce(F.sum(F.size("__cut")), F.lit(0))).first()
+    if rows <= BROADCAST_ROWS and positions <= BROADCAST_POSITIONS:
         cuts = F.broadcast(cuts)
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    met = docs.select(names).join(cuts, F.col(key).cast("long") == F.col("__doc"), "left")
+    met = docs.select(names).join(cuts, (F.col(key) == F.col("__doc")) & (F.xxhash64(text) == F.col("__row")), "left")
     n = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1
     lines = F.split(text, "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__cut"))
