@@ -15,7 +15,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -53,27 +52,48 @@ def content_features(texts: pa.Array) -> np.ndarray:
     same[1:] = hashes[1:] == hashes[:-1]
     seen = np.concatenate([[0], np.cumsum(same)])
     out.append((seen[before[1:]] - seen[before[:-1]]) / np.maximum(words, 1))
-    out.append(np.array([len(np.unique(hashes[a:b])) / max(1, b - a) for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True)]))
+    out.append(_different(hashes, before) / np.maximum(words, 1))
     lines, _, _, at = line_hashes(data, offsets)
-    out.append(np.array([len(np.unique(lines[a:b])) / max(1, b - a) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]))
+    out.append(_different(lines, at) / np.maximum(np.diff(at), 1))
     out += [np.log1p(n) / 10, np.log1p(words) / 10, size / np.maximum(words, 1) / 10]
     x = np.stack(out, axis=1) if len(n) else np.zeros((0, 15))
     return np.concatenate([x, np.sqrt(np.maximum(x[:, :6], 0)), (x[:, :6] > 0).astype(float), x[:, 10:12] ** 2], axis=1)
 
 
-#: Columns that the metadata view takes; hashes of the first three, and marks of the URL.
-_BUCKETS = (24, 8, 16)
+def _different(hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """How many different hashes each row has."""
+    owner = np.repeat(np.arange(len(before) - 1), np.diff(before))
+    order = np.lexsort((hashes, owner))
+    first = np.ones(len(order), bool)
+    first[1:] = (hashes[order][1:] != hashes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+    return np.bincount(owner[order][first], minlength=len(before) - 1)
 
 
-def metadata_features(source: list, lang: list, n_chars: list, url: list) -> np.ndarray:
-    out = np.zeros((len(source), sum(_BUCKETS) + 8))
-    for i, (s, g, n, u) in enumerate(zip(source, lang, n_chars, url, strict=True)):
-        for at, size, value in zip((0, 24, 32), _BUCKETS, (s, g, u.split("/")[2] if u and u.count("/") > 2 else None), strict=True):
-            if value is not None:
-                out[i, at + crc32(value.encode()) % size] = 1
-        size = np.log1p(max(n or 0, 0)) / 10
-        out[i, 48:] = (size, size * size, u is not None, u is not None and u.startswith("https"), bool(u) and "?" in u, bool(u) and "#" in u, bool(u) and u.endswith(".html"), bool(u) and u.endswith("/"))
-    return out
+#: Buckets of the metadata view: by hash, of the source, the language and the URL's host.
+_BUCKETS = {"source": 24, "lang": 8, "host": 16}
+_MARKS = ("paged", "secure", "query", "fragment", "html", "folder")
+
+
+def _described(side: DataFrame) -> DataFrame:
+    """(doc_id, y, and what the metadata view sees): the buckets' numbers (null without a value), the size, and marks of the URL."""
+    u = F.col("url")
+    values = {"source": F.col("source"), "lang": F.col("lang"), "host": F.nullif(F.regexp_extract(u, "^[^/]*//([^/]*)/", 1), F.lit(""))}
+    marks = (u.isNotNull(), u.startswith("https"), u.contains("?"), u.contains("#"), u.endswith(".html"), u.endswith("/"))
+    buckets = [(F.crc32(values[c].cast("binary")) % n).cast("int").alias(c) for c, n in _BUCKETS.items()]
+    size = F.log1p(F.greatest(F.coalesce("n_chars", F.lit(0)), F.lit(0)).cast("double")) / 10
+    return side.select("doc_id", "y", *buckets, size.alias("size"), *(F.coalesce(m, F.lit(False)).cast("int").alias(c) for c, m in zip(_MARKS, marks, strict=True)))
+
+
+def metadata_features(columns: dict[str, np.ndarray]) -> np.ndarray:
+    """[rows, features] of the columns that ``_described`` gives; a missing bucket is not a number."""
+    n = len(columns["size"])
+    out = np.zeros((n, sum(_BUCKETS.values())))
+    at = 0
+    for name, size in _BUCKETS.items():
+        known = np.flatnonzero(~np.isnan(columns[name]))
+        out[known, at + columns[name][known].astype(int)] = 1
+        at += size
+    return np.column_stack([out, columns["size"], columns["size"] ** 2, *(columns[m] for m in _MARKS)])
 
 
 def featured(docs: DataFrame, pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -81,12 +101,16 @@ def featured(docs: DataFrame, pages: DataFrame, labels: DataFrame) -> DataFrame:
     page = pages.select(F.expr("try_cast(regexp_extract(url, '^[^:]+://[^/]+/[a-z]+/([0-9]+)', 1) as bigint)").alias("doc_id"), "url").filter("doc_id is not null").groupBy("doc_id").agg(F.min("url").alias("url"))
     known = labels.filter(F.col("quality").isNotNull() & ~held_out("doc_id")).groupBy("doc_id").agg(F.min("quality").alias("y"))
     side = docs.select("doc_id", "source", "lang", "n_chars").join(page, "doc_id", "left").join(known, "doc_id", "left")
-    meta = side.mapInArrow(_metadata, "doc_id long, y int, meta_x binary")
+    meta = _described(side).mapInArrow(_metadata, "doc_id long, y int, meta_x binary")
     text = docs.select("doc_id", "text").mapInArrow(_content, "doc_id long, text_x binary")
     once = meta.groupBy("doc_id").agg(F.max("y").alias("y"), F.max("meta_x").alias("meta_x"))
     return text.join(once, text["doc_id"].eqNullSafe(once["doc_id"]), "left").select(text["doc_id"], "y", "text_x", "meta_x")
 
 
+#: Features of the content view.
+_CONTENT = content_features(pa.array([""])).shape[1]
+
+
 def _pack(x: np.ndarray) -> pa.Array:
     return pa.array([r.tobytes() for r in x.astype(np.float32)], pa.binary())
 
@@ -99,8 +123,8 @@ def _content(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _metadata(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        c = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(batch.schema.names.index("y")), _pack(metadata_features(c["source"], c["lang"], c["n_chars"], c["url"]))], ["doc_id", "y", "meta_x"])
+        columns = {n: batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64) for i, n in enumerate(batch.schema.names) if i > 1}
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _pack(metadata_features(columns))], ["doc_id", "y", "meta_x"])
 
 
 @dataclass
@@ -173,10 +197,12 @@ def cotrain(rows: DataFrame, params: Params = Params()) -> tuple[list[View] | No
         got = _sum(rows.select("y", *columns).mapInArrow(moments, "id int, values binary"))
         if got is None:
             return None, base
-        sizes = [2 * (d + 1) ** 2 for d in (29, 56)]
-        found = [_solve(got[: sizes[0]], params.ridge), _solve(got[sizes[0] :], params.ridge)]
+        cut = 2 * (_CONTENT + 1) ** 2
+        found = [_solve(got[:cut], params.ridge), _solve(got[cut:], params.ridge)]
         if found[0] is None or found[1] is None:
-            return None, base
+            d = _CONTENT + 1
+            bad, good = got[d * d - 1], got[2 * d * d - 1]  # the first round's weights are the labels
+            return None, float(good / (bad + good)) if bad + good > 0 and before[0] is None else base
         edges = [np.linspace(-1.5, 1.5, params.bands) for _ in columns]
 
         def bands(batches, found=found, edges=edges):
