@@ -8,7 +8,7 @@ force decides.
 Edge cases: null or unparsable URLs, a null time, and URLs that no entry covers get the action ``none``; of several
 entries of one pattern and time, the one with the largest action by name holds; entries with nulls are no
 entries; rows that share a key get one result each, the same for equal URLs and times; empty tables give empty results.
-Columns besides the named ones stay, if their names do not clash with the results.
+All other columns stay; those named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -39,18 +39,21 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", fetched:
     """``captures`` with ``host``, ``action``, ``pattern`` and ``valid_from`` of the entry that decides."""
     keep = [c for c in captures.columns if c not in ("host", "action", "pattern", "valid_from")]
     # Equal URLs at equal times are looked up once; hot hosts are spread by their URLs.
-    asked = captures.select(F.col(url).alias("u"), F.col(fetched).alias("t")).distinct().withColumn("h", host(F.col("u"))).filter("h is not null and t is not null")
+    asked = captures.select(F.col(url).alias("__u"), F.col(fetched).alias("__t")).distinct().withColumn("h", host(F.col("__u"))).filter("h is not null and __t is not null")
     labels = F.split("h", r"\.")
-    segment = F.regexp_extract("u", r"^[^:]+://[^/?#]+/([^/?#]+)", 1)
-    hosts = F.transform(F.sequence(F.lit(1), F.size("l")), lambda i: F.array_join(F.slice("l", i, F.size("l")), "."))
+    segment = F.regexp_extract("__u", r"^[^:]+://[^/?#]+/([^/?#]+)", 1)
+    rules = intervals(entries)
+    # The last label alone is a key that half of all captures may share: asked for only if a rule has such a pattern.
+    bare = not rules.filter(~F.contains("pattern", F.lit("."))).isEmpty()
+    last = F.size("l") if bare else F.greatest(F.size("l") - 1, F.lit(1))
+    hosts = F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice("l", i, F.size("l")), "."))
     asked = asked.withColumn("l", labels).withColumn("hosts", hosts).withColumn("s", segment)
     patterns = F.when(F.col("s") == "", F.col("hosts")).otherwise(F.concat("hosts", F.transform("hosts", lambda x: F.concat(x, F.lit("/"), F.col("s")))))
-    asked = asked.select("u", "t", F.explode(patterns).alias("pattern"))
-    rules = intervals(entries)
+    asked = asked.select("__u", "__t", F.explode(patterns).alias("pattern"))
     if row_count_at_most(rules, BROADCAST_ENTRIES):
         rules = F.broadcast(rules)
-    active = (F.col("valid_from") <= F.col("t")) & (F.col("valid_to").isNull() | (F.col("t") < F.col("valid_to")))
+    active = (F.col("valid_from") <= F.col("__t")) & (F.col("valid_to").isNull() | (F.col("__t") < F.col("valid_to")))
     met = asked.join(rules, "pattern").filter(active)
-    best = met.groupBy("u", "t").agg(F.max(F.struct(F.length("pattern").alias("n"), "pattern", "action", "valid_from")).alias("b"))
-    out = captures.select(keep).join(best, F.col(url).eqNullSafe(F.col("u")) & F.col(fetched).eqNullSafe(F.col("t")), "left")
-    return out.select(*keep, host(F.col(url)).alias("host"), F.coalesce("b.action", F.lit("none")).alias("action"), F.col("b.pattern").alias("pattern"), F.col("b.valid_from").alias("valid_from"))
+    best = met.groupBy("__u", "__t").agg(F.max(F.struct(F.length("pattern").alias("n"), "pattern", "action", "valid_from")).alias("__b"))
+    out = captures.select(keep).join(best, F.col(url).eqNullSafe(F.col("__u")) & F.col(fetched).eqNullSafe(F.col("__t")), "left")
+    return out.select(*keep, host(F.col(url)).alias("host"), F.coalesce("__b.action", F.lit("none")).alias("action"), F.col("__b.pattern").alias("pattern"), F.col("__b.valid_from").alias("valid_from"))
