@@ -472,3 +472,39 @@ def test_the_pipeline_on_the_smallest_tables(spark):
     assert 0.5 * docs.count() < n < docs.count()
     packed = corpus_pipeline.STAGES[-1][1](spark, kept, SMALL)
     assert packed.select("doc_id").distinct().count() == n
+
+
+def test_lines_of_rows_that_share_a_key(spark):
+    text = lambda *ls: "\n".join(ls)
+    rows = [("k1", text(*"abc"), "u"), ("k2", text(*"abc"), "u"), ("k2", text(*"xyzw"), "u"), ("k3", text(*"xyz"), None), ("k3", text(*"xyz"), None), (None, text(*"abc"), "u")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, pos string")
+    got = sorted((r.doc_id or "", r.text, r.n_removed) for r in lines.dedup_lines(df).collect())
+    assert got == [("", "a\nb\nc", 0), ("k1", "a\nb\nc", 0), ("k2", "", 3), ("k2", "x\ny\nz\nw", 0), ("k3", "", 3), ("k3", "", 3)]
+
+
+def test_url_filter_keeps_columns_with_clashing_names(spark):
+    entries = spark.createDataFrame([("com", "block", 1)], "pattern string, action string, effective int")
+    df = spark.createDataFrame([("http://a.com", 2, 1, 2, 3, 4, 5)], "url string, fetched_at int, u int, t int, b int, l int, h int")
+    r = urls.evaluate(df, entries).first()
+    assert (r.u, r.t, r.b, r.l, r.h, r.host, r.action, r.pattern) == (1, 2, 3, 4, 5, "a.com", "block", "com")
+
+
+def test_cotraining_without_both_classes(spark):
+    docs = spark.createDataFrame([(1, "uno", "s", "es", 3), (2, None, None, None, None)], "doc_id long, text string, source string, lang string, n_chars long")
+    pages = spark.createDataFrame([], "page_id long, url string")
+    for given, want in ([(1, 1)], 1.0), ([(1, 0)], 0.0), ([], 0.5), ([(1, None)], 0.5):
+        got = quality.score(docs, pages, spark.createDataFrame(given, "doc_id long, quality int")).collect()
+        assert [r.text_score for r in got] == [want] * 2
+
+
+def test_different_hashes_are_counted_by_row():
+    r = np.random.default_rng(2)
+    hashes, before = r.integers(0, 5, 40).astype(np.uint64), np.array([0, 0, 7, 7, 20, 40])
+    assert quality._different(hashes, before).tolist() == [len(set(hashes[a:b].tolist())) for a, b in itertools.pairwise(before)]
+
+
+def test_winnowing_selects_a_fingerprint_once_for_a_run_of_windows(spark):
+    text = " ".join(f"w{i % 31}" for i in range(200)) + " la" * 100
+    row = decontaminate._scanned(spark.createDataFrame([("a", text)], "id string, text string"), [10], 10, 5, None, True).first()
+    assert row.n_words == 300 and sum(len(f["keys"]) for f in row.found) == 291 and len(row.found) < 120
+    assert all(a.fp != b.fp and a.pos + len(a["keys"]) == b.pos for a, b in itertools.pairwise(row.found))
