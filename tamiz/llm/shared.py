@@ -33,12 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset (tests on one machine) a temporary folder is made and set.
+    Only where it is unset on one machine, as in tests, a temporary folder is made and set; a cluster without one is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         made = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = made.get() if made.isDefined() else None
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not path:
         path = "file://" + tempfile.mkdtemp(prefix="tamiz-shared-")
         spark.sparkContext.setCheckpointDir(path)
