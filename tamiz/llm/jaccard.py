@@ -20,8 +20,8 @@ Hot shingles are dealt over several tasks by a salt (to find shared ones) and by
 length (to read long lists), so no task takes a whole list that grows with the data.
 
 Edge cases: null and empty texts, and texts without words, have size 0 and link with nothing; rows that
-share an id are one document, with one result row each; a null id gets a null component; ties need no
-order; an empty table gives an empty result. Columns besides the key and the text are never read.
+share an id are one document, with one result row each: where their texts differ, the links of any of them are
+the document's, and each row, one of an empty text too, has its component; a null id gets a null component; ties need no order; an empty table gives an empty result. Columns besides the key and the text are never read.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tamiz.llm.components import connected
 from tamiz.llm.kernel import BLANK, LOWER, raw, runs_of, tokens
-from tamiz.llm.shared import discard, materialise, row_count_at_most, slices
+from tamiz.llm.shared import discard, materialise, release, row_count_at_most, slices
 
 #: The sketch has 2**BITS counters, sent in CHUNKS pieces.
 BITS, CHUNKS = 20, 256
@@ -207,7 +207,8 @@ def _pick(texts: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def may_link(pairs: DataFrame, bits: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (x, nx, y, ny) whose parity bitmaps allow a link. ``bits``: (doc, n, bits)."""
+    """Pairs (x, nx, y, ny) whose parity bitmaps allow a link. ``bits``: (doc, n, bits), with several rows for a document of
+    several texts; then a pair comes once for each two bitmaps that allow it."""
     x = bits.select(F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
     y = bits.select(F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("bits").alias("by"))
     met = pairs.join(x, ["x", "nx"]).join(y, ["y", "ny"])
@@ -216,13 +217,16 @@ def may_link(pairs: DataFrame, bits: DataFrame, threshold: int) -> DataFrame:
 
 
 def overlaps(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """``pairs`` (x, nx, y, ny) with their exact overlap ``o``. ``texts``: (doc, text)."""
+    """``pairs`` (x, nx, y, ny) with their exact overlap ``o``, written. ``texts``: (doc, text)."""
     ids = materialise(pairs.select(F.col("x").alias("doc")).union(pairs.select("y")).distinct(), "ids")
     sets = materialise(_pick(texts, ids).mapInArrow(_set_rows(k), "doc long, grams array<long>"), "sets")
     x = sets.select(F.col("doc").alias("x"), F.col("grams").alias("gx"))
     y = sets.select(F.col("doc").alias("y"), F.col("grams").alias("gy"))
     met = pairs.join(x, "x").filter(F.size("gx") == F.col("nx")).join(y, "y").filter(F.size("gy") == F.col("ny"))
-    return met.select("x", "nx", "y", "ny", F.size(F.array_intersect("gx", "gy")).alias("o")).groupBy("x", "nx", "y", "ny").agg(F.max("o").alias("o"))
+    out = materialise(met.select("x", "nx", "y", "ny", F.size(F.array_intersect("gx", "gy")).alias("o")).groupBy("x", "nx", "y", "ny").agg(F.max("o").alias("o")), "compared")
+    del x, y, met
+    discard(ids, sets)
+    return out
 
 
 def _required(nx, ny, threshold: int):
@@ -319,40 +323,48 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     sizes = measured.filter("chunk is null").select("doc", "n", "k1", "k2")
     # Tables are written before they meet hot keys, so that both sides of a join are plain exchanges, which Spark can split.
     classes = materialise(sizes.filter("n > 0 and doc is not null").groupBy("n", "k1", "k2").agg(F.min("doc").alias("node")), "classes")
+    sign = F.struct("n", "k1", "k2")
+    several = sizes.filter("n > 0 and doc is not null").groupBy("doc").agg(F.min(sign).alias("low"), F.max(sign).alias("high")).filter("low <> high").select("doc")
+    several = materialise(several, "several")
     members = sizes.join(classes, ["n", "k1", "k2"], "left").select("doc", "n", F.coalesce("node", "doc").alias("node"))
     members = materialise(members, "members")
 
     index = texts.mapInArrow(_prefixes(k, threshold, levels), "token long, salt int, doc long, n int, pos int")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     index = index.repartition(parts, "token", "salt").sortWithinPartitions("token", "salt").mapInArrow(_shared, "token long, doc long, n int, pos int")
-    index = materialise(index, "index")
+    found = materialise(index, "index")
+    del index
+    release(docs.sparkSession)  # the prefixes' shuffle files: all that is shared is written
     nodes = members.filter("n > 0 and doc is not null").select("doc", "n", "node").distinct()
-    index = materialise(index.join(nodes, ["doc", "n"]).select("token", "node", "n", "pos").distinct(), "lists")
+    index = materialise(found.join(nodes, ["doc", "n"]).select("token", "node", "n", "pos").distinct(), "lists")
+    discard(found, measured)
 
-    linked = materialise(classes.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")), "links")
-    known, labels, bits = None, None, None
+    # A document of several texts links the classes of all of them.
+    linked = materialise(nodes.join(several, "doc").select(F.col("doc").alias("a"), F.col("node").alias("b")), "links")
+    known, labels, bits, written = None, None, None, index
     for pick in (F.min, F.max):
         lists = _with_labels(index, labels)
         me = F.struct("node", "n", "pos", "label")
         centres = lists.groupBy("token").agg(pick(me).alias("c"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token", "c")
         centres = materialise(centres, "centres")
         # Lists of one cluster are done; only the others go on.
-        before, met = index, materialise(lists.join(centres, "token"), "lists")
-        index = met.select("token", "node", "n", "pos")
-        discard(centres, *([before] if labels is None else []))
+        met = materialise(lists.join(centres, "token"), "lists")
+        del lists
+        discard(centres, written)
+        written, index = met, met.select("token", "node", "n", "pos")
         if bits is None:
             ids = materialise(index.select(F.col("node").alias("doc")).distinct(), "ids")
-            bits = materialise(_pick(texts, ids).mapInArrow(_parities(k), "doc long, n int, bits array<long>, small array<long>").dropDuplicates(["doc", "n"]), "bits")
+            bits = materialise(_pick(texts, ids).mapInArrow(_parities(k), "doc long, n int, bits array<long>, small array<long>").dropDuplicates(["doc", "n", "bits"]), "bits")
         pairs = met.filter(F.col("label") != F.col("c.label"))
         nx, ny, need = F.col("c.n"), F.col("n"), _required(F.col("c.n"), F.col("n"), threshold)
         pairs = pairs.filter((nx - F.col("c.pos") >= need) & (ny - F.col("pos") >= need) & (100 * F.least(nx, ny) >= threshold * F.greatest(nx, ny)))
         pairs = materialise(pairs.select(F.col("c.node").alias("x"), nx.alias("nx"), F.col("node").alias("y"), ny.alias("ny")).distinct(), "pairs")
-        pairs = materialise(may_link(pairs, bits, threshold), "pairs")
-        compared = materialise(overlaps(pairs, texts, k), "compared")
+        tried, pairs = pairs, materialise(may_link(pairs, bits, threshold), "pairs")
+        compared = overlaps(pairs, texts, k)
         known = compared if known is None else known.union(compared)
         linked = linked.union(_links(compared, threshold))
         labels = connected(linked)
-        discard(pairs)
+        discard(tried, pairs)
 
     # Lists that still hold several clusters.
     lists = _with_labels(index, labels)
@@ -360,17 +372,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     left = lists.groupBy("token").agg(F.min(me).alias("c"), F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m")).filter("low <> high").select("token", F.col("c.node").alias("centre"), "m")
     left = materialise(left, "left")
     answers = known.select(F.col("x").alias("centre"), F.col("y").alias("node"), "o").groupBy("centre", "node").agg(F.min("o").alias("o"))
-    lists = lists.join(left, "token").join(answers, ["centre", "node"], "left").select("token", "node", "n", "pos", "label", F.when(F.col("node") == F.col("centre"), F.col("n")).otherwise(F.coalesce("o", F.lit(-1))).cast("int").alias("o"), F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    if not several.isEmpty():  # an overlap says nothing of a document's other texts
+        answers = answers.join(several.withColumnRenamed("doc", "centre"), "centre", "left_anti").join(several.withColumnRenamed("doc", "node"), "node", "left_anti")
+        own = several.select(F.col("doc").alias("centre"), F.lit(True).alias("many"))
+        left = left.join(own, "centre", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    else:
+        left = left.withColumn("many", F.lit(False))
+    lists = lists.join(left, "token").join(answers, ["centre", "node"], "left").select("token", "node", "n", "pos", "label", F.when(~F.col("many") & (F.col("node") == F.col("centre")), F.col("n")).otherwise(F.coalesce("o", F.lit(-1))).cast("int").alias("o"), F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     lists = lists.join(bits.select(F.col("doc").alias("node"), "n", "small"), ["node", "n"])
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     lists = lists.withColumn("side", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lists = lists.select("token", F.least("side", "other").alias("bi"), F.greatest("side", "other").alias("bj"), "n", "pos", "node", "label", "o", "side", "small")
     order = ["token", "bi", "bj", "n", "pos"]
     pairs = lists.repartition(parts, "token", "bi", "bj").sortWithinPartitions(*order).mapInArrow(_blocks(threshold), "x long, nx int, y long, ny int").distinct()
-    tried = known.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    pairs = materialise(pairs.join(tried, ["x", "y"], "left_anti").select("x", "nx", "y", "ny"), "pairs")
-    pairs = materialise(may_link(pairs, bits, threshold), "pairs")
-    compared = materialise(overlaps(pairs, texts, k), "compared")
+    swap = F.col("x") > F.col("y")
+    tried = known.select(F.least("x", "y").alias("x"), F.when(swap, F.col("ny")).otherwise(F.col("nx")).alias("nx"), F.greatest("x", "y").alias("y"), F.when(swap, F.col("nx")).otherwise(F.col("ny")).alias("ny"))
+    fresh = materialise(pairs.join(tried, ["x", "nx", "y", "ny"], "left_anti").select("x", "nx", "y", "ny"), "pairs")
+    del lists, pairs
+    discard(written)
+    pairs = materialise(may_link(fresh, bits, threshold), "pairs")
+    discard(fresh, bits)
+    compared = overlaps(pairs, texts, k)
     labels = connected(linked.union(_links(compared, threshold)))
 
     out = members.join(labels.withColumnRenamed("label", "reached"), "node", "left")

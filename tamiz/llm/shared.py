@@ -59,14 +59,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes tables that ``materialise`` wrote and that nothing will read again, and lets Spark's cleaner
-    drop the shuffle files that no plan refers to any more."""
+    """Deletes tables that ``materialise`` wrote and that nothing will read again, and releases shuffle files."""
     for df in tables:
         spark = df.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(df._table_path)
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    release(tables[0].sparkSession)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files that no plan refers to any more."""
     gc.collect()
-    tables[0].sparkSession._jvm.System.gc()
+    spark._jvm.System.gc()
 
 
 def held_out(doc_id: Column | str) -> Column:

@@ -77,6 +77,29 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, block):
     assert got == {i: (len(s), label[i]) for i, s in enumerate(sets)}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_jaccard_links_all_texts_of_an_id(spark, monkeypatch, seed):
+    """Rows that share an id are one document: each has its component, whose links are those of all its texts."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    r = random.Random(seed)
+    rows = [(r.randrange(60), t) for t in made_texts(110, seed + 50)]
+    sets = []
+    for _, t in rows:
+        w = words(r"[^\x20\x09-\x0D]+", t)
+        sets.append(set(zip(*(w[k:] for k in range(5)), strict=False)) if len(w) >= 5 else ({tuple(w)} if w else set()))
+    pairs = []
+    for (i, a), (j, b) in itertools.combinations(zip([d for d, _ in rows], sets, strict=True), 2):
+        o = len(a & b)
+        if o and 100 * o >= 80 * (len(a) + len(b) - o):
+            pairs.append((i, j))
+    label = {d: d for d, _ in rows}
+    for _ in range(120):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(x) for x in got) == sorted((d, len(s), label[d]) for (d, _), s in zip(rows, sets, strict=True))
+
+
 def test_components(spark):
     r = random.Random(5)
     pairs = [(r.randrange(80), r.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(100, 140)]
