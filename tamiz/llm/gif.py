@@ -1,11 +1,15 @@
 """GIF: LZW code streams, palettes, disposal and transparency; timed frames with colour histograms.
 
-``encode`` stores 8-bit samples as frames of one grey palette. Its code stream is a valid LZW stream of
-single-sample codes with a clear code before the code size would grow, which numpy packs and unpacks at
-once. ``decode`` reads any GIF 87a or 89a; streams with longer codes take the general decoder.
+``encode`` stores 8-bit samples as frames of one palette of 256 different colours, by adaptive LZW with codes of
+9 to 12 bits. ``decode`` reads any GIF 87a or 89a and shows its frames.
+
+Reading a code stream needs no loop over codes. Entry k of the table is the string of the k-th code since
+the last clear code and the first sample of the next one, so it stands in the output, where the k-th code's
+string begins, one sample longer. Codes therefore are references back into their own output; pointer
+doubling finds the lengths of all strings of a segment, then the literal behind each sample.
 
 Edge cases: null is empty, and an empty payload is stored as 64 zero bytes; equal texts have equal results;
-broken files raise ValueError in ``decode``, and give one row with an error in ``frames``; an
+broken files raise ValueError in ``decode``, and have in ``frames`` a row with an error after the frames that could be shown; an
 empty table gives an empty result. Columns besides the named ones are never read.
 """
 
@@ -24,10 +28,11 @@ from pyspark.sql import DataFrame
 from tamiz.llm.shared import slices
 
 WIDTH, ROWS = 64, 4096
-#: Samples between clear codes: below the 254 after which codes would need ten bits.
-GROUP = 248
-_GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).tobytes()
-_SHIFTS = np.arange(0, 63, 9, dtype=np.uint64)
+#: Entries of a code table, and codes read at once at first.
+FULL, CHUNK = 4096, 512
+_SAMPLES = np.arange(256, dtype=np.uint8)
+#: The colour of a sample: three bits of red, three of green, two of blue.
+_PALETTE = np.stack([_SAMPLES & 0xE0, (_SAMPLES & 0x1C) << 3, (_SAMPLES & 3) << 6], axis=1)
 
 
 @dataclass
@@ -39,40 +44,57 @@ class Frame:
     pixels: np.ndarray
 
 
-def _pack9(codes: np.ndarray) -> np.ndarray:
-    n = len(codes)
-    c = np.zeros(-(-n // 8) * 8, np.uint64)
-    c[:n] = codes
-    c = c.reshape(-1, 8)
-    low = (c[:, :7] << _SHIFTS).sum(1, dtype=np.uint64) | (c[:, 7] << np.uint64(63))
-    out = np.empty((len(c), 9), np.uint8)
-    out[:, :8] = low.view(np.uint8).reshape(-1, 8)
-    out[:, 8] = c[:, 7] >> np.uint64(1)
-    return out.reshape(-1)[: -(-n * 9 // 8)]
-
-
-def _unpack9(data: np.ndarray) -> np.ndarray:
-    n = len(data) * 8 // 9
-    padded = np.zeros(-(-len(data) // 9) * 9, np.uint8)
-    padded[: len(data)] = data
-    b = padded.reshape(-1, 9)
-    low = np.ascontiguousarray(b[:, :8]).view(np.uint64)[:, 0]
-    out = np.empty((len(b), 8), np.uint16)
-    out[:, :7] = (low[:, None] >> _SHIFTS) & np.uint64(511)
-    out[:, 7] = (low >> np.uint64(63)) | (b[:, 8].astype(np.uint64) << np.uint64(1))
-    return out.reshape(-1)[:n]
-
-
-def _lzw_literals(samples: np.ndarray) -> bytes:
-    """A code stream of single samples, in sub-blocks."""
-    n = len(samples)
-    groups = -(-n // GROUP)
-    codes = np.full(groups * (GROUP + 1), 256, np.uint16)
-    body = np.zeros(groups * GROUP, np.uint16)
-    body[:n] = samples
-    codes.reshape(groups, -1)[:, 1:] = body.reshape(groups, -1)
-    codes = np.append(codes[: n + groups], np.uint16(257))
-    data = _pack9(codes)
+def _widths(bits: int) -> np.ndarray:
+    """Bits of the t-th code since a clear code, up to the first of twelve bits that all later ones repeat."""
+    out = np.minimum(np.log2(np.arange(FULL) + (1 << bits) + 1).astype(np.int64) + 1, 12)
+    out[0] = bits + 1
+    return out
+
+
+#: By minimum code size.
+_WIDTHS = {bits: _widths(bits) for bits in range(1, 9)}
+
+
+def _codes(samples: bytes) -> list[int]:
+    """Adaptive LZW of 8-bit samples: the longest strings in the table, and a clear code whenever it is full."""
+    table: dict[int, int] = {}
+    find = table.get
+    out = [256]
+    entry, string = 258, samples[0]
+    for sample in memoryview(samples)[1:]:
+        key = string << 8 | sample
+        longer = find(key)
+        if longer is not None:
+            string = longer
+            continue
+        out.append(string)
+        if entry < FULL:
+            table[key] = entry
+            entry += 1
+        else:
+            out.append(256)
+            table.clear()
+            entry = 258
+        string = sample
+    out += (string, 257)
+    return out
+
+
+def _lzw(samples: bytes) -> bytes:
+    """A code stream in sub-blocks."""
+    codes = np.array(_codes(samples), np.uint32)
+    places = np.arange(len(codes))
+    cleared = np.maximum.accumulate(np.where(codes == 256, places, 0))
+    since = places[1:] - cleared[:-1] - 1
+    widths = np.concatenate([[9], _WIDTHS[8][np.minimum(since, FULL - 1)]])
+    ends = np.cumsum(widths)
+    starts = ends - widths
+    # Codes have more bits than a byte, so no two of them begin in the same one.
+    at, shifted = starts >> 3, codes << (starts & 7).astype(np.uint32)
+    data = np.zeros((int(ends[-1]) + 7 >> 3) + 2, np.uint8)
+    for k in range(3):
+        data[at + k] |= (shifted >> np.uint32(8 * k)).astype(np.uint8)
+    data = data[: int(ends[-1]) + 7 >> 3]
     full = len(data) // 255
     blocks = np.empty((full, 256), np.uint8)
     blocks[:, 0] = 255
@@ -83,65 +105,89 @@ def _lzw_literals(samples: np.ndarray) -> bytes:
 
 def encode(payload: bytes, delay_cs: int = 10) -> bytes:
     """A GIF whose samples are ``payload`` (a positive multiple of 64 bytes), 64 wide, at most ROWS high a frame."""
-    samples = np.frombuffer(payload, np.uint8)
-    height = min(len(samples) // WIDTH, ROWS)
-    out = [b"GIF89a", struct.pack("<HHBBB", WIDTH, height, 0xF7, 0, 0), _GREY]
-    for at in range(0, len(samples), WIDTH * ROWS):
-        part = samples[at : at + WIDTH * ROWS]
-        out.append(b"\x21\xf9\x04" + struct.pack("<BHBB", 1 << 2, delay_cs, 0, 0))
+    height = min(len(payload) // WIDTH, ROWS)
+    out = [b"GIF89a", struct.pack("<HHBBB", WIDTH, height, 0xF7, 0, 0), _PALETTE.tobytes()]
+    for at in range(0, len(payload), WIDTH * ROWS):
+        part = payload[at : at + WIDTH * ROWS]
+        # Each frame goes before the next one comes, so that a shorter last one is shown alone.
+        out.append(b"\x21\xf9\x04" + struct.pack("<BHBB", 2 << 2, delay_cs, 0, 0))
         out.append(b"\x2c" + struct.pack("<HHHHB", 0, 0, WIDTH, len(part) // WIDTH, 0))
-        out.append(_lzw_literals(part))
+        out.append(_lzw(part))
     return b"".join([*out, b"\x3b"])
 
 
+def _segments(data: bytes, bits: int) -> Iterator[np.ndarray]:
+    """The codes between clear codes, up to the end code or the last whole code."""
+    read = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
+    read = read[:-2] | read[1:-1] << np.uint32(8) | read[2:] << np.uint32(16)
+    total, table, clear = len(data) * 8, _WIDTHS[bits], 1 << bits
+    at = since = 0
+    chunk, parts = CHUNK, []
+    while True:
+        widths = table[since : since + chunk]
+        if len(widths) < chunk:
+            widths = np.concatenate([widths, np.full(chunk - len(widths), 12)])
+        ends = at + np.cumsum(widths)
+        whole = int(np.searchsorted(ends, total, side="right"))
+        starts = ends[:whole] - widths[:whole]
+        codes = (read[starts >> 3] >> (starts & 7).astype(np.uint32)).astype(np.int64) & (1 << widths[:whole]) - 1
+        marks = np.flatnonzero(codes >> 1 == clear >> 1)  # clear and end
+        if len(marks):
+            stop = int(marks[0])
+            parts.append(codes[:stop])
+            yield np.concatenate(parts)
+            if codes[stop] != clear:
+                return
+            chunk, parts, since, at = max(CHUNK, stop * 2), [], 0, int(ends[stop])
+        elif whole < chunk:
+            yield np.concatenate([*parts, codes])
+            return
+        else:
+            parts.append(codes)
+            since, at, chunk = since + whole, int(ends[-1]), chunk * 2
+
+
+def _expand(codes: np.ndarray, clear: int, size: int) -> np.ndarray:
+    """The samples of one segment's codes, at most ``size``."""
+    places = np.arange(len(codes))
+    back = codes - (clear + 2)
+    plain = back < 0
+    unknown = np.flatnonzero((back >= places) | (back >= FULL - clear - 2))
+    if len(unknown):  # of no matter after the last sample
+        out = _expand(codes[: unknown[0]], clear, size)
+        if len(out) < size:
+            raise ValueError("an LZW code that is not in the table")
+        return out
+    up, longer = np.where(plain, places, back), (~plain).astype(np.int64)
+    while (more := longer[up]).any():
+        longer, up = longer + more, up[up]
+    lengths = longer + 1
+    stops = np.cumsum(lengths)
+    starts = stops - lengths
+    n = int(np.searchsorted(starts, size))
+    codes, plain, lengths, starts = codes[:n], plain[:n], lengths[:n], starts[:n]
+    moved = np.where(plain, 0, starts[np.maximum(back[:n], 0)] - starts)
+    total = int(lengths.sum())
+    literal, out = np.zeros(total, bool), np.zeros(total, np.uint8)
+    literal[starts[plain]] = True
+    out[starts[plain]] = codes[plain]
+    source = np.arange(total) + np.repeat(moved, lengths)
+    while not literal[source].all():
+        source = source[source]
+    return out[source][:size]
+
+
 def lzw_decode(data: bytes, bits: int, size: int) -> np.ndarray:
     """The samples of an LZW code stream of minimum code size ``bits``; at most ``size`` of them."""
-    if bits == 8:
-        codes = _unpack9(np.frombuffer(data, np.uint8))
-        marks = np.flatnonzero(codes >= 256)
-        if len(marks) and marks[0] == 0 and codes[marks[-1]] in (256, 257):
-            ends = np.flatnonzero(codes == 257)
-            stop = int(ends[0]) if len(ends) else len(codes)
-            marks = marks[marks <= stop]
-            gaps = np.diff(np.append(marks, stop)) if len(ends) == 0 else np.diff(marks)
-            if (codes[marks] <= 257).all() and (gaps <= 255).all():
-                codes = codes[:stop]
-                return codes[codes < 256].astype(np.uint8)[:size]
-    return _lzw_general(data, bits, size)
-
-
-def _lzw_general(data: bytes, bits: int, size: int) -> np.ndarray:
-    clear, end = 1 << bits, (1 << bits) + 1
-    base = [bytes([i]) for i in range(clear)] + [b"", b""]
-    words, width, before = list(base), bits + 1, b""
-    out, got = [], 0
-    pool = have = 0
-    for byte in data:
-        pool |= byte << have
-        have += 8
-        while have >= width:
-            code = pool & ((1 << width) - 1)
-            pool >>= width
-            have -= width
-            if code == clear:
-                words, width, before = list(base), bits + 1, b""
-                continue
-            if code == end or got >= size:
-                return np.frombuffer(b"".join(out), np.uint8)[:size]
-            if code < len(words):
-                word = words[code]
-            elif code == len(words) and before:
-                word = before + before[:1]
-            else:
-                raise ValueError("an LZW code that is not in the table")
-            if before and len(words) < 4096:
-                words.append(before + word[:1])
-            if len(words) == 1 << width and width < 12:
-                width += 1
-            out.append(word)
-            got += len(word)
-            before = word
-    return np.frombuffer(b"".join(out), np.uint8)[:size]
+    if bits not in _WIDTHS:
+        raise ValueError("an LZW code size out of range")
+    out, got = [np.zeros(0, np.uint8)], 0
+    for codes in _segments(data, bits):
+        out.append(_expand(codes, 1 << bits, size - got))
+        got += len(out[-1])
+        if got >= size:
+            break
+    return np.concatenate(out)
 
 
 def _sub_blocks(data: bytes, at: int) -> tuple[bytes, int]:
@@ -203,18 +249,19 @@ def decode(data: bytes) -> Iterator[Frame]:
     for image in images(data):
         width, height = image["screen"]
         if screen is None:
-            screen = np.zeros((height, width, 4), np.uint8)
-        if image["palette"] is None:
+            screen = np.zeros((height, width), np.uint32)
+        if image["palette"] is None or len(image["palette"]) == 0:
             raise ValueError("no palette")
         before = screen.copy() if image["disposal"] == 3 else None
-        index = image["index"][: height - image["top"], : width - image["left"]]
+        index = image["index"][: max(height - image["top"], 0), : max(width - image["left"], 0)]
         place = (slice(image["top"], image["top"] + index.shape[0]), slice(image["left"], image["left"] + index.shape[1]))
-        colours = np.concatenate([image["palette"][np.minimum(index, len(image["palette"]) - 1)], np.full((*index.shape, 1), 255, np.uint8)], axis=2)
+        palette = image["palette"]
+        rgba = np.concatenate([palette[np.minimum(_SAMPLES, len(palette) - 1)], np.full((256, 1), 255, np.uint8)], axis=1).view(np.uint32)[:, 0]
         if image["transparent"] is None:
-            screen[place] = colours
+            screen[place] = rgba[index]
         else:
-            screen[place] = np.where((index == image["transparent"])[..., None], screen[place], colours)
-        yield Frame(clock, image["delay_ms"], screen.copy())
+            screen[place] = np.where(index == image["transparent"], screen[place], rgba[index])
+        yield Frame(clock, image["delay_ms"], screen.copy().view(np.uint8).reshape(height, width, 4))
         clock += image["delay_ms"]
         if image["disposal"] == 2:
             screen[place] = 0
@@ -222,6 +269,13 @@ def decode(data: bytes) -> Iterator[Frame]:
             screen = before
 
 
+def samples(pixels: np.ndarray) -> np.ndarray:
+    """The samples behind the visible pixels of a frame that ``encode`` stored, from their colours."""
+    p = pixels.reshape(-1, 4)
+    p = p[p[:, 3] > 0]
+    return p[:, 0] | p[:, 1] >> 3 | p[:, 2] >> 6
+
+
 def histogram(pixels: np.ndarray) -> list[int]:
     """Counts of visible pixels in 64 colours: two bits each of red, green and blue."""
     p = pixels.reshape(-1, 4)
@@ -237,15 +291,19 @@ def frames(df: DataFrame, key: str, data: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows, error = [], None
-                try:
-                    rows = [(i, f.start_ms, f.delay_ms, f.pixels.shape[1], f.pixels.shape[0], f.pixels.tobytes(), histogram(f.pixels)) for i, f in enumerate(decode(x or b""))]
-                except (ValueError, IndexError, struct.error) as e:
-                    error = str(e)
-                rows = [(k, *r, None) for r in rows] + ([(k, *[None] * 7, error)] if error else [])
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            for part in slices(batch, 1):
+                for k, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    yield from map(one, shown(k, x or b""))
+
+    def shown(k, data: bytes) -> Iterator[tuple]:
+        try:
+            for i, f in enumerate(decode(data)):
+                yield k, i, f.start_ms, f.delay_ms, f.pixels.shape[1], f.pixels.shape[0], f.pixels.tobytes(), histogram(f.pixels), None
+        except (ValueError, IndexError, struct.error) as e:
+            yield k, *[None] * 7, str(e)
+
+    def one(row: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], names)
 
     kind = df.schema[key].dataType
     from pyspark.sql.pandas.types import to_arrow_type
@@ -256,23 +314,29 @@ def frames(df: DataFrame, key: str, data: str) -> DataFrame:
 
 
 def stored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each whole text as a GIF, read back: the key, n_bytes, payload_bytes, payload_sha256, tail_crc32,
-    media_bytes, media_sha256, feature (samples in 16 bands, from the read frames)."""
+    """Each whole text as a GIF, whose frames are shown again: the key, n_bytes, payload_bytes, payload_sha256,
+    tail_crc32, media_bytes, media_sha256, feature (the frames' colour histograms, summed), n_frames, duration_ms.
+    The payload is read from the visible colours of the shown frames."""
     kind = docs.schema[key].dataType.simpleString()
-    names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+    names = [key, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames", "duration_ms"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1):
-                rows = []
-                for x in part.column(1).to_pylist():
-                    raw = (x or "").encode()
-                    media = encode(raw + b"\0" * ((-len(raw)) % 64 if raw else 64))
-                    read = [image["palette"][image["index"], 0] for image in images(media)]
-                    payload = b"".join(x.tobytes() for x in read)
-                    bands = sum(np.bincount(x.reshape(-1) >> 4, minlength=16) for x in read)
-                    rows.append((len(raw), len(payload), hashlib.sha256(payload).hexdigest(), crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), ",".join(map(str, bands.tolist()))))
+                rows = [digests((x or "").encode()) for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True))], names)
 
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    def digests(raw: bytes) -> tuple:
+        media = encode(raw + b"\0" * ((-len(raw)) % 64 if raw else 64))
+        whole, tail, colours = hashlib.sha256(), b"", np.zeros(64, np.int64)
+        n = n_frames = duration = 0
+        for frame in decode(media):
+            seen = samples(frame.pixels).tobytes()
+            whole.update(seen)
+            tail = (tail + seen)[-64:]
+            colours += histogram(frame.pixels)
+            n, n_frames, duration = n + len(seen), n_frames + 1, duration + frame.delay_ms
+        return len(raw), n, whole.hexdigest(), crc32(tail), len(media), hashlib.sha256(media).hexdigest(), ",".join(map(str, colours.tolist())), n_frames, duration
+
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+    return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long, duration_ms long")

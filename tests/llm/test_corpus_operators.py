@@ -194,7 +194,7 @@ def test_token_ids_equal_the_tokenizers_library():
 
 
 def lzw(samples, bits):
-    """A plain LZW encoder, for the decoder's general path."""
+    """A plain LZW encoder, which keeps its full table to the end."""
     clear, width, table, out = 1 << bits, bits + 1, {bytes([i]): i for i in range(1 << bits)}, []
     emit = lambda code: out.append((code, width))
     emit(clear)
@@ -226,16 +226,76 @@ def lzw(samples, bits):
     return bytes(data) + bytes([pool & 255])
 
 
-def test_gif_round_trips():
+def unlzw(data, bits):
+    """A plain LZW decoder, code by code: the samples, and how many codes stood for more than one."""
+    clear, pool, have, before, out, long = 1 << bits, 0, 0, b"", [], 0
+    table, width = {}, bits + 1
+    for byte in data:
+        pool |= byte << have
+        have += 8
+        while have >= width:
+            code, pool, have = pool & ((1 << width) - 1), pool >> width, have - width
+            if code == clear:
+                table, width, before = {i: bytes([i]) for i in range(clear)} | {clear: b"", clear + 1: b""}, bits + 1, b""
+                continue
+            if code == clear + 1:
+                return b"".join(out), long
+            word = table[code] if code in table else before + before[:1]
+            assert code in table or code == len(table)
+            if before and len(table) < 4096:
+                table[len(table)] = before + word[:1]
+            if len(table) == 1 << width and width < 12:
+                width += 1
+            out.append(word)
+            long += len(word) > 1
+            before = word
+    raise AssertionError("no end code")
+
+
+def payloads():
     r = random.Random(9)
+    passage = " ".join(made_texts(40, 3)).encode()
     for n in (64, 640, 64 * 4096 + 64):
-        payload = bytes(r.randrange(256) for _ in range(n))
-        assert b"".join(f["palette"][f["index"], 0].tobytes() for f in gif.images(gif.encode(payload))) == payload
+        for x in (r.randbytes(n), b"\0" * n, (b"aab" * n)[:n], (passage * (n // len(passage) + 1))[:n]):
+            yield x
+
+
+def test_gif_round_trips():
+    for payload in payloads():
+        frames = list(gif.decode(gif.encode(payload)))
+        assert b"".join(gif.samples(f.pixels).tobytes() for f in frames) == payload
+        assert [f.start_ms for f in frames] == [0, 100][: len(frames)] and len(frames) == -(-len(payload) // (64 * 4096))
+        assert sum(sum(gif.histogram(f.pixels)) for f in frames) == len(payload)
     for bits, n in ((2, 50), (8, 300), (8, 20_000)):
-        samples = bytes(r.randrange(min(1 << bits, 6)) for _ in range(n))
+        samples = bytes(r % min(1 << bits, 6) for r in random.Random(bits).randbytes(n))
         assert gif.lzw_decode(lzw(samples, bits), bits, n).tobytes() == samples
 
 
+def test_gif_code_streams_equal_a_plain_coder():
+    for payload in payloads():
+        blocks = gif._lzw(payload)
+        data, _ = gif._sub_blocks(blocks, 1)
+        samples, long = unlzw(data, 8)
+        assert samples == payload and gif.lzw_decode(data, 8, len(payload)).tobytes() == payload
+        assert long > len(payload) // 1000 or len(payload) < 1000
+    # Before the table is full, the codes are those of the plain encoder.
+    text = " ".join(made_texts(20, 5)).encode()[:3000]
+    assert gif._sub_blocks(gif._lzw(text), 1)[0] == lzw(text, 8)[: len(gif._sub_blocks(gif._lzw(text), 1)[0])]
+
+
+def test_gif_damaged_code_streams():
+    data = lzw(bytes(range(8)) * 40, 8)
+    for codes in (b"\xff\xff\xff\xff", data[:3] + b"\xff" * 9):
+        with pytest.raises(ValueError, match="not in the table"):
+            gif.lzw_decode(codes, 8, 320)
+    assert len(gif.lzw_decode(data[:40], 8, 320)) < 320
+    assert gif.lzw_decode(data, 8, 5).tobytes() == bytes(range(5))
+    assert len(gif.lzw_decode(b"", 8, 5)) == 0
+    for bits in (0, 9):
+        with pytest.raises(ValueError, match="out of range"):
+            gif.lzw_decode(data, bits, 5)
+
+
 def image(left, top, w, h, samples, disposal=0, clear=None, interlaced=False):
     data = lzw(samples, 2)
     return b"\x21\xf9\x04" + bytes([disposal << 2 | (clear is not None), 5, 0, clear or 0, 0]) + b"\x2c" + b"".join(x.to_bytes(2, "little") for x in (left, top, w, h)) + bytes([0x40 if interlaced else 0, 2, len(data)]) + data + b"\0"
@@ -261,6 +321,10 @@ def test_gif_columns(spark, awkward):
         raw = (t or "").encode()
         payload = raw + b"\0" * (-len(raw) % 64 if raw else 64)
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), crc32(payload[-64:]))
+        media = gif.encode(payload)
+        assert (r.media_bytes, r.media_sha256, r.n_frames, r.duration_ms) == (len(media), hashlib.sha256(media).hexdigest(), 1, 100)
+        colours = Counter((x & 0xE0) >> 6 << 4 | ((x & 0x1C) << 3) >> 6 << 2 | x & 3 for x in payload)
+        assert r.feature == ",".join(str(colours[i]) for i in range(64))
 
 
 def test_restoration():
