@@ -89,21 +89,46 @@ def _spans(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, fold: np.nda
     return mix(sums ^ ((stops - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
-def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all lines (empty ones too), their first bytes and ends, and the number of lines
-    before each row. A row has one line more than it has line feeds; an empty row has one line."""
+def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First bytes and ends of all lines (empty ones too), and the number of lines before each row.
+    A row has one line more than it has line feeds; an empty row has one line."""
     feeds = np.flatnonzero(data == 0x0A)
     rows = len(offsets) - 1
     starts = np.concatenate([offsets[:-1], feeds + 1])
     stops = np.concatenate([offsets[1:], feeds])
     owner = np.concatenate([np.arange(rows), np.searchsorted(offsets, feeds, side="right") - 1])
     starts = starts[np.lexsort((starts, owner))]
-    stop_owner = np.concatenate([np.arange(rows), owner[rows:]])
-    stops = stops[np.lexsort((stops, stop_owner))]
-    before = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=rows))])
+    stops = stops[np.lexsort((stops, owner))]
+    return starts, stops, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=rows))])
+
+
+def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all lines, and their spans."""
+    starts, stops, before = line_spans(data, offsets)
     return _spans(data, starts, stops, SAME), starts, stops, before
 
 
+def wrapped_lines(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines, of which longer ones are wrapped after every ``words`` words: hashes, first bytes, ends, the
+    number of the line each is of, and the number of wrapped lines before each row. Blanks stay with the word before
+    them, those at a line's beginning with its first word."""
+    starts, stops, lines = line_spans(data, offsets)
+    inside = BLANK[data]
+    inside[1:] &= ~inside[:-1] | (np.bincount(offsets[:-1][offsets[:-1] < len(data)], minlength=len(data))[1:] > 0)
+    first = np.flatnonzero(inside)
+    owner = np.searchsorted(starts, first, side="right") - 1
+    rank = np.arange(len(first)) - np.searchsorted(first, starts)[owner]
+    breaks = (rank > 0) & (rank % words == 0)
+    line = np.concatenate([np.arange(len(starts)), owner[breaks]])
+    begins = np.concatenate([starts, first[breaks]])
+    order = np.lexsort((begins, line))
+    line, begins = line[order], begins[order]
+    ends = stops[line]
+    more = np.flatnonzero(line[1:] == line[:-1])
+    ends[more] = begins[more + 1]
+    return _spans(data, begins, ends, SAME), begins, ends, line, np.searchsorted(line, lines)
+
+
 def runs_of(hashes: np.ndarray, before: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of k consecutive tokens at each place, and whether the place is a start: all k tokens
     are of one row; a row with fewer tokens (not none) has one start, whose hash is of them all."""

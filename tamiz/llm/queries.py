@@ -20,14 +20,20 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: doc_id, its text without later occurrences of repeated three-line windows, n_lines, n_removed."""
+    """Per document: doc_id, its text without later occurrences of repeated three-line windows (lines wrapped after 16 words), n_lines, n_removed."""
     return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-OP2_SQL = """
-WITH l AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+_B, _W = r"[\x09-\x0D\x20]", r"[^\x09-\x0D\x20]"
+OP2_SQL = rf"""
+WITH t AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS k
   FROM documents WHERE text IS NOT NULL
+), v AS (
+  SELECT doc_id, k, CASE WHEN line = '' THEN [''] ELSE regexp_extract_all(line, '{_B}*{_W}+(?:{_B}+{_W}+){{15}}{_B}*|[^\n]+') END AS parts FROM t
+), l AS (
+  SELECT doc_id, k, line, row_number() OVER (PARTITION BY doc_id ORDER BY k, j) - 1 AS pos
+  FROM (SELECT doc_id, k, unnest(parts) AS line, unnest(range(len(parts))) AS j FROM v)
 ), w AS (
   SELECT doc_id, pos, line || chr(10) || lead(line) OVER d || chr(10) || lead(line, 2) OVER d AS g
   FROM l WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
@@ -35,9 +41,11 @@ WITH l AS (
   SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY g ORDER BY doc_id, pos) AS r FROM w WHERE g IS NOT NULL) WHERE r > 1
 ), cut AS (
   SELECT DISTINCT doc_id, pos + k AS pos FROM later, (SELECT unnest(range(3)) AS k)
+), part AS (
+  SELECT l.doc_id, l.k, string_agg(l.line, '' ORDER BY l.pos) FILTER (WHERE c.pos IS NULL) AS line, count(*) AS n_lines, count(c.pos) AS n_removed
+  FROM l LEFT JOIN cut c ON l.doc_id = c.doc_id AND l.pos = c.pos GROUP BY l.doc_id, l.k
 ), kept AS (
-  SELECT l.doc_id, coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE c.pos IS NULL), '') AS text, count(*) AS n_lines, count(c.pos) AS n_removed
-  FROM l LEFT JOIN cut c ON l.doc_id = c.doc_id AND l.pos = c.pos GROUP BY l.doc_id
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY k), '') AS text, sum(n_lines)::BIGINT AS n_lines, sum(n_removed)::BIGINT AS n_removed FROM part GROUP BY doc_id
 )
 SELECT d.doc_id, k.text, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_removed, 0) AS n_removed
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id

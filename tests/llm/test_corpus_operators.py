@@ -112,20 +112,43 @@ def test_components(spark):
     assert got == {x: label[x] for x in linked}
 
 
-def test_lines_equal_brute_force(spark):
-    r = random.Random(2)
-    texts = ["\n".join(r.choice("abcd") for _ in range(r.randint(0, 9))) for _ in range(60)]
+def wrapped(text, words):
+    """(line, text) of each wrapped line of ``text``, word by word."""
+    out = []
+    for k, line in enumerate(text.split("\n")):
+        parts = re.findall(r"[ \t]*[^ \t]+[ \t]*", line)
+        parts = ["".join(parts[i : i + words]) for i in range(0, len(parts), words)] or [line]
+        out += [(k, x) for x in parts]
+    return out
+
+
+@pytest.mark.parametrize(("words", "longest"), [(16, 3), (2, 9), (3, 20)])
+def test_lines_equal_brute_force(spark, words, longest):
+    r = random.Random(words)
+    line = lambda: "".join(r.choice(["a", "b", "ñ", " ", "\t ", " "]) for _ in range(r.randint(0, longest)))
+    known = [line() for _ in range(6)]
+    texts = ["\n".join(r.choice(known) if r.random() < 0.8 else line() for _ in range(r.randint(0, 9))) for _ in range(80)] + ["", "\n", "a " * 400, "a " * 400, "x" * 70_000]
     seen, want = set(), {}
     for i, t in enumerate(texts):
-        ls, cut = t.split("\n"), set()
+        ls, cut = wrapped(t, words), set()
         for p in range(len(ls) - 2):
-            g = tuple(ls[p : p + 3])
+            g = tuple(x for _, x in ls[p : p + 3])
             if g in seen:
                 cut |= {p, p + 1, p + 2}
             seen.add(g)
-        want[i] = ("\n".join(x for p, x in enumerate(ls) if p not in cut), len(ls), len(cut))
+        left = defaultdict(str)
+        for p, (k, x) in enumerate(ls):
+            if p not in cut:
+                left[k] += x
+        want[i] = ("\n".join(left.values()), len(ls), len(cut))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in lines.dedup_lines(df).collect()} == want
+    assert {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in lines.dedup_lines(df, words=words).collect()} == want
+
+
+def test_lines_cut_long_passages_of_one_line(spark):
+    passage = " ".join(f"w{i}" for i in range(51))
+    df = spark.createDataFrame([(1, f"a\n{passage}\nb"), (2, f"c\n{passage}\nd"), (3, passage), (4, None)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in lines.dedup_lines(df).collect()) == [(1, f"a\n{passage}\nb", 6, 0), (2, "c\nd", 6, 4), (3, "", 4, 4), (4, None, 0, 0)]
 
 
 def test_decontamination_equals_brute_force(spark):
