@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import decontaminate, gif, jaccard, language, lines, packing, pseudo_likelihood, quality, toxicity, urls
+from tamiz.llm import collocations, decontaminate, gif, jaccard, language, lines, packing, pseudo_likelihood, quality, toxicity, urls
 from tamiz.llm.shared import held_out, table
 
 
@@ -159,6 +159,39 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases: lang, rank, phrase, a, l, r, n, score."""
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+OP11_SQL = rf"""
+WITH p AS (SELECT lang, d, unnest(parts) AS part, unnest(range(len(parts))) AS k FROM (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d, string_split_regex({_LOWERED}, '[.,;:!?\x0A-\x0D]') AS parts FROM documents)),
+w AS (SELECT lang, regexp_extract_all(part, '[^\x20\x09]+') AS w FROM p),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+f AS (
+  SELECT lang, m, g, count(*) AS f FROM (
+    SELECT lang, m, array_to_string(w[i + 1 : i + m], ' ') AS g FROM (SELECT lang, w, m, unnest(range(len(w) - m + 1)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m)
+  ) GROUP BY lang, m, g HAVING count(*) >= 30
+),
+c AS (SELECT lang, m, g, f AS a, string_split(g, ' ') AS s FROM f WHERE m > 1),
+cut AS (
+  SELECT x.lang, x.g, x.a, k, l.f AS l, r.f AS r, CAST(2000000 * CAST(x.a AS HUGEINT) // (l.f + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) x
+  JOIN f l ON l.lang = x.lang AND l.m = k AND l.g = array_to_string(s[1 : k], ' ') JOIN f r ON r.lang = x.lang AND r.m = x.m - k AND r.g = array_to_string(s[k + 1 :], ' ')
+),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(s[i : i + n - 1], ' ') AS g, max(a) AS longer
+  FROM (SELECT lang, s, a, n, unnest(range(1, m - n + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS n FROM c WHERE m > 2)) GROUP BY ALL
+)
+SELECT b.lang, row_number() OVER o AS rank, b.g AS phrase, b.a, b.l, b.r, t.n, b.score
+FROM best b JOIN total t ON t.lang = b.lang LEFT JOIN inside i ON i.lang = b.lang AND i.g = b.g
+WHERE i.longer IS NULL OR 100 * i.longer < 80 * b.a
+WINDOW o AS (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.g) QUALIFY row_number() OVER o <= 2000
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -170,10 +203,12 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filter": op9_url_filter,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_collocations": op11_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
     "op5_decontamination": OP5_SQL,
     "op9_url_filter": OP9_SQL,
+    "op11_collocations": OP11_SQL,
 }
