@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm import collocations, decontaminate, gif, jaccard, language, lines, packing, pseudo_likelihood, quality, toxicity, urls
+from tamiz.llm import alignment, collocations, decontaminate, gif, jaccard, language, lines, packing, pseudo_likelihood, quality, suffixes, toxicity, urls
 from tamiz.llm.shared import held_out, table
 
 
@@ -192,6 +192,16 @@ WINDOW o AS (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.g) QUALIFY r
 """
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
+    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_line_dedup": op2_line_dedup,
@@ -204,6 +214,8 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_ngram_jaccard": op10_ngram_jaccard,
     "op11_collocations": op11_collocations,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
