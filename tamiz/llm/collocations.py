@@ -47,8 +47,8 @@ class Params:
     #: Dictionaries of at most so many words travel to the tasks (12 bytes each); larger ones are joined.
     broadcast_words: int = 2_000_000
     #: Keys that a range holds, in expectation, and words that a task counts at once.
-    range_keys: int = 4_000_000
-    chunk_words: int = 1_000_000
+    range_keys: int = 1_000_000
+    chunk_words: int = 250_000
 
 
 def _language(name: str) -> int:
@@ -78,7 +78,7 @@ def _ends(data: np.ndarray, starts: np.ndarray, row_ends: np.ndarray) -> np.ndar
 def _vocabulary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, word, h, n): the words of some texts and their counts; words are strings in lower case."""
     for batch in batches:
-        for part in slices(batch, 1, 1 << 22):
+        for part in slices(batch, 1, 1 << 21):
             data, hashes, starts, before, _ = _read(part)
             h, first, n = np.unique(hashes, return_index=True, return_counts=True)
             if not len(h):
@@ -264,7 +264,7 @@ def phrase_counts(texts: DataFrame, vocabulary: DataFrame, params: Params) -> Da
             def chunks():
                 gap = 0
                 for batch in batches:
-                    for part in slices(batch, 1, 1 << 22):
+                    for part in slices(batch, 1, 1 << 21):
                         _, hashes, _, before, pieces = _read(part)
                         at = np.minimum(np.searchsorted(h, hashes), len(h) - 1)
                         found = np.where(h[at] == hashes, ids[at], 0) if len(h) else np.zeros(len(hashes), np.int64)
