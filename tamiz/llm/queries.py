@@ -197,6 +197,19 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
 
 
+OP12_SQL = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS g FROM (SELECT doc_id, h, unnest(range(len(h) // 2 - 49)) AS i FROM b WHERE len(h) >= 100)),
+f AS (SELECT g, min(doc_id) AS m FROM g GROUP BY g),
+p AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 1 ELSE 0 END AS new FROM g JOIN f USING (g) WHERE m < doc_id),
+r AS (SELECT doc_id, min(i) AS low, max(i) + 50 AS high FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM p) GROUP BY doc_id, k),
+l AS (SELECT r.doc_id, low, high, high - low AS size, substr(h, 2 * coalesce(lag(high) OVER (PARTITION BY r.doc_id ORDER BY low), 0) + 1, 2 * (low - coalesce(lag(high) OVER (PARTITION BY r.doc_id ORDER BY low), 0))) AS kept FROM r JOIN b ON b.doc_id = r.doc_id),
+s AS (SELECT doc_id, sum(size)::BIGINT AS n_removed, count(*) AS n_spans, max(high) AS high, string_agg(kept, '' ORDER BY low) AS kept FROM l GROUP BY doc_id)
+SELECT b.doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(CASE WHEN s.doc_id IS NULL THEN h ELSE kept || substr(h, 2 * high + 1) END)) AS kept_sha256
+FROM b LEFT JOIN s ON s.doc_id = b.doc_id
+"""
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -223,4 +236,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_decontamination": OP5_SQL,
     "op9_url_filter": OP9_SQL,
     "op11_collocations": OP11_SQL,
+    "op12_suffix_dedup": OP12_SQL,
 }
