@@ -26,8 +26,8 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 @cache
 def _folds() -> tuple[str, str, str, str]:
-    """From the rule of NFKD without combining marks: characters that become one other, what they become, the others that
-    change as a JSON object, and those as a character class."""
+    """From the rule of NFKD without combining marks: characters that become one other, what they become, and the others that
+    change, as one string and with what they become as a JSON object."""
     one: dict[str, str] = {}
     many: dict[str, str] = {}
     for i in range(128, sys.maxunicode + 1):
@@ -37,11 +37,7 @@ def _folds() -> tuple[str, str, str, str]:
         out = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
         if out != c:
             (one if len(out) == 1 else many)[c] = out
-    places = sorted(map(ord, many))
-    starts = [x for k, x in enumerate(places) if not k or places[k - 1] != x - 1]
-    ends = [x for k, x in enumerate(places) if k + 1 == len(places) or places[k + 1] != x + 1]
-    ranges = "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in zip(starts, ends, strict=True))
-    return "".join(one), "".join(one.values()), json.dumps(many), f"[{ranges}]"
+    return "".join(one), "".join(one.values()), "".join(many), json.dumps(many)
 
 
 class _Text(HTMLParser):
@@ -91,17 +87,25 @@ def clean(text: Column, markup: bool = True) -> Column:
 
 
 def fold(text: Column, markup: bool = False) -> Column:
-    """Lower case without diacritics, in compatibility form (NFKD without combining marks; Korean syllables stay whole)."""
-    before, after, many, odd = _folds()
+    """Lower case without diacritics, in compatibility form (NFKD without combining marks; Korean syllables stay whole).
+
+    The few characters that become several are found by taking away all others, and replaced one by one: no expression
+    is tried on each character of a row."""
+    before, after, odd, table = _folds()
+    without = lambda x, chars: F.call_function("translate", x, chars, F.lit(""))
+
+    def spread(x: Column, plain: Column) -> Column:
+        found = F.array_distinct(F.split(without(x, plain), ""))
+        known = F.from_json(F.lit(table), "map<string,string>")  # folded to a constant
+        return F.aggregate(found, x, lambda y, c: F.when(c == "", y).otherwise(F.replace(y, c, F.coalesce(F.try_element_at(known, c), c))))
 
     def rest(x: Column) -> Column:
-        table = F.from_json(F.lit(many), "map<string,string>")  # folded to a constant
-        return F.when(x.rlike(odd), F.array_join(F.transform(F.split(x, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")).otherwise(x)
+        return bound(without(x, F.lit(odd)), lambda plain: F.when(F.octet_length(plain) == F.octet_length(x), x).otherwise(spread(x, plain)))
 
-    def plain(x: Column) -> Column:
+    def wide(x: Column) -> Column:
         return F.when(F.octet_length(x) == F.length(x), x).otherwise(bound(F.translate(x, before, after), rest))
 
-    return bound(F.lower(clean(text, markup)), plain)
+    return bound(F.lower(clean(text, markup)), wide)
 
 
 def words(text: Column, markup: bool = False) -> Column:
