@@ -3,6 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tamiz.functions import markup
 from tamiz.sources import artifacts, notices, pages
 from tamiz.streaming import status
 
@@ -128,3 +129,43 @@ def test_stream_of_statuses(spark, tmp_path):
     q.awaitTermination(60)
     got = {(r.key, r.previous, r.status) for r in spark.sql("select * from changes").collect()}
     assert got == {("a", None, "p"), ("a", "p", "c"), ("b", None, "p")}
+
+
+def test_structure_of_markup(spark):
+    html = "<div class='a x'>t<p>one<p>two<br>three</div>four</b><script>no('<p>')</script><!-- <p>not</p> --><ul><li><a href=q>5 &amp; 6</a><li>7</ul>"
+    df = spark.createDataFrame([(html,), (None,), ("",), ("<p>open <b>bold",), ("a < b &lt; c",)], "payload string").withColumn("doc", markup.outline("payload"))
+    doc = F.col("doc")
+    got = df.select(
+        markup.text_of(doc).alias("all"), markup.text_of(doc, markup.first(doc, markup.classed("x"))).alias("x"), F.transform(markup.every(doc, markup.named("p")), lambda n: markup.text_of(doc, n)).alias("p"),
+        markup.parent(doc, markup.first(doc, markup.named("a", has="href")))["tag"].alias("up"), markup.above(doc, markup.first(doc, markup.named("a")), markup.named("ul"))["tag"].alias("ul"), F.size(markup.every(doc, markup.named("li"), markup.first(doc, markup.named("ul")))).alias("n"),
+    ).collect()
+    assert tuple(got[0]) == ("t one two three four 5 & 6 7", "t one two three", ["one two three", "two three"], "li", "ul", 2)
+    assert got[1]["all"] is None and tuple(got[2]) == ("", None, [], None, None, None)
+    assert got[3]["p"] == ["open bold"] and got[4]["all"] == "a < b < c"
+
+
+def test_links_and_articles_by_structure(spark):
+    apart = "<div>07/07/2026 <span><a href='/a'>Aviso sobre cupos de importacion</a></span></div><p>07/07/2026 <a href='/b'>Aviso sobre <b>cupos de</b> importacion</a><div>x</div></p>"
+    assert [r.url for r in pages.dated_links(load(spark, apart)).collect()] == ["https://www.snice.gob.mx/b"]
+    nested = "<article><time datetime='2026-07-07'></time><h3><a href='/1'>Uno</a></h3><article><time datetime='2026-07-06'></time><a href='/2'><h4>Dos</h4></a></article><!-- </article> --><p>Texto</p></article><article><h3>Sin fecha</h3></article><article><time>2026-07-05</time><h3>Sin enlace</h3></article>"
+    got = pages.patent_office(load(spark, nested)).orderBy("url").collect()
+    assert [(r.url[-2:], r.official_title, r.description, r.published_at.day) for r in got] == [("/1", "Uno", "Texto", 7), ("/2", "Dos", "Dos", 6)]
+    annex = "<div id='Anexos'><p>Antes <i><a href='/PDF/20260707-II.pdf'>Anexo II</a></i> dictamen</p><a href='/PDF/20260708-III.pdf'>Anexo III</a>: minuta</div>"
+    assert [(r.description, r.published_at.day) for r in pages.parliament_annexes(load(spark, annex)).orderBy("url").collect()] == [("Antes Anexo II dictamen", 7), ("Antes Anexo II dictamen Anexo III : minuta", 8)]
+
+
+def test_detail_pages(spark):
+    page = lambda u, h: (u, h)
+    rows = [
+        page("whole", "<section class='x small'><div><p>SAT | 7 de julio | Boletín</p><p>otro</p></div></section><div class='article-body'><p>Texto &amp; <b>más</b></p><script>x</script></div>"),
+        page("two", "<section class='small'><p>SAT | Boletín</p></section><div class='article-body-x'>no</div>"),
+        page("blank", "<section class='small'><p> | x | </p></section><div class='article-body'></div>"),
+        page("broken", "<div class='article-body'>abierto <section class='small'><p>SHCP|a|b|Aviso"),
+        page("none", None),
+        page("refused", "<![foo"),
+    ]
+    got = {r.url: tuple(r)[1:] for r in pages.detail_pages(spark.createDataFrame(rows, "url string, payload string")).collect()}
+    assert got == {"whole": ("Texto & más", "SAT", "Boletín"), "two": (None, "SAT", None), "blank": ("", None, None), "broken": ("abierto SHCP|a|b|Aviso", "SHCP", "Aviso"), "none": (None,) * 3, "refused": got["refused"]}
+    items = spark.createDataFrame([("shcp", u, f"Arancel {u}", dt.date(2026, 7, 7), "Comunicado", i) for i, u in enumerate(["whole", "two", "none"])], "portal string, url string, title string, published_at date, document_type string, ordinal long")
+    kept = pages.portal_notices(items, pages.detail_pages(spark.createDataFrame(rows, "url string, payload string"))).orderBy("ordinal").collect()
+    assert [(r.description, r.authority, r.document_type) for r in kept] == [("Texto & más", "SAT", "Boletín"), ("Arancel two", "SAT", "Comunicado"), ("Arancel none", "Secretaría de Hacienda y Crédito Público", "Comunicado")]
