@@ -4,7 +4,8 @@ A byte goes if it lies in a string of ``width`` (50) bytes that also begins in a
 suffixes hold equal strings side by side, so it is enough to compare neighbours; only their order up to ``width`` bytes
 matters. Four steps:
 
-1. The sample. Of every ``width`` bytes at least one place is sampled, the same one wherever these bytes stand (the least hash of 8 bytes among the
+1. The sample. Texts that equal one of a smaller key are told by their hash: all of such a copy goes, and it is no part of what
+   follows. Of the others, of every ``width`` bytes at least one place is sampled, the same one wherever these bytes stand (the least hash of 8 bytes among the
    first 27 places), with the triple of eight-byte words that begins there. This is the cover that positions modulo a number
    give, but 7 of 100 places are in it whatever the threshold. Triples met in one document only are dropped.
 2. The order. The bytes around the places that are left, each distinct string with its least key, are dealt by ranges
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.llm.kernel import mix, raw
-from tamiz.llm.shared import discard, materialise, slices
+from tamiz.llm.shared import discard, materialise, release, row_count_at_most, slices
 
 #: Bytes that are hashed at a place, and bytes of a sampled triple.
 GRAM, TRIPLE = 8, 24
@@ -40,6 +41,8 @@ GRAM, TRIPLE = 8, 24
 HOT = 8_000
 #: Strings that are sorted at once (with those of their last triple and a batch at most 2**21 bytes), and sampled triples that one task compares.
 CHUNK, BUCKET = 8_000, 1 << 22
+#: Hashes of copied texts (44 bytes each) of at most so many are broadcast; more are joined by a shuffle.
+BROADCAST_HASHES = 500_000
 #: Bits of a row's place in its strip.
 ROW_BITS = 12
 
@@ -149,7 +152,7 @@ def repeats(data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, width: int)
 
 
 def _strips(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(strip, keys, texts): about a megabyte of texts a row."""
+    """(strip, keys, texts, copies): about a megabyte of texts a row, and which of them are copies."""
     from pyspark import TaskContext
 
     strip = TaskContext.get().partitionId() << 26
@@ -158,16 +161,16 @@ def _strips(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offsets = raw(part.column(1))
             texts = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
             whole = pa.array([0, part.num_rows], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([strip]), pa.ListArray.from_arrays(whole, part.column(0)), pa.ListArray.from_arrays(whole, texts)], ["strip", "keys", "texts"])
+            yield pa.RecordBatch.from_arrays([pa.array([strip]), *(pa.ListArray.from_arrays(whole, x) for x in (part.column(0), texts, part.column(2)))], ["strip", "keys", "texts", "copies"])
             strip += 1
 
 
-def _sampled(keys: pa.Array, texts: pa.Array, width: int):
-    """Of a strip: its bytes, offsets, sampled places, their rows and triples; rows without a key have none."""
+def _sampled(keys: pa.Array, texts: pa.Array, copies: pa.Array, width: int):
+    """Of a strip: its bytes, offsets, sampled places, their rows and triples; copies and rows without a key have none."""
     data, offsets = raw(texts)
     places = sample(data, offsets, width)
     rows = np.searchsorted(offsets, places, side="right") - 1
-    known = keys.is_valid().to_numpy(zero_copy_only=False)[rows] if len(rows) else np.zeros(0, bool)
+    known = (keys.is_valid().to_numpy(zero_copy_only=False) & ~copies.to_numpy(zero_copy_only=False))[rows] if len(rows) else np.zeros(0, bool)
     places, rows = places[known], rows[known]
     return data, offsets, places, rows, _triples(data, places)
 
@@ -181,8 +184,8 @@ def _ask(width: int, buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(bucket, strip, triples, many): a strip's distinct triples by range, and whether two of its keys have it."""
         for batch in batches:
-            for strip, keys, texts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                _, _, _, rows, h = _sampled(keys.values, texts.values, width)
+            for strip, keys, texts, copies in zip(batch.column(0).to_pylist(), *batch.columns[1:4], strict=True):
+                _, _, _, rows, h = _sampled(keys.values, texts.values, copies.values, width)
                 key = keys.values.fill_null(0).to_numpy()[rows]
                 order = np.lexsort((key, h))
                 h, key = h[order], key[order]
@@ -222,8 +225,8 @@ def _around(width: int, buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(row, place, key, before, around): the bytes around each sampled place whose triple is repeated."""
         for batch in batches:
-            for strip, keys, texts, answers in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
-                data, offsets, places, rows, h = _sampled(keys.values, texts.values, width)
+            for strip, keys, texts, copies, answers in zip(batch.column(0).to_pylist(), *batch.columns[1:4], batch.column(4).to_pylist(), strict=True):
+                data, offsets, places, rows, h = _sampled(keys.values, texts.values, copies.values, width)
                 known, inverse = np.unique(h, return_inverse=True)
                 place = _bucket(known, buckets)
                 bits = [np.unpackbits(np.frombuffer(x["repeated"], np.uint8), count=int((place == x["bucket"]).sum())) for x in sorted(answers, key=lambda x: x["bucket"])]
@@ -280,9 +283,12 @@ def _kept(width: int, key: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per row of a strip: sizes, removed runs and what is kept."""
         for batch in batches:
-            for strip, keys, texts, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3), strict=True):
+            for strip, keys, texts, copies, found in zip(batch.column(0).to_pylist(), *batch.columns[1:5], strict=True):
                 data, offsets = raw(texts.values)
                 change = np.zeros(len(data) + 1, np.int64)
+                whole = np.flatnonzero(copies.values.to_numpy(zero_copy_only=False) & (np.diff(offsets) >= width))
+                np.add.at(change, offsets[whole], 1)
+                np.add.at(change, offsets[whole + 1], -1)
                 if found.is_valid:
                     got = found.values
                     first = offsets[got.field("row").to_numpy() - (strip << ROW_BITS)] + got.field("first").to_numpy()
@@ -315,7 +321,12 @@ def _windows(strings: DataFrame, width: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 50, hot: int = HOT) -> DataFrame:
     """Per row: the key, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and kept, the bytes that are left."""
-    strips = materialise(docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).mapInArrow(_strips, "strip long, keys array<long>, texts array<binary>"), "strips")
+    texts = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("hash", F.sha2("text", 256))
+    copied = texts.filter("key is not null").groupBy("hash").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1").select("hash", "least")
+    copied = materialise(copied, "copied")
+    known = F.broadcast(copied) if row_count_at_most(copied, BROADCAST_HASHES) else copied
+    texts = texts.join(known, "hash", "left").select("key", "text", F.coalesce(F.col("key") > F.col("least"), F.lit(False)).alias("copy"))
+    strips = materialise(texts.mapInArrow(_strips, "strip long, keys array<long>, texts array<binary>, copies array<boolean>"), "strips")
     total = strips.agg(F.coalesce(F.sum(F.expr("aggregate(texts, 0L, (n, x) -> n + length(x))")), F.lit(0))).first()[0]
     buckets = int(total * 2 / (width - TRIPLE + 2) / BUCKET) + 1
     asked = strips.mapInArrow(_ask(width, buckets), "bucket long, strip long, triples binary, many binary")
@@ -324,6 +335,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     around = strips.join(answers, "strip").mapInArrow(_around(width, buckets), "row long, place int, key long, before int, around binary")
     ids = (F.xxhash64("around", "before").alias("h1"), F.xxhash64(F.lit(7), "around", "before").alias("h2"))
     around = materialise(around.select("*", *ids), "around")
+    release(docs.sparkSession)
     strings = around.groupBy("h1", "h2").agg(F.min("key").alias("least"), F.first("around").alias("around"), F.first("before").alias("before")).filter(F.length("around") >= width)
     strings = materialise(strings.withColumn("triple", F.expr(f"substring(around, before + 1, {TRIPLE})")), "strings")
     many = materialise(strings.groupBy("triple").count().filter(F.col("count") > hot).select("triple"), "hot")
@@ -335,9 +347,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     if some_hot:
         masks = masks.unionByName(_windows(strings.join(many, "triple", "left_semi"), width))
     masks = materialise(masks, "masks")
+    release(docs.sparkSession)
     whole = F.expr(f"shiftleft(1L, length(around) - {width - 1}) - 1")
     slim = around.filter(F.length("around") >= width).select("h1", "h2", "row", "key", (F.col("place") - F.col("before")).alias("first"), whole.alias("whole"))
     found = slim.join(masks, ["h1", "h2"]).select("row", "first", F.when(F.col("key") > F.col("least"), F.col("whole")).otherwise(F.col("mask")).alias("mask")).filter("mask <> 0")
-    found = found.groupBy(F.shiftright("row", ROW_BITS).alias("strip")).agg(F.collect_list(F.struct("row", "first", "mask")).alias("found"))
+    found = materialise(found.groupBy(F.shiftright("row", ROW_BITS).alias("strip")).agg(F.collect_list(F.struct("row", "first", "mask")).alias("found")), "found")
+    discard(copied, around, strings, many, masks)
     out = strips.join(found, "strip", "left").mapInArrow(_kept(width, key), f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out
