@@ -17,14 +17,25 @@ __all__ = ["ORACLE_SQL", "QUERIES"]
 
 NOTICE = ("source_id", "url", "official_title", "description", "published_at", "authority", "document_type")
 
-# What every payload is made of: the document's id, its first eight words of plain letters, and a day.
-_DOCS = "(SELECT doc_id, source, lang, w, array_to_string(w[1:8], ' ') AS t, DATE '2026-06-01' + CAST(doc_id % 31 AS INT) AS day FROM (SELECT doc_id, source, lang, regexp_extract_all(coalesce(text, ''), '[a-zA-Z]+') AS w FROM documents))"
+# What every payload is made of: the document's id, its whole text with white space squeezed (what must come out), and a day.
+_DOCS = "(SELECT *, list_filter(string_split(t, ' '), lambda x: x <> '') AS w FROM (SELECT doc_id, source, lang, trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g')) AS t, DATE '2026-06-01' + CAST(doc_id % 31 AS INT) AS day FROM documents))"
 _SHA = "left(sha256({0}), 16)"
 
 
+def _escaped(x: Column | str) -> Column:
+    return F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def _json(x: Column | str) -> Column:
+    """A text as a quoted JSON string."""
+    return F.regexp_extract(F.to_json(F.struct(F.coalesce(x, F.lit("")).alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+
+
 def _docs(spark, sf_dir) -> DataFrame:
-    w = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[a-zA-Z]+"), F.lit(0))
-    return _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", w.alias("w")).select("*", F.array_join(F.slice("w", 1, 8), " ").alias("t"), F.expr("date_add(DATE'2026-06-01', cast(pmod(doc_id, 31) as int))").alias("day"))
+    """Whole texts: ``raw`` as they are, ``e`` and ``ee`` escaped once and twice for markup, ``t`` and its words ``w`` squeezed."""
+    raw = F.coalesce("text", F.lit(""))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", raw.alias("raw"), _escaped(raw).alias("e"), _escaped(_escaped(raw)).alias("ee"), F.trim(F.regexp_replace(raw, r"\s+", " ")).alias("t"))
+    return docs.select("*", F.array_remove(F.split("t", " "), "").alias("w"), F.expr("date_add(DATE'2026-06-01', cast(pmod(doc_id, 31) as int))").alias("day"))
 
 
 def _payloads(docs: DataFrame, *parts) -> DataFrame:
@@ -37,14 +48,14 @@ def _plain(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*(F.col(c).cast("string").alias(c) if t == "date" else F.col(c) for c, t in df.select(*columns).dtypes))
 
 
-_GAZETTE_KINDS = ("Acuerdo Mediante el ", "OFICIO 500-05/2026 por el que ", "Aviso general ", "FISCALIA GENERAL DE LA REPUBLICA.- Convocatoria ")
+_GAZETTE_KINDS = ("Acuerdo Mediante el ", "OFICIO 500-05/2026 por el que ", "Aviso general de ", "FISCALIA GENERAL DE LA REPUBLICA.- Convocatoria ")
 
 
 @_query(f"""
 SELECT CASE WHEN doc_id % 5 = 0 THEN left(sha256(url), 16) ELSE CAST(doc_id AS VARCHAR) END AS source_id, url, k || t AS official_title, k || t AS description, strftime(day, '%Y-%m-%d') AS published_at,
   'SECRETARIA DE HACIENDA & CO' AS authority,
   CASE doc_id % 4 WHEN 0 THEN 'Acuerdo' WHEN 1 THEN 'Oficio' WHEN 3 THEN 'Fiscalia General'
-    ELSE CASE WHEN len(w) = 0 OR lower(w[1]) IN ({', '.join(repr(x) for x in V.TYPE_CONNECTORS)}) THEN 'Aviso General' ELSE 'Aviso General ' || upper(left(w[1], 1)) || lower(substr(w[1], 2)) END END AS document_type
+    ELSE 'Aviso General' END AS document_type
 FROM (SELECT *, rtrim(['{"', '".join(_GAZETTE_KINDS)}'][doc_id % 4 + 1]) || CASE WHEN t = '' THEN '' ELSE ' ' END AS k, 'https://d.mx/n.php?' || CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'codigo=' || doc_id || '&' END || 'fecha=' || strftime(day, '%d/%m/%Y') AS url FROM {_DOCS})
 """.replace('["', "['").replace('", "', "', '"))
 def source_gazette(spark, sf_dir):
@@ -56,7 +67,7 @@ def source_gazette(spark, sf_dir):
         "value": F.when(F.pmod("doc_id", F.lit(2)) == 0, F.concat(F.lit("<valueDate>"), F.date_format("day", "dd/MM/yyyy"), F.lit("</valueDate>"))).otherwise("<valueDate/>"),
     })
     payloads = _payloads(
-        docs, "<rss><item><title>SECRETARIA DE HACIENDA &amp; CO</title><link>https://d.mx/n.php?", "{codigo}", "fecha=", "{fecha}", "</link><description><![CDATA[<p>", "{kind}", "<b>", "{t}", "</b></p>]]></description>", "{value}", "</item>",
+        docs, "<rss><item><title>SECRETARIA DE HACIENDA &amp; CO</title><link>https://d.mx/n.php?", "{codigo}", "fecha=", "{fecha}", "</link><description><![CDATA[<p>", "{kind}", "<b>", "{e}", "</b></p>]]></description>", "{value}", "</item>",
         "<item><title>roto & malo</title><link>https://d.mx/2</link><description>x</description><valueDate>01/06/2026</valueDate></item><item><title>sin fecha</title><link>https://d.mx/3</link><description>x</description></item>",
         "<item><title>trunco</title><description><![CDATA[x",
     )
@@ -80,7 +91,7 @@ def source_feeds(spark, sf_dir):
     for config in notices.FEEDS.values():
         listing = "Boletines 2026" if config.source == "ANAM" else "20260630-200-Intervention"
         payloads = _payloads(
-            docs, "<rss><item><title>Nota ", "{t}", "</title><atom:link href='x'/><link>https://f.org/", "{doc_id}", "</link><guid>g-", "{doc_id}", "</guid><description>&lt;p&gt;", "{t}", " &amp;amp; más&lt;/p&gt;</description><pubDate>Mon, ", "{stamp}", " 23:30:00 -0500</pubDate></item>",
+            docs, "<rss><item><title>Nota ", "{e}", "</title><atom:link href='x'/><link>https://f.org/", "{doc_id}", "</link><guid>g-", "{doc_id}", "</guid><description>&lt;p&gt;", "{ee}", " &amp;amp; más&lt;/p&gt;</description><pubDate>Mon, ", "{stamp}", " 23:30:00 -0500</pubDate></item>",
             f"<item><title>{listing}</title><link>https://f.org/l/", "{doc_id}", "</link><description>sin salto</description><dc:pubDate>Mon, ", "{stamp}", " 01:00:00 GMT</dc:pubDate></item>",
             "<item><title></title><media:title>vacía</media:title><link>https://f.org/4</link><pubDate>Mon, 01 Jun 2026 00:00:00 GMT</pubDate></item><item><title>A & B</title><link>https://f.org/5</link><pubDate>Mon, 01 Jun 2026 00:00:00 GMT</pubDate></item>",
             "<item><title>abierta<br></title><link>https://f.org/6</link><pubDate>Mon, 01 Jun 2026 00:00:00 GMT</pubDate></item><item><title>ftp</title><link>ftp://f.org/7</link><pubDate>Mon, 01 Jun 2026 00:00:00 GMT</pubDate></item>",
@@ -98,16 +109,16 @@ SELECT {_SHA.format("'https://s/' || doc_id || '|' || t || '|' || strftime(day,
 def source_senate(spark, sf_dir):
     """The Senate's JSON: initiatives only, the record's own organ and type."""
     docs = _docs(spark, sf_dir)
-    entry = F.struct(F.col("day").cast("string").alias("fecha_documento"), F.col("t").alias("titulo_docuemnto"), F.when(F.pmod("doc_id", F.lit(2)) == 0, "").otherwise(F.concat(F.lit("Tema "), F.coalesce("lang", F.lit("")), F.lit("|"))).alias("tema_documento"), F.concat(F.lit("https://s/"), "doc_id").alias("link_documento"), F.when(F.pmod("doc_id", F.lit(3)) > 0, "Comisión  Permanente").alias("organo"), F.lit("<i>Iniciativa</i> de ley").alias("tipo_documento"))
+    entry = F.struct(F.col("day").cast("string").alias("fecha_documento"), F.col("raw").alias("titulo_docuemnto"), F.when(F.pmod("doc_id", F.lit(2)) == 0, "").otherwise(F.concat(F.lit("Tema "), F.coalesce("lang", F.lit("")))).alias("tema_documento"), F.concat(F.lit("https://s/"), "doc_id").alias("link_documento"), F.when(F.pmod("doc_id", F.lit(3)) > 0, "Comisión  Permanente").alias("organo"), F.lit("<i>Iniciativa</i> de ley").alias("tipo_documento"))
     other = F.struct(F.lit("2026-06-01").alias("fecha_documento"), F.lit("U").alias("titulo_docuemnto"), F.lit("").alias("tema_documento"), F.lit("x").alias("link_documento"), F.lit(None).cast("string").alias("organo"), F.lit("Proposición").alias("tipo_documento"))
     payloads = docs.select(F.col("doc_id").alias("ordinal"), F.to_json(F.struct(F.array(entry, other).alias("data"))).alias("payload"))
-    return _plain(notices.senate(payloads).withColumn("description", F.regexp_replace("description", r"\|$", "")), *NOTICE)
+    return _plain(notices.senate(payloads), *NOTICE)
 
 
 @_query(f"SELECT CAST(doc_id AS VARCHAR) AS source_id, 'https://platiica.economia.gob.mx/' || CASE WHEN doc_id % 2 = 0 THEN 'notas/' || doc_id ELSE 's-' || doc_id END || '/' AS url, t AS official_title, CASE WHEN doc_id % 3 = 0 THEN '' ELSE t END AS description, strftime(day, '%Y-%m-%d') AS published_at, 'Secretaría de Economía' AS authority, 'Normalización' AS document_type FROM {_DOCS}")
 def source_wordpress(spark, sf_dir):
     """A WordPress listing: the public origin with the link's path, else the slug; an empty excerpt stays empty."""
-    post = F.struct(F.col("doc_id").alias("id"), F.concat(F.col("day").cast("string"), F.lit("T10:00:00")).alias("modified"), F.concat(F.lit("/s-"), "doc_id", F.lit("/")).alias("slug"), F.when(F.pmod("doc_id", F.lit(2)) == 0, F.concat(F.lit("http://interno/notas/"), "doc_id", F.lit("/?p=1"))).otherwise("http://interno/").alias("link"), F.struct(F.concat(F.lit("<b>"), "t", F.lit("</b>")).alias("rendered")).alias("title"), F.struct(F.when(F.pmod("doc_id", F.lit(3)) == 0, "<p> </p>").otherwise(F.col("t")).alias("rendered")).alias("excerpt"))
+    post = F.struct(F.col("doc_id").alias("id"), F.concat(F.col("day").cast("string"), F.lit("T10:00:00")).alias("modified"), F.concat(F.lit("/s-"), "doc_id", F.lit("/")).alias("slug"), F.when(F.pmod("doc_id", F.lit(2)) == 0, F.concat(F.lit("http://interno/notas/"), "doc_id", F.lit("/?p=1"))).otherwise("http://interno/").alias("link"), F.struct(F.concat(F.lit("<b>"), "e", F.lit("</b>")).alias("rendered")).alias("title"), F.struct(F.when(F.pmod("doc_id", F.lit(3)) == 0, "<p> </p>").otherwise(F.col("e")).alias("rendered")).alias("excerpt"))
     return _plain(notices.wordpress(_docs(spark, sf_dir).select(F.col("doc_id").alias("ordinal"), F.to_json(F.array(post)).alias("payload"))), *NOTICE)
 
 
@@ -117,7 +128,7 @@ SELECT 'D' || doc_id AS source_id, 'https://w/' || doc_id AS url, t AS official_
 def source_world_bank(spark, sf_dir):
     """The World Bank's JSON: texts in ``cdata!`` or plain, ``facets`` is no document, documents without a title go."""
     key = lambda s, *c: F.concat(F.lit(s), *c)
-    payload = F.concat(F.lit('{"documents":{"D'), "doc_id", F.lit('":{"id":"D'), "doc_id", F.lit('","url":"https://w/'), "doc_id", F.lit('","title":'), F.when(F.pmod("doc_id", F.lit(3)) == 0, F.concat(F.lit('"'), "t", F.lit('"'))).otherwise(F.concat(F.lit('{"cdata!":"'), "t", F.lit('"}'))), F.when(F.pmod("doc_id", F.lit(2)) == 0, key(',"descr":{"cdata!":"Descripción ', "doc_id", F.lit('"}'))).otherwise(""), F.lit(',"lnchdt":"'), F.col("day").cast("string"), F.lit('T00:00:00Z"},"facets":{"n":1}}}'))
+    payload = F.concat(F.lit('{"documents":{"D'), "doc_id", F.lit('":{"id":"D'), "doc_id", F.lit('","url":"https://w/'), "doc_id", F.lit('","title":'), F.when(F.pmod("doc_id", F.lit(3)) == 0, _json("raw")).otherwise(F.concat(F.lit('{"cdata!":'), _json("raw"), F.lit('}'))), F.when(F.pmod("doc_id", F.lit(2)) == 0, key(',"descr":{"cdata!":"Descripción ', "doc_id", F.lit('"}'))).otherwise(""), F.lit(',"lnchdt":"'), F.col("day").cast("string"), F.lit('T00:00:00Z"},"facets":{"n":1}}}'))
     return _plain(notices.world_bank(_docs(spark, sf_dir).select(F.col("doc_id").alias("ordinal"), payload.alias("payload"))), *NOTICE[:5])
 
 
@@ -130,7 +141,7 @@ def source_court(spark, sf_dir):
     month = F.get(F.array(*map(F.lit, V.MONTHS)), F.month("day") - 1)
     docs = _docs(spark, sf_dir).withColumns({"when": F.concat(F.dayofmonth("day"), F.lit(" de "), month, F.lit(" de 2026")), "href": F.when(F.pmod("doc_id", F.lit(3)) == 0, "/a/").when(F.pmod("doc_id", F.lit(3)) == 1, "").otherwise("https://x.mx/")})
     item = ('<li> <a href="', "{href}", "{doc_id}", '.pdf" target="x">SS/', "{doc_id}", "/2026</a><br/> ")
-    payloads = _payloads(docs, '<li><a href="antes.pdf">SS/0</a> nada</li><p><strong>Lunes ', "{when}", "</strong></p><ul>", *item, "{t}", "</li><li>sin enlace</li></ul><strong>Martes 31 de junio de 2026</strong>", *item, "oculto</li>")
+    payloads = _payloads(docs, '<li><a href="antes.pdf">SS/0</a> nada</li><p><strong>Lunes ', "{when}", "</strong></p><ul>", *item, "{e}", "</li><li>sin enlace</li></ul><strong>Martes 31 de junio de 2026</strong>", *item, "oculto</li>")
     return _plain(notices.court_listing(payloads), *NOTICE)
 
 
@@ -178,36 +189,36 @@ SELECT {_SHA.format("'USA-' || doc_id")} AS source_id, 'https://t.org/10' AS url
 def source_panels(spark, sf_dir):
     """Panels of a table with eight cells a row; header rows and other tables are none."""
     docs = _docs(spark, sf_dir).withColumn("asked", F.date_format("day", "dd/MM/yyyy"))
-    payloads = _payloads(docs, "<table><tr><th>Panel</th></tr><tr class='x'><td>USA-", "{doc_id}", "</td><td><b>", "{t}", "</b></td><td>T</td><td>10.12</td><td>México &amp; E.U.</td><td>", "{source}", "</td><td>", "{asked}", "</td><td> Active </td></tr><tr><td>no</td><td>2</td><td>3</td><td>4</td><td>5</td><td>6</td><td>7</td><td>8</td></tr></table>")
+    payloads = _payloads(docs, "<table><tr><th>Panel</th></tr><tr class='x'><td>USA-", "{doc_id}", "</td><td><b>", "{e}", "</b></td><td>T</td><td>10.12</td><td>México &amp; E.U.</td><td>", "{source}", "</td><td>", "{asked}", "</td><td> Active </td></tr><tr><td>no</td><td>2</td><td>3</td><td>4</td><td>5</td><td>6</td><td>7</td><td>8</td></tr></table>")
     cases = notices.panel_cases(payloads).withColumn("page", F.lit(0))
     return notices.panels(cases, None, F.lit("2026-07-07").cast("date"), ("https://t.org/10", "https://t.org/31")).select(*_CASE_COLUMNS)
 
 
 @_query(f"""
 SELECT {_SHA.format('url')} AS source_id, url, official_title, strftime(day, '%Y-%m-%d') AS published_at, 'Iniciativas' AS document_type FROM (
-  SELECT 'https://gaceta.diputados.gob.mx/Gaceta/66/2026/' || CASE month(day) WHEN 6 THEN 'jun' ELSE 'jul' END || '/' || strftime(day, '%Y%m%d') || '.html#I' || doc_id AS url, 'Que reforma la ley ' || t AS official_title, day FROM {_DOCS} WHERE t <> '') WHERE length(official_title) >= 20
+  SELECT 'https://gaceta.diputados.gob.mx/Gaceta/66/2026/' || CASE month(day) WHEN 6 THEN 'jun' ELSE 'jul' END || '/' || strftime(day, '%Y%m%d') || '.html#I' || doc_id AS url, trim('Que reforma la ley ' || t) AS official_title, day FROM {_DOCS}) WHERE length(official_title) >= 20
 """)
 def source_parliament(spark, sf_dir):
     """The chamber's index: the section carried to its items, permanent dated addresses, short titles dropped."""
     month = F.get(F.array(*map(F.lit, V.MONTHS)), F.month("day") - 1)
-    docs = _docs(spark, sf_dir).filter("t <> ''").withColumn("when", F.concat(F.dayofmonth("day"), F.lit(" de "), month, F.lit(" de 2026")))
-    payloads = _payloads(docs, "<title>Gaceta, ", "{when}", "</title><div id='Indice'><a class='x Seccion'>Iniciativas</a><ul><li><a href='gp.html#I", "{doc_id}", "'>Que reforma la ley <b>", "{t}", "</b></a></li><li><a href='#x'>Corto</a></li></ul></div>")
+    docs = _docs(spark, sf_dir).withColumn("when", F.concat(F.dayofmonth("day"), F.lit(" de "), month, F.lit(" de 2026")))
+    payloads = _payloads(docs, "<title>Gaceta, ", "{when}", "</title><div id='Indice'><a class='x Seccion'>Iniciativas</a><ul><li><a href='gp.html#I", "{doc_id}", "'>Que reforma la ley <b>", "{e}", "</b></a></li><li><a href='#x'>Corto</a></li></ul></div>")
     return _plain(pages.parliament_index(payloads), "source_id", "url", "official_title", "published_at", "document_type")
 
 
-@_query(f"SELECT {_SHA.format('url')} AS source_id, url, 'Anexo II de la Gaceta Parlamentaria (dictámenes y minutas del Pleno)' AS official_title, CASE WHEN t = '' THEN 'Anexo II' ELSE t END AS description, strftime(day, '%Y-%m-%d') AS published_at FROM (SELECT *, 'https://gaceta.diputados.gob.mx/PDF/' || strftime(day, '%Y%m%d') || '-' || doc_id || '.pdf' AS url FROM {_DOCS})")
+@_query(f"SELECT {_SHA.format('url')} AS source_id, url, 'Anexo II de la Gaceta Parlamentaria (dictámenes y minutas del Pleno)' AS official_title, coalesce(nullif(trim(t, ' :-'), ''), 'Anexo II') AS description, strftime(day, '%Y-%m-%d') AS published_at FROM (SELECT *, 'https://gaceta.diputados.gob.mx/PDF/' || strftime(day, '%Y%m%d') || '-' || doc_id || '.pdf' AS url FROM {_DOCS})")
 def source_parliament_annexes(spark, sf_dir):
     """The chamber's annexes: the date from the file's name, the description without its label, files without a date dropped."""
     docs = _docs(spark, sf_dir).withColumn("stamp", F.date_format("day", "yyyyMMdd"))
-    payloads = _payloads(docs, "<div id='Anexos'><p><a href='/PDF/", "{stamp}", "-", "{doc_id}", ".pdf'>Anexo II</a>: ", "{t}", "</p><p><a href='/PDF/20261399-I.pdf'>Anexo I</a> malo</p></div>")
+    payloads = _payloads(docs, "<div id='Anexos'><p><a href='/PDF/", "{stamp}", "-", "{doc_id}", ".pdf'>Anexo II</a>: ", "{e}", "</p><p><a href='/PDF/20261399-I.pdf'>Anexo I</a> malo</p></div>")
     return _plain(pages.parliament_annexes(payloads), "source_id", "url", "official_title", "description", "published_at")
 
 
-@_query(f"SELECT 'https://www.impi.gob.mx/n/' || doc_id AS url, 'Nota ' || t AS official_title, CASE WHEN doc_id % 2 = 0 THEN 'Texto & más' ELSE 'Nota ' || t END AS description, strftime(day, '%Y-%m-%d') AS published_at FROM {_DOCS} WHERE t <> ''")
+@_query(f"SELECT 'https://www.impi.gob.mx/n/' || doc_id AS url, trim('Nota ' || t) AS official_title, CASE WHEN doc_id % 2 = 0 THEN 'Texto & más' ELSE trim('Nota ' || t) END AS description, strftime(day, '%Y-%m-%d') AS published_at FROM {_DOCS}")
 def source_patents(spark, sf_dir):
     """Articles with a time, a heading and a link that wraps it."""
-    docs = _docs(spark, sf_dir).filter("t <> ''").withColumn("p", F.when(F.pmod("doc_id", F.lit(2)) == 0, "<p>Texto &amp; más</p>").otherwise(""))
-    payloads = _payloads(docs, "<article class='a'><time datetime='", F.col("day").cast("string"), "'>hoy</time><a href='/n/", "{doc_id}", "'><h3>Nota <i>", "{t}", "</i></h3></a>", "{p}", "</article><article><h3>sin fecha</h3><a href='/x'>y</a></article>")
+    docs = _docs(spark, sf_dir).withColumn("p", F.when(F.pmod("doc_id", F.lit(2)) == 0, "<p>Texto &amp; más</p>").otherwise(""))
+    payloads = _payloads(docs, "<article class='a'><time datetime='", F.col("day").cast("string"), "'>hoy</time><a href='/n/", "{doc_id}", "'><h3>Nota <i>", "{e}", "</i></h3></a>", "{p}", "</article><article><h3>sin fecha</h3><a href='/x'>y</a></article>")
     return _plain(pages.patent_office(payloads), "url", "official_title", "description", "published_at")
 
 
@@ -236,18 +247,19 @@ def source_portal_archive(spark, sf_dir):
     """Archive pages in script strings with every escape: articles, of which titles look relevant or portals always are."""
     n = F.pmod("doc_id", F.lit(4)).cast("int")
     docs = _docs(spark, sf_dir).withColumns({"portal": F.get(F.array(*map(F.lit, _PORTALS)), n), "more": F.get(F.array(*map(F.lit, ("", " al arancel", r" de importación", r" común"))), n), "kind": F.when(F.pmod("doc_id", F.lit(2)) == 0, "prensa").otherwise("articulos")})
-    double = F.concat(F.lit(r'append("<article>\n<time date=\"'), F.col("day").cast("string"), F.lit(r'\"><\/time>\t<h2>Visita ó\"'), "more", F.lit(" "), "t", F.lit(r'<\/h2><a href=\"/'), "portal", F.lit("/"), "doc_id", F.lit(r'\">x</a></article>")'))
-    single = F.concat(F.lit(r"append('<article>\n<time date=\'"), F.col("day").cast("string"), F.lit(r"\'><\/time>\t<h2>Visita ó" + '"'), "more", F.lit(" "), "t", F.lit(r"<\/h2><a href=\'/"), "portal", F.lit("/"), "doc_id", F.lit(r"\'>x</a></article>')"))
+    docs = docs.withColumn("script", F.regexp_extract(_json("e"), r'(?s)^"(.*)"$', 1))
+    double = F.concat(F.lit(r'append("<article>\n<time date=\"'), F.col("day").cast("string"), F.lit(r'\"><\/time>\t<h2>Visita ó\"'), "more", F.lit(" "), "script", F.lit(r'<\/h2><a href=\"/'), "portal", F.lit("/"), "doc_id", F.lit(r'\">x</a></article>")'))
+    single = F.concat(F.lit(r"append('<article>\n<time date=\'"), F.col("day").cast("string"), F.lit(r"\'><\/time>\t<h2>Visita ó" + '"'), "more", F.lit(" "), F.replace("script", F.lit("'"), F.lit("\\'")), F.lit(r"<\/h2><a href=\'/"), "portal", F.lit("/"), "doc_id", F.lit(r"\'>x</a></article>')"))
     payload = F.concat(F.lit('$("#a").'), F.when(F.pmod("doc_id", F.lit(3)) == 0, single).otherwise(double), F.lit(";"))
     items = pages.portal_archive(docs.select(F.col("doc_id").alias("ordinal"), "portal", "kind", payload.alias("payload")))
     return _plain(pages.portal_notices(items), "url", "official_title", "published_at", "authority", "document_type")
 
 
-@_query(f"SELECT 'https://www.snice.gob.mx/d/' || doc_id AS url, 'Aviso sobre cupos de importacion ' || t AS official_title, strftime(day, '%Y-%m-%d') AS published_at FROM {_DOCS} WHERE t <> ''")
+@_query(f"SELECT 'https://www.snice.gob.mx/d/' || doc_id AS url, trim('Aviso sobre cupos de importacion ' || t) AS official_title, strftime(day, '%Y-%m-%d') AS published_at FROM {_DOCS}")
 def source_dated_links(spark, sf_dir):
     """Links with long titles whose surroundings hold a date; undated, short and historic ones go."""
-    docs = _docs(spark, sf_dir).filter("t <> ''").withColumn("when", F.date_format("day", "dd.MM.yyyy"))
-    payloads = _payloads(docs, "<ul><li>", "{when}", " <a href='/d/", "{doc_id}", "'>Aviso sobre cupos de importacion ", "{t}", "</a></li><li><a href='/n'>Sin ninguna fecha en el contexto</a></li><li>", "{when}", " <a href='/h'>Histórico de los avisos sobre cupos</a></li><li>", "{when}", " <a href='/c'>Corto</a></li></ul>")
+    docs = _docs(spark, sf_dir).withColumn("when", F.date_format("day", "dd.MM.yyyy"))
+    payloads = _payloads(docs, "<ul><li>", "{when}", " <a href='/d/", "{doc_id}", "'>Aviso sobre cupos de importacion ", "{e}", "</a></li><li><a href='/n'>Sin ninguna fecha en el contexto</a></li><li>", "{when}", " <a href='/h'>Histórico de los avisos sobre cupos</a></li><li>", "{when}", " <a href='/c'>Corto</a></li></ul>")
     return _plain(pages.dated_links(payloads), "url", "official_title", "published_at")
 
 
@@ -281,7 +293,7 @@ def _candidates(spark, sf_dir) -> DataFrame:
     tens = F.get(F.array(*map(F.lit, _PHRASES)), F.pmod(F.floor(F.col("doc_id") / 10), F.lit(10)).cast("int"))
     return docs.select(
         "doc_id", F.col("doc_id").alias("ordinal"), F.concat(F.lit("id:"), "doc_id").alias("id"), _pick(_SOURCES).alias("source"), F.col("doc_id").cast("string").alias("source_id"), F.concat(F.lit("https://x.mx/"), "doc_id").alias("url"),
-        F.concat_ws(" ", _pick(_PHRASES), "t").alias("official_title"), F.when(F.pmod("doc_id", F.lit(3)) == 0, "").otherwise(F.concat("t", F.lit(". "), tens)).alias("description"), F.col("day").alias("published_at"),
+        F.concat_ws(" ", _pick(_PHRASES), "raw").alias("official_title"), F.when(F.pmod("doc_id", F.lit(3)) == 0, "").otherwise(F.concat("raw", F.lit(". "), tens)).alias("description"), F.col("day").alias("published_at"),
         _pick(_TYPES).alias("document_type"), _pick(_AUTHORITIES).alias("authority"), F.lit("").alias("case_parties"), F.lit("").alias("case_status"), F.lit("").alias("case_facts"),
     )
 
@@ -382,7 +394,7 @@ def detail_pages(spark, sf_dir):
     return rows.select("doc_id", summarize.detail_markdown().alias("detail_markdown"))
 
 
-@_query(f"SELECT doc_id, 'ficha.html?id=' || replace(url_encode('x:' || t || '/é+*~'), '+', '%20') AS url FROM {_DOCS}".replace("replace(url_encode('x:' || t || '/é+*~'), '+', '%20')", "replace(replace('x%3A' || t, ' ', '%20'), '/', '%2F') || '%2F%C3%A9%2B%2A~'"))
+@_query(f"SELECT doc_id, 'ficha.html?id=' || replace(url_encode('x:' || t || '/é+*~'), '+', '%20') AS url FROM {_DOCS}")
 def detail_urls(spark, sf_dir):
     """Percent-encoded ids."""
     return _docs(spark, sf_dir).select("doc_id", text.detail_url(F.concat(F.lit("x:"), "t", F.lit("/é+*~"))).alias("url"))
