@@ -16,7 +16,9 @@ besides the key and the text are never read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator, Mapping
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -54,7 +56,7 @@ def best_fit(counts: Mapping[int, int], capacity: int) -> list[tuple[Pattern, in
     return [(p, n) for group in open_.values() for p, n in group]
 
 
-def fillings(counts: np.ndarray, space: int, most: int, steps: int) -> list[tuple[int, Pattern]]:
+def fillings(counts: np.ndarray, space: int, most: float, steps: float) -> list[tuple[int, Pattern]]:
     """Undominated ways to fill ``space`` from counted lengths, least waste first: (waste, pattern).
     At most ``steps`` steps of the enumeration, which takes larger lengths first, and ``most`` results."""
     lengths = np.flatnonzero(counts[: space + 1])[::-1].tolist()
@@ -102,8 +104,23 @@ def _dominates(a: Pattern, b: Pattern) -> bool:
     return True
 
 
-def complete(counts: Mapping[int, int], capacity: int, nodes: int = 20_000, most: int = 6, steps: int = 400) -> list[tuple[Pattern, int]]:
-    """Bin completion by branch and bound within ``nodes`` nodes; never worse than best-fit decreasing."""
+@dataclass(frozen=True)
+class Bounds:
+    """How far the search goes: nodes, fillings a node, steps of their enumeration; and whether a filling is repeated as often as the
+    lengths allow. ``EXACT`` has none of these bounds: the fewest sequences, for small instances."""
+
+    nodes: float = 20_000
+    most: float = 6
+    steps: float = 400
+    repeat: bool = True
+
+
+EXACT = Bounds(math.inf, math.inf, math.inf, False)
+
+
+def complete(counts: Mapping[int, int], capacity: int, bounds: Bounds = Bounds()) -> list[tuple[Pattern, int]]:
+    """Bin completion by branch and bound within ``bounds``; never worse than best-fit decreasing."""
+    nodes = bounds.nodes
     best = best_fit(counts, capacity)
     used = sum(n for _, n in best)
     total = sum(x * n for x, n in counts.items())
@@ -120,7 +137,7 @@ def complete(counts: Mapping[int, int], capacity: int, nodes: int = 20_000, most
     def branches() -> list:
         top = int(np.flatnonzero(left)[-1])
         left[top] -= 1
-        ways = fillings(left, capacity - top, most, steps)
+        ways = fillings(left, capacity - top, bounds.most, bounds.steps)
         left[top] += 1
         return [top, iter(ways)]
 
@@ -140,8 +157,7 @@ def complete(counts: Mapping[int, int], capacity: int, nodes: int = 20_000, most
         nodes -= 1
         waste, rest = way
         pattern = ((top, 1 + rest[0][1]), *rest[1:]) if rest and rest[0][0] == top else ((top, 1), *rest)
-        # Repeat the pattern as often as the lengths allow.
-        n = min(int(left[x]) // k for x, k in pattern)
+        n = min(int(left[x]) // k for x, k in pattern) if bounds.repeat else 1
         if -(-(total + wasted + n * waste) // capacity) >= used:
             continue
         for x, k in pattern:
@@ -185,21 +201,25 @@ class Places:
 
 @lru_cache(4)
 def _encoding(name: str):
-    """The byte-level vocabulary ``name``.json as an encoder of the tiktoken library (same ids, several times faster)."""
+    """The byte-level vocabulary ``name``.json, with its special tokens, as an encoder of the tiktoken library (same ids, several times faster)."""
     import base64
+    import json
 
     import public_tokenizers as public
     import tiktoken
 
     with open(public.path(name.replace(".json", ".tiktoken")), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding(name, pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(public.path(name), encoding="utf-8") as file:
+        special = {x["content"]: x["id"] for x in json.load(file)["added_tokens"]}
+    return tiktoken.Encoding(name, pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens=special), frozenset(special)
 
 
 def token_ids(texts: list[str], tokenizer: str = "byte_bpe_50k.json") -> list[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit values."""
-    core = _encoding(tokenizer)
-    return [np.asarray(core.encode_ordinary(x), "<u4").tobytes() for x in texts]
+    """Each text's ids as little-endian unsigned 32-bit values; a special token's string is that token."""
+    core, special = _encoding(tokenizer)
+    plain = lambda x: not any(s in x for s in special)
+    return [np.asarray(core.encode_ordinary(x) if plain(x) else core.encode(x, allowed_special="all"), "<u4").tobytes() for x in texts]
 
 
 def _pieces(tokenizer: str, capacity: int, separator: int, start_of):
@@ -242,7 +262,7 @@ def _first_stop(n: int, capacity: int) -> int:
     return (n - 1) % capacity + 1
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = "byte_bpe_50k.json", capacity: int = 2048, separator: int = 0) -> DataFrame:
+def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = "byte_bpe_50k.json", capacity: int = 2048, separator: int = 0, bounds: Bounds = Bounds()) -> DataFrame:
     """One row per piece: the key, piece, start, length, ids_crc32, sequence_id, offset."""
     kind = docs.schema[key].dataType.simpleString()
     cut = docs.select(F.col(key).alias("key"), text).mapInArrow(_pieces(tokenizer, capacity, separator, _first_stop), f"key {kind}, piece int, start long, length long, ids_crc32 long, part int, rank long")
@@ -251,7 +271,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: st
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     totals = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``capacity`` rows
-    places = Places(complete(totals, capacity))
+    places = Places(complete(totals, capacity, bounds))
     names = [key, "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
