@@ -36,6 +36,10 @@ from tamiz.llm.shared import materialise, slices
 
 #: Rows of a table of weights that travel together.
 BLOCK = 4096
+#: Log ratios are at most this, so that their exponentials and the sums of these stay finite.
+HIGHEST = 60.0
+#: Tasks whose weights are added in one task, then so many such sums, and so on.
+FAN_IN = 32
 #: A task hands on its counts whenever it holds so many words.
 HELD_WORDS = 1 << 20
 
@@ -127,12 +131,12 @@ class Sparse:
         table[rows] -= rate * g / (np.sqrt(m) + 1)  # the one damps what was met seldom
         self.met[rows] += np.bincount(place, minlength=len(rows))
 
-    def sent(self, number: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def sent(self, task: int, number: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
         """The met rows, times how often, and how often."""
         for b in range(0, len(table), BLOCK):
             n = self.met[b : b + BLOCK]
             if len(at := np.flatnonzero(n)):
-                yield _sent(number, b // BLOCK, at, np.column_stack([table[b + at] * n[at, None], n[at]]))
+                yield _sent(task, number, b // BLOCK, at, np.column_stack([table[b + at] * n[at, None], n[at]]))
 
 
 class Network:
@@ -192,7 +196,8 @@ class Network:
             y = target[s : s + 8192]
             _, h = self.forward(context[s : s + 8192])
             z = h @ ways
-            own = np.einsum("ij,ij->i", h, self.output.take(y, 0))
+            own = np.minimum(np.einsum("ij,ij->i", h, self.output.take(y, 0)), HIGHEST)
+            np.minimum(z, HIGHEST, out=z)
             out[s : s + 8192] = own - np.log(np.maximum(np.exp(z, out=z) @ weight + np.exp(own) * mine[y], 1e-30))
         return out
 
@@ -204,9 +209,9 @@ class Network:
             x, h = self.forward(ctx)
             ways, own = self.output[noise], self.output.take(y, 0)
             z = h @ ways.T
-            np.exp(z, out=z)
+            np.exp(np.minimum(z, HIGHEST, out=z), out=z)
             z *= weight
-            e = np.exp(np.einsum("ij,ij->i", h, own)) * mine[y]
+            e = np.exp(np.minimum(np.einsum("ij,ij->i", h, own), HIGHEST)) * mine[y]
             total = np.maximum(z.sum(1) + e, 1e-30)
             z /= total[:, None]
             miss = (e / total - 1)[:, None]
@@ -240,33 +245,42 @@ class Memory:
         self.embedding, self.output = Sparse(network.embedding), Sparse(network.output)
 
 
-_SENT = "table int, block int, at binary, values binary"
+_SENT = "task long, table int, block int, at binary, values binary"
 
 
-def _sent(table: int, block: int, at: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-    cols = [pa.array([table], pa.int32()), pa.array([block], pa.int32()), pa.array([at.astype(np.int32).tobytes()]), pa.array([values.astype(np.float32).tobytes()])]
-    return pa.RecordBatch.from_arrays(cols, ["table", "block", "at", "values"])
+def _sent(task: int, table: int, block: int, at: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    cols = [pa.array([task]), pa.array([table], pa.int32()), pa.array([block], pa.int32()), pa.array([at.astype(np.int32).tobytes()]), pa.array([values.astype(np.float32).tobytes()])]
+    return pa.RecordBatch.from_arrays(cols, ["task", "table", "block", "at", "values"])
 
 
 def _add_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of rows of float32 by block and place: (table, block, places, values)."""
-    total: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+    """Sums of rows of float32 by group of tasks, block and place, from rows sorted by these: one sum is held at a time."""
+    key, values, met = None, None, None
     for batch in batches:
-        for t, b, at, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for *own, at, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             at = np.frombuffer(at, np.int32)
             part = np.frombuffer(x, np.float32).reshape(len(at), -1)
-            if (t, b) not in total:
-                total[t, b] = np.zeros((BLOCK if t else 1, part.shape[1])), np.zeros(BLOCK if t else 1, bool)
-            total[t, b][0][at] += part
-            total[t, b][1][at] = True
-    for (t, b), (values, met) in total.items():
-        at = np.flatnonzero(met)
-        yield _sent(t, b, at, values[at])
-
-
-def _averaged(network: Network, rows: DataFrame) -> None:
-    """The tasks' weights, averaged, into ``network``. What comes to the driver is no more than the two tables of slots."""
-    for t, b, at, x in rows.repartition("table", "block").mapInArrow(_add_rows, _SENT).collect():
+            if own != key:
+                if key is not None:
+                    yield _sent(*key, np.flatnonzero(met), values[met])
+                n = BLOCK if own[1] else 1
+                key, values, met = own, np.zeros((n, part.shape[1])), np.zeros(n, bool)
+            values[at] += part
+            met[at] = True
+    if key is not None:
+        yield _sent(*key, np.flatnonzero(met), values[met])
+
+
+def _averaged(network: Network, rows: DataFrame, tasks: int) -> None:
+    """The tasks' weights, averaged, into ``network``: added in a tree, so that no task reads more than ``FAN_IN`` tasks' rows of a
+    block at once. What comes to the driver is no more than the two tables of slots."""
+    while True:
+        tasks = -(-tasks // FAN_IN)
+        groups = ["task", "table", "block"]
+        rows = rows.withColumn("task", F.floor(F.col("task") / FAN_IN)).repartition(*groups).sortWithinPartitions(*groups).mapInArrow(_add_rows, _SENT)
+        if tasks <= 1:
+            break
+    for _, t, b, at, x in rows.collect():
         at = np.frombuffer(at, np.int32).astype(np.int64)
         values = np.frombuffer(x, np.float32).reshape(len(at), -1)
         mean = values[:, :-1] / values[:, -1:]
@@ -301,10 +315,14 @@ def fit(docs: DataFrame, text: str = "text", params: Params = Params()) -> Model
     order = np.argsort(hashes)
     network = Network(params, share, hashes[order], np.log(n[order]).astype(np.float32))
     sc = docs.sparkSession.sparkContext
+    tasks = (texts.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0] or 0) + 1
     for r in range(params.rounds):
         shared = sc.broadcast(network)  # at most 2**most_bits slots and known_words words
 
         def train(batches: Iterable[pa.RecordBatch], shared=shared, r=r) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
+            task = TaskContext.get().partitionId()
             net, n, rng = None, 0, np.random.default_rng(params.seed + r)
             for batch in batches:
                 for part in slices(batch, 0, 1 << 19):
@@ -316,12 +334,12 @@ def fit(docs: DataFrame, text: str = "text", params: Params = Params()) -> Model
                     net.train(net.contexts(slots, before), slots, memory, rng)
                     n += len(slots)
             if n:
-                yield _sent(0, 0, np.zeros(1), np.append(np.concatenate([w.ravel() for w in net.dense]).astype(np.float64) * n, float(n)))
-                yield from memory.embedding.sent(1, net.embedding)
-                yield from memory.output.sent(2, net.output)
+                yield _sent(task, 0, 0, np.zeros(1), np.append(np.concatenate([w.ravel() for w in net.dense]).astype(np.float64) * n, float(n)))
+                yield from memory.embedding.sent(task, 1, net.embedding)
+                yield from memory.output.sent(task, 2, net.output)
 
         rows = texts.filter(F.pmod(F.xxhash64("text"), F.lit(params.rounds)) == r) if params.rounds > 1 else texts
-        _averaged(network, rows.mapInArrow(train, _SENT))
+        _averaged(network, rows.mapInArrow(train, _SENT), tasks)
         shared.unpersist()
     return Model(network, counts, total, int(n.min()) if len(n) else 0)
 
