@@ -7,6 +7,8 @@ then mixed; it depends on the token's bytes alone, never on its place.
 
 from __future__ import annotations
 
+from hashlib import md5
+
 import numpy as np
 import pyarrow as pa
 
@@ -108,19 +110,41 @@ def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return _spans(data, starts, stops, SAME), starts, stops, before
 
 
-def wrapped_lines(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lines, of which longer ones are wrapped after every ``words`` words: hashes, first bytes, ends, the
+def _orders(data: np.ndarray, first: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 32-bit number of each word: the first four bytes of its MD5, which SQL has too. Each different word is hashed once."""
+    different, at, inverse = np.unique(_spans(data, first, stops, SAME), return_index=True, return_inverse=True)
+    whole = data.tobytes()
+    numbers = [int.from_bytes(md5(whole[a:b]).digest()[:4], "big") for a, b in zip(first[at].tolist(), stops[at].tolist(), strict=True)]
+    return np.array(numbers, np.int64)[inverse] if len(different) else np.zeros(0, np.int64)
+
+
+def wrapped_lines(data: np.ndarray, offsets: np.ndarray, words: int, around: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lines, of which those of more than ``words`` words are wrapped after the words that are least among the ``around`` words
+    before them (strictly) and after them, so that cuts depend on the words nearby alone: hashes, first bytes, ends, the
     number of the line each is of, and the number of wrapped lines before each row. Blanks stay with the word before
     them, those at a line's beginning with its first word."""
     starts, stops, lines = line_spans(data, offsets)
     inside = BLANK[data]
-    inside[1:] &= ~inside[:-1] | (np.bincount(offsets[:-1][offsets[:-1] < len(data)], minlength=len(data))[1:] > 0)
-    first = np.flatnonzero(inside)
+    new_row = np.bincount(offsets[:-1][offsets[:-1] < len(data)], minlength=len(data)) > 0
+    begun = inside.copy()
+    begun[1:] &= ~inside[:-1] | new_row[1:]
+    ended = inside.copy()
+    ended[:-1] &= ~inside[1:] | new_row[1:]
+    first, last = np.flatnonzero(begun), np.flatnonzero(ended) + 1
     owner = np.searchsorted(starts, first, side="right") - 1
-    rank = np.arange(len(first)) - np.searchsorted(first, starts)[owner]
-    breaks = (rank > 0) & (rank % words == 0)
-    line = np.concatenate([np.arange(len(starts)), owner[breaks]])
-    begins = np.concatenate([starts, first[breaks]])
+    many = np.bincount(owner, minlength=len(starts))[owner] > words
+    first, last, owner = first[many], last[many], owner[many]
+    number = _orders(data, first, last)
+    cut = np.ones(len(first), bool)
+    for k in range(1, around + 1):
+        if k < len(first):
+            same = owner[k:] == owner[:-k]
+            cut[k:] &= ~same | (number[k:] < number[:-k])
+            cut[:-k] &= ~same | (number[:-k] <= number[k:])
+    # The word after a cut begins a wrapped line.
+    after = np.flatnonzero(cut[:-1] & (owner[1:] == owner[:-1])) + 1 if len(first) else np.zeros(0, np.int64)
+    line = np.concatenate([np.arange(len(starts)), owner[after]])
+    begins = np.concatenate([starts, first[after]])
     order = np.lexsort((begins, line))
     line, begins = line[order], begins[order]
     ends = stops[line]

@@ -20,7 +20,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: doc_id, its text without later occurrences of repeated three-line windows (lines wrapped after 16 words), n_lines, n_removed."""
+    """Per document: doc_id, its text without later occurrences of repeated three-line windows (lines of more than 16 words wrapped by content), n_lines, n_removed."""
     return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
@@ -29,8 +29,18 @@ OP2_SQL = rf"""
 WITH t AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS k
   FROM documents WHERE text IS NOT NULL
+), x AS (
+  SELECT doc_id, k, line, regexp_extract_all(line, '{_B}*{_W}+{_B}*') AS parts, regexp_extract_all(line, '{_W}+') AS words FROM t
+), y AS (
+  SELECT doc_id, k, unnest(parts) AS part, unnest(range(len(parts))) AS i, unnest([('0x' || left(md5(z), 8))::BIGINT FOR z IN words]) AS h FROM x WHERE len(words) > 16
+), z AS (
+  SELECT doc_id, k, part, i, CASE WHEN h < coalesce(min(h) OVER (c ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), h + 1) AND h <= coalesce(min(h) OVER (c ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING), h) THEN 1 ELSE 0 END AS cut
+  FROM y WINDOW c AS (PARTITION BY doc_id, k ORDER BY i)
 ), v AS (
-  SELECT doc_id, k, CASE WHEN line = '' THEN [''] ELSE regexp_extract_all(line, '{_B}*{_W}+(?:{_B}+{_W}+){{15}}{_B}*|[^\n]+') END AS parts FROM t
+  SELECT doc_id, k, [line] AS parts FROM x WHERE len(words) <= 16
+  UNION ALL SELECT doc_id, k, list(line ORDER BY j) FROM (
+    SELECT doc_id, k, j, string_agg(part, '' ORDER BY i) AS line FROM (SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id, k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS j FROM z) GROUP BY doc_id, k, j
+  ) GROUP BY doc_id, k
 ), l AS (
   SELECT doc_id, k, line, row_number() OVER (PARTITION BY doc_id ORDER BY k, j) - 1 AS pos
   FROM (SELECT doc_id, k, unnest(parts) AS line, unnest(range(len(parts))) AS j FROM v)

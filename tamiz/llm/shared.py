@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -55,9 +56,40 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path
+    for made in _open:
+        made.tables.append(out)
     return out
 
 
+class Scratch:
+    """The tables that were written while it was open."""
+
+    def __init__(self) -> None:
+        self.tables: list[DataFrame] = []
+
+    def sweep(self, *kept: DataFrame) -> None:
+        """Deletes them but for ``kept``, once nothing else reads them; those that are gone already say nothing."""
+        keep = {x._table_path for x in kept}
+        gone = [x for x in self.tables if x._table_path not in keep]
+        self.tables = [x for x in self.tables if x._table_path in keep]
+        if gone:
+            discard(*gone)
+
+
+_open: list[Scratch] = []
+
+
+@contextmanager
+def scratch() -> Iterator[Scratch]:
+    """Records the tables that ``materialise`` writes inside it."""
+    made = Scratch()
+    _open.append(made)
+    try:
+        yield made
+    finally:
+        _open.remove(made)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables that ``materialise`` wrote and that nothing will read again, and releases shuffle files."""
     for df in tables:

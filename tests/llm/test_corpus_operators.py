@@ -10,6 +10,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,13 +113,21 @@ def test_components(spark):
     assert got == {x: label[x] for x in linked}
 
 
-def wrapped(text, words):
+def wrapped(text, words, around=3):
     """(line, text) of each wrapped line of ``text``, word by word."""
     out = []
     for k, line in enumerate(text.split("\n")):
-        parts = re.findall(r"[ \t]*[^ \t]+[ \t]*", line)
-        parts = ["".join(parts[i : i + words]) for i in range(0, len(parts), words)] or [line]
-        out += [(k, x) for x in parts]
+        parts = re.findall(r"[ \t\r\v\f]*[^ \t\r\v\f]+[ \t\r\v\f]*", line)
+        if len(parts) <= words:
+            out.append((k, line))
+            continue
+        h = [hashlib.md5(p.strip(" \t\r\v\f").encode()).digest()[:4] for p in parts]
+        held = ""
+        for i, p in enumerate(parts):
+            held += p
+            if all(h[i] < x for x in h[max(0, i - around) : i]) and all(h[i] <= x for x in h[i + 1 : i + 1 + around]) or i + 1 == len(parts):
+                out.append((k, held))
+                held = ""
     return out
 
 
@@ -148,7 +157,18 @@ def test_lines_equal_brute_force(spark, words, longest):
 def test_lines_cut_long_passages_of_one_line(spark):
     passage = " ".join(f"w{i}" for i in range(51))
     df = spark.createDataFrame([(1, f"a\n{passage}\nb"), (2, f"c\n{passage}\nd"), (3, passage), (4, None)], "doc_id long, text string")
-    assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in lines.dedup_lines(df).collect()) == [(1, f"a\n{passage}\nb", 6, 0), (2, "c\nd", 6, 4), (3, "", 4, 4), (4, None, 0, 0)]
+    assert sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in lines.dedup_lines(df).collect()) == [(1, f"a\n{passage}\nb", 8, 0), (2, "c\nd", 8, 6), (3, "", 6, 6), (4, None, 0, 0)]
+
+
+def test_lines_cut_passages_that_begin_anywhere_in_a_line(spark):
+    r = random.Random(8)
+    other = lambda n: [f"{r.choice('abcdef')}{r.randint(0, 10**6)}" for _ in range(n)]
+    passages = [other(50) for _ in range(30)]
+    rows = [(2 * i + k, " ".join(other(r.randint(0, 25)) + p + other(r.randint(0, 25)))) for i, p in enumerate(passages) for k in (0, 1)]
+    got = {r.doc_id: r.text.split() for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, p in enumerate(passages):
+        assert set(p) <= set(got[2 * i])
+        assert len(set(p) & set(got[2 * i + 1])) < 25 and len(got[2 * i + 1]) >= len(rows[2 * i + 1][1].split()) - 50
 
 
 def test_decontamination_equals_brute_force(spark):
@@ -206,13 +226,32 @@ def test_bin_completion_is_never_worse_than_best_fit_and_often_optimal():
     assert sum(n for _, n in packing.complete({6: 2, 5: 2, 4: 2, 3: 4}, 14)) == 3
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_exact_packing_needs_the_fewest_sequences(seed):
+    r = random.Random(seed)
+    pieces = [r.randint(1, 12) for _ in range(9)]
+
+    def fewest(rest, spaces, best):
+        if len(spaces) >= best:
+            return best
+        if not rest:
+            return len(spaces)
+        for i, s in enumerate(spaces):
+            if s >= rest[0]:
+                best = min(best, fewest(rest[1:], [*spaces[:i], s - rest[0], *spaces[i + 1 :]], best))
+        return min(best, fewest(rest[1:], [*spaces, 13 - rest[0]], best))
+
+    plan = packing.complete(Counter(pieces), 13, packing.EXACT)
+    assert sum(n for _, n in plan) == fewest(sorted(pieces, reverse=True), [], 99)
+
+
 def test_token_ids_equal_the_tokenizers_library():
     tokenizers = pytest.importorskip("tokenizers")
     import public_tokenizers
 
     t = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    texts = [x or "" for _, x in AWKWARD if len(x or "") < 1000] + ["it's  we'll\n\n\t x   　y 12345 $$$ \r\n", "日本語 العربية ​ é"]
+    whole = pq.read_table(f"{SMALL}/documents.parquet").column("text").to_pylist()
+    texts = [x or "" for _, x in AWKWARD] + whole + ["a<|endoftext|><|endoftext|> b", "it's  we'll\n\n\t x   　y 12345 $$$ \r\n", "日本語 العربية ​ é"]
     assert [np.frombuffer(b, "<u4").tolist() for b in packing.token_ids(texts)] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
