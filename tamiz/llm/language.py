@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamiz.llm.kernel import mix
-from tamiz.llm.shared import slices
+from tamiz.llm.shared import discard, materialise, slices
 
 #: N-grams are told apart by so many bits of their hash.
 GRAM_BITS = 20
@@ -141,16 +141,24 @@ class Model:
 def fit(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", params: Params = Params()) -> Model:
     """Learns from all rows where ``learn`` holds and the language is not null."""
     rows = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(text, lang)
-    counted = rows.mapInArrow(_count(params.n), "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # at most languages * 2**GRAM_BITS rows
-    languages = sorted(counted.lang.unique())
-    share = np.zeros((len(languages), 1 << GRAM_BITS))
-    for i, name in enumerate(languages):
-        mine = counted[counted.lang == name]
-        share[i, mine.gram.to_numpy()] = mine.n.to_numpy() / mine.n.sum()
+    counted = materialise(rows.mapInArrow(_count(params.n), "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    totals = counted.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").collect()  # one row a language
+    languages = [r.lang for r in totals]
     model = Model(languages, np.zeros((params.slots, max(1, -(-len(languages) // 64))), np.uint64), np.zeros(len(languages)), params)
-    most = share.max(0) if languages else share
+    if not languages:
+        return model
+    numbered = docs.sparkSession.createDataFrame([(r.lang, i, r.total) for i, r in enumerate(totals)], "lang string, i int, total long")
+    shares = counted.join(F.broadcast(numbered), "lang").select("gram", F.struct((F.col("n") / F.col("total")).alias("share"), "i").alias("s"))
+    # Languages meet at an n-gram before anything comes to the driver: one row an n-gram, 2**GRAM_BITS at most, whatever the number of languages.
+    met = shares.filter(F.col("s.share") >= params.min_share).groupBy("gram").agg(F.collect_list("s").alias("l"), F.max("s.share").alias("most"))
+    kept = F.transform(F.filter("l", lambda s: s["share"] >= params.ratio * F.col("most")), lambda s: s["i"])
+    lists = met.select("gram", kept.alias("of")).toArrow()
+    discard(counted)
+    of = lists.column("of").combine_chunks()
+    gram = np.repeat(lists.column("gram").to_numpy(), np.diff(of.offsets.to_numpy()))
+    owner = of.values.to_numpy()
     for i in range(len(languages)):
-        code = np.flatnonzero((share[i] >= params.ratio * most) & (share[i] >= params.min_share))
+        code = gram[owner == i]
         bit = np.uint64(1 << (i % 64))
         for at in model.probes(code):
             model.masks[at, i // 64] |= bit
