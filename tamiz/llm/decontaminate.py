@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.shared import materialise, row_count_at_most
+from tamiz.llm.shared import materialise, row_count_at_most, scratch
 
 #: Benchmarks of at most so many distinct windows (about 40 bytes each) are broadcast; larger ones are joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
@@ -142,8 +142,10 @@ def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", length: int = 10, k: int = 5) -> DataFrame:
     """``docs`` without the rows whose document has a hit; all columns stay."""
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    _, found, _ = hits(texts, benchmark.select(F.col(item).cast("string").alias("id"), F.col(text).alias("text")), length, k)
-    bad = materialise(found.select(F.col("id").alias("__doc")).distinct(), "contaminated")
+    with scratch() as made:
+        _, found, _ = hits(texts, benchmark.select(F.col(item).cast("string").alias("id"), F.col(text).alias("text")), length, k)
+        bad = materialise(found.select(F.col("id").alias("__doc")).distinct(), "contaminated")
+        made.sweep(bad)
     if row_count_at_most(bad, BROADCAST_WINDOWS):
         bad = F.broadcast(bad)
     return docs.join(bad, F.col(key).eqNullSafe(F.col("__doc")), "left_anti")

@@ -226,6 +226,29 @@ def test_bin_completion_is_never_worse_than_best_fit_and_often_optimal():
     assert sum(n for _, n in packing.complete({6: 2, 5: 2, 4: 2, 3: 4}, 14)) == 3
 
 
+def test_language_masks_equal_plain_sets(spark):
+    """A language's filter holds the n-grams that plain counting gives it, and no lookup of one of them misses it."""
+    r = random.Random(3)
+    rows = [(" ".join("".join(r.choice(letters) for _ in range(r.randint(1, 6))) for _ in range(20)), lang) for lang, letters in (("aa", "abcde"), ("bb", "cdefg"), ("cc", "xyzab")) for _ in range(30)]
+    params = language.Params()
+    model = language.fit(spark.createDataFrame(rows, "text string, lang string"), F.lit(True), params=params)
+    counts = {lang: Counter() for lang in ("aa", "bb", "cc")}
+    for text, lang in rows:
+        counts[lang].update(language.grams([text], params.n)[0].tolist())
+    share = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in counts.items()}
+    every = sorted(set().union(*counts.values()))
+    found = model.lookup(np.array(every, np.uint32))[:, 0]
+    assert model.languages == ["aa", "bb", "cc"]
+    false = 0
+    for g, mask in zip(every, found.tolist(), strict=True):
+        most = max(s.get(g, 0) for s in share.values())
+        want = {lang for lang, s in share.items() if s.get(g, 0) >= max(params.ratio * most, params.min_share)}
+        got = {lang for i, lang in enumerate(model.languages) if mask >> i & 1}
+        assert want <= got
+        false += len(got - want)
+    assert false <= 3 * len(every) * (model.false_rate.max() + 0.001) + 3
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_exact_packing_needs_the_fewest_sequences(seed):
     r = random.Random(seed)
