@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.llm import decontaminate, jaccard, lines, packing, toxicity
-from tamiz.llm.shared import bounded, materialise, row_count_at_most, table
+from tamiz.llm.shared import bounded, materialise, row_count_at_most, scratch, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -61,8 +61,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``. Once a stage's result is written, what it and the stage before wrote goes."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+    with scratch() as made:
+        for name, stage in STAGES[:-1]:
+            docs = materialise(stage(spark, docs, sf_dir), name)
+            made.sweep(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
