@@ -74,3 +74,39 @@ def facet(df: DataFrame, column: str, collation: str = "es") -> DataFrame:
     kind = dict(df.dtypes)[column]
     values = df.select(F.explode(column).alias("value") if kind.startswith("array") else F.col(column).alias("value"))
     return values.filter("value is not null and value <> ''").distinct().orderBy(F.collate("value", collation), "value")
+
+
+#: The parameters of an archive address, in the order in which they are written, and what each is without one.
+STATE = {"query": ("q", ""), "days": ("dias", "all"), "category": ("materia", "Todas"), "organ": ("organo", "Todas"), "source": ("fuente", "Todas"), "jurisdiction": ("jurisdiccion", "Todas"), "sort": ("orden", "date"), "exact_date": ("fecha", "")}
+PAGE = "pagina"
+
+
+def _decoded(part: Column) -> Column:
+    """Form decoding: plus signs are blanks, escapes are UTF-8 bytes, and a per cent sign that begins none stands for itself."""
+    return F.try_url_decode(F.regexp_replace(part, "%(?![0-9A-Fa-f]{2})", "%25"))
+
+
+def _number(text: Column) -> Column:
+    """A script's number: decimal or hexadecimal, blanks around it; null for none."""
+    x = F.regexp_replace(text, r"^\s+|\s+$", "")
+    decimal = F.when(x.rlike(r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"), x.try_cast("double"))
+    return F.when(x.rlike("^0[xX][0-9A-Fa-f]+$"), F.conv(F.substr(x, F.lit(3)), 16, 10).cast("double")).otherwise(decimal)
+
+
+def read_state(address: Column) -> Column:
+    """The state that an archive address asks for, as a struct: of repeated parameters the first counts, an empty value is the
+    default, and a page that is no number or below 1 is the first."""
+    query = F.regexp_extract(F.coalesce(address, F.lit("")), r"^[^?#]*\?([^#]*)", 1)
+    pairs = F.transform(F.filter(F.split(query, "&"), lambda p: p != ""), lambda p: F.struct(_decoded(F.substring_index(p, "=", 1)).alias("k"), _decoded(F.when(F.contains(p, F.lit("=")), F.substr(p, F.length(F.substring_index(p, "=", 1)) + 2)).otherwise(F.lit(""))).alias("v")))
+    value = lambda name: F.coalesce(F.get(F.filter(pairs, lambda x: x["k"] == name), 0)["v"], F.lit(""))
+    fields = [F.coalesce(F.nullif(value(name), F.lit("")), F.lit(default)).alias(field) for field, (name, default) in STATE.items()]
+    page = _number(value(PAGE))
+    return F.struct(*fields, F.greatest(F.lit(1.0), F.coalesce(F.nullif(page, F.lit(0.0)), F.lit(1.0))).alias("page"))
+
+
+def write_state(state: Column) -> Column:
+    """The canonical query string of a state, with a question mark before it, or nothing for the state without conditions."""
+    page = F.when(state["page"] == F.floor(state["page"]), state["page"].cast("decimal(20,0)").cast("string")).otherwise(state["page"].cast("string"))
+    parts = [F.when(state[field] != default, F.concat(F.lit(f"{name}="), F.url_encode(state[field]))) for field, (name, default) in STATE.items()]
+    text = F.concat_ws("&", *parts, F.when(state["page"] > 1, F.concat(F.lit(f"{PAGE}="), F.url_encode(page))))
+    return F.when(text != "", F.concat(F.lit("?"), text)).otherwise("")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tamiz.functions.text import section, words
 from tamiz.operators import summarize, taxonomy, validate
@@ -52,13 +51,18 @@ def patch(items: DataFrame, edits: DataFrame, fields: tuple[str, ...], mark: str
     return met.select(*(put[c].alias(c) if c in put else F.col(c) for c in items.columns))
 
 
-def patch_payloads(history: DataFrame, edits: DataFrame, schema: T.StructType) -> DataFrame:
-    """``history`` (id, payload, ...) with the non-null columns of ``edits`` (unique by id) written into its JSON objects of ``schema``."""
+def patch_payloads(history: DataFrame, edits: DataFrame) -> DataFrame:
+    """``history`` (id, payload, ...) with the non-null columns of ``edits`` (unique by id) written into its JSON objects.
+
+    Objects are read as maps of variants, so keys that no schema names, nulls and nested values stay as they are (keys come out in
+    the order of their names, the edited ones last). A payload that is no JSON object stays untouched."""
+    kind = "map<string,variant>"
     fields = [c for c in edits.columns if c != "id"]
-    new = edits.select("id", F.struct(*fields).alias("__new"))
-    met = history.join(new, "id", "left").withColumn("__old", F.from_json("payload", schema))
-    put = [F.coalesce(F.col(f"__new.{c}"), F.col(f"__old.{c}")).alias(c) if c in fields else F.col(f"__old.{c}") for c in schema.names]
-    payload = F.when(F.col("__new").isNotNull(), F.to_json(F.struct(*put))).otherwise(F.col("payload")).alias("payload")
+    new = edits.select("id", F.to_json(F.struct(*fields)).alias("__new"))  # null fields are left out
+    met = history.join(new, "id", "left")
+    old, fresh = F.try_variant_get(F.try_parse_json("payload"), "$", kind), F.variant_get(F.parse_json("__new"), "$", kind)
+    merged = F.map_from_entries(F.concat(F.filter(F.map_entries(old), lambda e: ~F.map_contains_key(fresh, e["key"])), F.map_entries(fresh)))
+    payload = F.coalesce(F.to_json(merged), F.col("payload")).alias("payload")
     return met.select(*(payload if c == "payload" else c for c in history.columns))
 
 

@@ -83,3 +83,14 @@ def enrich(df: DataFrame) -> DataFrame:
         F.slice(F.array_distinct(F.filter(F.transform("matched_terms", F.trim), lambda x: x != "")), 1, 6).alias("subtopic_tags"),
         importance(F.col("relevance_score")).cast("int").alias("importance"),
     )
+
+
+def ink(categories: Column, jurisdiction: Column) -> Column:
+    """The ink of a publication's card: that of the first word of the list in its subjects."""
+    said = F.lower(F.concat_ws(" ", F.array_join(F.filter(F.coalesce(categories, F.array().cast("array<string>")), lambda c: c != ""), " "), F.nullif(jurisdiction, F.lit(""))))
+    return F.coalesce(*(F.when(F.contains(said, F.lit(word)), color) for word, color in V.INKS), F.lit(V.PLAIN_INK))
+
+
+def importance_bars(value: Column) -> Column:
+    """How many of five bars an importance fills; none for what is no number."""
+    return F.greatest(F.lit(0.0), F.least(F.lit(5.0), F.coalesce(value.try_cast("double"), F.lit(0.0))))

@@ -62,35 +62,65 @@ def sources(df: DataFrame) -> DataFrame:
     return one.unionByName(whole.select(F.lit("sources").alias("path"), F.lit("all_sources_failed").alias("code"), F.lit("error").alias("severity")))
 
 
-def edition(claimed: DataFrame, publications: DataFrame, statuses: DataFrame) -> DataFrame:
-    """An edition's row against what it should say: counts, dates, coverage, and its signals."""
+def editions(claimed: DataFrame, publications: DataFrame, statuses: DataFrame, by: str = "cut") -> DataFrame:
+    """Editions, one row each, against what they should say: counts, dates, coverage, and their signals.
+
+    ``by`` names the column that ties an edition to the publications (id, published_at) and source statuses of its cut. What should
+    be said is computed for all cuts at once and met by a full join, so that publications without an edition are found too.
+    Returns (``by``, path, code, severity)."""
     from tamiz.operators.edition import coverage
 
-    real = publications.groupBy("published_at").count()
-    total = claimed.select("*", F.posexplode_outer("signals").alias("p", "s"))
-    ids = publications.groupBy("id").agg(F.max("published_at").alias("__day"))
-    found = total.join(ids, F.col("s.id") == ids["id"], "left").drop(ids["id"])
-    n = _count(F.col("s.why_it_matters"))
-    rows = check(found.filter("s is not null"), F.col("s.id"), {"signal_unknown": F.col("__day").isNull(), "signal_of_other_day": F.col("__day") != F.col("edition_date"), "reason_words": (n < 12) | (n > 32)})
-    seen = coverage(statuses).select(F.col("ok").alias("__ok"), F.col("failed").alias("__failed"), F.col("state").alias("__state"))
-    head = claimed.join(real.select(F.col("published_at").alias("edition_date"), F.col("count").alias("__n")), "edition_date", "left")
-    head = head.withColumn("__c", seen.select(F.struct("*")).scalar()).withColumn("__last", publications.agg(F.max("published_at")).scalar())
-    ranks = F.transform("signals", lambda s: s["rank"].cast("int"))
-    size = F.size("signals")
+    cuts = claimed.groupBy(by).agg(F.max("edition_date").alias("__day"), F.count("*").alias("__editions"))
+    real = publications.join(cuts, by, "left").groupBy(by).agg(F.count_if(F.col("published_at") == F.col("__day")).alias("__n"), F.max("published_at").alias("__last"))
+    seen = coverage(statuses, by).select(by, F.col("ok").alias("__ok"), F.col("failed").alias("__failed"), F.col("state").alias("__state"))
+    head = claimed.withColumn("__claimed", F.lit(True)).join(real, by, "full").join(cuts.select(by, "__editions"), by, "left")
+    head = head.join(seen, by, "left").withColumns({"__ok": F.coalesce("__ok", F.lit(0)), "__failed": F.coalesce("__failed", F.array().cast("array<string>")), "__state": F.coalesce("__state", F.lit("complete"))})
+    ranks, size, n = F.transform("signals", lambda s: s["rank"].cast("int")), F.coalesce(F.size("signals"), F.lit(0)), F.coalesce("__n", F.lit(0))
+    first = F.get(F.filter("signals", lambda s: s["rank"] == 1), 0)["id"]
+    ready, empty = F.col("state") == "ready", F.col("state") == "empty"
+    there = lambda rule: F.col("__claimed") & F.coalesce(rule, F.lit(False))
     rules = {
-        "total_wrong": F.col("total_today") != F.coalesce("__n", F.lit(0)),
-        "last_date_wrong": ~F.col("last_available_date").eqNullSafe(F.col("__last")),
-        "coverage_ok_wrong": F.col("coverage.ok") != F.col("__c.__ok"),
-        "coverage_failed_wrong": F.array_sort("coverage.failed") != F.array_sort("__c.__failed"),
-        "coverage_state_wrong": F.col("coverage.state") != F.col("__c.__state"),
-        "too_many_signals": size > 7,
-        "signal_repeated": F.size(F.array_distinct(F.transform("signals", lambda s: s["id"]))) < size,
-        "ranks_not_contiguous": (size > 0) & (F.sort_array(ranks) != F.sequence(F.lit(1), F.greatest(size, F.lit(1)))),
-        "lead_wrong": ~F.col("lead_id").eqNullSafe(F.get(F.filter("signals", lambda s: s["rank"] == 1), 0)["id"]),
-        "state_wrong": F.col("state") != F.when(F.col("total_today") > 0, F.lit("ready")).otherwise(F.lit("empty")),
-        "empty_with_signals": (F.col("state") == "empty") & (size > 0),
+        "edition_missing": F.col("__claimed").isNull(),
+        "edition_repeated": there(F.col("__editions") > 1),
+        "date_missing": there(F.col("edition_date").isNull()),
+        "state_domain": there(~F.coalesce(F.col("state").isin("ready", "empty"), F.lit(False))),
+        "signals_missing": there(F.col("signals").isNull()),
+        "total_wrong": there(~F.col("total_today").eqNullSafe(n)),
+        "last_date_wrong": there(~F.col("last_available_date").eqNullSafe(F.col("__last"))),
+        "coverage_ok_wrong": there(~F.col("coverage.ok").eqNullSafe(F.col("__ok"))),
+        "coverage_failed_wrong": there(~F.array_sort("coverage.failed").eqNullSafe(F.array_sort("__failed"))),
+        "coverage_state_wrong": there(~F.col("coverage.state").eqNullSafe(F.col("__state"))),
+        "too_many_signals": there(size > 7),
+        "signal_repeated": there(F.size(F.array_distinct(F.transform("signals", lambda s: s["id"]))) < size),
+        "ranks_not_contiguous": there((size > 0) & (F.sort_array(ranks) != F.sequence(F.lit(1), F.greatest(size, F.lit(1))))),
+        "ready_without_items": there(ready & (n == 0)),
+        "ready_without_signals": there(ready & (size == 0)),
+        "lead_wrong": there(ready & (F.col("lead_id").isNull() | ~F.col("lead_id").eqNullSafe(first))),
+        "empty_with_items": there(empty & (n > 0)),
+        "empty_with_signals": there(empty & (size > 0)),
+        "empty_with_lead": there(empty & F.col("lead_id").isNotNull()),
+    }
+    heads = check(head, F.col(by), rules).select(F.col("path").alias(by), F.lit("edition").alias("path"), "code", "severity")
+    signals = claimed.select(by, "edition_date", F.explode("signals").alias("s"))
+    ids = publications.groupBy(by, F.col("id").alias("__id")).agg(F.max("published_at").alias("__day"), F.max(F.lit(1)).alias("__there"))
+    found = signals.join(ids.withColumnRenamed(by, "__by"), (F.col(by) == F.col("__by")) & (F.col("s.id") == F.col("__id")), "left")
+    words = _count(F.col("s.why_it_matters"))
+    of_signal = {
+        "signal_unknown": F.col("__there").isNull(),
+        "signal_of_other_day": F.col("__there").isNotNull() & ~F.col("__day").eqNullSafe(F.col("edition_date")),
+        "rank_missing": F.col("s.rank").isNull(),
+        "reason_missing": words == 0,
+        "reason_words": (words > 0) & ((words < 12) | (words > 32)),
+        "reason_act_number": F.coalesce(F.col("s.why_it_matters").rlike(V.ACT_NUMBER), F.lit(False)),
     }
-    return check(head, F.lit("edition"), rules).unionByName(rows)
+    rows = check(found, F.struct(F.col(by).alias("by"), F.col("s.id").alias("id")), of_signal)
+    return heads.unionByName(rows.select(F.col("path.by").alias(by), F.col("path.id").alias("path"), "code", "severity"))
+
+
+def edition(claimed: DataFrame, publications: DataFrame, statuses: DataFrame) -> DataFrame:
+    """One edition's row against all publications and statuses: (path, code, severity)."""
+    one = lambda df: df.withColumn("__cut", F.lit(1))
+    return editions(one(claimed), one(publications), one(statuses), "__cut").drop("__cut")
 
 
 def digest(df: DataFrame, publications: DataFrame) -> DataFrame:

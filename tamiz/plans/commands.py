@@ -91,10 +91,10 @@ def save_run(spark: SparkSession, base: str, items: DataFrame, statuses: DataFra
     runs = artifacts.read_table(spark, f"{base}/runs")
     run = (runs.agg(F.max("id")).first()[0] if runs is not None else 0) + 1
     batch = items.select("id", "published_at", F.to_json(F.struct("*")).alias("payload"))
-    history = artifacts.read_table(spark, f"{base}/documents")
+    history = artifacts.read_buckets(spark, f"{base}/documents", artifacts.touched(batch))
     if history is None:
         history = batch.limit(0).select("id", "published_at", "payload", F.lit(0).alias("first_seen_run"), F.lit(0).alias("last_seen_run"))
-    artifacts.replace_table(dedup.upsert(history, batch, F.lit(run)), f"{base}/documents")
+    artifacts.replace_buckets(dedup.upsert(history, batch, F.lit(run)), batch, f"{base}/documents")
     statuses.select(F.lit(run).alias("run_id"), "ordinal", "source", "status", "items_found", "attempts", "error").write.mode("append").parquet(f"{base}/source_status")
     # The run's own row comes last: a run that broke off is none.
     spark.createDataFrame([(run, generated_at, lookback, items.count())], "id int, generated_at string, lookback_days int, total_items long").write.mode("append").parquet(f"{base}/runs")
@@ -107,14 +107,14 @@ def export(spark: SparkSession, base: str, schema: str) -> tuple[DataFrame, Data
     if runs is None:
         raise LookupError("no run was saved")
     last = runs.agg(F.max("id")).first()[0]
-    seen = artifacts.read_table(spark, f"{base}/documents").filter(F.col("last_seen_run") == last)
+    seen = artifacts.read_buckets(spark, f"{base}/documents").filter(F.col("last_seen_run") == last)
     items = seen.select(F.from_json("payload", schema).alias("i")).select("i.*").orderBy(F.desc("published_at"), "id")
     return items, artifacts.read_table(spark, f"{base}/source_status").filter(F.col("run_id") == last).orderBy("ordinal")
 
 
 def report(spark: SparkSession, base: str) -> dict:
     """The size, runs, documents and last stamp of the history."""
-    runs, documents = (artifacts.read_table(spark, f"{base}/{t}") for t in ("runs", "documents"))
+    runs, documents = artifacts.read_table(spark, f"{base}/runs"), artifacts.read_buckets(spark, f"{base}/documents")
     fs, make = artifacts._files(spark, base)
     row = dedup.history_report(runs, documents).first() if runs is not None else None
     size = fs.getContentSummary(make(base)).getLength() if fs.exists(make(base)) else 0
@@ -124,13 +124,27 @@ def report(spark: SparkSession, base: str) -> dict:
 def edit(spark: SparkSession, items: DataFrame, edits: DataFrame, base: str | None = None) -> DataFrame:
     """The edited publications, all or none, and the same fields in the history below ``base``, if there is one."""
     out = editorial.apply(items, edits)
-    history = artifacts.read_table(spark, f"{base}/documents") if base else None
+    history = artifacts.read_buckets(spark, f"{base}/documents", artifacts.touched(edits)) if base else None
     if history is not None:
         changed = out.join(edits.select("id"), "id", "left_semi").select("id", *editorial.FIELDS, "ai_generated", "detail_markdown")
-        artifacts.replace_table(editorial.patch_payloads(history, changed, items.schema), f"{base}/documents")
+        artifacts.replace_buckets(editorial.patch_payloads(history, changed), changed, f"{base}/documents")
     return out
 
 
+def status_lines(statuses: DataFrame) -> DataFrame:
+    """(ordinal, line): what a run says of each source; attempts are said from the second on."""
+    tries = F.when(F.col("attempts") > 1, F.concat(F.lit(", "), F.col("attempts"), F.lit(" intentos"))).otherwise("")
+    name = F.concat(F.lit("Fuente "), F.coalesce("source", F.lit("Fuente desconocida")), F.lit(": "))
+    ok = F.concat(name, F.coalesce("items_found", F.lit(0)), F.lit(" registros revisados"), tries)
+    return statuses.select("ordinal", F.when(F.col("status") == "ok", ok).otherwise(F.concat(name, F.lit("error"), tries, F.lit(": "), F.coalesce("error", F.lit("sin detalle")))).alias("line"))
+
+
+def violation_lines(found: DataFrame) -> DataFrame:
+    """(rank, line): warnings before errors."""
+    error = F.col("severity") == "error"
+    return found.select(error.cast("int").alias("rank"), F.concat(F.when(error, "Error: ").otherwise("Advertencia: "), F.col("path").cast("string"), F.lit(" "), F.col("code")).alias("line"))
+
+
 def calendar_totals(organs: DataFrame, days: DataFrame) -> DataFrame:
     """One row: organs, days on file, and violations of the calendars' contract."""
     totals = organs.agg(F.count("*").alias("organs")).withColumn("days", days.agg(F.count("*")).scalar())

@@ -179,6 +179,10 @@ DOCUMENT_TYPE_TAGS: tuple[tuple[str, str], ...] = (
 
 DECENTRALISED_MARKERS = ("descentralizado", "desconcentrado", "autonomo")
 
+# The ink of a card by the first word of its subject, and without one.
+INKS = (("comercio internacional", "#3f6e9f"), ("comercio exterior", "#4f7f7c"), ("fiscal", "#b18443"), ("penal", "#a45b62"), ("lavado", "#756a8b"), ("legislativo", "#5577a2"), ("descentralizada", "#9b6971"), ("centralizada", "#73866f"))
+PLAIN_INK = "#54789b"
+
 MONTHS = ("enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre")
 
 #: Sentences that lengthen a short summary, in turn.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -76,6 +76,41 @@ def write_site(publications: DataFrame, edition: DataFrame, publications_path: s
     _publish(publications.sparkSession, publications_path)
 
 
+#: Buckets of a history: a run rewrites only those that its documents fall into.
+BUCKETS = 64
+
+
+def bucket(key: str = "id", buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+
+
+def touched(changed: DataFrame, buckets: int = BUCKETS, key: str = "id") -> list[int]:
+    """The buckets of the changed keys: at most ``buckets`` numbers."""
+    return sorted(r.b for r in changed.select(bucket(key, buckets).alias("b")).distinct().collect())
+
+
+def read_buckets(spark: SparkSession, path: str, numbers: list[int] | None = None) -> DataFrame | None:
+    """A bucketed history, or those of its buckets; what a broken-off ``replace_buckets`` staged takes no part."""
+    fs, make = _files(spark, path)
+    if not fs.exists(make(path)):
+        return None
+    df = spark.read.parquet(path)
+    return (df if numbers is None else df.filter(F.col("bucket").isin(numbers))).drop("bucket")
+
+
+def replace_buckets(df: DataFrame, changed: DataFrame, path: str, buckets: int = BUCKETS, key: str = "id") -> None:
+    """Writes the rows of the buckets that the ``changed`` keys fall into over the old ones; files of other buckets are neither
+    read nor written. ``df`` holds at least all rows of these buckets and may be made from the table: it is staged beside it first."""
+    spark = df.sparkSession
+    fs, make = _files(spark, path)
+    numbers = touched(changed, buckets, key)
+    staged = f"{path}.staged"
+    rows = df.withColumn("bucket", bucket(key, buckets)).filter(F.col("bucket").isin(numbers))
+    rows.repartition("bucket").write.mode("overwrite").parquet(staged)
+    spark.read.schema(rows.schema).parquet(staged).repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    fs.delete(make(staged), True)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Writes beside the table, then swaps by two renames. The old table may be read while the new one is made from it, and stays
     until the new one is in place; ``read_table`` finds it if the swap is broken off between them."""

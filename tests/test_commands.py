@@ -47,7 +47,7 @@ def test_the_daily_run_and_its_history(spark, tmp_path):
     assert commands.save_run(spark, base, again, statuses, "2026-07-08T12:00:00Z") == 2
     info = commands.report(spark, base)
     assert (info["runs"], info["documents"], info["last_generated_at"]) == (2, 3, "2026-07-08T12:00:00Z") and info["size_bytes"] > 0
-    seen = {r.o: (r.first_seen_run, r.last_seen_run) for r in artifacts.read_table(spark, base + "/documents").withColumn("o", F.get_json_object("payload", "$.official_title")).collect()}
+    seen = {r.o: (r.first_seen_run, r.last_seen_run) for r in artifacts.read_buckets(spark, base + "/documents").withColumn("o", F.get_json_object("payload", "$.official_title")).collect()}
     assert seen == {"one": (1, 1), "two": (1, 2), "three": (2, 2)}
     exported, statuses = commands.export(spark, base, ITEMS)
     assert {r.official_title for r in exported.collect()} == {"two", "three"} and statuses.count() == 1
@@ -55,7 +55,7 @@ def test_the_daily_run_and_its_history(spark, tmp_path):
     edits = spark.createDataFrame([(first.id, "Nuevo", first.summary, first.card_body, None, 5)], "id string, title string, summary string, card_body string, case_facts string, importance int")
     edited = commands.edit(spark, again, edits, base).filter("ai_generated").collect()
     assert [(r.title, r.detail_markdown[:7]) for r in edited] == [("Nuevo", "# Nuevo")]
-    kept = {r.o: (r.t, r.i) for r in artifacts.read_table(spark, base + "/documents").select(F.get_json_object("payload", "$.official_title").alias("o"), F.get_json_object("payload", "$.title").alias("t"), F.get_json_object("payload", "$.importance").alias("i")).collect()}
+    kept = {r.o: (r.t, r.i) for r in artifacts.read_buckets(spark, base + "/documents").select(F.get_json_object("payload", "$.official_title").alias("o"), F.get_json_object("payload", "$.title").alias("t"), F.get_json_object("payload", "$.importance").alias("i")).collect()}
     assert kept["two"] == ("Nuevo", "5") and kept["one"][0] != "Nuevo"
 
 
