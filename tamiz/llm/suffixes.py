@@ -32,9 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.kernel import mix, raw
+from tamiz.llm.kernel import SAME, _spans, mix, raw
 from tamiz.llm.shared import discard, materialise, release, row_count_at_most, slices
 
+#: The bytes in another order, for a second hash of a string.
+SHUFFLED = np.random.default_rng(5).permutation(256).astype(np.uint8)
 #: Bytes that are hashed at a place, and bytes of a sampled triple.
 GRAM, TRIPLE = 8, 24
 #: Distinct strings around a triple beyond which their parts are grouped by themselves.
@@ -221,9 +223,14 @@ def _answer(group: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([group.column("strip"), group.column("bucket"), pa.array([np.packbits(bits[e - len(p) : e]).tobytes() for e, p in zip(ends, parts, strict=True)], pa.binary())], schema=_ANSWER)
 
 
+def _spread(offsets: np.ndarray, places: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the bytes around sampled places begin and end."""
+    return np.maximum(offsets[rows], places - (width - TRIPLE)), np.minimum(offsets[rows + 1], places + width)
+
+
 def _around(width: int, buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(row, place, key, before, around): the bytes around each sampled place whose triple is repeated."""
+        """(row, place, before, size, key, h1, h2): of each sampled place whose triple is repeated, how many bytes around it count, and their hashes."""
         for batch in batches:
             for strip, keys, texts, copies, answers in zip(batch.column(0).to_pylist(), *batch.columns[1:4], batch.column(4).to_pylist(), strict=True):
                 data, offsets, places, rows, h = _sampled(keys.values, texts.values, copies.values, width)
@@ -231,20 +238,43 @@ def _around(width: int, buckets: int):
                 place = _bucket(known, buckets)
                 bits = [np.unpackbits(np.frombuffer(x["repeated"], np.uint8), count=int((place == x["bucket"]).sum())) for x in sorted(answers, key=lambda x: x["bucket"])]
                 on = np.concatenate(bits).astype(bool)[inverse] if bits else np.zeros(0, bool)
-                places, rows = places[on], rows[on]
-                for k in range(0, len(places), 1 << 15):
-                    p, r = places[k : k + (1 << 15)], rows[k : k + (1 << 15)]
-                    start, stop = np.maximum(offsets[r], p - (width - TRIPLE)), np.minimum(offsets[r + 1], p + width)
-                    sizes = np.concatenate([[0], np.cumsum(stop - start)])
-                    bytes_ = data[np.repeat(start - sizes[:-1], stop - start) + np.arange(sizes[-1])]
-                    around = pa.Array.from_buffers(pa.binary(), len(p), [None, pa.py_buffer(sizes.astype(np.int32).tobytes()), pa.py_buffer(bytes_.tobytes())])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array((strip << ROW_BITS) + r), pa.array((p - offsets[r]).astype(np.int32)), keys.values.take(pa.array(r)), pa.array((p - start).astype(np.int32)), around], ["row", "place", "key", "before", "around"]
-                    )
+                start, stop = _spread(offsets, places, rows, width)
+                on &= stop - start >= width
+                places, rows, start, stop = places[on], rows[on], start[on], stop[on]
+                before = (places - start).astype(np.uint64)
+                both = [mix(_spans(data, start, stop, fold) ^ before * np.uint64(0xD1342543DE82EF95)).view(np.int64) for fold in (SAME, SHUFFLED)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((strip << ROW_BITS) + rows), pa.array((places - offsets[rows]).astype(np.int32)), pa.array(before.astype(np.int32)), pa.array((stop - start).astype(np.int32)), keys.values.take(pa.array(rows)), *map(pa.array, both)],
+                    ["row", "place", "before", "size", "key", "h1", "h2"],
+                )
+
+    return run
+
+
+def _read(width: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(h1, h2, least, around, triple): the bytes around the wanted places of each strip."""
+        for batch in batches:
+            for strip, texts, wanted in zip(batch.column(0).to_pylist(), *batch.columns[1:3], strict=True):
+                data, offsets = raw(texts.values)
+                want = wanted.values
+                rows = want.field("row").to_numpy() - (strip << ROW_BITS)
+                places = offsets[rows] + want.field("place").to_numpy()
+                start, stop = _spread(offsets, places, rows, width)
+                for k in range(0, len(rows), 1 << 15):
+                    part = slice(k, k + (1 << 15))
+                    pieces = [_pieces(data, *x) for x in ((start[part], stop[part]), (places[part], places[part] + TRIPLE))]
+                    yield pa.RecordBatch.from_arrays([*(want.field(c).slice(k, 1 << 15) for c in ("h1", "h2", "key")), *pieces], ["h1", "h2", "least", "around", "triple"])
 
     return run
 
 
+def _pieces(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
+    sizes = np.concatenate([[0], np.cumsum(stop - start)])
+    bytes_ = data[np.repeat(start - sizes[:-1], stop - start) + np.arange(sizes[-1])]
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(sizes.astype(np.int32).tobytes()), pa.py_buffer(bytes_.tobytes())])
+
+
 def _sorted(width: int, chunk: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(h1, h2, least, mask) from rows sorted by their triple, about ``chunk`` at a time, never a triple's rows apart."""
@@ -332,12 +362,17 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     asked = strips.mapInArrow(_ask(width, buckets), "bucket long, strip long, triples binary, many binary")
     answers = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_answer, "strip long, bucket long, repeated binary")
     answers = answers.groupBy("strip").agg(F.collect_list(F.struct("bucket", "repeated")).alias("answers"))
-    around = strips.join(answers, "strip").mapInArrow(_around(width, buckets), "row long, place int, key long, before int, around binary")
-    ids = (F.xxhash64("around", "before").alias("h1"), F.xxhash64(F.lit(7), "around", "before").alias("h2"))
-    around = materialise(around.select("*", *ids), "around")
+    around = strips.join(answers, "strip").mapInArrow(_around(width, buckets), "row long, place int, before int, size int, key long, h1 long, h2 long")
+    around = materialise(around, "around")
+    release(docs.sparkSession)
+    # Of each distinct string one place is read: only there its bytes are shuffled.
+    firsts = around.groupBy("h1", "h2").agg(F.min(F.struct("key", "row", "place")).alias("f")).select("h1", "h2", "f.*")
+    wanted = firsts.groupBy(F.shiftright("row", ROW_BITS).alias("strip")).agg(F.collect_list(F.struct("row", "place", "h1", "h2", "key")).alias("wanted"))
+    wanted = materialise(wanted, "wanted")
     release(docs.sparkSession)
-    strings = around.groupBy("h1", "h2").agg(F.min("key").alias("least"), F.first("around").alias("around"), F.first("before").alias("before")).filter(F.length("around") >= width)
-    strings = materialise(strings.withColumn("triple", F.expr(f"substring(around, before + 1, {TRIPLE})")), "strings")
+    strings = strips.select("strip", "texts").join(wanted, "strip").mapInArrow(_read(width), "h1 long, h2 long, least long, around binary, triple binary")
+    strings = materialise(strings, "strings")
+    discard(wanted)
     many = materialise(strings.groupBy("triple").count().filter(F.col("count") > hot).select("triple"), "hot")
     cold = strings
     some_hot = not many.isEmpty()
@@ -348,8 +383,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
         masks = masks.unionByName(_windows(strings.join(many, "triple", "left_semi"), width))
     masks = materialise(masks, "masks")
     release(docs.sparkSession)
-    whole = F.expr(f"shiftleft(1L, length(around) - {width - 1}) - 1")
-    slim = around.filter(F.length("around") >= width).select("h1", "h2", "row", "key", (F.col("place") - F.col("before")).alias("first"), whole.alias("whole"))
+    whole = F.expr(f"shiftleft(1L, size - {width - 1}) - 1")
+    slim = around.select("h1", "h2", "row", "key", (F.col("place") - F.col("before")).alias("first"), whole.alias("whole"))
     found = slim.join(masks, ["h1", "h2"]).select("row", "first", F.when(F.col("key") > F.col("least"), F.col("whole")).otherwise(F.col("mask")).alias("mask")).filter("mask <> 0")
     found = materialise(found.groupBy(F.shiftright("row", ROW_BITS).alias("strip")).agg(F.collect_list(F.struct("row", "first", "mask")).alias("found")), "found")
     discard(copied, around, strings, many, masks)
