@@ -1,5 +1,7 @@
 import datetime as dt
 import json
+import os
+import random
 
 from pyspark.sql import functions as F
 
@@ -120,15 +122,40 @@ def test_artifacts(spark, tmp_path):
     assert artifacts.read_snapshot(spark, table).first().status == "t"
 
 
-def test_stream_of_statuses(spark, tmp_path):
-    src = str(tmp_path / "in")
-    rows = [("a", "p", dt.datetime(2026, 1, 1)), ("a", "p", dt.datetime(2026, 1, 2)), ("a", "c", dt.datetime(2026, 1, 3)), ("b", "p", dt.datetime(2026, 1, 1))]
-    spark.createDataFrame(rows, "key string, status string, ts timestamp").coalesce(1).write.parquet(src)
-    stream = spark.readStream.schema("key string, status string, ts timestamp").parquet(src)
-    q = status.changes(stream).writeStream.format("memory").queryName("changes").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    q.awaitTermination(60)
-    got = {(r.key, r.previous, r.status) for r in spark.sql("select * from changes").collect()}
-    assert got == {("a", None, "p"), ("a", "p", "c"), ("b", None, "p")}
+def streamed(spark, tmp_path, batches, **options):
+    """All changes of batches of (key, status, ts, place) that come as one file each."""
+    for n, part in enumerate(batches):
+        out, file = tmp_path / f"w{n}", tmp_path / "in" / f"{n}.parquet"
+        spark.createDataFrame(part, "key string, status string, ts timestamp, place long").coalesce(1).write.parquet(str(out))
+        file.parent.mkdir(exist_ok=True)
+        next(out.glob("*.parquet")).rename(file)
+        os.utime(file, (1000 + n, 1000 + n))
+    stream = spark.readStream.schema("key string, status string, ts timestamp, place long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = status.changes(stream, "10 minutes", **options).writeStream.format("memory").queryName("changes").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination(200)
+    return sorted(((r.key, r.previous, r.status, r.ts) for r in spark.sql("select * from changes where key <> 'end'").collect()), key=str)
+
+
+def test_stream_of_statuses_equals_the_batch(spark, tmp_path):
+    r = random.Random(3)
+    day = dt.datetime(2026, 1, 1)
+    # Rows come up to five minutes late; places order rows of one time.
+    rows = [(f"k{r.randint(0, 5)}", r.choice("pcx"), day + dt.timedelta(minutes=i // 2), i) for i in range(120)]
+    come = sorted(rows, key=lambda x: x[3] + r.randint(0, 10))
+    got = streamed(spark, tmp_path, [come[:40], come[40:80], come[80:], [("end", "x", day + dt.timedelta(days=1), 999)]], closed=())
+    last, want = {}, []
+    for key, state, ts, _ in sorted(rows, key=lambda x: (x[2], x[3])):
+        if last.get(key) != state:
+            want.append((key, last.get(key), state, ts))
+        last[key] = state
+    assert got == sorted(want, key=str) and len(got) > 60
+
+
+def test_closed_cases_leave_the_state(spark, tmp_path):
+    day = lambda n: dt.datetime(2026, 1, n)
+    batches = [[("a", "Concluded", day(1), 1), ("b", "p", day(1), 2)], [("end", "x", day(3), 3)], [("a", "Concluded", day(5), 4), ("b", "p", day(5), 5), ("b", "p", day(1), 6)], [("end", "y", day(9), 7)]]
+    got = streamed(spark, tmp_path, batches, keep_days=1)
+    assert got == [("a", None, "Concluded", day(1)), ("a", None, "Concluded", day(5)), ("b", None, "p", day(1))]
 
 
 def test_structure_of_markup(spark):
