@@ -62,8 +62,13 @@ def freshness(made: DataFrame, today: Column) -> DataFrame:
 
 def detail(items: DataFrame, made: DataFrame, identifier: str) -> DataFrame:
     """One publication with the edition's reason, if it is a signal, and the best of its pages."""
-    signals = made.select(F.explode("signals").alias("s")).select(F.col("s.id").alias("id"), F.col("s.why_it_matters").alias("why_it_matters"))
-    one = items.filter(F.col("id") == identifier).join(F.broadcast(signals), "id", "left")  # seven signals at most
+    return details(items.filter(F.col("id") == identifier), made)
+
+
+def details(items: DataFrame, made: DataFrame) -> DataFrame:
+    """Publications with their reasons in the editions, if they are signals (of several the first by text), and the best of their pages."""
+    signals = made.select(F.explode("signals").alias("s")).groupBy(F.col("s.id").alias("id")).agg(F.min("s.why_it_matters").alias("why_it_matters"))
+    one = items.join(signals, "id", "left")
     plain = F.concat_ws("\n\n", F.lit("## Qué se publicó"), F.coalesce(F.nullif("description", F.lit("")), F.nullif("official_title", F.lit("")), F.lit("Sin descripción disponible.")), F.lit("## Sustancia"), F.coalesce(F.nullif("summary", F.lit("")), F.lit("Sin síntesis disponible.")), F.lit("## Fuente oficial"), F.concat(F.lit("[Abrir documento oficial]("), F.col("url"), F.lit(")")))
     return one.withColumn("page", F.coalesce(F.nullif("detail_markdown", F.lit("")), F.nullif("card_body", F.lit("")), plain))
 

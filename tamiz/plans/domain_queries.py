@@ -74,7 +74,11 @@ def source_gazette(spark, sf_dir):
     return _plain(notices.gazette(payloads), *NOTICE)
 
 
-_FEED_ROWS = ", ".join(f"('{c.source}', '{c.authority}', '{c.document_type}', {str(c.skip is not None).lower()})" for c in notices.FEEDS.values())
+# Written out, so that a wrong constant of the library shows.
+_FEED_ROWS = """
+('ONU Noticias', 'Organización de las Naciones Unidas', 'Noticia', false), ('USTR', 'Oficina del Representante Comercial de Estados Unidos (USTR)', 'Comunicado', false), ('CPI', 'Corte Penal Internacional', 'Comunicado', false),
+('CIJ', 'Corte Internacional de Justicia', 'Comunicado', true), ('Trade.gov', 'International Trade Administration (Trade.gov)', 'Comunicado', false), ('OMC', 'Organización Mundial del Comercio', 'Noticia', false), ('ANAM', 'Agencia Nacional de Aduanas de México', 'Comunicado', true)
+"""
 
 
 @_query(f"""
@@ -237,11 +241,12 @@ _ARCHIVE_TITLE = "'Visita ó\"' || ['', ' al arancel', ' de importación', ' com
 
 
 @_query(f"""
-SELECT url, official_title, strftime(day, '%Y-%m-%d') AS published_at, authority, document_type FROM (
+WITH a AS MATERIALIZED (
   SELECT doc_id, day, 'https://www.gob.mx/' || portal || '/' || doc_id AS url, trim({_ARCHIVE_TITLE}) AS official_title, portal, {_FOLD.format(_ARCHIVE_TITLE)} AS f, {_PAD.format(_ARCHIVE_TITLE)} AS p,
     CASE portal WHEN 'shcp' THEN 'Secretaría de Hacienda y Crédito Público' WHEN 'sener' THEN 'Secretaría de Energía' ELSE 'Portal federal ' || upper(portal) END AS authority, CASE WHEN doc_id % 2 = 0 THEN 'Comunicado' ELSE 'Artículo' END AS document_type
   FROM (SELECT *, ['shcp', 'uif', 'sener', 'aprendemx'][doc_id % 4 + 1] AS portal FROM {_DOCS})
-) WHERE portal = 'uif' OR {_DISCOVERED}
+)
+SELECT url, official_title, strftime(day, '%Y-%m-%d') AS published_at, authority, document_type FROM a WHERE portal = 'uif' OR {_DISCOVERED}
 """)
 def source_portal_archive(spark, sf_dir):
     """Archive pages in script strings with every escape: articles, of which titles look relevant or portals always are."""
