@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tamiz.operators import dedup, validate
+from tamiz.operators import dedup, search_index, validate
 from tamiz.plans import commands, daily
 from tamiz.plans.domain_queries import _DISCOVERED, _DOCS, _docs, _pick, _plain
 from tamiz.plans.page_queries import ORACLE_SQL, QUERIES
@@ -138,3 +138,16 @@ def publication_details(spark, sf_dir):
     )
     made = _table(spark, sf_dir, "labels").select(F.array(F.struct(F.concat(F.lit("d"), "doc_id").alias("id"), F.concat(F.lit("Motivo "), "quality").alias("why_it_matters"))).alias("signals"))
     return daily.details(items, made).select("doc_id", F.col("why_it_matters").alias("why"), F.md5("page").alias("page"))
+
+
+@_query(" UNION ALL ".join(f"SELECT '{q}' AS query, doc_id FROM (SELECT doc_id, {_FOLD.format('text')} || ' ' || lang || ' ' || source AS f FROM documents) WHERE contains(f, '{q}')" for q in ("ouer", "cion. e", "zz", "license")))
+def search_indexed(spark, sf_dir):
+    """Four substring searches by the trigram index, which was made of two halves and merged: the rows of a scan."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.array("lang", "source").alias("categories"), F.col("text").alias("summary"))
+    parity = F.pmod("doc_id", F.lit(2))
+    index = search_index.merge(search_index.build(docs.filter(parity == 0), "doc_id"), search_index.build(docs.filter(parity == 1), "doc_id"))
+    out = None
+    for query, asked in (("ouer", "Ouér"), ("cion. e", "ción.  É"), ("zz", "ZZ"), ("license", "LICENSE")):
+        rows = search_index.search(docs, index, "doc_id", asked).select(F.lit(query).alias("query"), "doc_id")
+        out = rows if out is None else out.union(rows)
+    return out

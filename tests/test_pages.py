@@ -106,3 +106,16 @@ def test_reports_dates_and_inks(spark):
     assert [r.line for r in commands.status_lines(statuses).orderBy("ordinal").collect()] == ["Fuente DOF: 3 registros revisados, 2 intentos", "Fuente Fuente desconocida: error: sin detalle", "Fuente X: error, 3 intentos: Timeout"]
     found = spark.createDataFrame([("a", "c", "error"), ("b", "d", "warning")], "path string, code string, severity string")
     assert [r.line for r in commands.violation_lines(found).orderBy("rank").collect()] == ["Advertencia: b d", "Error: a c"]
+
+
+def test_index_finds_what_a_scan_finds(spark):
+    from tamiz.operators import search_index
+
+    texts = ["Aviso sobre aranceles", "avisó", "ARANCEL común y cuota", None, "", "ab", "a" * 500, "cuota de acero"]
+    df = spark.createDataFrame([(i + 32_766, t, ["x"]) for i, t in enumerate(texts)], "n long, summary string, categories array<string>")
+    index = search_index.merge(search_index.build(df.filter("n < 32769"), "n"), search_index.build(df.filter("n >= 32769"), "n")).persist()
+    assert {r.bucket for r in index.select("bucket").collect()} == {1, 2}
+    for q in ("arancel", "AVISÓ", "cuota ", "ab", "aaa", "no está", "x", "común y"):
+        scan = {r.n for r in archive.select(df, archive.ArchiveQuery(text=q)).collect()}
+        assert {r.n for r in search_index.search(df, index, "n", q).collect()} == scan
+    assert search_index.candidates(df, index, "n", "arancel").count() == 2 < df.count()
