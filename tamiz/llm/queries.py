@@ -32,7 +32,7 @@ WITH t AS (
 ), x AS (
   SELECT doc_id, k, line, regexp_extract_all(line, '{_B}*{_W}+{_B}*') AS parts, regexp_extract_all(line, '{_W}+') AS words FROM t
 ), y AS (
-  SELECT doc_id, k, unnest(parts) AS part, unnest(range(len(parts))) AS i, unnest([('0x' || left(md5(z), 8))::BIGINT FOR z IN words]) AS h FROM x WHERE len(words) > 16
+  SELECT doc_id, k, unnest(parts) AS part, unnest(range(len(parts))) AS i, unnest([(('0x' || rpad(left(hex(encode(z)), 8), 8, '0'))::HUGEINT * 2654435761 + ('0x' || lpad(right(hex(encode(z)), 8), 8, '0'))::HUGEINT * 2246822519 + 97 * (len(hex(encode(z))) // 2)) % 4294967296 FOR z IN words]) AS h FROM x WHERE len(words) > 16
 ), z AS (
   SELECT doc_id, k, part, i, CASE WHEN h < coalesce(min(h) OVER (c ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), h + 1) AND h <= coalesce(min(h) OVER (c ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING), h) THEN 1 ELSE 0 END AS cut
   FROM y WINDOW c AS (PARTITION BY doc_id, k ORDER BY i)
