@@ -29,12 +29,13 @@ class Source:
 
 
 def attempt(source: Source, attempts: int = 3, backoff: float = 1.25, wait: Callable[[float], None] = time.sleep) -> tuple[DataFrame | None, str | None, int]:
-    """The notices, the last error if no attempt succeeded, and the attempts made. An attempt reads all rows; waits grow by ``backoff``."""
+    """The notices, the last error if no attempt succeeded, and the attempts made. An attempt reads and keeps all rows, so that
+    a payload is parsed once; waits grow by ``backoff``."""
     error = None
     for n in range(1, attempts + 1):
         try:
-            rows = source.read()
-            rows.write.format("noop").mode("overwrite").save()
+            rows = source.read().persist()
+            rows.count()
             return rows, None, n
         except Exception as e:  # a source that fails must not stop the others
             error = f"{type(e).__name__}: {str(e)[:ERROR_LENGTH]}"
@@ -51,8 +52,7 @@ def collect(spark: SparkSession, sources: list[Source], since: Column | None = N
     if not found:
         return None, statuses.selectExpr("ordinal", "source", "'error' status", "0L items_found", "error", "attempts")
     notices = dedup.ordered_union(*found)
-    # A day's notices, read again by each contract and each sink: kept, with their lineage, for the run.
-    notices = notices.persist()
+    # A day's publications are read again by each contract and each sink: kept, with their lineage, for the run.
     return daily.publications(notices, minimum, since).persist(), daily.source_status(notices, statuses)
 
 
