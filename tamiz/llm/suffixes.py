@@ -382,11 +382,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     if some_hot:
         masks = masks.unionByName(_windows(strings.join(many, "triple", "left_semi"), width))
     masks = materialise(masks, "masks")
-    release(docs.sparkSession)
+    discard(strings, many)
     whole = F.expr(f"shiftleft(1L, size - {width - 1}) - 1")
     slim = around.select("h1", "h2", "row", "key", (F.col("place") - F.col("before")).alias("first"), whole.alias("whole"))
     found = slim.join(masks, ["h1", "h2"]).select("row", "first", F.when(F.col("key") > F.col("least"), F.col("whole")).otherwise(F.col("mask")).alias("mask")).filter("mask <> 0")
     found = materialise(found.groupBy(F.shiftright("row", ROW_BITS).alias("strip")).agg(F.collect_list(F.struct("row", "first", "mask")).alias("found")), "found")
-    discard(copied, around, strings, many, masks)
+    discard(copied, around, masks)
     out = strips.join(found, "strip", "left").mapInArrow(_kept(width, key), f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out
