@@ -45,8 +45,10 @@ HOT = 8_000
 CHUNK, BUCKET = 8_000, 1 << 22
 #: Hashes of copied texts (44 bytes each) of at most so many are broadcast; more are joined by a shuffle.
 BROADCAST_HASHES = 500_000
-#: Bits of a row's place in its strip.
-ROW_BITS = 12
+#: Bits of a byte's place in its strip, and of a strip's in its partition. With a partition's number they make one whole number.
+PLACE_BITS, STRIP_BITS = 31, 16
+#: Rows of a strip.
+STRIP_ROWS = 1 << 12
 
 
 def _words(data: np.ndarray) -> np.ndarray:
@@ -154,22 +156,33 @@ def repeats(data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, width: int)
 
 
 def _strips(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(strip, keys, texts, copies): about a megabyte of texts a row, and which of them are copies."""
+    """(strip, keys, sizes, texts, copies): about a megabyte of texts a row, packed as one, and which of them are copies."""
     from pyspark import TaskContext
 
-    strip = TaskContext.get().partitionId() << 26
+    strip = first = TaskContext.get().partitionId() << STRIP_BITS
+    if strip >> 32:
+        raise ValueError("more partitions than a strip's number holds")
     for batch in batches:
-        for part in (y for k in range(0, batch.num_rows, 1 << ROW_BITS) for y in slices(batch.slice(k, 1 << ROW_BITS), 1, 1 << 20)):
+        for part in (y for k in range(0, batch.num_rows, STRIP_ROWS) for y in slices(batch.slice(k, STRIP_ROWS), 1, 1 << 20)):
+            if strip - first >> STRIP_BITS:
+                raise ValueError("more strips in a partition than their numbers hold")
             data, offsets = raw(part.column(1))
-            texts = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
             whole = pa.array([0, part.num_rows], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([strip]), *(pa.ListArray.from_arrays(whole, x) for x in (part.column(0), texts, part.column(2)))], ["strip", "keys", "texts", "copies"])
+            sizes = pa.array(np.diff(offsets).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(whole, x) for x in (part.column(0), sizes, part.column(2))]
+            yield pa.RecordBatch.from_arrays([pa.array([strip]), *lists[:2], pa.array([pa.compress(data.tobytes(), codec="zstd", asbytes=True)], pa.binary()), lists[2]], ["strip", "keys", "sizes", "texts", "copies"])
             strip += 1
 
 
-def _sampled(keys: pa.Array, texts: pa.Array, copies: pa.Array, width: int):
+def _unpacked(sizes: pa.Array, texts: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """A strip's bytes, and where its rows begin and end."""
+    offsets = np.concatenate([[0], np.cumsum(sizes.to_numpy(), dtype=np.int64)])
+    return np.frombuffer(pa.decompress(texts.as_buffer(), decompressed_size=int(offsets[-1]), codec="zstd"), np.uint8), offsets
+
+
+def _sampled(keys: pa.Array, sizes: pa.Array, texts: pa.Scalar, copies: pa.Array, width: int):
     """Of a strip: its bytes, offsets, sampled places, their rows and triples; copies and rows without a key have none."""
-    data, offsets = raw(texts)
+    data, offsets = _unpacked(sizes, texts)
     places = sample(data, offsets, width)
     rows = np.searchsorted(offsets, places, side="right") - 1
     known = (keys.is_valid().to_numpy(zero_copy_only=False) & ~copies.to_numpy(zero_copy_only=False))[rows] if len(rows) else np.zeros(0, bool)
@@ -186,8 +199,8 @@ def _ask(width: int, buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(bucket, strip, triples, many): a strip's distinct triples by range, and whether two of its keys have it."""
         for batch in batches:
-            for strip, keys, texts, copies in zip(batch.column(0).to_pylist(), *batch.columns[1:4], strict=True):
-                _, _, _, rows, h = _sampled(keys.values, texts.values, copies.values, width)
+            for strip, keys, sizes, texts, copies in zip(batch.column(0).to_pylist(), *batch.columns[1:5], strict=True):
+                _, _, _, rows, h = _sampled(keys.values, sizes.values, texts, copies.values, width)
                 key = keys.values.fill_null(0).to_numpy()[rows]
                 order = np.lexsort((key, h))
                 h, key = h[order], key[order]
@@ -230,10 +243,11 @@ def _spread(offsets: np.ndarray, places: np.ndarray, rows: np.ndarray, width: in
 
 def _around(width: int, buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(row, place, before, size, key, h1, h2): of each sampled place whose triple is repeated, how many bytes around it count, and their hashes."""
+        """(h1, h2, at, key, before, size): of each sampled place whose triple is repeated the hashes of the bytes around it, where it stands (``at``: its strip, and
+        its place there) and how many bytes around it count. Columns that change from row to row stand side by side, and the others too: so they are packed best."""
         for batch in batches:
-            for strip, keys, texts, copies, answers in zip(batch.column(0).to_pylist(), *batch.columns[1:4], batch.column(4).to_pylist(), strict=True):
-                data, offsets, places, rows, h = _sampled(keys.values, texts.values, copies.values, width)
+            for strip, keys, sizes, texts, copies, answers in zip(batch.column(0).to_pylist(), *batch.columns[1:5], batch.column(5).to_pylist(), strict=True):
+                data, offsets, places, rows, h = _sampled(keys.values, sizes.values, texts, copies.values, width)
                 known, inverse = np.unique(h, return_inverse=True)
                 place = _bucket(known, buckets)
                 bits = [np.unpackbits(np.frombuffer(x["repeated"], np.uint8), count=int((place == x["bucket"]).sum())) for x in sorted(answers, key=lambda x: x["bucket"])]
@@ -244,8 +258,8 @@ def _around(width: int, buckets: int):
                 before = (places - start).astype(np.uint64)
                 both = [mix(_spans(data, start, stop, fold) ^ before * np.uint64(0xD1342543DE82EF95)).view(np.int64) for fold in (SAME, SHUFFLED)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((strip << ROW_BITS) + rows), pa.array((places - offsets[rows]).astype(np.int32)), pa.array(before.astype(np.int32)), pa.array((stop - start).astype(np.int32)), keys.values.take(pa.array(rows)), *map(pa.array, both)],
-                    ["row", "place", "before", "size", "key", "h1", "h2"],
+                    [*map(pa.array, both), pa.array((strip << PLACE_BITS) + places), keys.values.take(pa.array(rows)), pa.array(before.astype(np.int32)), pa.array((stop - start).astype(np.int32))],
+                    ["h1", "h2", "at", "key", "before", "size"],
                 )
 
     return run
@@ -255,11 +269,11 @@ def _read(width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """(h1, h2, least, around, triple): the bytes around the wanted places of each strip."""
         for batch in batches:
-            for strip, texts, wanted in zip(batch.column(0).to_pylist(), *batch.columns[1:3], strict=True):
-                data, offsets = raw(texts.values)
+            for sizes, texts, wanted in zip(*batch.columns[1:4], strict=True):
+                data, offsets = _unpacked(sizes.values, texts)
                 want = wanted.values
-                rows = want.field("row").to_numpy() - (strip << ROW_BITS)
-                places = offsets[rows] + want.field("place").to_numpy()
+                places = want.field("at").to_numpy() & ((1 << PLACE_BITS) - 1)
+                rows = np.searchsorted(offsets, places, side="right") - 1
                 start, stop = _spread(offsets, places, rows, width)
                 for k in range(0, len(rows), 1 << 15):
                     part = slice(k, k + (1 << 15))
@@ -313,15 +327,15 @@ def _kept(width: int, key: str):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per row of a strip: sizes, removed runs and what is kept."""
         for batch in batches:
-            for strip, keys, texts, copies, found in zip(batch.column(0).to_pylist(), *batch.columns[1:5], strict=True):
-                data, offsets = raw(texts.values)
+            for keys, sizes, texts, copies, found in zip(*batch.columns[1:6], strict=True):
+                data, offsets = _unpacked(sizes.values, texts)
                 change = np.zeros(len(data) + 1, np.int64)
                 whole = np.flatnonzero(copies.values.to_numpy(zero_copy_only=False) & (np.diff(offsets) >= width))
                 np.add.at(change, offsets[whole], 1)
                 np.add.at(change, offsets[whole + 1], -1)
                 if found.is_valid:
                     got = found.values
-                    first = offsets[got.field("row").to_numpy() - (strip << ROW_BITS)] + got.field("first").to_numpy()
+                    first = got.field("first").to_numpy() & ((1 << PLACE_BITS) - 1)
                     mask = got.field("mask").to_numpy()
                     for bit in range(width - TRIPLE + 1):
                         at = first[mask >> bit & 1 > 0] + bit
@@ -356,21 +370,21 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     copied = materialise(copied, "copied")
     known = F.broadcast(copied) if row_count_at_most(copied, BROADCAST_HASHES) else copied
     texts = texts.join(known, "hash", "left").select("key", "text", F.coalesce(F.col("key") > F.col("least"), F.lit(False)).alias("copy"))
-    strips = materialise(texts.mapInArrow(_strips, "strip long, keys array<long>, texts array<binary>, copies array<boolean>"), "strips")
-    total = strips.agg(F.coalesce(F.sum(F.expr("aggregate(texts, 0L, (n, x) -> n + length(x))")), F.lit(0))).first()[0]
+    strips = materialise(texts.mapInArrow(_strips, "strip long, keys array<long>, sizes array<int>, texts binary, copies array<boolean>"), "strips")
+    total = strips.agg(F.coalesce(F.sum(F.expr("aggregate(sizes, 0L, (n, x) -> n + x)")), F.lit(0))).first()[0]
     buckets = int(total * 2 / (width - TRIPLE + 2) / BUCKET) + 1
     asked = strips.mapInArrow(_ask(width, buckets), "bucket long, strip long, triples binary, many binary")
     answers = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_answer, "strip long, bucket long, repeated binary")
     answers = answers.groupBy("strip").agg(F.collect_list(F.struct("bucket", "repeated")).alias("answers"))
-    around = strips.join(answers, "strip").mapInArrow(_around(width, buckets), "row long, place int, before int, size int, key long, h1 long, h2 long")
+    around = strips.join(answers, "strip").mapInArrow(_around(width, buckets), "h1 long, h2 long, at long, key long, before int, size int")
     around = materialise(around, "around")
     release(docs.sparkSession)
     # Of each distinct string one place is read: only there its bytes are shuffled.
-    firsts = around.groupBy("h1", "h2").agg(F.min(F.struct("key", "row", "place")).alias("f")).select("h1", "h2", "f.*")
-    wanted = firsts.groupBy(F.shiftright("row", ROW_BITS).alias("strip")).agg(F.collect_list(F.struct("row", "place", "h1", "h2", "key")).alias("wanted"))
+    firsts = around.groupBy("h1", "h2").agg(F.min_by("at", "key").alias("at"), F.min("key").alias("key"))
+    wanted = firsts.groupBy(F.shiftright("at", PLACE_BITS).alias("strip")).agg(F.collect_list(F.struct("at", "h1", "h2", "key")).alias("wanted"))
     wanted = materialise(wanted, "wanted")
     release(docs.sparkSession)
-    strings = strips.select("strip", "texts").join(wanted, "strip").mapInArrow(_read(width), "h1 long, h2 long, least long, around binary, triple binary")
+    strings = strips.select("strip", "sizes", "texts").join(wanted, "strip").mapInArrow(_read(width), "h1 long, h2 long, least long, around binary, triple binary")
     strings = materialise(strings, "strings")
     discard(wanted)
     many = materialise(strings.groupBy("triple").count().filter(F.col("count") > hot).select("triple"), "hot")
@@ -384,9 +398,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     masks = materialise(masks, "masks")
     discard(strings, many)
     whole = F.expr(f"shiftleft(1L, size - {width - 1}) - 1")
-    slim = around.select("h1", "h2", "row", "key", (F.col("place") - F.col("before")).alias("first"), whole.alias("whole"))
-    found = slim.join(masks, ["h1", "h2"]).select("row", "first", F.when(F.col("key") > F.col("least"), F.col("whole")).otherwise(F.col("mask")).alias("mask")).filter("mask <> 0")
-    found = materialise(found.groupBy(F.shiftright("row", ROW_BITS).alias("strip")).agg(F.collect_list(F.struct("row", "first", "mask")).alias("found")), "found")
+    slim = around.select("h1", "h2", (F.col("at") - F.col("before")).alias("first"), "key", whole.alias("whole"))
+    found = slim.join(masks, ["h1", "h2"]).select("first", F.when(F.col("key") > F.col("least"), F.col("whole")).otherwise(F.col("mask")).alias("mask")).filter("mask <> 0")
+    found = materialise(found.groupBy(F.shiftright("first", PLACE_BITS).alias("strip")).agg(F.collect_list(F.struct("first", "mask")).alias("found")), "found")
     discard(copied, around, masks)
     out = strips.join(found, "strip", "left").mapInArrow(_kept(width, key), f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out

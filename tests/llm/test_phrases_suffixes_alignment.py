@@ -207,3 +207,11 @@ def test_runs_across_batches_of_one_triple():
     whole = [m for b in suffixes._sorted(50, 10**6)([batch]) for m in b.column(3).to_pylist()]
     parts = [m for b in suffixes._sorted(50, 20)(batch.slice(k, 7) for k in range(0, 200, 7)) for m in b.column(3).to_pylist()]
     assert whole == parts and any(whole)
+
+
+def test_texts_of_a_strip_are_shuffled_packed(spark):
+    rows = [(1, "ein langer Satz, der sich wiederholt. " * 200), (2, ""), (None, "ñandú"), (4, "x")]
+    made = spark.createDataFrame(rows, "key long, text string").selectExpr("*", "key = 4 as copy").coalesce(1).mapInArrow(suffixes._strips, "strip long, keys array<long>, sizes array<int>, texts binary, copies array<boolean>").collect()
+    assert len(made) == 1 and len(made[0].texts) < 500
+    data, offsets = suffixes._unpacked(pa.array(made[0].sizes), pa.scalar(bytes(made[0].texts)))
+    assert [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [t for _, t in rows]
