@@ -118,7 +118,8 @@ def _levels(measured: DataFrame) -> np.ndarray:
 
 
 def _prefixes(k: int, threshold: int, levels: np.ndarray):
-    names = ["token", "salt", "doc", "n", "pos"]
+    # Columns that change from row to row first, then those that stay within a document: so the shuffle's rows are packed best.
+    names = ["token", "pos", "salt", "doc", "n"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()  # no more than the task's rows
@@ -145,7 +146,7 @@ def _prefixes(k: int, threshold: int, levels: np.ndarray):
                     # A shingle in about 2**11 documents or more is dealt over tasks by its documents.
                     bits = np.maximum(np.concatenate(lifts).astype(np.int64) // 4 - 11, 0)
                     salt = np.where(bits > 0, 1 + ((doc * 0x9E3779B1) >> 7 & ((1 << bits) - 1)), 0)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(doc), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places))], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out).view(np.int64)), pa.array(np.concatenate(places)), pa.array(salt.astype(np.int32)), pa.array(doc), pa.array(np.concatenate(sizes))], names)
 
     return run
 
@@ -159,7 +160,7 @@ def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        token, salt = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        token, salt = batch.column("token").to_numpy(), batch.column("salt").to_numpy()
         same = (token[1:] == token[:-1]) & (salt[1:] == salt[:-1])
         keep = salt > 0
         keep[1:] |= same
@@ -329,7 +330,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     members = sizes.join(classes, ["n", "k1", "k2"], "left").select("doc", "n", F.coalesce("node", "doc").alias("node"))
     members = materialise(members, "members")
 
-    index = texts.mapInArrow(_prefixes(k, threshold, levels), "token long, salt int, doc long, n int, pos int")
+    index = texts.mapInArrow(_prefixes(k, threshold, levels), "token long, pos int, salt int, doc long, n int")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     index = index.repartition(parts, "token", "salt").sortWithinPartitions("token", "salt").mapInArrow(_shared, "token long, doc long, n int, pos int")
     found = materialise(index, "index")

@@ -686,3 +686,11 @@ def test_winnowing_selects_a_fingerprint_once_for_a_run_of_windows(spark):
     row = decontaminate._scanned(spark.createDataFrame([("a", text)], "id string, text string"), [10], 10, 5, None, True).first()
     assert row.n_words == 300 and sum(len(f["keys"]) for f in row.found) == 291 and len(row.found) < 120
     assert all(a.fp != b.fp and a.pos + len(a["keys"]) == b.pos for a, b in itertools.pairwise(row.found))
+
+
+def test_prefixes_are_laid_out_to_be_packed():
+    rows = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array([" ".join(f"w{i}" for i in range(100)), "w1 w2"])], ["doc", "text"])
+    (got,) = jaccard._prefixes(5, 80, np.zeros(1 << jaccard.BITS, np.uint8))([rows])
+    # What changes within a document (token, pos) stands before what does not.
+    assert got.schema.names == ["token", "pos", "salt", "doc", "n"]
+    assert got.column("pos").to_pylist()[:3] == [0, 1, 2] and set(got.column("n").to_pylist()[:-1]) == {96} and got.column("doc").to_pylist()[-1] == 8
