@@ -5,6 +5,7 @@ official_title, description, published_at, authority, document_type and ordinal.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -75,17 +76,23 @@ def _items() -> Column:
 
 def feed(payloads: DataFrame, config: Feed, since: Column | None = None) -> DataFrame:
     """An RSS feed. The date is taken in the feed's own offset."""
+    return feeds(payloads, [config], since)
+
+
+def feeds(payloads: DataFrame, configs: Iterable[Feed], since: Column | None = None) -> DataFrame:
+    """RSS feeds whose payloads are the same: these are parsed once, and each notice is dealt to the feeds."""
     rows = _rows(payloads, _items()).filter(_well_formed(F.col("block")))
     rows = rows.select("ordinal", *(_element(F.col("block"), n, n == "link").alias(n) for n in ("title", "link", "guid", "description", "pubDate")))
     title, url = clean(F.col("title")), clean(F.col("link"))
     out = rows.select(
-        "ordinal", F.lit(config.source).alias("source"), url.alias("url"), title.alias("official_title"),
+        "ordinal", url.alias("url"), title.alias("official_title"),
         F.coalesce(F.nullif(clean(F.col("description")), F.lit("")), title).alias("description"), feed_date(F.col("pubDate")).alias("published_at"),
-        F.lit(config.authority).alias("authority"), F.lit(config.document_type).alias("document_type"), short_hash(F.coalesce(F.nullif(clean(F.col("guid")), F.lit("")), url)).alias("source_id"),
+        short_hash(F.coalesce(F.nullif(clean(F.col("guid")), F.lit("")), url)).alias("source_id"),
     ).filter((F.col("official_title") != "") & F.col("url").rlike("(?i)^https?://"))
-    if config.skip:
-        out = out.filter(~F.col("official_title").rlike(config.skip))
-    return _finish(out, since)
+    kept = lambda c: ~F.col("official_title").rlike(c.skip) if c.skip else F.lit(True)
+    sources = F.array(*(F.when(kept(c), F.struct(*(F.lit(x).alias(n) for n, x in (("source", c.source), ("authority", c.authority), ("document_type", c.document_type))))) for c in configs))
+    out = _finish(out, since).drop("source", "authority", "document_type").withColumn("s", F.explode(sources)).filter("s is not null")
+    return out.select(*(F.col(f"s.{c}").alias(c) if c in ("source", "authority", "document_type") else F.col(c) for c in COLUMNS))
 
 
 def capitals(text: Column) -> Column:

@@ -196,3 +196,10 @@ def test_detail_pages(spark):
     items = spark.createDataFrame([("shcp", u, f"Arancel {u}", dt.date(2026, 7, 7), "Comunicado", i) for i, u in enumerate(["whole", "two", "none"])], "portal string, url string, title string, published_at date, document_type string, ordinal long")
     kept = pages.portal_notices(items, pages.detail_pages(spark.createDataFrame(rows, "url string, payload string"))).orderBy("ordinal").collect()
     assert [(r.description, r.authority, r.document_type) for r in kept] == [("Texto & más", "SAT", "Boletín"), ("Arancel two", "SAT", "Comunicado"), ("Arancel none", "Secretaría de Hacienda y Crédito Público", "Comunicado")]
+
+
+def test_feeds_of_the_same_payload_are_parsed_once(spark):
+    xml = "<rss><item><title>20260630-200-x</title><link>https://f.org/1</link><description>d</description><pubDate>Tue, 07 Jul 2026 01:00:00 GMT</pubDate></item></rss>"
+    got = notices.feeds(load(spark, xml), notices.FEEDS.values())
+    assert sorted((r.source, r.authority) for r in got.collect()) == sorted((c.source, c.authority) for c in notices.FEEDS.values() if c.source != "CIJ")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("<item") == notices.feed(load(spark, xml), notices.FEEDS["wto"])._jdf.queryExecution().optimizedPlan().toString().count("<item")
