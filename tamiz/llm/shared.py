@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Rows that Spark hands to Python at once: texts of several kilobytes make batches of a few megabytes, on both sides.
 ROWS_PER_BATCH = 1000
+#: Whether the shuffle files of a query are deleted when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def bounded(spark: SparkSession) -> None:
@@ -48,12 +50,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, drop_shuffles: bool = False) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: cuts the lineage, and an
-    executor that is lost later costs no recomputation of what stands before."""
+    executor that is lost later costs no recomputation of what stands before. With ``drop_shuffles``
+    the shuffle files of the write go as soon as it has ended, and do not wait for Spark's cleaner."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tamiz-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with _set(spark, SHUFFLE_CLEANUP, "true") if drop_shuffles else nullcontext():
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._table_path = path
     for made in _open:
@@ -61,6 +65,20 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session while it is open."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 class Scratch:
     """The tables that were written while it was open."""
 

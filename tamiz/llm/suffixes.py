@@ -9,7 +9,7 @@ matters. Four steps:
    first 27 places), with the triple of eight-byte words that begins there. This is the cover that positions modulo a number
    give, but 7 of 100 places are in it whatever the threshold. Triples met in one document only are dropped.
 2. The order. The bytes around the places that are left, each distinct string with its least key, are dealt by ranges
-   of sorted triples, so that all suffixes that can be equal for ``width`` bytes are in one range.
+   of sorted triples, so that all suffixes that can be equal for ``width`` bytes are in one range. A string that is alone with its triple is not sorted.
 3. Each range is sorted by the difference-cover algorithm modulo 3: sort the triples at places 1 and 2 of 3, recurse on their names until these
    are unique, sort the rest by a first byte and the rank after it, merge.
 4. Neighbours that share ``width`` bytes form runs; of each run all suffixes but those of the least key are repeats, and the bytes below them go.
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.llm.kernel import SAME, _spans, mix, raw
-from tamiz.llm.shared import discard, materialise, release, row_count_at_most, slices
+from tamiz.llm.shared import discard, materialise, row_count_at_most, slices
 
 #: The bytes in another order, for a second hash of a string.
 SHUFFLED = np.random.default_rng(5).permutation(256).astype(np.uint8)
@@ -53,10 +53,8 @@ STRIP_ROWS = 1 << 12
 
 def _words(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on as one number; zeros past the end."""
-    x = np.concatenate([data, np.zeros(GRAM - 1, np.uint8)]).astype(np.uint64)
-    for k in (1, 2, 4):
-        x = x[:-k] << np.uint64(8 * k) | x[k:]
-    return x
+    padded = np.concatenate([data, np.zeros(GRAM - 1, np.uint8)])
+    return np.ndarray(len(data), np.uint64, padded, strides=(1,)).copy()
 
 
 def _slide(x: np.ndarray, n: int, of) -> np.ndarray:
@@ -68,26 +66,28 @@ def _slide(x: np.ndarray, n: int, of) -> np.ndarray:
     return of(x[: len(x) - (n - size)], x[n - size :]) if size < n else x
 
 
-def sample(data: np.ndarray, offsets: np.ndarray, width: int) -> np.ndarray:
-    """Places that depend on nothing but the ``width`` bytes around them: of every ``width`` bytes of a row one of the first width - TRIPLE + 1."""
+def sample(data: np.ndarray, offsets: np.ndarray, width: int, words: np.ndarray | None = None) -> np.ndarray:
+    """Places that depend on nothing but the ``width`` bytes around them: of every ``width`` bytes of a row one of the first width - TRIPLE + 1.
+    ``words`` are those of the bytes, if they are known."""
     span = width - TRIPLE + 1
     n = len(data)
     if n < width:
         return np.zeros(0, np.int64)
-    h = mix(_words(data)) | np.uint64(1)
-    ends = np.repeat(offsets[1:], np.diff(offsets))
-    low = _slide(np.concatenate([h, np.full(span - 1, ~np.uint64(0))]), span, np.minimum)
-    low[np.arange(n) + width > ends] = 0  # no whole string begins here
-    high = _slide(np.concatenate([np.zeros(span - 1, np.uint64), low]), span, np.maximum)
-    return np.flatnonzero(high == h)
+    w = (_words(data) if words is None else words)[: n - width + span]
+    h = ((w ^ w >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    low = np.zeros(n - width + 1 + 2 * (span - 1), np.uint32)
+    inner = low[span - 1 : span + n - width]
+    inner[:] = _slide(h, span, np.minimum)
+    none = offsets[1:, None] - np.arange(1, width)  # no whole string begins here
+    inner[none[(none >= offsets[:-1, None]) & (none <= n - width)]] = 0
+    return np.flatnonzero(_slide(low, span, np.maximum) == h)
 
 
-def _triples(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+def _triples(words: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Hashes of the sampled triples."""
-    w = _words(data)
-    h = mix(w[places])
+    h = mix(words[places])
     for k in (8, 16):
-        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + w[places + k])
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[places + k])
     return h
 
 
@@ -100,58 +100,61 @@ def suffix_order(x: np.ndarray) -> np.ndarray:
     bits = np.int64(max(int(padded.max()), n + 2).bit_length())
     if bits > 21:
         raise ValueError("three names are more than 63 bits")
-    one, two = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)  # with a place past the end, so that a last place of residue 0 has one after it
-    places = np.concatenate([one, two])
-    key = (padded[places] << 2 * bits) | (padded[places + 1] << bits) | padded[places + 2]
+    ones, twos, rests = len(range(1, n + (n % 3 == 1), 3)), len(range(2, n, 3)), len(range(0, n, 3))  # with a place past the end, so that a last place of residue 0 has one after it
+    x0, x1, x2, x3, x4 = (padded[k::3] for k in range(5))
+    key = np.concatenate([x1[:ones] << 2 * bits | x2[:ones] << bits | x3[:ones], x2[:twos] << 2 * bits | x3[:twos] << bits | x4[:twos]])
     order = np.argsort(key)
     new = np.diff(key[order], prepend=-1) != 0
-    names = np.empty(len(places), np.int64)
+    names = np.empty(ones + twos, np.int64)
     names[order] = np.cumsum(new)
     if not new.all():
         order = suffix_order(names)
-        names[order] = np.arange(1, len(places) + 1)
+        names[order] = np.arange(1, ones + twos + 1)
     rank = np.zeros(n + 4, np.int64)
-    rank[places] = names
-    sampled = places[order]
-    sampled = sampled[sampled < n]
-    rest = np.arange(0, n, 3)
-    after_one = lambda i: padded[i] << bits | rank[i + 1]
-    after_two = lambda i: padded[i] << 2 * bits | padded[i + 1] << bits | rank[i + 2]
-    rest = rest[np.argsort(after_one(rest))]
-    before = np.searchsorted(after_one(sampled[sampled % 3 == 1]), after_one(rest)) + np.searchsorted(after_two(sampled[sampled % 3 == 2]), after_two(rest))
+    rank[1::3][:ones] = names[:ones]
+    rank[2::3][:twos] = names[ones:]
+    if n % 3 == 1:
+        order = order[1:]  # the place past the end comes first
+    is_one = order < ones
+    after_one = (x1[:ones] << bits | rank[2::3][:ones])[order[is_one]]
+    after_two = (x2[:twos] << 2 * bits | x3[:twos] << bits | rank[4::3][:twos])[order[~is_one] - ones]
+    rest_one = x0[:rests] << bits | rank[1::3][:rests]
+    rest_two = x0[:rests] << 2 * bits | x1[:rests] << bits | rank[2::3][:rests]
+    rest = np.argsort(rest_one)
+    at = np.searchsorted(after_one, rest_one[rest]) + np.searchsorted(after_two, rest_two[rest]) + np.arange(rests)
     out = np.empty(n, np.int64)
-    at = before + np.arange(len(rest))
-    taken = np.zeros(n, bool)
-    taken[at] = True
-    out[at] = rest
-    out[~taken] = sampled
+    free = np.ones(n, bool)
+    free[at] = False
+    out[at] = 3 * rest
+    out[free] = np.where(is_one, 3 * order + 1, 3 * (order - ones) + 2)
     return out
 
 
 def repeats(data: np.ndarray, offsets: np.ndarray, keys: np.ndarray, width: int) -> np.ndarray:
     """For rows of bytes (width to 64 + width - 1 each) with a key: the bits of the places (from 0) whose ``width`` bytes also begin in a row with a smaller key."""
     sizes = np.diff(offsets)
-    rows = np.repeat(np.arange(len(sizes)), sizes)
-    joined = np.zeros(len(data) + len(sizes), np.int64)  # a 1 ends each row
-    at = np.arange(len(data)) + rows
-    joined[at] = data.astype(np.int64) + 2
-    joined[offsets[1:] + np.arange(len(sizes))] = 1
-    order = suffix_order(joined)
-    owner = np.append(np.repeat(np.arange(len(sizes)), sizes + 1), 0)
     begin = offsets[:-1] + np.arange(len(sizes))
-    order = order[order + width <= (begin + sizes)[owner[order]]]  # whole strings only
+    ends = begin + sizes
+    joined = np.ones(len(data) + len(sizes), np.int64)  # a 1 ends each row
+    inside = np.ones(len(joined), bool)
+    inside[ends] = False
+    joined[inside] = data.astype(np.int64) + 2
+    order = suffix_order(joined)
+    order = order[(np.arange(len(joined)) + width <= np.repeat(ends, sizes + 1))[order]]  # whole strings only
     if not len(order):
         return np.zeros(len(sizes), np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(joined.astype(np.uint16), width)
+    owner = np.repeat(np.arange(len(sizes)), sizes + 1)[order]
+    words, places = _words(data), order - owner
     new = np.ones(len(order), bool)
-    for k in range(1, len(order), 1 << 17):  # bounded memory
-        stop = min(len(order), k + (1 << 17))
-        new[k:stop] = (view[order[k:stop]] != view[order[k - 1 : stop - 1]]).any(1)
+    new[1:] = False
+    for k in (*range(0, width - GRAM, GRAM), width - GRAM):
+        word = words[places + k]
+        new[1:] |= word[1:] != word[:-1]
     first = np.flatnonzero(new)
-    least = np.repeat(np.minimum.reduceat(keys[owner[order]], first), np.diff(first, append=len(order)))
-    found = order[least < keys[owner[order]]]
+    own = keys[owner]
+    found = np.repeat(np.minimum.reduceat(own, first), np.diff(first, append=len(order))) < own
     out = np.zeros(len(sizes), np.int64)
-    np.bitwise_or.at(out, owner[found], np.int64(1) << (found - begin[owner[found]]))
+    np.bitwise_or.at(out, owner[found], np.int64(1) << (order - begin[owner])[found])
     return out
 
 
@@ -183,11 +186,12 @@ def _unpacked(sizes: pa.Array, texts: pa.Scalar) -> tuple[np.ndarray, np.ndarray
 def _sampled(keys: pa.Array, sizes: pa.Array, texts: pa.Scalar, copies: pa.Array, width: int):
     """Of a strip: its bytes, offsets, sampled places, their rows and triples; copies and rows without a key have none."""
     data, offsets = _unpacked(sizes, texts)
-    places = sample(data, offsets, width)
+    words = _words(data)
+    places = sample(data, offsets, width, words)
     rows = np.searchsorted(offsets, places, side="right") - 1
     known = (keys.is_valid().to_numpy(zero_copy_only=False) & ~copies.to_numpy(zero_copy_only=False))[rows] if len(rows) else np.zeros(0, bool)
     places, rows = places[known], rows[known]
-    return data, offsets, places, rows, _triples(data, places)
+    return data, offsets, places, rows, _triples(words, places)
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -202,10 +206,10 @@ def _ask(width: int, buckets: int):
             for strip, keys, sizes, texts, copies in zip(batch.column(0).to_pylist(), *batch.columns[1:5], strict=True):
                 _, _, _, rows, h = _sampled(keys.values, sizes.values, texts, copies.values, width)
                 key = keys.values.fill_null(0).to_numpy()[rows]
-                order = np.lexsort((key, h))
+                order = np.argsort(h)
                 h, key = h[order], key[order]
                 first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else order
-                many = key[first] != key[np.append(first[1:], len(h))[: len(first)] - 1]
+                many = np.minimum.reduceat(key, first) != np.maximum.reduceat(key, first) if len(h) else np.zeros(0, bool)
                 h = h[first]
                 place = _bucket(h, buckets)
                 cuts = np.flatnonzero(np.diff(place, prepend=-1))
@@ -249,8 +253,8 @@ def _around(width: int, buckets: int):
             for strip, keys, sizes, texts, copies, answers in zip(batch.column(0).to_pylist(), *batch.columns[1:5], batch.column(5).to_pylist(), strict=True):
                 data, offsets, places, rows, h = _sampled(keys.values, sizes.values, texts, copies.values, width)
                 known, inverse = np.unique(h, return_inverse=True)
-                place = _bucket(known, buckets)
-                bits = [np.unpackbits(np.frombuffer(x["repeated"], np.uint8), count=int((place == x["bucket"]).sum())) for x in sorted(answers, key=lambda x: x["bucket"])]
+                held = np.bincount(_bucket(known, buckets))
+                bits = [np.unpackbits(np.frombuffer(x["repeated"], np.uint8), count=int(held[x["bucket"]])) for x in sorted(answers, key=lambda x: x["bucket"])]
                 on = np.concatenate(bits).astype(bool)[inverse] if bits else np.zeros(0, bool)
                 start, stop = _spread(offsets, places, rows, width)
                 on &= stop - start >= width
@@ -289,15 +293,26 @@ def _pieces(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(sizes.astype(np.int32).tobytes()), pa.py_buffer(bytes_.tobytes())])
 
 
+def _runs(triples: pa.Array) -> np.ndarray:
+    """Where runs of equal triples begin."""
+    x = raw(triples)[0].reshape(-1, TRIPLE)
+    return np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]).any(1)]))
+
+
 def _sorted(width: int, chunk: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(h1, h2, least, mask) from rows sorted by their triple, about ``chunk`` at a time, never a triple's rows apart."""
+        """(h1, h2, least, mask) from rows sorted by their triple, about ``chunk`` at a time, never a triple's rows apart.
+        A string that stands alone with its triple has none to be compared with."""
         held: list[pa.RecordBatch] = []
         n = 0
 
-        def flush(table):
-            data, offsets = raw(table.column("around"))
-            mask = repeats(data, offsets, table.column("least").to_numpy(), width)
+        def flush(table, runs):
+            mask = np.zeros(table.num_rows, np.int64)
+            sizes = np.diff(runs, append=table.num_rows)
+            shared = np.repeat(sizes > 1, sizes)
+            if shared.any():
+                some = table.filter(pa.array(shared))
+                mask[shared] = repeats(*raw(some.column("around")), some.column("least").to_numpy(), width)
             return pa.RecordBatch.from_arrays([*(table.column(c).combine_chunks() for c in ("h1", "h2", "least")), pa.array(mask)], ["h1", "h2", "least", "mask"])
 
         for batch in batches:
@@ -306,17 +321,14 @@ def _sorted(width: int, chunk: int):
             if n < chunk:
                 continue
             table = pa.Table.from_batches(held)
-            triple = table.column("triple").combine_chunks()
-            same = np.flatnonzero(np.array([x == triple[-1] for x in triple.slice(max(0, n - batch.num_rows))]))
-            cut = n - batch.num_rows + int(same[0]) if len(same) else n
-            if cut == n - batch.num_rows and cut and triple[cut - 1] == triple[-1]:  # the last triple began in an earlier batch
-                while cut and triple[cut - 1] == triple[-1]:
-                    cut -= 1
+            runs = _runs(table.column("triple"))
+            cut = int(runs[-1])
             if cut:
-                yield flush(table.slice(0, cut))
+                yield flush(table.slice(0, cut), runs[:-1])
             held, n = table.slice(cut).to_batches(), n - cut
         if n:
-            yield flush(pa.Table.from_batches(held))
+            table = pa.Table.from_batches(held)
+            yield flush(table, _runs(table.column("triple")))
 
     return run
 
@@ -359,7 +371,7 @@ def _windows(strings: DataFrame, width: int) -> DataFrame:
     """(h1, h2, least, mask) of (h1, h2, least, around) with every ``width``-byte string grouped by itself."""
     each = strings.select("h1", "h2", "least", F.posexplode(F.expr(f"transform(sequence(1, length(around) - {width - 1}), i -> substring(around, i, {width}))")).alias("i", "string"))
     low = each.groupBy("string").agg(F.min("least").alias("low"))
-    met = each.join(materialise(low, "strings"), "string").groupBy("h1", "h2").agg(F.min("least").alias("least"), F.sum(F.when(F.col("low") < F.col("least"), F.expr("shiftleft(1L, i)")).otherwise(0)).alias("mask"))
+    met = each.join(materialise(low, "strings", drop_shuffles=True), "string").groupBy("h1", "h2").agg(F.min("least").alias("least"), F.sum(F.when(F.col("low") < F.col("least"), F.expr("shiftleft(1L, i)")).otherwise(0)).alias("mask"))
     return met
 
 
@@ -367,27 +379,25 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     """Per row: the key, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 and kept, the bytes that are left."""
     texts = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("hash", F.sha2("text", 256))
     copied = texts.filter("key is not null").groupBy("hash").agg(F.min("key").alias("least"), F.count("*").alias("n")).filter("n > 1").select("hash", "least")
-    copied = materialise(copied, "copied")
+    copied = materialise(copied, "copied", drop_shuffles=True)
     known = F.broadcast(copied) if row_count_at_most(copied, BROADCAST_HASHES) else copied
     texts = texts.join(known, "hash", "left").select("key", "text", F.coalesce(F.col("key") > F.col("least"), F.lit(False)).alias("copy"))
-    strips = materialise(texts.mapInArrow(_strips, "strip long, keys array<long>, sizes array<int>, texts binary, copies array<boolean>"), "strips")
+    strips = materialise(texts.mapInArrow(_strips, "strip long, keys array<long>, sizes array<int>, texts binary, copies array<boolean>"), "strips", drop_shuffles=True)
     total = strips.agg(F.coalesce(F.sum(F.expr("aggregate(sizes, 0L, (n, x) -> n + x)")), F.lit(0))).first()[0]
     buckets = int(total * 2 / (width - TRIPLE + 2) / BUCKET) + 1
     asked = strips.mapInArrow(_ask(width, buckets), "bucket long, strip long, triples binary, many binary")
     answers = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_answer, "strip long, bucket long, repeated binary")
     answers = answers.groupBy("strip").agg(F.collect_list(F.struct("bucket", "repeated")).alias("answers"))
     around = strips.join(answers, "strip").mapInArrow(_around(width, buckets), "h1 long, h2 long, at long, key long, before int, size int")
-    around = materialise(around, "around")
-    release(docs.sparkSession)
+    around = materialise(around, "around", drop_shuffles=True)
     # Of each distinct string one place is read: only there its bytes are shuffled.
     firsts = around.groupBy("h1", "h2").agg(F.min_by("at", "key").alias("at"), F.min("key").alias("key"))
     wanted = firsts.groupBy(F.shiftright("at", PLACE_BITS).alias("strip")).agg(F.collect_list(F.struct("at", "h1", "h2", "key")).alias("wanted"))
-    wanted = materialise(wanted, "wanted")
-    release(docs.sparkSession)
+    wanted = materialise(wanted, "wanted", drop_shuffles=True)
     strings = strips.select("strip", "sizes", "texts").join(wanted, "strip").mapInArrow(_read(width), "h1 long, h2 long, least long, around binary, triple binary")
-    strings = materialise(strings, "strings")
+    strings = materialise(strings, "strings", drop_shuffles=True)
     discard(wanted)
-    many = materialise(strings.groupBy("triple").count().filter(F.col("count") > hot).select("triple"), "hot")
+    many = materialise(strings.groupBy("triple").count().filter(F.col("count") > hot).select("triple"), "hot", drop_shuffles=True)
     cold = strings
     some_hot = not many.isEmpty()
     if some_hot:
@@ -395,12 +405,12 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     masks = cold.repartitionByRange("triple").sortWithinPartitions("triple").select("h1", "h2", "least", "around", "triple").mapInArrow(_sorted(width, CHUNK), "h1 long, h2 long, least long, mask long")
     if some_hot:
         masks = masks.unionByName(_windows(strings.join(many, "triple", "left_semi"), width))
-    masks = materialise(masks, "masks")
+    masks = materialise(masks, "masks", drop_shuffles=True)
     discard(strings, many)
     whole = F.expr(f"shiftleft(1L, size - {width - 1}) - 1")
     slim = around.select("h1", "h2", (F.col("at") - F.col("before")).alias("first"), "key", whole.alias("whole"))
     found = slim.join(masks, ["h1", "h2"]).select("first", F.when(F.col("key") > F.col("least"), F.col("whole")).otherwise(F.col("mask")).alias("mask")).filter("mask <> 0")
-    found = materialise(found.groupBy(F.shiftright("first", PLACE_BITS).alias("strip")).agg(F.collect_list(F.struct("first", "mask")).alias("found")), "found")
+    found = materialise(found.groupBy(F.shiftright("first", PLACE_BITS).alias("strip")).agg(F.collect_list(F.struct("first", "mask")).alias("found")), "found", drop_shuffles=True)
     discard(copied, around, masks)
     out = strips.join(found, "strip", "left").mapInArrow(_kept(width, key), f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out

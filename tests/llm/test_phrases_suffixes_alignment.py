@@ -3,13 +3,15 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from tamiz.llm import alignment, collocations, suffixes
+from tamiz.llm import alignment, collocations, shared, suffixes
 
 AWKWARD = [(1, None, "en"), (2, "", "en"), (3, " \n\t", None), (4, "Ñandú", "und"), (5, "a\n\nb. b", "x"), (6, "x" * 30_000, "x"), (7, "uno dos tres cuatro cinco seis " * 3, "es"), (7, "uno dos tres cuatro cinco seis " * 3, "es"), (None, "uno dos tres cuatro cinco seis " * 3, "es"), (8, "ź 🎉 İ ß <|endoftext|> <s> </s> ﬁ  　漢字\x00", "en")]
 FOLD = {i: i + 32 for i in range(65, 91)}
@@ -215,3 +217,28 @@ def test_texts_of_a_strip_are_shuffled_packed(spark):
     assert len(made) == 1 and len(made[0].texts) < 500
     data, offsets = suffixes._unpacked(pa.array(made[0].sizes), pa.scalar(bytes(made[0].texts)))
     assert [data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [t for _, t in rows]
+
+
+def test_strings_alone_with_their_triple_are_not_sorted(monkeypatch):
+    """Only strings that share a triple with another are compared; the others keep their row, with nothing found."""
+    rows = [(b"%026d" % i + b"abcdefghijklmnopqrstuvwx"[: 24 - 4] + b"%04d" % (i // 3 if i < 6 else i) + b"z" * 26, i) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(range(40)), pa.array([k for _, k in rows]), pa.array([x for x, _ in rows], pa.binary()), pa.array([x[26:50] for x, _ in rows], pa.binary())], ["h1", "h2", "least", "around", "triple"])
+    seen = []
+    real = suffixes.repeats
+    monkeypatch.setattr(suffixes, "repeats", lambda data, offsets, keys, width: seen.extend(keys.tolist()) or real(data, offsets, keys, width))
+    got = [tuple(x) for b in suffixes._sorted(50, 7)(batch.slice(k, 5) for k in range(0, 40, 5)) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert sorted(seen) == list(range(6)) and [x[:3] for x in got] == [(i, i, i) for i in range(40)]
+    assert [i for i, *_, mask in got if mask] == [1, 2, 4, 5]
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """A write that drops its shuffle files leaves none behind, and the session's setting is as before."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {n for n in (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size())) if n.startswith("shuffle_")}
+    before, setting = files(), spark.conf.get(shared.SHUFFLE_CLEANUP, None)
+    made = shared.materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "made", drop_shuffles=True)
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(shared.SHUFFLE_CLEANUP, None) == setting
+    assert {r.k: r["count"] for r in made.collect()} == {k: 143 - (k == 6) for k in range(7)}
