@@ -118,9 +118,9 @@ class Bounds:
 EXACT = Bounds(math.inf, math.inf, math.inf, False)
 
 
-def complete(counts: Mapping[int, int], capacity: int, bounds: Bounds = Bounds()) -> list[tuple[Pattern, int]]:
-    """Bin completion by branch and bound within ``bounds``; never worse than best-fit decreasing."""
-    nodes = bounds.nodes
+def complete(counts: Mapping[int, int], capacity: int, bounds: Bounds = Bounds(), nodes: float | None = None) -> list[tuple[Pattern, int]]:
+    """Bin completion by branch and bound within ``bounds`` (but for ``nodes``, where given); never worse than best-fit decreasing."""
+    nodes = bounds.nodes if nodes is None else nodes
     best = best_fit(counts, capacity)
     used = sum(n for _, n in best)
     total = sum(x * n for x, n in counts.items())
