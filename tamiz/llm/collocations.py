@@ -221,6 +221,13 @@ def _count(least: int, digits_of_id: int):
     return run
 
 
+def rare_summed(words: DataFrame, least: int) -> DataFrame:
+    """(lang, word, h, n) of the frequent words, and a row without word for all others of a language."""
+    often = F.col("n") >= least
+    named = words.select("lang", *(F.when(often, F.col(c)).alias(c) for c in ("word", "h")), "n")
+    return named.groupBy("lang", "word", "h").agg(F.sum("n").alias("n"))
+
+
 def dictionary(words: DataFrame, least: int) -> DataFrame:
     """(lang, word, h, n, id) of the frequent words, with dense ids from 1 by descending count."""
     frequent = words.filter(F.col("n") >= least)
@@ -293,9 +300,10 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", params
     """Each language's first phrases: lang, rank, phrase, a (its count), l and r (its parts'), n (words of the language), score."""
     texts = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     words = texts.mapInArrow(_vocabulary, "lang string, word string, h long, n long")
-    words = materialise(words.groupBy("lang", "word", "h").agg(F.sum("n").alias("n")), "words")
+    words = words.groupBy("lang", "word", "h").agg(F.sum("n").alias("n"))
+    words = materialise(rare_summed(words, params.least), "words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    vocabulary = materialise(dictionary(words, params.least), "vocabulary")
+    vocabulary = materialise(dictionary(words.filter(F.col("word").isNotNull()), params.least), "vocabulary")
     counts = materialise(phrase_counts(texts, vocabulary, params), "phrases")
     parts = counts.unionByName(vocabulary.select(F.array("id").alias("ids"), "n"))
     k = F.explode(F.sequence(F.lit(1), F.size("ids") - 1)).alias("k")

@@ -75,6 +75,22 @@ def test_collocations_of_awkward_rows(awkward):
     assert collocations.collocations(awkward.limit(0), params=params).count() == 0
 
 
+def test_rare_words_are_summed_before_words_are_written(spark, monkeypatch):
+    written = {}
+
+    def counted(df, name):
+        out = shared.materialise(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(collocations, "materialise", counted)
+    rows = [(1, " ".join(f"rare{i}" for i in range(500)) + " a b" * 9, "en"), (2, "c d " * 9, None), (3, "rare0 once", "fr")]
+    got = collocations.collocations(spark.createDataFrame(rows, "doc_id long, text string, lang string"), params=collocations.Params(least=6)).collect()
+    assert sorted(map(tuple, got)) == plain_collocations(rows, 6, 80, 2000)
+    assert {r.lang: r.n for r in got} == {"en": 518, "und": 18}
+    assert written["words"] == 4 + 2  # a, b, c and d; the others of en and of fr
+
+
 def test_radix_sort_orders_digits():
     r = np.random.default_rng(3)
     digits = r.integers(0, 5, (4, 300)).astype(np.uint16)
