@@ -8,32 +8,36 @@ from pyspark.sql import functions as F
 from tamiz.functions.text import bound
 from tamiz.plans import vocabulary as V
 
-_SEPARATOR = r"^\|?\s*:?-{2,}:?\s*(?:\|\s*:?-{2,}:?\s*)*\|?$"
+_SEPARATOR = r"^\|?\s*:?-{2,}:?\s*(?:\|\s*:?-{2,}:?\s*)*\|?\z"
 _INLINE = r"\*\*[^*]+\*|\[[^\]]+\]\(https?://[^)]+\)"
 
 
 def _trim(x: Column) -> Column:
-    return F.regexp_replace(x, r"^\s+|\s+$", "")
+    """Without the white space of SQL's patterns at its ends; other line ends, vertical tabs among them, are characters of the text."""
+    return F.btrim(x, F.lit(" \t\n\f\r"))
 
 
 def table_row(line: Column) -> Column:
     """The trimmed cells of a table's line; a bar at either end is no cell."""
-    bare = F.regexp_replace(F.regexp_replace(_trim(line), r"^\|", ""), r"\|$", "")
+    bare = F.regexp_replace(F.regexp_replace(_trim(line), r"^\|", ""), r"\|\z", "")
     return F.transform(F.split(bare, r"\|", -1), _trim)
 
 
 def _block(block: Column) -> Column:
     lines = F.split(block, "\n", -1)
-    heading = block.rlike(r"^#{1,3}\s+[^\n]+$")
-    items = F.transform(F.filter(lines, lambda x: F.startswith(x, F.lit("- "))), lambda x: _trim(F.substr(x, F.lit(3))))
+    heading = block.rlike(r"^#{1,3}\s+[^\n]+\z")
+    items = F.transform(F.filter(lines, lambda x: F.startswith(x, F.lit("- "))), lambda x: F.array(_trim(F.substr(x, F.lit(3)))))
     table = (F.size(lines) >= 2) & F.startswith(_trim(lines[0]), F.lit("|")) & F.coalesce(F.get(lines, 1).rlike(_SEPARATOR), F.lit(False))
     rows = F.concat(F.array(table_row(lines[0])), F.transform(F.slice(lines, F.lit(3), F.greatest(F.size(lines) - 2, F.lit(0))), table_row))
     kind = F.when(heading, "heading").when(F.startswith(block, F.lit("- ")), "list").when(F.startswith(block, F.lit(">")), "quote").when(table, "table").otherwise("paragraph")
-    text = F.when(kind == "heading", _trim(F.regexp_extract(block, r"^#{1,3}\s+([^\n]+)$", 1))).when(kind == "quote", F.regexp_replace(block, r"(?m)^>\s?", "")).when(kind == "paragraph", block)
-    none = F.array().cast("array<array<string>>")
-    cells = F.when(kind == "table", rows).when(kind == "list", F.transform(items, lambda x: F.array(x))).otherwise(none)
-    level = F.when(kind == "heading", F.length(F.regexp_extract(block, "^(#{1,3})", 1))).otherwise(0)
-    return F.struct(kind.alias("kind"), level.alias("level"), text.alias("text"), cells.alias("rows"))
+
+    def parts(kind: Column) -> Column:
+        text = F.when(kind == "heading", _trim(F.regexp_extract(block, r"^#{1,3}\s+([^\n]+)\z", 1))).when(kind == "quote", F.regexp_replace(block, r"(?md)^>\s?", "")).when(kind == "paragraph", block)
+        cells = F.when(kind == "table", rows).when(kind == "list", items).otherwise(F.array().cast("array<array<string>>"))
+        level = F.when(kind == "heading", F.length(F.regexp_extract(block, "^(#{1,3})", 1))).otherwise(0)
+        return F.struct(kind.alias("kind"), level.alias("level"), text.alias("text"), cells.alias("rows"))
+
+    return bound(kind, parts)
 
 
 def blocks(page: Column) -> Column:

@@ -149,3 +149,20 @@ def test_structure_of_a_page_with_an_entity_cut_short(spark, tmp_path):
 def test_details_of_each_page_of_one_address(spark, tmp_path):
     got, want = _as_sql(spark, tmp_path, "portal_details", [(k, f"u{k // 3}", _CUT) for k in range(8)])
     assert got == want and len(got) == 8
+
+
+def test_blocks_of_empty_and_odd_texts_as_sql(spark, tmp_path):
+    import duckdb
+
+    from tamiz.plans import page_queries
+
+    # Empty texts, and spaces and line ends that Java's patterns, Spark's trim and SQL take differently.
+    odd = ["", " \n\t", *(f"{a}uno{b} > dos{c}" for s in "\v\f\r\x1c\x85\xa0\u2028\u2029\u3000\ufeff" for a, b, c in ((s, "", ""), ("", s, ""), ("", "", s), ("", "", f" {s}"))), "a > b", "|", "a| ", "#", "- "]
+    spark.createDataFrame(list(enumerate([None, *odd])) + [(None, "sin clave")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0, ""), (1, 1, None), (2, None, "b")], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'").fetchall()
+    want = con.execute(page_queries.ORACLE_SQL["markdown_blocks"]).fetchall()
+    got = page_queries.QUERIES["markdown_blocks"](spark, str(tmp_path)).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want)) and len(got) == 6 * (len(odd) + 5)
